@@ -101,9 +101,13 @@ def one_hot_groups(train: DataFrame, groups: dict[str, Sequence[str]], unseen: s
     return {name: one_hot(train, features, unseen, output=name) for name, features in groups.items()}
 
 
-def concatenate(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
-    """Side-by-side concatenation of vector and number columns, row by row."""
-    return VectorAssembler(inputCols=list(columns), outputCol=output, handleInvalid="keep").transform(df)
+def concatenate(df: DataFrame, columns: Sequence[str], output: str = "features",
+                missing: str = "error") -> DataFrame:
+    """Side-by-side concatenation of vector and number columns, row by row.
+
+    ``missing='keep'`` turns nulls into NaN (vector columns then need a declared size).
+    """
+    return VectorAssembler(inputCols=list(columns), outputCol=output, handleInvalid=missing).transform(df)
 
 
 def truncated(df: DataFrame, columns: Sequence[str]) -> DataFrame:

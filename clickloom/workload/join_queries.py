@@ -122,7 +122,7 @@ def index_join(r: Roles) -> DataFrame:
 
 @query("c11_concatenate_columns", """
     SELECT vec_id, len(embedding) + 2 AS size,
-           round(list_sum(list_transform(embedding, x -> x::DOUBLE)) + label + vec_id, 4) AS total
+           round(list_sum(embedding::DOUBLE[]) + label + vec_id, 4) AS total
     FROM embeddings""")
 def concatenate_columns(r: Roles) -> DataFrame:
     from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -131,7 +131,7 @@ def concatenate_columns(r: Roles) -> DataFrame:
     whole = vector_to_array("whole")
     total = F.aggregate(whole, F.lit(0.0), lambda a, x: a + x)
     return concatenate(parts, ["left", "label", "vec_id"], "whole").select(
-        "vec_id", F.size(whole).alias("size"), F.round(total, 4).alias("total"))
+        "vec_id", F.size(whole).cast("long").alias("size"), F.round(total, 4).alias("total"))
 
 
 # --- sets -------------------------------------------------------------------------------

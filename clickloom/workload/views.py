@@ -123,7 +123,7 @@ VIEWS = {
                    PARTITION BY intersection_id, tollgate_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS value
         FROM (SELECT intersection_id, tollgate_id,
                      unnest(generate_series(min(ts), max(ts), INTERVAL 20 MINUTE)) AS ts
-              FROM bins GROUP BY ALL)
+              FROM bins GROUP BY intersection_id, tollgate_id)
         LEFT JOIN bins USING (intersection_id, tollgate_id, ts)""",
     "grid": """
         SELECT intersection_id, tollgate_id, unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00',
