@@ -66,7 +66,7 @@ def encode_indices(df: DataFrame, dictionary_table: DataFrame, features: Sequenc
 # --- one-hot vectors ---------------------------------------------------------------
 
 def one_hot(train: DataFrame, features: Sequence[str], unseen: str = "keep", output: str = "features",
-            numeric: Sequence[str] = (), max_columns: int = 50_000_000) -> PipelineModel:
+            numeric: Sequence[str] = (), max_columns: int = 10_000_000) -> PipelineModel:
     """Fit one-hot encoding on ``train``; ``numeric`` columns are appended as they are.
 
     Columns of a feature follow the text order of its values.  With
@@ -78,7 +78,8 @@ def one_hot(train: DataFrame, features: Sequence[str], unseen: str = "keep", out
     """
     columns = feature_values(train, features).count()
     if columns > max_columns:
-        raise ValueError(f"{columns} one-hot columns exceed max_columns={max_columns}")
+        raise ValueError(f"{columns} one-hot columns exceed max_columns={max_columns}; "
+                         "use dictionary() and encode_indices(), which keep the values distributed")
     keep = unseen == "keep"
     # distinct scratch names, so that several groups can encode one table
     index = [f"_{output}_{f}_index" for f in features]

@@ -21,12 +21,32 @@ from clickloom.functions.calendar import epoch
 from clickloom.session import pin
 
 DAY = 86400
+# candidate chunk lengths, longest first, and the rows one key may have in a chunk
+CHUNKS = [30 * DAY, DAY, 3600, 60, 1]
+CHUNK_ROWS = 2_000_000
 
 
 # --- filling -----------------------------------------------------------------
 
+def pick_chunk(df: DataFrame, keys: Sequence[str], order: str, limit: int = CHUNK_ROWS) -> int:
+    """Longest chunk, in seconds, of which no key has more than ``limit`` rows.
+
+    One count per candidate, longest first, over the key and time columns only.  The
+    shortest is one second: times are unique within a key and have microseconds, so
+    it holds a million rows at most.
+    """
+    times = df.select(*keys, epoch(F.col(order)).alias("_second"))
+    for seconds in CHUNKS:
+        held = times.groupBy(*keys, F.floor(F.col("_second") / seconds)).agg(F.count("*").alias("n"))
+        most = held.agg(F.max("n").alias("n")).first().n
+        if most is None or most <= limit:
+            return seconds
+    return 1
+
+
 def _carry(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str],
-           chunk: int, forward: bool) -> DataFrame:
+           chunk: int | None, forward: bool) -> DataFrame:
+    chunk = chunk or pick_chunk(df, keys, order)
     chunked = df.withColumn("_chunk", F.floor(epoch(F.col(order)) / chunk))
     part = [*keys, "_chunk"]
     sort = F.col(order).asc() if forward else F.col(order).desc()
@@ -49,24 +69,25 @@ def _carry(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str
 
 
 def carry_forward(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str],
-                  chunk: int = DAY) -> DataFrame:
+                  chunk: int | None = None) -> DataFrame:
     """Replace nulls by the last non-null value at or before the row; leading nulls stay.
 
     ``order`` is a timestamp, unique within ``keys`` (which must not be null).
-    Rows are sorted within chunks of ``chunk`` seconds; what a chunk inherits
-    comes from a table with one row per key and chunk.
+    Rows are sorted within chunks of ``chunk`` seconds (default: ``pick_chunk``), so
+    that one hot key is many tasks; what a chunk inherits comes from a table with
+    one row per key and chunk.
     """
     return _carry(df, keys, order, columns, chunk, forward=True)
 
 
 def carry_backward(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str],
-                   chunk: int = DAY) -> DataFrame:
+                   chunk: int | None = None) -> DataFrame:
     """Replace nulls by the first non-null value at or after the row; trailing nulls stay."""
     return _carry(df, keys, order, columns, chunk, forward=False)
 
 
 def as_of(left: DataFrame, right: DataFrame, order: str, columns: Sequence[str],
-          keys: Sequence[str] = (), chunk: int = DAY, left_unique: bool = False) -> DataFrame:
+          keys: Sequence[str] = (), chunk: int | None = None, left_unique: bool = False) -> DataFrame:
     """Join to each left row the last right row at or before its time; none gives nulls.
 
     ``right`` is unique in (keys, order).  The result depends only on the key
@@ -75,6 +96,7 @@ def as_of(left: DataFrame, right: DataFrame, order: str, columns: Sequence[str],
     by that equi-join.  ``left_unique`` skips the join back.
     """
     on = [*keys, order]
+    chunk = chunk or pick_chunk(left.select(*on).unionByName(right.select(*on)), keys, order)
     wanted = left if left_unique else left.select(*on).distinct()
     asks = wanted.select(*on, F.lit(None).cast(right.select(F.struct(*columns)).schema[0].dataType)
                          .alias("_row"), F.lit(True).alias("_ask"))
@@ -227,9 +249,7 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "ro
     written once; the position is that number plus the sizes of the ranges before.
     The table of range sizes has one row per partition, hence the broadcast.
     """
-    spark = df.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = pin(df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    placed = pin(df.repartitionByRange(*order).sortWithinPartitions(*order)
                  .withColumn("_at", F.monotonically_increasing_id()), "row-index")
     placed = (placed.withColumn("_range", F.shiftright("_at", 33))
               .withColumn("_at", F.col("_at").bitwiseAND((1 << 33) - 1)))

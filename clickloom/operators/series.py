@@ -122,12 +122,12 @@ def twelve_slots(series: DataFrame, keys: Sequence[str]) -> DataFrame:
 def clean_weather(weather: DataFrame) -> DataFrame:
     """Weather rows by time, wind-direction outliers replaced by the last ordinary value."""
     placed = weather.withColumn("ts", cal.at_hour(F.col("date"), F.col("hour"))).drop("date", "hour")
-    return carry_forward(drop_outliers(placed, "wind_direction"), [], "ts", ["wind_direction"], 30 * 86400)
+    return carry_forward(drop_outliers(placed, "wind_direction"), [], "ts", ["wind_direction"])
 
 
 def add_weather(df: DataFrame, weather: DataFrame) -> DataFrame:
     """The last weather report at or before each row's ``ts``."""
-    return as_of(df, weather, "ts", schemas.WEATHER_COLUMNS, chunk=30 * 86400)
+    return as_of(df, weather, "ts", schemas.WEATHER_COLUMNS)
 
 
 def add_calendar(df: DataFrame) -> DataFrame:

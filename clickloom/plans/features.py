@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from clickloom.operators.aggregates import (
 )
 from clickloom.operators.joins import flag_members, lookup, matching, star
 from clickloom.operators.rows import fill_with_truncated_mean, settled_clicks
+from clickloom.session import pin
 from clickloom.sources.store import FeatureStore
 
 AD_COLUMNS = ["creativeID", "advertiserID", "appPlatform", "appCategory", "app_popularity"]
@@ -93,15 +94,53 @@ def operator_ratio(train: DataFrame) -> DataFrame:
     return normalised_ratio(train, "telecomsOperator", "conversion_ratio_telecomsOperator")
 
 
-def context_statistics(train: DataFrame, before: int | None = None) -> dict[str, DataFrame]:
-    """The four label statistics of the clicks.
+def code_statistics(train: DataFrame) -> DataFrame:
+    """Clicks, conversions, ratio and rescaled ratio per connection, operator and hour, in one scan.
+
+    One row per (kind, key); a handful of codes and hours.  Rows are unpivoted and
+    collapse in the map task.
+    """
+    kinds = {"connection": F.col("connectionType"), "operator": F.col("telecomsOperator"),
+             "hour": hour_of(F.col("clickTime"))}
+    pairs = F.array(*[F.struct(F.lit(kind).alias("kind"), key.cast("int").alias("key"))
+                      for kind, key in kinds.items()])
+    counted = train.select("label", F.inline(pairs)).groupBy("kind", "key").agg(
+        F.count("*").alias("clicks"), F.nullif(F.count_if(F.col("label") == 1), F.lit(0)).alias("conversions"))
+    ratio = counted.withColumn("ratio", F.col("conversions") / F.col("clicks"))
+    bounds = ratio.groupBy("kind").agg(F.min("ratio").alias("_lo"), F.max("ratio").alias("_hi"))
+    scaled = F.try_divide(F.col("ratio") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+    return ratio.join(bounds, "kind").withColumn("scaled", scaled).drop("_lo", "_hi")
+
+
+def context_statistics(train: DataFrame, before: int | None = None,
+                       keep: Callable[[str, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The label statistics that are joined to the clicks: per connection, operator, hour and user.
 
     By default they use every labelled click, including the ones they are joined
     to later; ``before`` limits them to clicks earlier than that packed time.
+
+    Both tables are written (``keep``, default a scratch table), so that the join
+    with the clicks is planned from their measured size: the codes are broadcast
+    without shuffling the clicks by a key of a few values, the users as their
+    size demands.
     """
+    keep = keep or (lambda name, df: pin(df, name))
     clicks = train if before is None else train.filter(F.col("clickTime") < before)
-    return {"connection": connection_ratio(clicks), "operator": operator_ratio(clicks),
-            "hour": hour_features(clicks), "user": user_click_features(clicks)}
+    codes = keep("f_context_codes", code_statistics(clicks))
+    scaled = F.col("scaled")
+
+    def of(kind: str, *columns: Column) -> DataFrame:
+        return codes.filter(F.col("kind") == kind).select(*columns)
+
+    return {
+        "connection": of("connection", F.col("key").alias("connectionType"),
+                         scaled.alias("conversion_ratio_connectionType")),
+        "operator": of("operator", F.col("key").alias("telecomsOperator"),
+                       scaled.alias("conversion_ratio_telecomsOperator")),
+        "hour": of("hour", F.col("key").alias("hour"), F.col("conversions").alias("hour_weight"),
+                   scaled.alias("hour_conversion_ratio")),
+        "user": keep("f_context_users", user_click_features(clicks)),
+    }
 
 
 def context_group(clicks: DataFrame, statistics: Mapping[str, DataFrame], ad: DataFrame, pairs: DataFrame,
@@ -111,9 +150,10 @@ def context_group(clicks: DataFrame, statistics: Mapping[str, DataFrame], ad: Da
     ``mode='train'`` drops late negatives and the time columns; ``mode='score'``
     fills user statistics of users without clicks and drops the key and label.
 
-    The installed flag is joined before the user statistics, so that the clicks
-    are shuffled once by (user, app) and once by user; the user group joined
-    later by ``dataset`` finds them already placed.
+    Give it written tables: then small ones are broadcast by their measured size.
+    The installed flag is joined before the user statistics, so that the clicks are
+    shuffled at most once by (user, app) and once by user; the user group joined later
+    by ``dataset`` finds them already placed.
     """
     if mode not in ("train", "score"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -168,8 +208,7 @@ def construct_all(ready: Mapping[str, DataFrame], store: FeatureStore, before: i
     preferred = keep("f_user_pref_cat", lambda: preferred_category(ready["user_app_cat"]))
     ads = keep("fg_ad", lambda: ad_group(ready["ad"], ready["app_cat"], popularity))
     users = keep("fg_user", lambda: user_group(ready["user"], activity, preferred))
-    found = context_statistics(ready["train"], before)
-    statistics = {name: keep(f"f_context_{name}", lambda df=df: df) for name, df in found.items()}
+    statistics = context_statistics(ready["train"], before, lambda name, df: keep(name, lambda: df))
     for name, clicks, mode in (("dataset", "train", "train"), ("testset_ol", "test_ol", "score")):
         context = keep(f"fg_context_{name}", lambda clicks=clicks, mode=mode: context_group(
             ready[clicks], statistics, ready["ad"], ready["installed_pairs"], ready["pos"], mode))

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.codes import pair_number, province
 from clickloom.functions.packed_time import whole
-from clickloom.operators.joins import lookup, matching, members_of_both
+from clickloom.operators.joins import lookup, members, members_of_both
 from clickloom.operators.ordered import impute_operator
-from clickloom.operators.sets import keys_of, union_keys
+from clickloom.operators.sets import keys_of
+from clickloom.session import pin
 from clickloom.sources.store import FeatureStore
 
 SOURCES = ["ad", "app_cat", "pos", "test_ol", "train", "action", "user", "user_app"]
@@ -40,12 +41,12 @@ def installed_pairs(train: DataFrame, test: DataFrame, ad: DataFrame, user_app:
     """Distinct installed (userID, appID) among users and apps that occur in the clicks.
 
     The large install tables are cut down by two semi joins first, on users and
-    on apps separately.
+    on apps separately.  Both key sets are written, so that their measured size
+    decides whether the installs have to be shuffled for that.
     """
-    app_of = ad.select("creativeID", "appID")
-    seen = [matching(clicks.select("userID", "creativeID"), app_of, "creativeID") for clicks in (train, test)]
-    users = union_keys(*[keys_of(s, "userID") for s in seen])
-    apps = union_keys(*[keys_of(s, "appID") for s in seen])
+    clicks = train.select("userID", "creativeID").unionByName(test.select("userID", "creativeID"))
+    users = pin(keys_of(members(clicks, ad, "creativeID"), "userID"), "clicking-users")
+    apps = pin(keys_of(members(ad, clicks, "creativeID"), "appID"), "clicked-apps")
     installs = user_app.select("userID", "appID").unionByName(action.select("userID", "appID"))
     return members_of_both(installs, users, apps, "userID", "appID").distinct()
 

@@ -1,92 +1,84 @@
 """Profile reports: one long table (metric, key, n) per source table.
 
-Each report is a union of independent pre-aggregated counts; the report has as
-many rows as there are distinct values, never one per input row.
+A report has as many rows as there are distinct values, never one per input row.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.functions.codes import province
 from clickloom.functions.packed_time import day_of, hour_of
-from clickloom.operators.aggregates import count_of_counts, value_counts
+from clickloom.operators.aggregates import count_of_counts
 from clickloom.operators.sets import duplicate_keys
 
 
-def _section(metric: str, counts: DataFrame, key: str) -> DataFrame:
-    return counts.select(F.lit(metric).alias("metric"), F.col(key).cast("string").alias("key"), "n")
-
+def _counts(df: DataFrame, **values: Column) -> DataFrame:
+    """Rows per non-null value of several expressions, and of the whole table, in one scan.
 
-def _by(df: DataFrame, metric: str, value: Column) -> DataFrame:
-    return _section(metric, value_counts(df.select(value.alias("_key")), "_key"), "_key")
+    Rows are unpivoted in the map task and collapse there.
+    """
+    pairs = [F.struct(F.lit("rows").alias("metric"), F.lit("all").alias("key"))]
+    pairs += [F.struct(F.lit(name).alias("metric"), value.cast("string").alias("key"))
+              for name, value in values.items()]
+    return (df.select(F.inline(F.array(*pairs))).dropna(subset=["key"])
+            .groupBy("metric", "key").agg(F.count("*").alias("n")))
 
 
-def _total(df: DataFrame, metric: str) -> DataFrame:
-    return df.agg(F.count("*").alias("n")).select(
-        F.lit(metric).alias("metric"), F.lit("all").alias("key"), "n")
+def _occurrences(df: DataFrame, metric: str, key: str) -> DataFrame:
+    counts = count_of_counts(df, key)
+    return counts.select(F.lit(metric).alias("metric"), F.col("occurs").cast("string").alias("key"), "n")
 
 
-def _stack(*sections: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, sections)
+def _repeated(df: DataFrame, metric: str, key: str) -> DataFrame:
+    return duplicate_keys(df, key).agg(F.count("*").alias("n")).select(
+        F.lit(metric).alias("metric"), F.lit("all").alias("key"), "n")
 
 
 def click_report(train: DataFrame) -> DataFrame:
     """Labels, hours, days, connections, operators, and how often users click."""
-    converted = train.filter(F.col("label") == 1)
-    return _stack(
-        _total(train, "rows"),
-        _by(train, "label", F.col("label")),
-        _by(train, "hour", hour_of(F.col("clickTime"))),
-        _by(converted, "converted_hour", hour_of(F.col("clickTime"))),
-        _by(train, "day", day_of(F.col("clickTime"))),
-        _by(converted, "conversion_day", day_of(F.col("conversionTime"))),
-        _by(train, "connectionType", F.col("connectionType")),
-        _by(converted, "converted_connectionType", F.col("connectionType")),
-        _by(train, "telecomsOperator", F.col("telecomsOperator")),
-        _section("clicks_per_user", count_of_counts(train, "userID"), "occurs"),
-    )
+    hour = hour_of(F.col("clickTime"))
+    converted = F.col("label") == 1
+    return _counts(
+        train, label=F.col("label"), hour=hour, converted_hour=F.when(converted, hour),
+        day=day_of(F.col("clickTime")), conversion_day=F.when(converted, day_of(F.col("conversionTime"))),
+        connectionType=F.col("connectionType"),
+        converted_connectionType=F.when(converted, F.col("connectionType")),
+        telecomsOperator=F.col("telecomsOperator"),
+    ).unionByName(_occurrences(train, "clicks_per_user", "userID"))
 
 
 def ad_report(ad: DataFrame) -> DataFrame:
-    return _stack(
-        _total(ad, "rows"),
-        _by(ad, "advertiserID", F.col("advertiserID")),
-        _by(ad, "appPlatform", F.col("appPlatform")),
-        _section("creatives_per_app", count_of_counts(ad, "appID"), "occurs"),
-        _total(duplicate_keys(ad, "creativeID"), "duplicate_creatives"),
-    )
+    return (_counts(ad, advertiserID=F.col("advertiserID"), appPlatform=F.col("appPlatform"))
+            .unionByName(_occurrences(ad, "creatives_per_app", "appID"))
+            .unionByName(_repeated(ad, "duplicate_creatives", "creativeID")))
 
 
 def user_report(user: DataFrame) -> DataFrame:
     names = ["age", "gender", "education", "marriageStatus", "haveBaby"]
-    return _stack(_total(user, "rows"), *[_by(user, c, F.col(c)) for c in names],
-                  _by(user, "hometown_province", F.call_function("div", F.col("hometown"), F.lit(100))),
-                  _by(user, "residence_province", F.call_function("div", F.col("residence"), F.lit(100))),
-                  _total(duplicate_keys(user, "userID"), "duplicate_users"))
+    return _counts(user, **{c: F.col(c) for c in names}, hometown_province=province(F.col("hometown")),
+                   residence_province=province(F.col("residence"))
+                   ).unionByName(_repeated(user, "duplicate_users", "userID"))
 
 
 def install_report(user_app: DataFrame) -> DataFrame:
     """How many apps users have and how many users apps have."""
-    return _stack(_total(user_app, "rows"),
-                  _section("apps_per_user", count_of_counts(user_app, "userID"), "occurs"),
-                  _section("users_per_app", count_of_counts(user_app, "appID"), "occurs"))
+    return (_counts(user_app).unionByName(_occurrences(user_app, "apps_per_user", "userID"))
+            .unionByName(_occurrences(user_app, "users_per_app", "appID")))
 
 
 def position_report(pos: DataFrame) -> DataFrame:
-    return _stack(_total(pos, "rows"), _by(pos, "sitesetID", F.col("sitesetID")),
-                  _by(pos, "positionType", F.col("positionType")),
-                  _total(duplicate_keys(pos, "positionID"), "duplicate_positions"))
+    return _counts(pos, sitesetID=F.col("sitesetID"), positionType=F.col("positionType")
+                   ).unionByName(_repeated(pos, "duplicate_positions", "positionID"))
 
 
 def category_report(app_cat: DataFrame) -> DataFrame:
-    return _stack(_total(app_cat, "rows"), _by(app_cat, "appCategory", F.col("appCategory")),
-                  _total(duplicate_keys(app_cat, "appID"), "duplicate_apps"))
+    return _counts(app_cat, appCategory=F.col("appCategory")
+                   ).unionByName(_repeated(app_cat, "duplicate_apps", "appID"))
 
 
 def action_report(action: DataFrame) -> DataFrame:
-    return _stack(_total(action, "rows"), _by(action, "day", day_of(F.col("installTime"))),
-                  _by(action, "hour", hour_of(F.col("installTime"))),
-                  _section("installs_per_user", count_of_counts(action, "userID"), "occurs"))
+    time = F.col("installTime")
+    return _counts(action, day=day_of(time), hour=hour_of(time)
+                   ).unionByName(_occurrences(action, "installs_per_user", "userID"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickloom.plans import features, prepare, training
 from clickloom.sources.sinks import read_design, write_design, write_model, write_submission
@@ -56,9 +57,8 @@ def run_full(tables: Mapping[str, DataFrame], store: FeatureStore, iterations: i
 
 def _timed_dataset(ready: Mapping[str, DataFrame], made: Mapping[str, DataFrame], store: FeatureStore) -> DataFrame:
     """The training set with its click time and a stable row number, which the split needs."""
-    from pyspark.sql import functions as F
-
-    statistics = {name: made[f"f_context_{name}"] for name in ("connection", "operator", "hour", "user")}
+    statistics = features.context_statistics(
+        ready["train"], keep=lambda name, df: store.get(name, lambda: df))
     clicks = ready["train"].withColumn("_clickTime", F.col("clickTime"))
     # stored first: a row number must not change when a task is run again
     numbered = store.get("train_numbered", lambda: clicks.withColumn("_row", F.monotonically_increasing_id()))

@@ -141,10 +141,15 @@ def operator_ratio(r: Roles) -> DataFrame:
 
 
 def context(r: Roles, raw: DataFrame, mode: str = "train", scoring: DataFrame | None = None) -> DataFrame:
-    """Context group on cleaned clicks, which are written once: six statistics and joins read them."""
+    """Context group on cleaned clicks.
+
+    Clicks, pairs and statistics are written once, as the feature store does: several
+    steps read them, and the joins are planned from their sizes.
+    """
     clicks = pin(prepare.clean_clicks(raw), "clean-clicks")
     statistics = features.context_statistics(clicks)
-    return features.context_group(clicks if scoring is None else scoring, statistics, r.ad, _pairs(r, clicks), r.pos, mode)
+    pairs = pin(_pairs(r, clicks), "installed-pairs")
+    return features.context_group(clicks if scoring is None else scoring, statistics, r.ad, pairs, r.pos, mode)
 
 
 @query("k16_context_group", f"SELECT * REPLACE ({_ROUND}) FROM context")
@@ -163,7 +168,7 @@ def context_group_wide(r: Roles) -> DataFrame:
 
 
 def assembled(r: Roles, raw: DataFrame) -> DataFrame:
-    return features.dataset(context(r, raw), _users(r), _ads(r))
+    return features.dataset(context(r, raw), pin(_users(r), "user-group"), pin(_ads(r), "ad-group"))
 
 
 @query("k17_dataset", f"SELECT * REPLACE ({_ROUND}) FROM dataset")
@@ -178,13 +183,13 @@ def dataset_wide(r: Roles) -> DataFrame:
 
 @query("k18_construct_all", """
     SELECT 'dataset' AS name, count(*) AS n FROM dataset UNION ALL SELECT 'fg_ad', count(*) FROM ad_group
-    UNION ALL SELECT 'fg_user', count(*) FROM user_group UNION ALL SELECT 'f_context_hour', count(*) FROM hour_features
+    UNION ALL SELECT 'fg_user', count(*) FROM user_group UNION ALL SELECT 'f_context_users', count(*) FROM user_clicks
     UNION ALL SELECT 'testset_ol', count(*) FROM context_test JOIN user_group USING (userID) JOIN ad_group USING (creativeID)""")
 def construct_all(r: Roles) -> DataFrame:
     store = FeatureStore(r.spark, scratch_path(r.spark, "constructed"))
     made = features.construct_all(prepare.prepare_all(_source_tables(r), store), store)
     counts = None
-    for name in ("dataset", "fg_ad", "fg_user", "f_context_hour", "testset_ol"):
+    for name in ("dataset", "fg_ad", "fg_user", "f_context_users", "testset_ol"):
         part = made[name].agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
         counts = part if counts is None else counts.unionByName(part)
     return counts

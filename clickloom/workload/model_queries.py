@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,8 +50,9 @@ def feature_blocks(r: Roles) -> DataFrame:
 def one_hot_vectors(r: Roles) -> DataFrame:
     """Column sums of the encoded matrix."""
     model = encode.one_hot(r.wide, CODES)
-    rows = encode.apply_encoding(model, r.wide).select(F.posexplode(vector_to_array("features")).alias("index", "v"))
-    return rows.groupBy("index").agg(F.sum("v").alias("total"))
+    # summed as sparse vectors; only the one row of sums is laid out
+    sums = encode.apply_encoding(model, r.wide).select(Summarizer.sum(F.col("features")).alias("sums"))
+    return sums.select(F.posexplode(vector_to_array("sums")).alias("index", "total"))
 
 
 @query("j02_unseen_values", f"""
@@ -78,9 +80,11 @@ def _filled(columns: list[str]) -> str:
 
 def _shape(df: DataFrame, vector: str) -> DataFrame:
     """Rows, columns and non-zero elements of a vector column."""
-    array = vector_to_array(vector)
-    return df.agg(F.count("*").alias("rows"), F.max(F.size(array)).cast("long").alias("columns"),
-                  F.sum(F.size(F.filter(array, lambda x: x != 0))).alias("non_zero"))
+    summary = df.select(Summarizer.metrics("count", "numNonZeros").summary(F.col(vector)).alias("s"))
+    filled = vector_to_array("s.numNonZeros")
+    total = F.aggregate(filled, F.lit(0.0), lambda a, x: a + x).cast("long")
+    return summary.select(F.col("s.count").alias("rows"), F.size(filled).cast("long").alias("columns"),
+                          total.alias("non_zero"))
 
 
 @query("j03_grouped_one_hot", "\nUNION ALL\n".join(
@@ -375,7 +379,7 @@ def _timed(r: Roles) -> DataFrame:
     """Training set that keeps click time and event id, which the split follows."""
     raw = r.clicks_with_id.withColumnRenamed("clickTime", "_clickTime").withColumn("clickTime", F.col("_clickTime"))
     raw = raw.withColumnRenamed("event_id", "_event_id")
-    return pin(features.dataset(context(r, raw), _users(r), _ads(r)), "dataset")
+    return pin(features.dataset(context(r, raw), pin(_users(r), "user-group"), pin(_ads(r), "ad-group")), "dataset")
 
 
 _TIMED = ["_clickTime", "_event_id"]
@@ -424,10 +428,10 @@ def score(r: Roles) -> DataFrame:
     """Submission: probabilities of the clicks to score."""
     clicks = pin(prepare.clean_clicks(r.train), "clean-clicks")
     statistics = features.context_statistics(clicks)
-    pairs = _pairs(r, clicks)
+    pairs = pin(_pairs(r, clicks), "installed-pairs")
     train_set = features.context_group(clicks, statistics, r.ad, pairs, r.pos, "train")
     score_set = features.context_group(r.test_ol, statistics, r.ad, pairs, r.pos, "score")
-    users, ads = _users(r), _ads(r)
+    users, ads = pin(_users(r), "user-group"), pin(_ads(r), "ad-group")
     data = pin(features.dataset(train_set, users, ads), "dataset")
     encoded = training.encode(data, features.dataset(score_set, users, ads, ("instanceID",)))
     model, _ = training.quick_fit(encoded.train, iterations=ITERATIONS)

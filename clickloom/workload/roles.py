@@ -138,8 +138,8 @@ class Roles:
     def weather(self) -> DataFrame:
         """Reports every third hour, from the values seen in that hour."""
         seen = self.table("events").filter(F.col("event_type") == "view").filter(F.hour("ts") % 3 == 0)
-        # the mean from whole cents: the same number whatever the order of addition
-        mean = F.round(F.sum("value") * 100).cast("long") / F.count("*") / 100
+        # the mean in whole cents: the same number whatever the order of addition
+        mean = F.call_function("div", F.round(F.sum("value") * 100).cast("long"), F.count("*")) / 100
         return seen.groupBy(F.to_date("ts").alias("date"), F.hour("ts").alias("hour")).agg(
             (mean + 1000).alias("pressure"), (mean + 1005).alias("sea_pressure"),
             F.max("value").alias("wind_direction"), F.min("value").alias("wind_speed"),
@@ -207,9 +207,9 @@ ROLE_SQL = {
                value AS travel_time
         FROM events""",
     "weather": """
-        SELECT ts::DATE AS date, hour(ts)::INTEGER AS hour, round(sum(value) * 100)::BIGINT / count(*) / 100 + 1000 AS pressure,
-               round(sum(value) * 100)::BIGINT / count(*) / 100 + 1005 AS sea_pressure, max(value) AS wind_direction,
-               min(value) AS wind_speed, round(sum(value) * 100)::BIGINT / count(*) / 100 / 10 AS temperature,
+        SELECT ts::DATE AS date, hour(ts)::INTEGER AS hour, round(sum(value) * 100)::BIGINT // count(*) / 100 + 1000 AS pressure,
+               round(sum(value) * 100)::BIGINT // count(*) / 100 + 1005 AS sea_pressure, max(value) AS wind_direction,
+               min(value) AS wind_speed, round(sum(value) * 100)::BIGINT // count(*) / 100 / 10 AS temperature,
                count(*) * 10.0::DOUBLE AS rel_humidity,
                sum(value) / 100 AS precipitation
         FROM events WHERE event_type = 'view' AND hour(ts) % 3 = 0

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,10 +79,10 @@ def _design(r: Roles) -> DataFrame:
 @query("a06_design_matrix", """
     SELECT label, count(*) AS n, (3 * count(*))::BIGINT AS non_zero FROM train GROUP BY label""")
 def design_matrix(r: Roles) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
-    set_columns = F.size(F.filter(vector_to_array("features"), lambda x: x != 0))
-    return _design(r).groupBy("label").agg(F.count("*").alias("n"), F.sum(set_columns).alias("non_zero"))
+    summary = Summarizer.metrics("count", "numNonZeros").summary(F.col("features"))
+    sums = _design(r).groupBy("label").agg(summary.alias("s"))
+    total = F.aggregate(vector_to_array("s.numNonZeros"), F.lit(0.0), lambda a, x: a + x)
+    return sums.select("label", F.col("s.count").alias("n"), total.cast("long").alias("non_zero"))
 
 
 @query("a07_label_column", "SELECT label::DOUBLE AS label, count(*) AS n FROM train GROUP BY label")
