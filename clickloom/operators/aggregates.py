@@ -133,8 +133,8 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     values = df.select(F.col(column).cast("double").alias("v")).dropna()
     bounds = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("b")).scalar()
     width = F.col("b.hi") - F.col("b.lo")
-    position = F.floor((F.col("v") - F.col("b.lo")) * bins / F.nullif(width, F.lit(0.0)))
-    number = F.coalesce(F.least(position, F.lit(bins - 1)), F.lit(bins // 2)).cast("int")
+    position = F.least(F.floor((F.col("v") - F.col("b.lo")) * bins / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
+    number = F.when(width == 0, F.lit(bins // 2)).otherwise(position).cast("int")
     counted = (values.withColumn("b", bounds).select(number.alias("bin"))
                .groupBy("bin").agg(F.count("*").alias("n")))
     every = spark.range(bins).select(F.col("id").cast("int").alias("bin"))

@@ -17,8 +17,9 @@ from clickloom.functions.codes import same_known_or_unknown
 
 
 def lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Left outer equi-join with a table that has one row per key."""
-    return left.join(right, on, "left")
+    """Left outer equi-join with a table that has one row per key; left columns first, in their order."""
+    added = [c for c in right.columns if c not in left.columns]
+    return left.join(right, on, "left").select(*left.columns, *added)
 
 
 def matching(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -28,11 +29,12 @@ def matching(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> Data
 
 def members(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows whose key occurs in ``keys``; null keys never match."""
-    return df.join(keys, on, "left_semi")
+    return df.join(keys, on, "left_semi").select(*df.columns)
 
 
 def non_members(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return df.join(keys, on, "left_anti")
+    """Rows whose key does not occur in ``keys``."""
+    return df.join(keys, on, "left_anti").select(*df.columns)
 
 
 def members_of_both(df: DataFrame, first: DataFrame, second: DataFrame,
@@ -44,7 +46,7 @@ def members_of_both(df: DataFrame, first: DataFrame, second: DataFrame,
 def flag_members(df: DataFrame, keys: DataFrame, on: Sequence[str], name: str) -> DataFrame:
     """Boolean column: does the key combination of the row occur in ``keys``?"""
     marked = keys.select(*on).distinct().withColumn(name, F.lit(True))
-    return df.join(marked, list(on), "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+    return lookup(df, marked, list(on)).withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
 def star(fact: DataFrame, user: DataFrame, ad: DataFrame) -> DataFrame:

@@ -36,14 +36,14 @@ def choose_samples(df: DataFrame, ts: str, samples: str = "all") -> DataFrame:
     ``split`` keeps the rush hours and tags them ``am`` or ``pm`` in ``part``, so
     that one model per part can be fitted.
     """
+    if samples not in ("all", "rush", "split"):
+        raise ValueError(f"unknown sample mode {samples!r}")
     if samples == "all":
         return df
     rush = df.filter(hour_in(F.col(ts), (8, 10), (17, 19)))
     if samples == "rush":
         return rush
-    if samples == "split":
-        return rush.withColumn("part", F.when(F.hour(ts) < 12, F.lit("am")).otherwise(F.lit("pm")))
-    raise ValueError(f"unknown sample mode {samples!r}")
+    return rush.withColumn("part", F.when(F.hour(ts) < 12, F.lit("am")).otherwise(F.lit("pm")))
 
 
 def fill_with_truncated_mean(df: DataFrame, column: str) -> DataFrame:

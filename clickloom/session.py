@@ -43,17 +43,16 @@ def local_session(cpus: int | str = 8, app: str = "clickloom", memory: str = "8g
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors see.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (tests on one machine) a temporary folder is made and remembered.
+    The cluster names it in ``spark.checkpoint.dir``.  Only where neither that nor a
+    checkpoint folder is set (tests on one machine) a temporary folder is made.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        context_dir = spark.sparkContext.getCheckpointDir()
-        configured = context_dir or tempfile.mkdtemp(prefix="clickloom-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    if configured:
+        return configured
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="clickloom-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
