@@ -45,17 +45,18 @@ def pick_chunk(df: DataFrame, keys: Sequence[str], order: str, limit: int = CHUN
 
 
 def _carry(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str],
-           chunk: int | None, forward: bool) -> DataFrame:
+           chunk: int | None, forward: bool, then: Sequence[str] = ()) -> DataFrame:
+    """``then`` orders rows of one key and time."""
     chunk = chunk or pick_chunk(df, keys, order)
     chunked = df.withColumn("_chunk", F.floor(epoch(F.col(order)) / chunk))
     part = [*keys, "_chunk"]
-    sort = F.col(order).asc() if forward else F.col(order).desc()
-    inside = Window.partitionBy(*part).orderBy(sort).rowsBetween(Window.unboundedPreceding, 0)
+    sort = [F.col(c).asc() if forward else F.col(c).desc() for c in (order, *then)]
+    inside = Window.partitionBy(*part).orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)
 
     # last known value of each chunk: one small row per chunk, combined before the shuffle
     pick = F.max_by if forward else F.min_by
     edges = chunked.groupBy(*part).agg(
-        *[pick(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in columns])
+        *[pick(c, F.when(F.col(c).isNotNull(), F.struct(order, *then))).alias(c) for c in columns])
     chunk_sort = F.col("_chunk").asc() if forward else F.col("_chunk").desc()
     before = Window.partitionBy(*keys).orderBy(chunk_sort).rowsBetween(Window.unboundedPreceding, -1)
     carried = edges.select(*part, *[F.last(c, ignorenulls=True).over(before).alias(f"_carry_{c}")
@@ -98,14 +99,13 @@ def as_of(left: DataFrame, right: DataFrame, order: str, columns: Sequence[str],
     on = [*keys, order]
     chunk = chunk or pick_chunk(left.select(*on).unionByName(right.select(*on)), keys, order)
     wanted = left if left_unique else left.select(*on).distinct()
-    asks = wanted.select(*on, F.lit(None).cast(right.select(F.struct(*columns)).schema[0].dataType)
-                         .alias("_row"), F.lit(True).alias("_ask"))
-    offers = right.select(*on, F.struct(*columns).alias("_row"), F.lit(None).cast("boolean").alias("_ask"))
-    # one row per (keys, order): a right row at the same time belongs to the ask
-    events = asks.unionByName(offers).groupBy(*on).agg(
-        F.first("_row", ignorenulls=True).alias("_row"), F.max("_ask").alias("_ask"))
-    filled = carry_forward(events, keys, order, ["_row"], chunk).filter("_ask")
-    found = filled.select(*on, *[F.col(f"_row.{c}").alias(c) for c in columns])
+    row = F.struct(*columns)
+    empty = F.lit(None).cast(right.select(row).schema[0].dataType)
+    asks = wanted.select(*on, empty.alias("_row"), F.lit(True).alias("_ask"))
+    offers = right.select(*on, row.alias("_row"), F.lit(False).alias("_ask"))
+    # at equal times the offer sorts before the ask
+    filled = _carry(offers.unionByName(asks), keys, order, ["_row"], chunk, forward=True, then=["_ask"])
+    found = filled.filter("_ask").select(*on, *[F.col(f"_row.{c}").alias(c) for c in columns])
     if left_unique and set(left.columns) == set(on):
         return found
     return left.join(found, on, "left")

@@ -28,8 +28,8 @@ from clickloom.operators.series import (
     add_weather,
     clean_weather,
     extract_series,
-    on_grid,
     resample,
+    resample_onto,
     twelve_slots,
     unpivot_targets,
     with_previous_block,
@@ -47,12 +47,16 @@ WEEK = 504  # slots
 def regular_series(trips: DataFrame, start: str, end: str, keys: Sequence[str] = KEYS) -> DataFrame:
     """20-minute means, gaps filled, on the grid from ``start`` to ``end``, outliers replaced.
 
-    The resampled table is written once: everything after it reads bins, whose
+    One pass over the trips, then written: everything after it reads slots, whose
     number does not depend on the number of trips.
     """
-    binned = pin(resample(extract_series(trips, keys, "starting_time", "travel_time"), keys), "resampled")
-    laid = on_grid(binned, keys, start, end, fill="backward")
-    return clean_series(laid, keys, "ts", "value")
+    laid = resample_onto(extract_series(trips, keys, "starting_time", "travel_time"), keys, start, end)
+    return pin(clean_series(laid, keys, "ts", "value"), "series")
+
+
+def ready_weather(weather: DataFrame) -> DataFrame:
+    """Cleaned weather, written: it is small, and several steps read it."""
+    return pin(clean_weather(weather), "weather")
 
 
 def seasonal_curve(series: DataFrame, period: int = WEEK, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -64,28 +68,28 @@ def seasonal_curve(series: DataFrame, period: int = WEEK, keys: Sequence[str] =
 def single_target_matrix(series: DataFrame, weather: DataFrame, period: int = WEEK,
                          keys: Sequence[str] = KEYS) -> DataFrame:
     """One row per slot: previous block, seasonal value and square, weather, calendar, target last."""
-    curve = seasonal_curve(series, period, keys)
+    curve = pin(seasonal_curve(series, period, keys), "seasonal")
     rows = with_previous_block(series, keys, curve, period)
     seasonal = curve.withColumnRenamed("value", "seasonal_tt")
     rows = rows.join(seasonal, [*keys, "ts"], "left").withColumn(
         "seasonal_tt_square", F.col("seasonal_tt") * F.col("seasonal_tt"))
-    rows = add_calendar(add_weather(rows, clean_weather(weather)))
+    rows = add_calendar(add_weather(rows, ready_weather(weather)))
     return move_last(rows.withColumnRenamed("value", "travel_time"), "travel_time")
 
 
 def six_target_matrix(series: DataFrame, weather: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """One row per two-hour start: six past values, six targets, weather."""
-    return add_weather(twelve_slots(series, keys), clean_weather(weather))
+    return add_weather(twelve_slots(series, keys), ready_weather(weather))
 
 
 def _observed_windows(trips: DataFrame, keys: Sequence[str]) -> DataFrame:
-    binned = pin(resample(extract_series(trips, keys, "starting_time", "travel_time"), keys), "resampled")
+    binned = resample(extract_series(trips, keys, "starting_time", "travel_time"), keys)
     observed = binned.filter(hour_in(F.col("ts"), (6, 8), (15, 17)))
-    return clean_series(observed, keys, "ts", "value")
+    return pin(clean_series(observed, keys, "ts", "value"), "observed")
 
 
 def _placed_weather(weather: DataFrame) -> DataFrame:
-    return weather.withColumn("ts", at_hour(F.col("date"), F.col("hour"))).drop("date", "hour")
+    return pin(weather.withColumn("ts", at_hour(F.col("date"), F.col("hour"))).drop("date", "hour"), "weather")
 
 
 def scoring_matrix(trips: DataFrame, weather: DataFrame, seasonal: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # Runtime settings the operators count on.  Skewed join partitions (one user or
 # app holding a large share of the clicks) are split by adaptive execution; the
 # force flag keeps that split even where it costs one more exchange.
@@ -70,3 +76,9 @@ def pin(df: DataFrame, name: str = "pin") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def together(spark: SparkSession, *builds: Callable[[], T]) -> list[T]:
+    """Run independent builds side by side, so that one small job does not leave the cluster idle."""
+    with ThreadPool(len(builds)) as pool:
+        return pool.map(inheritable_thread_target(spark)(lambda build: build()), builds)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.plans import features, prepare, reports
-from clickloom.session import pin, scratch_path
+from clickloom.session import pin, scratch_path, together
 from clickloom.sources.store import FeatureStore
 from clickloom.workload.registry import query, rounded
 from clickloom.workload.roles import Roles
@@ -140,16 +142,30 @@ def operator_ratio(r: Roles) -> DataFrame:
     return rounded(features.operator_ratio(prepare.clean_clicks(r.train)), "conversion_ratio_telecomsOperator")
 
 
-def context(r: Roles, raw: DataFrame, mode: str = "train", scoring: DataFrame | None = None) -> DataFrame:
-    """Context group on cleaned clicks.
+@dataclass
+class ClickParts:
+    """What the context group joins, written once as the feature store does."""
+
+    clicks: DataFrame
+    statistics: dict[str, DataFrame]
+    pairs: DataFrame
 
-    Clicks, pairs and statistics are written once, as the feature store does: several
-    steps read them, and the joins are planned from their sizes.
-    """
+
+def click_parts(r: Roles, raw: DataFrame) -> ClickParts:
     clicks = pin(prepare.clean_clicks(raw), "clean-clicks")
-    statistics = features.context_statistics(clicks)
-    pairs = pin(_pairs(r, clicks), "installed-pairs")
-    return features.context_group(clicks if scoring is None else scoring, statistics, r.ad, pairs, r.pos, mode)
+    statistics, pairs = together(
+        r.spark, lambda: features.context_statistics(clicks), lambda: pin(_pairs(r, clicks), "installed-pairs"))
+    return ClickParts(clicks, statistics, pairs)
+
+
+def context(r: Roles, raw: DataFrame, mode: str = "train", scoring: DataFrame | None = None) -> DataFrame:
+    parts = click_parts(r, raw)
+    clicks = parts.clicks if scoring is None else scoring
+    return features.context_group(clicks, parts.statistics, r.ad, parts.pairs, r.pos, mode)
+
+
+def user_and_ad_groups(r: Roles) -> list[DataFrame]:
+    return together(r.spark, lambda: pin(_users(r), "user-group"), lambda: pin(_ads(r), "ad-group"))
 
 
 @query("k16_context_group", f"SELECT * REPLACE ({_ROUND}) FROM context")
@@ -168,7 +184,9 @@ def context_group_wide(r: Roles) -> DataFrame:
 
 
 def assembled(r: Roles, raw: DataFrame) -> DataFrame:
-    return features.dataset(context(r, raw), pin(_users(r), "user-group"), pin(_ads(r), "ad-group"))
+    r.store("user_app")
+    rows, (users, ads) = together(r.spark, lambda: context(r, raw), lambda: user_and_ad_groups(r))
+    return features.dataset(rows, users, ads)
 
 
 @query("k17_dataset", f"SELECT * REPLACE ({_ROUND}) FROM dataset")

@@ -10,9 +10,9 @@ from clickloom.operators import joins, sets
 from clickloom.operators.aggregates import top_category, value_counts
 from clickloom.operators.encode import concatenate
 from clickloom.operators.ordered import as_of
-from clickloom.operators.series import bin_means, clean_weather, extract_series, on_grid
+from clickloom.operators.series import bin_means, extract_series, on_grid
 from clickloom.plans.features import app_popularity
-from clickloom.plans.travel_time import KEYS, seasonal_curve
+from clickloom.plans.travel_time import KEYS, ready_weather, seasonal_curve
 from clickloom.workload.registry import query, rounded, with_time_text
 from clickloom.workload.roles import Roles
 from clickloom.workload.series_queries import GRID_END, GRID_START, regular
@@ -75,7 +75,7 @@ def anti_join(r: Roles) -> DataFrame:
 def as_of_join(r: Roles) -> DataFrame:
     """The weather at the time of every event."""
     events = r.table("events").select("event_id", "ts")
-    found = as_of(events, clean_weather(r.weather), "ts", schemas.WEATHER_COLUMNS)
+    found = as_of(events, ready_weather(r.weather), "ts", schemas.WEATHER_COLUMNS)
     return rounded(found.drop("ts"), *schemas.WEATHER_COLUMNS)
 
 

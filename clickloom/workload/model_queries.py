@@ -14,10 +14,10 @@ from clickloom.operators import encode
 from clickloom.operators import modelling as m
 from clickloom.operators.aggregates import scale_min_max
 from clickloom.operators.ordered import shift_cycle
-from clickloom.plans import prepare, training
+from clickloom.plans import training
 from clickloom.plans import travel_time as plan
 from clickloom.session import pin
-from clickloom.workload.group_queries import _ads, _pairs, _users, assembled, context, features
+from clickloom.workload.group_queries import assembled, click_parts, features, user_and_ad_groups
 from clickloom.workload.registry import query, rounded, with_time_text
 from clickloom.workload.roles import Roles
 from clickloom.workload.series_queries import PERIOD, regular
@@ -379,7 +379,7 @@ def _timed(r: Roles) -> DataFrame:
     """Training set that keeps click time and event id, which the split follows."""
     raw = r.clicks_with_id.withColumnRenamed("clickTime", "_clickTime").withColumn("clickTime", F.col("_clickTime"))
     raw = raw.withColumnRenamed("event_id", "_event_id")
-    return pin(features.dataset(context(r, raw), pin(_users(r), "user-group"), pin(_ads(r), "ad-group")), "dataset")
+    return pin(assembled(r, raw), "dataset")
 
 
 _TIMED = ["_clickTime", "_event_id"]
@@ -426,12 +426,10 @@ def quick_fit(r: Roles) -> DataFrame:
 @query("k23_score")
 def score(r: Roles) -> DataFrame:
     """Submission: probabilities of the clicks to score."""
-    clicks = pin(prepare.clean_clicks(r.train), "clean-clicks")
-    statistics = features.context_statistics(clicks)
-    pairs = pin(_pairs(r, clicks), "installed-pairs")
-    train_set = features.context_group(clicks, statistics, r.ad, pairs, r.pos, "train")
-    score_set = features.context_group(r.test_ol, statistics, r.ad, pairs, r.pos, "score")
-    users, ads = pin(_users(r), "user-group"), pin(_ads(r), "ad-group")
+    parts = click_parts(r, r.train)
+    train_set = features.context_group(parts.clicks, parts.statistics, r.ad, parts.pairs, r.pos, "train")
+    score_set = features.context_group(r.test_ol, parts.statistics, r.ad, parts.pairs, r.pos, "score")
+    users, ads = user_and_ad_groups(r)
     data = pin(features.dataset(train_set, users, ads), "dataset")
     encoded = training.encode(data, features.dataset(score_set, users, ads, ("instanceID",)))
     model, _ = training.quick_fit(encoded.train, iterations=ITERATIONS)
@@ -441,7 +439,7 @@ def score(r: Roles) -> DataFrame:
 @query("k27_single_target_forecast")
 def single_target_forecast(r: Roles) -> DataFrame:
     """Boosted trees on the single-target matrix; forecasts for the two hours after each observed window."""
-    series = pin(regular(r), "series")
+    series = regular(r)
     matrix = plan.single_target_matrix(series, r.weather, PERIOD)
     fitted = plan.fit_single_target(matrix, "2024-01-25 00:00:00", lambda: m.boosted_trees(trees=10))[0]
     cycle = shift_cycle(plan.seasonal_curve(series, PERIOD), "ts", "2024-01-24", "2024-01-30", 7)
@@ -453,7 +451,7 @@ def single_target_forecast(r: Roles) -> DataFrame:
 @query("k28_six_target_forecast")
 def six_target_forecast(r: Roles) -> DataFrame:
     """One model per slot on the six-target matrix; forecasts for the two hours after each observed window."""
-    series = pin(regular(r), "series")
+    series = regular(r)
     fitted = plan.fit_six_targets(plan.six_target_matrix(series, r.weather), "2024-01-25 00:00:00",
                                   lambda: m.boosted_trees(trees=5))
     rows = plan.six_target_scoring_matrix(r.trips, r.weather)

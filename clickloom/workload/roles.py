@@ -12,8 +12,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.functions.codes import cut  # noqa: F401  (re-exported for queries)
 from clickloom.functions.packed_time import pack, whole
+from clickloom.session import pin
 
 
 class Roles:
@@ -24,6 +24,10 @@ class Roles:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def store(self, name: str) -> None:
+        """Write a view that several steps read; the sources it stands for are tables, not joins."""
+        self.__dict__[name] = pin(getattr(self, name), name)
+
     @cached_property
     def clicks_with_id(self) -> DataFrame:
         """Click log from the events: a purchase is a conversion."""

@@ -93,6 +93,11 @@ def backward_fill_series(r: Roles) -> DataFrame:
     return _shown(_laid(r), "value")
 
 
+@query("i02b_resample_onto_grid", f"SELECT {_TS}, round(value, 6) AS value FROM laid")
+def resampled_onto_grid(r: Roles) -> DataFrame:
+    return _shown(series.resample_onto(_raw(r), KEYS, GRID_START, GRID_END), "value")
+
+
 @query("f04_rolling_mean", f"""
     SELECT {_TS}, round(CASE WHEN count(value) OVER w = 3 THEN avg(value) OVER w END, 6) AS rolling_mean
     FROM series WINDOW w AS (PARTITION BY intersection_id, tollgate_id ORDER BY series.ts ROWS 2 PRECEDING)""")
@@ -212,7 +217,7 @@ def head(r: Roles) -> DataFrame:
     FROM (SELECT DISTINCT ts FROM grid) g ASOF LEFT JOIN weather_clean w ON g.ts >= w.ts""")
 def weather_on_grid(r: Roles) -> DataFrame:
     times = series.grid(_raw(r), KEYS, GRID_START, GRID_END).select("ts").distinct()
-    return _shown(series.add_weather(times, series.clean_weather(r.weather)), *schemas.WEATHER_COLUMNS)
+    return _shown(series.add_weather(times, plan.ready_weather(r.weather)), *schemas.WEATHER_COLUMNS)
 
 
 @query("i06_single_target_matrix", f"""

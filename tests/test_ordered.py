@@ -221,3 +221,16 @@ def test_shifted_cycle(spark):
     moved = ordered.shift_cycle(regular(spark, x), "ts", "2024-01-02", "2024-01-02", 7)
     assert in_order(moved, "value") == x[72:144]
     assert in_order(moved, "ts")[0] == START + dt.timedelta(days=8)
+
+
+@pytest.mark.parametrize("start, end", [("2024-01-01 00:00:00", "2024-01-01 12:00:00"),
+                                        ("2024-01-01 04:00:00", "2024-01-01 06:00:00"),
+                                        ("2023-12-31 20:00:00", "2024-01-01 05:00:00")])
+def test_resampling_onto_a_grid_equals_the_join_form(spark, start, end):
+    rng = np.random.default_rng(11)
+    rows = [(k, START + dt.timedelta(seconds=int(s)), None if rng.random() < 0.3 else float(s))
+            for k in ("a", "b") for s in rng.choice(36000, 25, replace=False) + 3000]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, value double")
+    want = series.on_grid(series.resample(df, ["k"]), ["k"], start, end, fill="backward")
+    got = series.resample_onto(df, ["k"], start, end)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
