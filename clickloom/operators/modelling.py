@@ -1,7 +1,9 @@
 """Splits, folds, model fits, searches and evaluation.
 
-Samples are rows in a named total order.  ``positioned`` writes them once with
-their position; every split, fold and prefix is then a filter on that column.
+Samples are rows in a named total order.  Searches work on ``in_blocks``: only the
+sort key is sorted, the wide rows are tagged with their block where they are and
+written once; folds and hold-out are filters on that tag.  Learning curves need
+arbitrary prefixes and work on ``positioned`` rows.
 """
 
 from __future__ import annotations
@@ -20,8 +22,10 @@ from pyspark.sql import functions as F
 from clickloom.functions.errors import ape, log_loss_term
 from clickloom.operators.joins import flag_members
 from clickloom.operators.ordered import tag_blocks, with_row_index
+from clickloom.session import pin
 
 POSITION = "position"
+BLOCK = "block"
 
 
 # --- splits and folds -------------------------------------------------------------
@@ -49,12 +53,32 @@ def expanding_folds(df: DataFrame, order: Sequence[str], folds: int, name: str =
     return tag_blocks(df, order, lambda n: fold_starts(n, folds), name)
 
 
-def block_at(position: Column, n: int, folds: int) -> Column:
-    """Block number of a position among the first ``n`` rows."""
-    starts = fold_starts(n, folds)
-    size = n // (folds + 1)
-    return F.when(position < starts[0], 0).otherwise(
-        F.floor((position - starts[0]) / size) + 1).cast("int")
+def kfold_starts(n: int, folds: int) -> list[int]:
+    """First positions of contiguous folds; the first ``n % folds`` hold one row more."""
+    if n < folds:
+        raise ValueError(f"{n} rows are too few for {folds} folds")
+    size, extra = divmod(n, folds)
+    return [i * size + min(i, extra) for i in range(folds)]
+
+
+def in_blocks(df: DataFrame, order: Sequence[str], folds: int, scheme: str = "expanding",
+              share: float = 1.0) -> DataFrame:
+    """Samples with their fold number in ``block``, written once.
+
+    Folds are 1 to ``folds`` over the first ``floor(share * n)`` rows; 0 is what lies
+    before the first expanding fold, and ``folds + 1`` the hold-out.
+    """
+    def starts(n: int) -> list[int]:
+        size = int(n * share)
+        inner = fold_starts(size, folds) if scheme == "expanding" else kfold_starts(size, folds)[1:]
+        return [*inner, size]
+
+    if scheme not in ("expanding", "blocked"):
+        raise ValueError(f"unknown scheme {scheme!r}")
+    tagged = tag_blocks(df, order, starts, BLOCK)
+    if scheme == "blocked":
+        tagged = tagged.withColumn(BLOCK, F.col(BLOCK) + 1)
+    return pin(tagged, "samples")
 
 
 # --- estimators ----------------------------------------------------------------------
@@ -129,39 +153,39 @@ def mape_measure() -> Column:
 CURVE = "param double, fold int, train_loss double, valid_loss double"
 
 
-def _fold_loss(samples: DataFrame, block: Column, fold: int, estimator: Estimator,
+def _fold_loss(samples: DataFrame, train: Column, valid: Column, estimator: Estimator,
                measure: Callable[[], Column]) -> tuple[float, float]:
-    """Fit on the blocks before ``fold``; mean loss there and on the block itself, in one pass."""
-    tagged = samples.withColumn("_block", block)
-    model = estimator.fit(tagged.filter(F.col("_block") < fold))
-    scored = model.transform(tagged.filter(F.col("_block") <= fold)).withColumn("_loss", measure())
-    row = scored.agg(
-        F.avg(F.when(F.col("_block") < fold, F.col("_loss"))).alias("train"),
-        F.avg(F.when(F.col("_block") == fold, F.col("_loss"))).alias("valid")).first()
+    """Fit on the ``train`` rows; mean loss there and on the ``valid`` rows, in one pass."""
+    model = estimator.fit(samples.filter(train))
+    scored = model.transform(samples.filter(train | valid)).withColumn("_loss", measure())
+    row = scored.agg(F.avg(F.when(train, F.col("_loss"))).alias("train"),
+                     F.avg(F.when(valid, F.col("_loss"))).alias("valid")).first()
     return row.train, row.valid
 
 
+def _curve(samples: DataFrame, tasks: list[tuple], run: Callable[[tuple], tuple], parallel: int) -> DataFrame:
+    """Run independent fits, a few side by side, so that small folds do not leave the cluster idle."""
+    spark = samples.sparkSession
+    with ThreadPool(min(parallel, len(tasks))) as pool:
+        rows = pool.map(inheritable_thread_target(spark)(run), tasks)
+    return spark.createDataFrame(rows, CURVE)
+
+
 def validation_curve(samples: DataFrame, make: Callable[[float], Estimator], params: Sequence[float],
-                     folds: int, measure: Callable[[], Column] = log_loss_measure,
-                     parallel: int = 4) -> DataFrame:
-    """Training and validation loss per parameter and expanding fold.
+                     folds: int, measure: Callable[[], Column] = log_loss_measure, parallel: int = 4,
+                     scheme: str = "expanding") -> DataFrame:
+    """Training and validation loss per parameter and fold of ``in_blocks`` samples.
 
-    ``samples`` holds ``features``, ``label`` and the position column.  Fits are
-    distributed jobs; a few run side by side so that small folds do not leave the
-    cluster idle.
+    ``expanding`` trains on everything before a fold, ``blocked`` on all other folds.
     """
-    n = samples.count()
-    block = block_at(F.col(POSITION), n, folds)
-    tasks = [(float(p), fold) for p in params for fold in range(1, folds + 1)]
+    block = F.col(BLOCK)
 
     def run(task):
         p, fold = task
-        return (p, fold, *_fold_loss(samples, block, fold, make(p), measure))
+        train = block < fold if scheme == "expanding" else (block != fold) & (block <= folds)
+        return (p, fold, *_fold_loss(samples, train, block == fold, make(p), measure))
 
-    spark = samples.sparkSession
-    with ThreadPool(min(parallel, len(tasks))) as pool:
-        rows = pool.map(inheritable_thread_target(spark)(run), tasks)
-    return spark.createDataFrame(rows, CURVE)
+    return _curve(samples, [(float(p), fold) for p in params for fold in range(1, folds + 1)], run, parallel)
 
 
 def rank_params(curve: DataFrame) -> DataFrame:
@@ -172,29 +196,62 @@ def rank_params(curve: DataFrame) -> DataFrame:
 
 
 def grid_search(samples: DataFrame, make: Callable[[float], Estimator], params: Sequence[float],
-                folds: int, measure: Callable[[], Column] = log_loss_measure,
-                parallel: int = 4) -> tuple[Model, float, DataFrame]:
-    """Refit of the parameter with the lowest mean validation loss, that parameter, and the ranking."""
-    ranking = rank_params(validation_curve(samples, make, params, folds, measure, parallel))
+                folds: int, measure: Callable[[], Column] = log_loss_measure, parallel: int = 4,
+                scheme: str = "expanding") -> tuple[Model, float, DataFrame]:
+    """Refit of the parameter with the lowest mean validation loss, that parameter, and the ranking.
+
+    The refit uses all folds; a hold-out block stays out.
+    """
+    ranking = rank_params(validation_curve(samples, make, params, folds, measure, parallel, scheme))
     best = ranking.orderBy("rank_val_loss", "param").first().param
-    return make(best).fit(samples), best, ranking
+    return make(best).fit(samples.filter(F.col(BLOCK) <= folds)), best, ranking
 
 
-def learning_curve(samples: DataFrame, estimator: Estimator, prefixes: Sequence[int], folds: int,
-                   measure: Callable[[], Column] = log_loss_measure, parallel: int = 4) -> DataFrame:
-    """Losses per fold for growing prefixes of the ordered samples; ``param`` is the prefix length."""
-    tasks = [(n, fold) for n in prefixes for fold in range(1, folds + 1)]
+def learning_curve(samples: DataFrame, make: Callable[[], Estimator], sizes: Sequence[int], folds: int,
+                   measure: Callable[[], Column] = log_loss_measure, parallel: int = 4,
+                   scheme: str = "expanding") -> DataFrame:
+    """Losses per fold of ``positioned`` samples for growing sizes; ``param`` is the size.
+
+    ``expanding`` folds the first ``size`` samples; ``blocked`` folds all samples and
+    trains on the first ``size`` rows outside the fold.
+    """
+    n, at = samples.count(), F.col(POSITION)
 
     def run(task):
-        n, fold = task
-        first = samples.filter(F.col(POSITION) < n)
-        block = block_at(F.col(POSITION), n, folds)
-        return (float(n), fold, *_fold_loss(first, block, fold, estimator.copy(), measure))
+        size, i = task
+        total = size if scheme == "expanding" else n
+        starts = [*(fold_starts(total, folds) if scheme == "expanding" else kfold_starts(total, folds)), total]
+        lo, hi = starts[i], starts[i + 1]
+        valid = (at >= lo) & (at < hi)
+        # the first ``size`` rows outside the fold end further on if they span it
+        train = at < lo if scheme == "expanding" else ~valid & (at < (size if size <= lo else size + hi - lo))
+        return (float(size), i + 1, *_fold_loss(samples, train, valid, make(), measure))
 
-    spark = samples.sparkSession
-    with ThreadPool(min(parallel, len(tasks))) as pool:
-        rows = pool.map(inheritable_thread_target(spark)(run), tasks)
-    return spark.createDataFrame(rows, CURVE)
+    return _curve(samples, [(int(size), i) for size in sizes for i in range(folds)], run, parallel)
+
+
+class PerTarget:
+    """Estimator of several targets: one independent model per target column."""
+
+    def __init__(self, make: Callable[[], Estimator], targets: Sequence[str]):
+        self.make, self.targets = make, list(targets)
+
+    def fit(self, df: DataFrame) -> PerTargetModel:
+        return PerTargetModel(fit_targets(df, self.make, self.targets))
+
+
+class PerTargetModel:
+    def __init__(self, models: Sequence[Model]):
+        self.models = list(models)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return predict_targets(self.models, df)
+
+
+def mape_of_targets_measure(targets: Sequence[str]) -> Column:
+    """Per-row loss of a ``PerTarget`` model: the mean error of its targets."""
+    errors = F.filter(F.array(*[ape(F.col(t), F.col(f"pred_{t}")) for t in targets]), lambda e: e.isNotNull())
+    return F.try_divide(F.aggregate(errors, F.lit(0.0), lambda a, e: a + e), F.size(errors))
 
 
 def fit_targets(df: DataFrame, make: Callable[[], Estimator], targets: Sequence[str]) -> list[Model]:

@@ -21,7 +21,7 @@ from clickloom.operators.aggregates import (
 )
 from clickloom.operators.joins import flag_members, lookup, matching, star
 from clickloom.operators.rows import fill_with_truncated_mean, settled_clicks
-from clickloom.session import pin
+from clickloom.session import pin, together
 from clickloom.sources.store import FeatureStore
 
 AD_COLUMNS = ["creativeID", "advertiserID", "appPlatform", "appCategory", "app_popularity"]
@@ -203,15 +203,24 @@ def construct_all(ready: Mapping[str, DataFrame], store: FeatureStore, before: i
         made[name] = store.get(name, build)
         return made[name]
 
-    popularity = keep("f_app_popularity", lambda: app_popularity(ready["user_app"]))
-    activity = keep("f_user_activity", lambda: user_activity(ready["user_app"]))
-    preferred = keep("f_user_pref_cat", lambda: preferred_category(ready["user_app_cat"]))
-    ads = keep("fg_ad", lambda: ad_group(ready["ad"], ready["app_cat"], popularity))
-    users = keep("fg_user", lambda: user_group(ready["user"], activity, preferred))
-    statistics = context_statistics(ready["train"], before, lambda name, df: keep(name, lambda: df))
-    for name, clicks, mode in (("dataset", "train", "train"), ("testset_ol", "test_ol", "score")):
-        context = keep(f"fg_context_{name}", lambda clicks=clicks, mode=mode: context_group(
-            ready[clicks], statistics, ready["ad"], ready["installed_pairs"], ready["pos"], mode))
-        key = ("instanceID",) if mode == "score" else ()
-        keep(name, lambda context=context, key=key: dataset(context, users, ads, key))
+    def ads():
+        popularity = keep("f_app_popularity", lambda: app_popularity(ready["user_app"]))
+        return keep("fg_ad", lambda: ad_group(ready["ad"], ready["app_cat"], popularity))
+
+    def users():
+        activity = keep("f_user_activity", lambda: user_activity(ready["user_app"]))
+        preferred = keep("f_user_pref_cat", lambda: preferred_category(ready["user_app_cat"]))
+        return keep("fg_user", lambda: user_group(ready["user"], activity, preferred))
+
+    def statistics():
+        return context_statistics(ready["train"], before, lambda name, df: keep(name, lambda: df))
+
+    def assembled(name, clicks, mode, key):
+        context = keep(f"fg_context_{name}", lambda: context_group(
+            ready[clicks], found, ready["ad"], ready["installed_pairs"], ready["pos"], mode))
+        return keep(name, lambda: dataset(context, user, ad, key))
+
+    ad, user, found = together(store.spark, ads, users, statistics)
+    together(store.spark, lambda: assembled("dataset", "train", "train", ()),
+             lambda: assembled("testset_ol", "test_ol", "score", ("instanceID",)))
     return made

@@ -12,7 +12,7 @@ from clickloom.functions.packed_time import whole
 from clickloom.operators.joins import lookup, members, members_of_both
 from clickloom.operators.ordered import impute_operator
 from clickloom.operators.sets import keys_of
-from clickloom.session import pin
+from clickloom.session import pin, together
 from clickloom.sources.store import FeatureStore
 
 SOURCES = ["ad", "app_cat", "pos", "test_ol", "train", "action", "user", "user_app"]
@@ -57,12 +57,16 @@ def with_pair_number(pairs: DataFrame) -> DataFrame:
 
 def prepare_all(tables: Mapping[str, DataFrame], store: FeatureStore, compat: bool = False) -> dict[str, DataFrame]:
     """Materialise cleaned sources, installs with category and installed pairs."""
-    ready = {name: store.get(name, lambda name=name: tables[name])
-             for name in ("ad", "app_cat", "pos", "test_ol", "action", "user_app")}
-    ready["train"] = store.get("train", lambda: clean_clicks(tables["train"]))
-    ready["user"] = store.get("user", lambda: clean_users(tables["user"], compat))
-    ready["user_app_cat"] = store.get(
-        "user_app_cat", lambda: installs_with_category(ready["user_app"], ready["app_cat"]))
-    ready["installed_pairs"] = store.get("installed_pairs", lambda: installed_pairs(
-        ready["train"], ready["test_ol"], ready["ad"], ready["user_app"], ready["action"]))
+    copied = ("ad", "app_cat", "pos", "test_ol", "action", "user_app")
+    builds = {name: (lambda name=name: tables[name]) for name in copied}
+    builds["train"] = lambda: clean_clicks(tables["train"])
+    builds["user"] = lambda: clean_users(tables["user"], compat)
+    made = together(store.spark, *[lambda name=name, build=build: store.get(name, build)
+                                   for name, build in builds.items()])
+    ready = dict(zip(builds, made, strict=True))
+    ready["user_app_cat"], ready["installed_pairs"] = together(
+        store.spark,
+        lambda: store.get("user_app_cat", lambda: installs_with_category(ready["user_app"], ready["app_cat"])),
+        lambda: store.get("installed_pairs", lambda: installed_pairs(
+            ready["train"], ready["test_ol"], ready["ad"], ready["user_app"], ready["action"])))
     return ready

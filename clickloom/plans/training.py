@@ -13,11 +13,11 @@ from clickloom import schemas
 from clickloom.operators.aggregates import fold_summary
 from clickloom.operators.encode import add_crosses, apply_encoding, one_hot, truncated
 from clickloom.operators.modelling import (
-    POSITION,
+    BLOCK,
     grid_search,
+    in_blocks,
     logistic,
     mean_log_loss,
-    positioned,
     score,
     validation_curve,
     zero_installed,
@@ -89,28 +89,25 @@ def tune(encoded: DataFrame, order: Sequence[str], share: float = TRAIN_SHARE, f
 
     Returns the model, its penalty, the ranking and the held-out log-loss.
     """
-    placed = positioned(encoded.select(*order, "label", "features"), order)
-    size = int(placed.count() * share)
-    training = placed.filter(F.col(POSITION) < size)
-    model, best, ranking = grid_search(
-        training, lambda a: logistic(a, iterations), alphas, folds, parallel=parallel)
-    held_out = mean_log_loss(score(model, placed.filter(F.col(POSITION) >= size))).first().log_loss
-    return model, best, ranking, held_out
+    samples = in_blocks(encoded.select(*order, "label", "features"), order, folds, share=share)
+    model, best, ranking = grid_search(samples, lambda a: logistic(a, iterations), alphas, folds, parallel=parallel)
+    held_out = samples.filter(F.col(BLOCK) > folds)
+    return model, best, ranking, mean_log_loss(score(model, held_out)).first().log_loss
 
 
 def penalty_curve(encoded: DataFrame, order: Sequence[str], alphas: Sequence[float], folds: int,
                   iterations: int = 100) -> DataFrame:
     """Mean and spread of the losses per penalty."""
-    placed = positioned(encoded.select(*order, "label", "features"), order)
-    curve = validation_curve(placed, lambda a: logistic(a, iterations), alphas, folds)
+    samples = in_blocks(encoded.select(*order, "label", "features"), order, folds)
+    curve = validation_curve(samples, lambda a: logistic(a, iterations), alphas, folds)
     return fold_summary(curve, "param", "train_loss", "valid_loss")
 
 
 def iteration_curve(encoded: DataFrame, order: Sequence[str], iterations: Sequence[int], folds: int,
                     alpha: float = 0.0001) -> DataFrame:
     """Mean and spread of the losses per number of optimiser passes."""
-    placed = positioned(encoded.select(*order, "label", "features"), order)
-    curve = validation_curve(placed, lambda i: logistic(alpha, int(i)), iterations, folds)
+    samples = in_blocks(encoded.select(*order, "label", "features"), order, folds)
+    curve = validation_curve(samples, lambda i: logistic(alpha, int(i)), iterations, folds)
     return fold_summary(curve, "param", "train_loss", "valid_loss")
 
 

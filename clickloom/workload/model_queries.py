@@ -14,6 +14,7 @@ from clickloom.operators import encode
 from clickloom.operators import modelling as m
 from clickloom.operators.aggregates import scale_min_max
 from clickloom.operators.ordered import shift_cycle
+from clickloom.operators.series import twelve_slots
 from clickloom.plans import training
 from clickloom.plans import travel_time as plan
 from clickloom.session import pin
@@ -234,11 +235,10 @@ def fold_sizes(r: Roles) -> DataFrame:
 
 # --- models -----------------------------------------------------------------------------------
 
-def _samples(r: Roles) -> DataFrame:
-    """Encoded clicks in click order, written once with their position."""
+def _encoded(r: Roles) -> DataFrame:
+    """Encoded clicks with the columns that order them."""
     clicks = r.clicks_with_id
-    encoded = encode.apply_encoding(encode.one_hot(clicks, CODES), clicks)
-    return m.positioned(encoded.select(*ORDER, "label", "features"), ORDER)
+    return encode.apply_encoding(encode.one_hot(clicks, CODES), clicks).select(*ORDER, "label", "features")
 
 
 def _vectors(r: Roles) -> DataFrame:
@@ -256,22 +256,43 @@ def logistic(r: Roles) -> DataFrame:
 
 @query("j15_grid_search")
 def grid_search(r: Roles) -> DataFrame:
-    _, _, ranking = m.grid_search(_samples(r), lambda a: m.logistic(a, ITERATIONS), training.ALPHAS, 5)
+    _, _, ranking = m.grid_search(m.in_blocks(_encoded(r), ORDER, 5), lambda a: m.logistic(a, ITERATIONS), training.ALPHAS, 5)
     return ranking
 
 
 @query("j16_validation_curve")
 def validation_curve(r: Roles) -> DataFrame:
     return training.fold_summary(
-        m.validation_curve(_samples(r), lambda i: m.logistic(1e-4, int(i)), [2, 6, 10], 5),
+        m.validation_curve(m.in_blocks(_encoded(r), ORDER, 5), lambda i: m.logistic(1e-4, int(i)), [2, 6, 10], 5),
         "param", "train_loss", "valid_loss")
 
 
+@query("j16b_validation_curve_six_targets")
+def validation_curve_six_targets(r: Roles) -> DataFrame:
+    """Penalties of the six-target linear model over contiguous folds, by MAPE."""
+    rows = twelve_slots(regular(r), plan.KEYS).dropna()
+    order = ["ts", *plan.KEYS]
+    samples = m.in_blocks(encode.concatenate(rows, plan.PREVIOUS).select(*order, *plan.TARGETS, "features"),
+                          order, 3, "blocked")
+    curve = m.validation_curve(samples, lambda a: m.PerTarget(lambda: m.linear(a), plan.TARGETS), [0.1, 10.0], 3,
+                               lambda: m.mape_of_targets_measure(plan.TARGETS), scheme="blocked")
+    return m.rank_params(curve)
+
+
 @query("j17_learning_curve")
 def learning_curve(r: Roles) -> DataFrame:
-    samples = _samples(r)
+    samples = m.positioned(_encoded(r), ORDER)
     n = samples.count()
-    return m.learning_curve(samples, m.logistic(1e-4, ITERATIONS), [n // 4, n // 2, n], 5)
+    return m.learning_curve(samples, lambda: m.logistic(1e-4, ITERATIONS), [n // 4, n // 2, n], 5)
+
+
+@query("j17b_learning_curve_blocked")
+def learning_curve_blocked(r: Roles) -> DataFrame:
+    """Growing training parts outside each of three contiguous folds."""
+    samples = m.positioned(_encoded(r), ORDER)
+    n = samples.count()
+    curve = m.learning_curve(samples, lambda: m.logistic(1e-4, ITERATIONS), [n // 10, n // 2], 3, scheme="blocked")
+    return training.fold_summary(curve, "param", "train_loss", "valid_loss")
 
 
 @query("j18_probabilities")
@@ -317,8 +338,6 @@ def mape(r: Roles) -> DataFrame:
                                      AND f.block = p.block + 1)""")
 def mape_of_targets(r: Roles) -> DataFrame:
     """Error of the previous block as a forecast of all six targets."""
-    from clickloom.operators.series import twelve_slots
-
     return rounded(m.mape_of_targets(twelve_slots(regular(r), plan.KEYS), plan.TARGETS, plan.PREVIOUS), "mape")
 
 
@@ -338,8 +357,6 @@ def boosted_trees(r: Roles) -> DataFrame:
 @query("j23_multi_output")
 def multi_output(r: Roles) -> DataFrame:
     """One model per target slot from the six previous slots."""
-    from clickloom.operators.series import twelve_slots
-
     rows = pin(plan._vectors(twelve_slots(regular(r), plan.KEYS).dropna(), plan.PREVIOUS), "six-targets")
     models = m.fit_targets(rows, lambda: m.linear(0.1), plan.TARGETS)
     shown = m.predict_targets(models, rows).select(*plan.KEYS, "ts", *[f"pred_{t}" for t in plan.TARGETS])

@@ -10,13 +10,18 @@ from clickloom.operators.encode import concatenate
 
 
 @pytest.fixture(scope="module")
-def samples(spark):
+def rows(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 3))
     p = 1 / (1 + np.exp(-(2 * x[:, 0] - x[:, 1])))
     y = (rng.random(300) < p).astype(int)
     rows = [(i, int(t), Vectors.dense(v)) for i, (t, v) in enumerate(zip(y, x))]
-    return m.positioned(spark.createDataFrame(rows, ["id", "label", "features"]), ["id"])
+    return spark.createDataFrame(rows, ["id", "label", "features"])
+
+
+@pytest.fixture(scope="module")
+def samples(rows):
+    return m.positioned(rows, ["id"])
 
 
 @pytest.mark.parametrize("n, folds", [(10, 3), (103, 5), (60, 5), (11, 10)])
@@ -26,8 +31,6 @@ def test_expanding_folds(spark, n, folds):
     size = n // (folds + 1)
     first = n - folds * size
     assert [b for _, b in got] == [0] * first + [i for i in range(1, folds + 1) for _ in range(size)]
-    placed = spark.range(n).select(m.block_at(F.col("id"), n, folds).alias("b"), "id").orderBy("id").collect()
-    assert [r.b for r in placed] == [b for _, b in got]
 
 
 def test_too_few_rows_for_the_folds():
@@ -41,7 +44,8 @@ def test_ordered_split_is_by_position(spark):
     assert [r.is_train for r in split] == [True] * 8 + [False] * 3
 
 
-def test_search_beats_the_base_rate_and_repeats(samples):
+def test_search_beats_the_base_rate_and_repeats(rows):
+    samples = m.in_blocks(rows, ["id"], 3)
     model, best, ranking = m.grid_search(samples, lambda a: m.logistic(a, 50), [0.001, 1.0], 3)
     again = m.grid_search(samples, lambda a: m.logistic(a, 50), [0.001, 1.0], 3)[2]
     assert sorted(map(tuple, ranking.collect())) == sorted(map(tuple, again.collect()))
@@ -53,7 +57,7 @@ def test_search_beats_the_base_rate_and_repeats(samples):
 
 
 def test_learning_curve_uses_prefixes(samples):
-    curve = m.learning_curve(samples, m.logistic(0.001, 20), [100, 300], 2).collect()
+    curve = m.learning_curve(samples, lambda: m.logistic(0.001, 20), [100, 300], 2).collect()
     assert sorted((r.param, r.fold) for r in curve) == [(100.0, 1), (100.0, 2), (300.0, 1), (300.0, 2)]
     assert all(0 < r.train_loss < 1.5 and 0 < r.valid_loss < 1.5 for r in curve)
 
@@ -81,3 +85,61 @@ def test_installed_pairs_get_zero(spark):
     pairs = spark.createDataFrame([(1, 2)], "userID int, appID int")
     got = {r.instanceID: r.prob for r in m.zero_installed(scored, pairs).collect()}
     assert got == {1: 0.5, 2: 0.0}
+
+
+@pytest.mark.parametrize("n, folds", [(10, 3), (12, 4), (7, 7)])
+def test_contiguous_folds(n, folds):
+    want = [list(part) for part in np.array_split(np.arange(n), folds)]
+    starts = m.kfold_starts(n, folds)
+    assert [list(range(a, b)) for a, b in zip(starts, [*starts[1:], n])] == want
+
+
+class _Seen:
+    """Estimator that records the positions it was fitted on."""
+
+    def __init__(self, log):
+        self.log = log
+
+    def fit(self, df):
+        self.log.append(sorted(r.position for r in df.select("position").collect()))
+        return self
+
+    def transform(self, df):
+        return df.withColumn("loss", F.col("position").cast("double"))
+
+
+def test_curves_train_outside_the_fold(spark):
+    rows = spark.range(10).select(F.col("id").alias("position"))
+    log = []
+
+    def run(curve, *args, **kwargs):
+        log.clear()
+        return curve(*args, measure=lambda: F.col("loss"), parallel=1, **kwargs)
+
+    blocked = m.in_blocks(rows, ["position"], 2, "blocked")
+    curve = run(m.validation_curve, blocked, lambda _: _Seen(log), [0.0], 2, scheme="blocked")
+    assert log == [[5, 6, 7, 8, 9], [0, 1, 2, 3, 4]]
+    assert sorted((r.fold, r.train_loss, r.valid_loss) for r in curve.collect()) == [(1, 7.0, 2.0), (2, 2.0, 7.0)]
+    run(m.validation_curve, m.in_blocks(rows, ["position"], 3), lambda _: _Seen(log), [0.0], 3)
+    assert log == [[0, 1, 2, 3], [0, 1, 2, 3, 4, 5], [0, 1, 2, 3, 4, 5, 6, 7]]
+    run(m.learning_curve, rows, lambda: _Seen(log), [2, 4], 2, scheme="blocked")
+    assert log == [[5, 6], [0, 1], [5, 6, 7, 8], [0, 1, 2, 3]]
+    run(m.learning_curve, rows, lambda: _Seen(log), [6], 2)
+    assert log == [[0, 1], [0, 1, 2, 3]]
+    with pytest.raises(ValueError):
+        m.in_blocks(rows, ["position"], 2, "other")
+
+
+def test_hold_out_is_not_trained_on(spark):
+    rows = spark.range(10).select(F.col("id").alias("position"))
+    samples = m.in_blocks(rows, ["position"], 3, share=0.8)
+    got = {r.position: r.block for r in samples.collect()}
+    assert [got[i] for i in range(10)] == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4]
+    log = []
+    m.grid_search(samples, lambda _: _Seen(log), [1.0], 3, lambda: F.col("loss"), parallel=1)
+    assert log[-1] == list(range(8))
+
+
+def test_six_target_measure(spark):
+    df = spark.createDataFrame([(2.0, 1.0, 0.0, 5.0)], "a double, pred_a double, b double, pred_b double")
+    assert df.select(m.mape_of_targets_measure(["a", "b"])).first()[0] == 0.5
