@@ -66,11 +66,16 @@ def normalised_ratio(df: DataFrame, key: str, name: str) -> DataFrame:
 
 def top_category(df: DataFrame, user: str = "userID", category: str = "appCategory",
                  name: str = "cat_pref") -> DataFrame:
-    """Most frequent known category per user; the smallest category wins a tie."""
+    """Most frequent known category per user; the smallest category wins a tie.
+
+    Count and category are compared as one long (the category, a non-negative
+    integer, in its low half, falling), so that both steps are hash aggregates.
+    """
     known = df.filter(F.col(category) != schemas.UNKNOWN_CODE).dropna(subset=[user])
     counted = known.groupBy(user, category).agg(F.count("*").alias("n"))
-    best = F.max_by(category, F.struct(F.col("n"), -F.col(category)))
-    return counted.groupBy(user).agg(best.alias(name))
+    low = 1 << 32
+    best = F.max(F.col("n") * low - F.col(category))
+    return counted.groupBy(user).agg(F.pmod(-best, F.lit(low)).cast("int").alias(name))
 
 
 def click_profile(df: DataFrame, user: str = "userID") -> DataFrame:

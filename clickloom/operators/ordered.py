@@ -46,7 +46,7 @@ def pick_chunk(df: DataFrame, keys: Sequence[str], order: str, limit: int = CHUN
 
 def _carry(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str],
            chunk: int | None, forward: bool, then: Sequence[str] = ()) -> DataFrame:
-    """``then`` orders rows of one key and time."""
+    """``then`` orders rows of one key and time, of which only one may hold a value."""
     chunk = chunk or pick_chunk(df, keys, order)
     chunked = df.withColumn("_chunk", F.floor(epoch(F.col(order)) / chunk))
     part = [*keys, "_chunk"]
@@ -56,7 +56,7 @@ def _carry(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str
     # last known value of each chunk: one small row per chunk, combined before the shuffle
     pick = F.max_by if forward else F.min_by
     edges = chunked.groupBy(*part).agg(
-        *[pick(c, F.when(F.col(c).isNotNull(), F.struct(order, *then))).alias(c) for c in columns])
+        *[pick(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in columns])
     chunk_sort = F.col("_chunk").asc() if forward else F.col("_chunk").desc()
     before = Window.partitionBy(*keys).orderBy(chunk_sort).rowsBetween(Window.unboundedPreceding, -1)
     carried = edges.select(*part, *[F.last(c, ignorenulls=True).over(before).alias(f"_carry_{c}")
@@ -88,26 +88,22 @@ def carry_backward(df: DataFrame, keys: Sequence[str], order: str, columns: Sequ
 
 
 def as_of(left: DataFrame, right: DataFrame, order: str, columns: Sequence[str],
-          keys: Sequence[str] = (), chunk: int | None = None, left_unique: bool = False) -> DataFrame:
+          keys: Sequence[str] = (), chunk: int | None = None) -> DataFrame:
     """Join to each left row the last right row at or before its time; none gives nulls.
 
-    ``right`` is unique in (keys, order).  The result depends only on the key
-    and time of a left row, so it is worked out once per distinct (keys, order)
-    and joined back: many left rows with one key or one time are only ever moved
-    by that equi-join.  ``left_unique`` skips the join back.
+    ``right`` is unique in (keys, order).  Only times are sorted: each distinct (keys,
+    order) of the left side finds the time of its right row, then two equi-joins bring
+    the columns.  So many left rows with one key or one time are only ever moved by a
+    join, and wide right rows by one.
     """
     on = [*keys, order]
     chunk = chunk or pick_chunk(left.select(*on).unionByName(right.select(*on)), keys, order)
-    wanted = left if left_unique else left.select(*on).distinct()
-    row = F.struct(*columns)
-    empty = F.lit(None).cast(right.select(row).schema[0].dataType)
-    asks = wanted.select(*on, empty.alias("_row"), F.lit(True).alias("_ask"))
-    offers = right.select(*on, row.alias("_row"), F.lit(False).alias("_ask"))
+    asks = left.select(*on).distinct().withColumns({"_found": F.lit(None).cast("timestamp_ntz"), "_ask": F.lit(True)})
+    offers = right.select(*on, F.col(order).alias("_found"), F.lit(False).alias("_ask"))
     # at equal times the offer sorts before the ask
-    filled = _carry(offers.unionByName(asks), keys, order, ["_row"], chunk, forward=True, then=["_ask"])
-    found = filled.filter("_ask").select(*on, *[F.col(f"_row.{c}").alias(c) for c in columns])
-    if left_unique and set(left.columns) == set(on):
-        return found
+    filled = _carry(offers.unionByName(asks), keys, order, ["_found"], chunk, forward=True, then=["_ask"])
+    rows = right.select(*keys, F.col(order).alias("_found"), *columns)
+    found = filled.filter("_ask").drop("_ask").join(rows, [*keys, "_found"], "left").drop("_found")
     return left.join(found, on, "left")
 
 

@@ -20,6 +20,7 @@ from clickloom.operators.ordered import (
 STEP = 1200  # seconds per slot
 SLOTS = 6  # slots per block
 BLOCK = STEP * SLOTS
+REPORT_CHUNK = 30 * 86400
 
 
 def extract_series(df: DataFrame, keys: Sequence[str], ts: str, value: str) -> DataFrame:
@@ -144,14 +145,20 @@ def twelve_slots(series: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def clean_weather(weather: DataFrame) -> DataFrame:
-    """Weather rows by time, wind-direction outliers replaced by the last ordinary value."""
+    """Weather rows by time, wind-direction outliers replaced by the last ordinary value.
+
+    Reports are hourly at most, so a chunk of 30 days is a few hundred rows.
+    """
     placed = weather.withColumn("ts", cal.at_hour(F.col("date"), F.col("hour"))).drop("date", "hour")
-    return carry_forward(drop_outliers(placed, "wind_direction"), [], "ts", ["wind_direction"])
+    return carry_forward(drop_outliers(placed, "wind_direction"), [], "ts", ["wind_direction"], REPORT_CHUNK)
 
 
 def add_weather(df: DataFrame, weather: DataFrame) -> DataFrame:
-    """The last weather report at or before each row's ``ts``."""
-    return as_of(df, weather, "ts", schemas.WEATHER_COLUMNS)
+    """The last weather report at or before each row's ``ts``, for rows on a grid of slots.
+
+    Distinct slots and reports of 30 days are a few thousand rows, whatever the number of series.
+    """
+    return as_of(df, weather, "ts", schemas.WEATHER_COLUMNS, chunk=REPORT_CHUNK)
 
 
 def add_calendar(df: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ from clickloom.sources.sinks import read_design, write_design, write_model, writ
 from clickloom.sources.store import FeatureStore
 from clickloom.sources.tables import read_source
 
+ORDER = ["_clickTime", "_row"]
+
 
 def source_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The eight CSV sources of the click work."""
@@ -41,26 +43,23 @@ def run_full(tables: Mapping[str, DataFrame], store: FeatureStore, iterations: i
              ) -> tuple[DataFrame, DataFrame, float]:
     """Prepare, construct, encode, hold out, tune, score; the submission, the ranking and the held-out log-loss.
 
-    The hold-out follows click time, with the other click columns as tie-break.
+    The hold-out follows click time, with a stored row number as tie-break.
     """
     ready = prepare.prepare_all(tables, store)
+    ready["train"] = _numbered(ready["train"], store)
     made = features.construct_all(ready, store)
-    order = ["_clickTime", "_row"]
-    timed = _timed_dataset(ready, made, store)
-    encoded = training.encode(timed, made["testset_ol"], keep=order)
-    model, _, ranking, held_out = training.tune(encoded.train, order, iterations=iterations)
+    encoded = training.encode(made["dataset"], made["testset_ol"], keep=ORDER)
+    model, _, ranking, held_out = training.tune(encoded.train, ORDER, iterations=iterations)
     write_model(model, store.path("model"))
     result = training.predict(model, encoded.score)
     write_submission(result, store.path("submission"))
     return result, ranking, held_out
 
 
-def _timed_dataset(ready: Mapping[str, DataFrame], made: Mapping[str, DataFrame], store: FeatureStore) -> DataFrame:
-    """The training set with its click time and a stable row number, which the split needs."""
-    statistics = features.context_statistics(
-        ready["train"], keep=lambda name, df: store.get(name, lambda: df))
-    clicks = ready["train"].withColumn("_clickTime", F.col("clickTime"))
-    # stored first: a row number must not change when a task is run again
-    numbered = store.get("train_numbered", lambda: clicks.withColumn("_row", F.monotonically_increasing_id()))
-    context = features.context_group(numbered, statistics, ready["ad"], ready["installed_pairs"], ready["pos"], "train")
-    return store.get("dataset_timed", lambda: features.dataset(context, made["fg_user"], made["fg_ad"]))
+def _numbered(train: DataFrame, store: FeatureStore) -> DataFrame:
+    """Clicks with the columns that order them, which the feature groups pass on.
+
+    Stored: a row number must not change when a task is run again.
+    """
+    return store.get("train_numbered", lambda: train.withColumns(
+        {"_clickTime": F.col("clickTime"), "_row": F.monotonically_increasing_id()}))

@@ -52,6 +52,7 @@ def encode(train: DataFrame, scoring: DataFrame | None = None, keep: Sequence[st
            compat_int: bool = False, unseen: str = "keep") -> Encoded:
     """One-hot encode all columns but the ratios, fitted on ``train`` only.
 
+    Columns whose name starts with ``_`` (such as ordering columns) are no features.
     ``compat_int`` treats the ratios as truncated whole numbers and encodes them too.
     """
     numeric = [c for c in RATIOS if c in train.columns]
