@@ -83,10 +83,10 @@ def in_blocks(df: DataFrame, order: Sequence[str], folds: int, scheme: str = "ex
 
 # --- estimators ----------------------------------------------------------------------
 
-def logistic(alpha: float = 1e-4, iterations: int = 100) -> LogisticRegression:
+def logistic(alpha: float = 1e-4, iterations: int = 100, tolerance: float = 1e-6) -> LogisticRegression:
     """L2 logistic model with penalty ``alpha`` on the raw coefficients."""
     return LogisticRegression(regParam=alpha, elasticNetParam=0.0, standardization=False,
-                              maxIter=int(iterations))
+                              maxIter=int(iterations), tol=tolerance)
 
 
 def linear(alpha: float = 0.0, l1_share: float = 0.0) -> LinearRegression:

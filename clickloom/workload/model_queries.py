@@ -295,8 +295,44 @@ def learning_curve_blocked(r: Roles) -> DataFrame:
     return training.fold_summary(curve, "param", "train_loss", "valid_loss")
 
 
-@query("j18_probabilities")
+def rate_model() -> m.LogisticRegression:
+    """Without a penalty and on one categorical feature, the fitted probability is the conversion rate."""
+    return m.logistic(0.0, 200, 1e-12)
+
+
+@query("j16c_validation_curve_unpenalised", """
+    WITH b AS (
+        SELECT label, connectionType, CASE WHEN p < n - 3 * (n // 4) THEN 0
+                                           ELSE (p - (n - 3 * (n // 4))) // (n // 4) + 1 END AS block
+        FROM (SELECT *, row_number() OVER (ORDER BY clickTime, event_id) - 1 AS p, count(*) OVER () AS n
+              FROM clicks_with_id)),
+    rates AS (SELECT f.fold, connectionType, avg(label) AS p FROM b, range(1, 4) f(fold)
+              WHERE block < f.fold GROUP BY ALL)
+    SELECT fold::INTEGER AS fold,
+           round(avg(-(label * ln(p) + (1 - label) * ln(1 - p))) FILTER (block < fold), 5) AS train_loss,
+           round(avg(-(label * ln(p) + (1 - label) * ln(1 - p))) FILTER (block = fold), 5) AS valid_loss
+    FROM b JOIN rates USING (connectionType) WHERE block <= fold GROUP BY 1""")
+def validation_curve_unpenalised(r: Roles) -> DataFrame:
+    """Losses of expanding folds, known in closed form for the unpenalised model of one feature."""
+    clicks = r.clicks_with_id
+    encoded = encode.apply_encoding(encode.one_hot(clicks, ["connectionType"]), clicks)
+    samples = m.in_blocks(encoded.select(*ORDER, "label", "features"), ORDER, 3)
+    curve = m.validation_curve(samples, lambda _: rate_model(), [0.0], 3).drop("param")
+    return rounded(curve, "train_loss", "valid_loss", digits=5)
+
+
+@query("j18_probabilities", """
+    SELECT instanceID, round(p, 5) AS prob
+    FROM test_ol JOIN (SELECT connectionType, avg(label) AS p FROM train GROUP BY 1) USING (connectionType)""")
 def probabilities(r: Roles) -> DataFrame:
+    encoding = encode.one_hot(r.train, ["connectionType"])
+    model = rate_model().fit(encode.apply_encoding(encoding, r.train))
+    scored = m.score(model, encode.apply_encoding(encoding, r.test_ol)).select("instanceID", "prob")
+    return rounded(scored, "prob", digits=5)
+
+
+@query("j18b_probabilities_penalised")
+def probabilities_penalised(r: Roles) -> DataFrame:
     encoding = encode.one_hot(r.train, CODES)
     model = m.logistic(0.01, ITERATIONS).fit(encode.apply_encoding(encoding, r.train))
     return m.score(model, encode.apply_encoding(encoding, r.test_ol)).select("instanceID", "prob")
@@ -354,13 +390,58 @@ def boosted_trees(r: Roles) -> DataFrame:
     return m.mape(model.transform(data), "label", "prediction")
 
 
-@query("j23_multi_output")
+def _flag_vectors(r: Roles) -> DataFrame:
+    lines = r.table("lineitem").select("l_returnflag", F.col("l_extendedprice").alias("label"),
+                                       (F.col("l_returnflag") == "R").cast("double").alias("returned"))
+    return encode.concatenate(lines, ["returned"])
+
+
+_GROUP_MEANS = """
+    SELECT l_returnflag, count(*) AS n, round(avg(avg_price), 2) AS prediction
+    FROM lineitem JOIN (SELECT l_returnflag = 'R' AS returned, avg(l_extendedprice) AS avg_price FROM lineitem GROUP BY 1)
+         ON returned = (l_returnflag = 'R')
+    GROUP BY 1"""
+
+
+def _by_flag(scored: DataFrame) -> DataFrame:
+    return scored.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.round(F.avg("prediction"), 2).alias("prediction"))
+
+
+@query("j22b_boosted_group_means", _GROUP_MEANS)
+def boosted_group_means(r: Roles) -> DataFrame:
+    """One full-rate tree on one yes/no feature predicts the two group means."""
+    data = _flag_vectors(r)
+    model = m.boosted_trees(depth=1, trees=1, rate=1.0, subsample=1.0).fit(data)
+    return _by_flag(model.transform(data))
+
+
+@query("j25b_forest_group_means", _GROUP_MEANS)
+def forest_group_means(r: Roles) -> DataFrame:
+    """A single tree grown on all rows predicts the two group means."""
+    data = _flag_vectors(r)
+    forest = m.random_forest(trees=1, depth=1).setBootstrap(False)
+    return _by_flag(forest.fit(data).transform(data))
+
+
+@query("j23_multi_output", f"""
+    WITH w AS (
+        SELECT p.intersection_id, p.tollgate_id,
+               strftime(TIMESTAMP '1970-01-01' + to_seconds(p.block * 7200), '%Y-%m-%d %H:%M:%S') AS ts, p.v5 AS x,
+               {", ".join(f"f.v{i} AS y{i}" for i in range(6))}
+        FROM blocks p JOIN blocks f ON p.intersection_id = f.intersection_id AND p.tollgate_id = f.tollgate_id
+                                   AND f.block = p.block + 1)
+    SELECT intersection_id, tollgate_id, ts,
+           {", ".join(f"round(regr_intercept(y{i}, x) OVER () + regr_slope(y{i}, x) OVER () * x, 4) AS pred_tt_{i}"
+                      for i in range(6))}
+    FROM w""")
 def multi_output(r: Roles) -> DataFrame:
-    """One model per target slot from the six previous slots."""
-    rows = pin(plan._vectors(twelve_slots(regular(r), plan.KEYS).dropna(), plan.PREVIOUS), "six-targets")
-    models = m.fit_targets(rows, lambda: m.linear(0.1), plan.TARGETS)
-    shown = m.predict_targets(models, rows).select(*plan.KEYS, "ts", *[f"pred_{t}" for t in plan.TARGETS])
-    return with_time_text(shown, "ts")
+    """One least-squares model per target slot from the last value before."""
+    wide = twelve_slots(regular(r), plan.KEYS).dropna()
+    rows = pin(encode.concatenate(wide, ["prev_tt_5"]), "six-targets")
+    models = m.fit_targets(rows, m.linear, plan.TARGETS)
+    predicted = [f"pred_{t}" for t in plan.TARGETS]
+    shown = m.predict_targets(models, rows).select(*plan.KEYS, "ts", *predicted)
+    return rounded(with_time_text(shown, "ts"), *predicted, digits=4)
 
 
 @query("j24_least_squares", """
@@ -372,15 +453,24 @@ def least_squares(r: Roles) -> DataFrame:
     return rounded(fitted, "slope", "intercept", digits=4)
 
 
-@query("j24b_penalised_regression")
+@query("j24b_penalised_regression", """
+    WITH s AS (SELECT covar_pop(l_extendedprice, l_quantity) AS c, var_pop(l_quantity) AS v,
+                      stddev_samp(l_extendedprice) AS sd, avg(l_extendedprice) AS my, avg(l_quantity) AS mx FROM lineitem),
+    k AS (SELECT 'ridge' AS model, c / (v + 1000.0 / sd) AS slope, * FROM s
+          UNION ALL SELECT 'lasso', (c - 1000.0) / v, * FROM s
+          UNION ALL SELECT 'elastic_net', (c - 500.0) / (v + 500.0 / sd), * FROM s)
+    SELECT model, round(slope, 2) AS slope, round(my - slope * mx, 1) AS intercept FROM k""")
 def penalised_regression(r: Roles) -> DataFrame:
-    """Ridge, lasso and elastic net: errors on the order lines."""
-    data = _line_vectors(r)
-    parts = []
+    """Ridge, lasso and elastic net of one feature, known in closed form.
+
+    The squared penalty counts on the label in units of its deviation.
+    """
+    data = encode.concatenate(r.table("lineitem").select(F.col("l_extendedprice").alias("label"), "l_quantity"), ["l_quantity"])
+    fitted = []
     for name, share in (("ridge", 0.0), ("lasso", 1.0), ("elastic_net", 0.5)):
-        model = m.linear(0.1, share).fit(data)
-        parts.append(m.mape(model.transform(data), "label", "prediction").select(F.lit(name).alias("model"), "mape"))
-    return reduce(DataFrame.unionByName, parts)
+        model = m.linear(1000.0, share).fit(data)
+        fitted.append((name, round(float(model.coefficients[0]), 2), round(float(model.intercept), 1)))
+    return r.spark.createDataFrame(fitted, "model string, slope double, intercept double")
 
 
 @query("j25_random_forest")
