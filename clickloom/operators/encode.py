@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from clickloom.operators.ordered import with_row_index
+from clickloom.session import pin
 
 
 def booleans_as_int(df: DataFrame) -> DataFrame:
@@ -36,11 +37,14 @@ def feature_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def dictionary(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """One column index per observed (feature, value): features in the given order,
-    values ascending (as numbers where they are numbers)."""
+    values ascending (as numbers where they are numbers).
+
+    A written table: encoding joins it by its measured size.
+    """
     numeric = F.expr("try_cast(value AS double)")
     found = feature_values(df, features).withColumn("_number", numeric)
-    return (with_row_index(found, ["feature_no", "_number", "value"], "index")
-            .select("feature", "value", "index", "n"))
+    return pin(with_row_index(found, ["feature_no", "_number", "value"], "index")
+               .select("feature", "value", "index", "n"), "dictionary")
 
 
 def feature_blocks(dictionary_table: DataFrame) -> DataFrame:

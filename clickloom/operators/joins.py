@@ -1,9 +1,11 @@
 """Joins.
 
-No side is broadcast by hint here: whether a dimension is small enough is left
-to its measured size (static statistics and adaptive execution).  Where one key
-holds a large share of the left rows, adaptive execution splits that partition;
-the right side has one row per key.
+No side is broadcast by hint: whether a table is small enough is left to its
+measured size.  Where one key holds a large share of the left rows, adaptive
+execution splits that partition; it does so only if the right side comes straight
+from a shuffle, not out of an aggregate.  So key sets are made distinct (collapsing
+hot keys in the map task) and written before the join, and tables joined by
+``lookup``, ``matching`` or ``star`` should be written tables too.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.codes import same_known_or_unknown
+from clickloom.session import pin
 
 
 def lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -27,25 +30,33 @@ def matching(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> Data
     return left.join(right, on, "inner")
 
 
-def members(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows whose key occurs in ``keys``; null keys never match."""
-    return df.join(keys, on, "left_semi").select(*df.columns)
+def key_set(keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Distinct keys as a written table."""
+    return pin(keys.select(*([on] if isinstance(on, str) else on)).distinct(), "keys")
 
 
-def non_members(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
+def members(df: DataFrame, keys: DataFrame, on: str | Sequence[str], unique: bool = False) -> DataFrame:
+    """Rows whose key occurs in ``keys``; null keys never match.
+
+    ``unique`` says that ``keys`` is already a written table with one row per key.
+    """
+    return df.join(keys if unique else key_set(keys, on), on, "left_semi").select(*df.columns)
+
+
+def non_members(df: DataFrame, keys: DataFrame, on: str | Sequence[str], unique: bool = False) -> DataFrame:
     """Rows whose key does not occur in ``keys``."""
-    return df.join(keys, on, "left_anti").select(*df.columns)
+    return df.join(keys if unique else key_set(keys, on), on, "left_anti").select(*df.columns)
 
 
 def members_of_both(df: DataFrame, first: DataFrame, second: DataFrame,
-                    first_key: str, second_key: str) -> DataFrame:
+                    first_key: str, second_key: str, unique: bool = False) -> DataFrame:
     """Rows whose first key is in ``first`` and whose second key is in ``second`` (not pairwise)."""
-    return members(members(df, first, first_key), second, second_key)
+    return members(members(df, first, first_key, unique), second, second_key, unique)
 
 
-def flag_members(df: DataFrame, keys: DataFrame, on: Sequence[str], name: str) -> DataFrame:
+def flag_members(df: DataFrame, keys: DataFrame, on: Sequence[str], name: str, unique: bool = False) -> DataFrame:
     """Boolean column: does the key combination of the row occur in ``keys``?"""
-    marked = keys.select(*on).distinct().withColumn(name, F.lit(True))
+    marked = (keys.select(*on) if unique else key_set(keys, on)).withColumn(name, F.lit(True))
     return lookup(df, marked, list(on)).withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 

@@ -117,9 +117,9 @@ def score(model: Model, df: DataFrame, name: str = "prob") -> DataFrame:
 
 
 def zero_installed(scored: DataFrame, pairs: DataFrame, on: Sequence[str] = ("userID", "appID"),
-                   probability: str = "prob") -> DataFrame:
+                   probability: str = "prob", unique: bool = False) -> DataFrame:
     """Probability 0 for (user, app) pairs that are already installed."""
-    flagged = flag_members(scored, pairs, list(on), "_installed")
+    flagged = flag_members(scored, pairs, list(on), "_installed", unique)
     value = F.when(F.col("_installed"), F.lit(0.0)).otherwise(F.col(probability))
     return flagged.withColumn(probability, value).drop("_installed")
 

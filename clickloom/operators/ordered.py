@@ -112,15 +112,17 @@ def impute_operator(df: DataFrame, user: str = "userID", operator: str = "teleco
 
     A user qualifies with exactly two distinct codes, one of them 0: then the
     smallest and largest known code agree and that code fills the gaps.  All
-    other gaps become 0.  Plain min/max aggregates need no distinct count.
+    other gaps become 0.  Plain min/max aggregates need no distinct count.  The users
+    to fill are written, so that the join is planned from their size and can split a
+    hot user.
     """
     code = F.col(operator)
     known = F.when(code != schemas.UNKNOWN_CODE, code)
     per_user = df.groupBy(user).agg(
         F.min(known).alias("_low"), F.max(known).alias("_high"),
         F.max(code == schemas.UNKNOWN_CODE).alias("_gap"))
-    fill = per_user.filter((F.col("_low") == F.col("_high")) & F.col("_gap")).select(
-        user, F.col("_low").alias("_fill"))
+    fill = pin(per_user.filter((F.col("_low") == F.col("_high")) & F.col("_gap")).select(
+        user, F.col("_low").alias("_fill")), "fill")
     missing = code.isNull() | (code == schemas.UNKNOWN_CODE)
     value = F.when(missing, F.coalesce("_fill", F.lit(schemas.UNKNOWN_CODE))).otherwise(code)
     return df.join(fill, user, "left").withColumn(operator, value).select(*df.columns)
@@ -156,11 +158,11 @@ def _without_outliers(value: Column, mean: Column, deviation: Column, sigmas: fl
 def drop_outliers(df: DataFrame, column: str, keys: Sequence[str] = (), sigmas: float = 3) -> DataFrame:
     """Null every value further than ``sigmas`` sample deviations from the mean of its key.
 
-    For raw rows: the statistics are a pre-aggregated table that is joined back.
+    For raw rows: the statistics are a pre-aggregated, written table that is joined back.
     """
     value = F.col(column)
     if keys:
-        stats = df.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std"))
+        stats = pin(df.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std")), "spread")
         spread = df.join(stats, list(keys), "left")
     else:
         stats = df.agg(F.struct(F.avg(value).alias("m"), F.stddev_samp(value).alias("s")).alias("b")).scalar()

@@ -18,11 +18,12 @@ def union_keys(*sets: DataFrame) -> DataFrame:
 
 
 def common_keys(first: DataFrame, second: DataFrame) -> DataFrame:
-    return first.intersect(second)
+    """Intersection; both sides collapse before they are shuffled for it."""
+    return first.distinct().intersect(second.distinct())
 
 
 def only_in_first(first: DataFrame, second: DataFrame) -> DataFrame:
-    return first.subtract(second)
+    return first.distinct().subtract(second.distinct())
 
 
 def append(*parts: DataFrame) -> DataFrame:
@@ -55,7 +56,7 @@ def containment(relations: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFra
     rows = []
     for name, (inner, outer) in relations.items():
         key = inner.columns[0]
-        missing = keys_of(inner, key).join(outer, key, "left_anti")
+        missing = keys_of(inner, key).join(keys_of(outer, key), key, "left_anti")
         rows.append(missing.agg(F.count("*").alias("missing")).select(
             F.lit(name).alias("relation"), "missing", (F.col("missing") == 0).alias("contained")))
     return reduce(DataFrame.unionByName, rows)

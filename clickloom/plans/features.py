@@ -150,7 +150,8 @@ def context_group(clicks: DataFrame, statistics: Mapping[str, DataFrame], ad: Da
     ``mode='train'`` drops late negatives and the time columns; ``mode='score'``
     fills user statistics of users without clicks and drops the key and label.
 
-    Give it written tables: then small ones are broadcast by their measured size.
+    Give it written tables, ``pairs`` with one row per pair: small ones are broadcast by
+    their measured size, and with large ones a hot user or pair is split.
     The installed flag is joined before the user statistics, so that the clicks are
     shuffled at most once by (user, app) and once by user; the user group joined later
     by ``dataset`` finds them already placed.
@@ -160,7 +161,7 @@ def context_group(clicks: DataFrame, statistics: Mapping[str, DataFrame], ad: Da
     rows = settled_clicks(clicks) if mode == "train" else clicks
     rows = rows.withColumn("hour", hour_of(F.col("clickTime")))
     rows = lookup(rows, ad.select("creativeID", "appID"), "creativeID")
-    rows = flag_members(rows, pairs, ["userID", "appID"], "is_installed").drop("appID")
+    rows = flag_members(rows, pairs, ["userID", "appID"], "is_installed", unique=True).drop("appID")
     rows = lookup(rows, statistics["connection"], "connectionType")
     rows = lookup(rows, statistics["operator"], "telecomsOperator")
     rows = lookup(rows, statistics["hour"], "hour")
@@ -188,8 +189,9 @@ def conversion_delay_group(train: DataFrame, ad: DataFrame, pos: DataFrame, comp
 
 
 def click_time_weight(train: DataFrame, action: DataFrame) -> DataFrame:
-    """Clicks with the install weight of their hour."""
-    return lookup(train.withColumn("hour", hour_of(F.col("clickTime"))), install_hour_weight(action), "hour")
+    """Clicks with the install weight of their hour (a written table of 24 rows)."""
+    weight = pin(install_hour_weight(action), "hour-weight")
+    return lookup(train.withColumn("hour", hour_of(F.col("clickTime"))), weight, "hour")
 
 
 def construct_all(ready: Mapping[str, DataFrame], store: FeatureStore, before: int | None = None) -> dict[str, DataFrame]:

@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.codes import pair_number, province
 from clickloom.functions.packed_time import whole
-from clickloom.operators.joins import lookup, members, members_of_both
+from clickloom.operators.joins import key_set, lookup, members, members_of_both
 from clickloom.operators.ordered import impute_operator
-from clickloom.operators.sets import keys_of
-from clickloom.session import pin, together
+from clickloom.session import together
 from clickloom.sources.store import FeatureStore
 
 SOURCES = ["ad", "app_cat", "pos", "test_ol", "train", "action", "user", "user_app"]
@@ -45,10 +44,10 @@ def installed_pairs(train: DataFrame, test: DataFrame, ad: DataFrame, user_app:
     decides whether the installs have to be shuffled for that.
     """
     clicks = train.select("userID", "creativeID").unionByName(test.select("userID", "creativeID"))
-    users = pin(keys_of(members(clicks, ad, "creativeID"), "userID"), "clicking-users")
-    apps = pin(keys_of(members(ad, clicks, "creativeID"), "appID"), "clicked-apps")
+    users, apps = together(ad.sparkSession, lambda: key_set(members(clicks, ad, "creativeID"), "userID"),
+                           lambda: key_set(members(ad, clicks, "creativeID"), "appID"))
     installs = user_app.select("userID", "appID").unionByName(action.select("userID", "appID"))
-    return members_of_both(installs, users, apps, "userID", "appID").distinct()
+    return members_of_both(installs, users, apps, "userID", "appID", unique=True).distinct()
 
 
 def with_pair_number(pairs: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from clickloom.operators.ordered import as_of
 from clickloom.operators.series import bin_means, extract_series, on_grid
 from clickloom.plans.features import app_popularity
 from clickloom.plans.travel_time import KEYS, ready_weather, seasonal_curve
+from clickloom.session import pin
 from clickloom.workload.registry import query, rounded, with_time_text
 from clickloom.workload.roles import Roles
 from clickloom.workload.series_queries import GRID_END, GRID_START, regular
@@ -39,8 +40,8 @@ def inner_join(r: Roles) -> DataFrame:
          JOIN (SELECT * FROM ad JOIN app_cat USING (appID)) a USING (creativeID)""")
 def star_join(r: Roles) -> DataFrame:
     preferred = top_category(r.user_app.join(r.app_cat, "appID", "left"))
-    user = joins.lookup(r.user, preferred, "userID")
-    ad = joins.matching(r.ad, r.app_cat, "appID")
+    user = pin(joins.lookup(r.user, preferred, "userID"), "users")
+    ad = pin(joins.matching(r.ad, r.app_cat, "appID"), "ads")
     return joins.star(r.wide_with_id, user, ad).select(
         "l_orderkey", "l_linenumber", "label", "userID", "creativeID", "age", "gender", "advertiserID", "appCategory",
         "cat_pref", "is_pref_cat")

@@ -10,7 +10,10 @@ from clickloom.functions import calendar as cal
 from clickloom.functions import codes, errors
 from clickloom.functions import packed_time as pt
 from clickloom.operators import rows
+from clickloom.operators.aggregates import top_category
 from clickloom.operators.joins import members
+from clickloom.plans.features import app_popularity
+from clickloom.session import pin
 from clickloom.workload.registry import query, rounded, time_text, with_time_text
 from clickloom.workload.roles import Roles
 
@@ -99,10 +102,8 @@ def membership(r: Roles) -> DataFrame:
     SELECT userID, appID, appCategory, cat_pref, coalesce(appCategory = cat_pref, FALSE) AS is_pref_cat
     FROM user_app JOIN app_cat USING (appID) LEFT JOIN preferred USING (userID)""")
 def equality_flag(r: Roles) -> DataFrame:
-    from clickloom.operators.aggregates import top_category
-
     wide = r.user_app.join(r.app_cat, "appID")
-    wide = wide.join(top_category(wide), "userID", "left")
+    wide = wide.join(pin(top_category(wide), "preferred"), "userID", "left")
     flag = codes.same_known_or_unknown(F.col("appCategory"), F.col("cat_pref"))
     return wide.select("userID", "appID", "appCategory", "cat_pref", flag.alias("is_pref_cat"))
 
@@ -240,8 +241,6 @@ def bin_tables(r: Roles) -> DataFrame:
     SELECT creativeID, coalesce(app_popularity, 6)::BIGINT AS app_popularity
     FROM ad LEFT JOIN popularity USING (appID)""")
 def constant_fill(r: Roles) -> DataFrame:
-    from clickloom.plans.features import app_popularity
-
     wide = r.ad.join(app_popularity(r.user_app), "appID", "left")
     return wide.fillna({"app_popularity": schemas.POPULARITY_WHEN_MISSING}).select("creativeID", "app_popularity")
 
@@ -251,8 +250,6 @@ def constant_fill(r: Roles) -> DataFrame:
                AS app_popularity
     FROM ad LEFT JOIN popularity USING (appID)""")
 def mean_fill(r: Roles) -> DataFrame:
-    from clickloom.plans.features import app_popularity
-
     wide = r.ad.join(app_popularity(r.user_app), "appID", "left")
     return rows.fill_with_truncated_mean(wide, "app_popularity").select("creativeID", "app_popularity")
 

@@ -27,20 +27,36 @@ def executed(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_hot_user_is_split_in_a_join(spark, conf):
+@pytest.fixture
+def hot_clicks(spark, conf):
+    """User 7 holds a third of the clicks; thresholds are scaled down to this size."""
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
          spark__sql__adaptive__advisoryPartitionSizeInBytes="4KB",
          spark__sql__adaptive__coalescePartitions__enabled="false",
          spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="8KB",
          spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5")
-    clicks = spark.range(0, 60000, numPartitions=8).select(
-        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("userID"), F.rand(1).alias("x"))
+    user = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000)
+    return spark.range(0, 60000, numPartitions=8).select(
+        user.alias("userID"), (F.col("id") % 2).cast("int").alias("telecomsOperator"), F.rand(1).alias("x"))
+
+
+def test_hot_user_is_split_in_a_lookup(spark, hot_clicks):
     users = spark.range(5000).select(F.col("id").alias("userID"), F.rand(2).alias("y"))
-    wide = joins.lookup(clicks, users, "userID")
+    wide = joins.lookup(hot_clicks, users, "userID")
     assert "skew=true" in executed(wide)
     assert wide.count() == 60000
 
 
+@pytest.mark.parametrize("operator", [
+    ordered.impute_operator,
+    lambda df: joins.members(df, df.filter("x < 0.5"), "userID"),
+    lambda df: joins.flag_members(df, df.filter("x < 0.5"), ["userID"], "hit"),
+    lambda df: ordered.drop_outliers(df, "x", ["userID"]),
+])
+def test_hot_user_is_split_by_operators_that_join_back(hot_clicks, operator):
+    assert "skew=true" in executed(operator(hot_clicks))
+
+
 def test_written_statistics_are_broadcast_by_size(spark, sf):
     r = Roles(spark, sf)
     context = features.context_group(r.train, features.context_statistics(r.train), r.ad,
