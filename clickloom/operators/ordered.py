@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom import schemas
-from clickloom.functions.calendar import epoch
+from clickloom.functions.calendar import epoch, in_days, plus_seconds
 from clickloom.session import pin
 
 DAY = 86400
@@ -231,8 +231,6 @@ def decompose(df: DataFrame, keys: Sequence[str], order: str, column: str, step:
 
 def shift_cycle(df: DataFrame, order: str, first: str, last: str, days: int) -> DataFrame:
     """Rows of the days ``first`` to ``last``, moved ``days`` later: a seasonal-naive forecast."""
-    from clickloom.functions.calendar import in_days, plus_seconds
-
     moved = plus_seconds(F.col(order), F.lit(days * DAY))
     return df.filter(in_days(F.col(order), first, last)).withColumn(order, moved)
 

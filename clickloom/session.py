@@ -62,8 +62,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other call gets."""
-    return f"{shared_dir(spark).rstrip('/')}/clickloom/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other call gets.
+
+    All paths of one application share a folder, which can go when it has ended.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark).rstrip('/')}/clickloom/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def pin(df: DataFrame, name: str = "pin") -> DataFrame:
