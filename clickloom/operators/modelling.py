@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from clickloom.functions.errors import ape, log_loss_term
 from clickloom.operators.joins import flag_members
 from clickloom.operators.ordered import tag_blocks, with_row_index
-from clickloom.session import pin
+from clickloom.session import pin, together
 
 POSITION = "position"
 BLOCK = "block"
@@ -255,8 +255,11 @@ def mape_of_targets_measure(targets: Sequence[str]) -> Column:
 
 
 def fit_targets(df: DataFrame, make: Callable[[], Estimator], targets: Sequence[str]) -> list[Model]:
-    """One independent model per target column."""
-    return [make().setLabelCol(t).setPredictionCol(f"pred_{t}").fit(df.dropna(subset=[t])) for t in targets]
+    """One independent model per target column, fitted side by side."""
+    def fit(target: str) -> Model:
+        return make().setLabelCol(target).setPredictionCol(f"pred_{target}").fit(df.dropna(subset=[target]))
+
+    return together(df.sparkSession, *[lambda t=t: fit(t) for t in targets])
 
 
 def predict_targets(models: Sequence[Model], df: DataFrame) -> DataFrame:

@@ -455,11 +455,11 @@ def least_squares(r: Roles) -> DataFrame:
     WITH s AS (SELECT covar_pop(l_extendedprice, l_quantity) AS c, var_pop(l_quantity) AS v,
                       stddev_samp(l_extendedprice) AS sd, avg(l_extendedprice) AS my, avg(l_quantity) AS mx FROM lineitem),
     k AS (SELECT 'ridge' AS model, c / (v + 1000.0 / sd) AS slope, * FROM s
-          UNION ALL SELECT 'lasso', (c - 1000.0) / v, * FROM s
-          UNION ALL SELECT 'elastic_net', (c - 500.0) / (v + 500.0 / sd), * FROM s)
+          UNION ALL SELECT 'lasso', sign(c) * greatest(abs(c) - 1000.0, 0) / v, * FROM s
+          UNION ALL SELECT 'elastic_net', sign(c) * greatest(abs(c) - 500.0, 0) / (v + 500.0 / sd), * FROM s)
     SELECT model, round(slope, 2) AS slope, round(my - slope * mx, 1) AS intercept FROM k""")
 def penalised_regression(r: Roles) -> DataFrame:
-    """Ridge, lasso and elastic net of one feature, known in closed form.
+    """Ridge, lasso and elastic net of one feature, known in closed form (soft threshold of the covariance).
 
     The squared penalty counts on the label in units of its deviation.
     """
