@@ -7,12 +7,13 @@ from itertools import combinations, combinations_with_replacement
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Interaction, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from clickloom.operators.ordered import with_row_index
-from clickloom.session import pin
+from clickloom.session import pin, scratch_path
 
 
 def booleans_as_int(df: DataFrame) -> DataFrame:
@@ -67,6 +68,39 @@ def encode_indices(df: DataFrame, dictionary_table: DataFrame, features: Sequenc
     return rows
 
 
+def encode_rows(df: DataFrame, dictionary_table: DataFrame, features: Sequence[str], numeric: Sequence[str] = (),
+                keep: Sequence[str] = (), unseen: str = "keep", output: str = "features") -> DataFrame:
+    """Written table of the ``keep`` columns and the sparse vector of each row.
+
+    The same matrix as ``one_hot``, for large tables: values meet the dictionary in joins
+    planned from its size, and the vectors are put together by generated code as the
+    parts a vector is stored in, then read back as vectors.  Rows are not moved when the
+    dictionary is small, and the values never pass the driver.  Columns follow the
+    dictionary; ``numeric`` columns come after them.
+    """
+    total = dictionary_table.count()
+    rows = encode_indices(df, dictionary_table, features, unseen)
+    found = [F.col(f"{f}_index").cast("int") for f in features]
+    complete = F.lit(True)
+    for f in features:
+        complete = complete & F.col(f"{f}_index").isNotNull()
+    indices = F.when(complete, F.array(*found)).otherwise(F.array_compact(F.array(*found)))
+    rows = rows.select(*keep, *numeric, indices.alias("_indices"))
+    ones = F.array_repeat(F.lit(1.0), F.size("_indices"))
+    places, values = F.col("_indices"), ones
+    if numeric:
+        places = F.concat(places, F.array(*[F.lit(total + i) for i in range(len(numeric))]))
+        values = F.concat(ones, F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric]))
+    # the stored form of a sparse vector: type 0, size, positions, values
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(total + len(numeric)).alias("size"),
+                      places.alias("indices"), values.alias("values"))
+    stored = rows.select(*keep, vector.alias(output))
+    path = scratch_path(df.sparkSession, "encoded")
+    stored.write.parquet(path)
+    schema = StructType([*stored.select(*keep).schema.fields, StructField(output, VectorUDT())])
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 # --- one-hot vectors ---------------------------------------------------------------
 
 def one_hot(train: DataFrame, features: Sequence[str], unseen: str = "keep", output: str = "features",

@@ -62,8 +62,8 @@ def kfold_starts(n: int, folds: int) -> list[int]:
 
 
 def in_blocks(df: DataFrame, order: Sequence[str], folds: int, scheme: str = "expanding",
-              share: float = 1.0) -> DataFrame:
-    """Samples with their fold number in ``block``, written once.
+              share: float = 1.0, write: bool = True) -> DataFrame:
+    """Samples with their fold number in ``block``, written once (``write=False`` for a table that is written already).
 
     Folds are 1 to ``folds`` over the first ``floor(share * n)`` rows; 0 is what lies
     before the first expanding fold, and ``folds + 1`` the hold-out.
@@ -78,7 +78,7 @@ def in_blocks(df: DataFrame, order: Sequence[str], folds: int, scheme: str = "ex
     tagged = tag_blocks(df, order, starts, BLOCK)
     if scheme == "blocked":
         tagged = tagged.withColumn(BLOCK, F.col(BLOCK) + 1)
-    return pin(tagged, "samples")
+    return pin(tagged, "samples") if write else tagged
 
 
 # --- estimators ----------------------------------------------------------------------

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.plans import features, prepare, training
-from clickloom.sources.sinks import read_design, write_design, write_model, write_submission
+from clickloom.sources.sinks import write_model, write_submission
 from clickloom.sources.store import FeatureStore
 from clickloom.sources.tables import read_source
 
@@ -20,21 +20,20 @@ def source_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: read_source(spark, folder, name) for name in prepare.SOURCES}
 
 
-def _designs(tables: Mapping[str, DataFrame], store: FeatureStore) -> tuple[DataFrame, DataFrame]:
-    ready = prepare.prepare_all(tables, store)
-    made = features.construct_all(ready, store)
-    encoded = training.encode(made["dataset"], made["testset_ol"])
-    write_design(encoded.train, store.path("X"))
-    write_design(encoded.score, store.path("X_test_ol"), "features", None, "instanceID")
-    return read_design(store.spark, store.path("X")), read_design(store.spark, store.path("X_test_ol"))
+def _encoded(made: Mapping[str, DataFrame], store: FeatureStore, keep: Sequence[str] = ()) -> training.Encoded:
+    """Encoded training and scoring sets; the dictionary is stored, as later scoring needs it."""
+    encoded = training.encode(made["dataset"], made["testset_ol"], keep=keep)
+    store.put("encoding", encoded.dictionary)
+    return encoded
 
 
 def run_quick(tables: Mapping[str, DataFrame], store: FeatureStore, iterations: int = 100) -> tuple[DataFrame, float]:
     """Prepare, construct, encode, fit with a fixed penalty, score; the submission and the train log-loss."""
-    train, scoring = _designs(tables, store)
-    model, loss = training.quick_fit(train, iterations=iterations)
+    made = features.construct_all(prepare.prepare_all(tables, store), store)
+    encoded = _encoded(made, store)
+    model, loss = training.quick_fit(encoded.train, iterations=iterations)
     write_model(model, store.path("model"))
-    result = training.predict(model, scoring)
+    result = training.predict(model, encoded.score)
     write_submission(result, store.path("submission"))
     return result, loss
 
@@ -48,7 +47,7 @@ def run_full(tables: Mapping[str, DataFrame], store: FeatureStore, iterations: i
     ready = prepare.prepare_all(tables, store)
     ready["train"] = _numbered(ready["train"], store)
     made = features.construct_all(ready, store)
-    encoded = training.encode(made["dataset"], made["testset_ol"], keep=ORDER)
+    encoded = _encoded(made, store, ORDER)
     model, _, ranking, held_out = training.tune(encoded.train, ORDER, iterations=iterations)
     write_model(model, store.path("model"))
     result = training.predict(model, encoded.score)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clickloom import schemas
 from clickloom.operators.aggregates import fold_summary
-from clickloom.operators.encode import add_crosses, apply_encoding, one_hot, truncated
+from clickloom.operators.encode import add_crosses, dictionary, encode_rows, one_hot, truncated
 from clickloom.operators.modelling import (
     BLOCK,
     grid_search,
@@ -36,9 +36,9 @@ COUNTS = ["conversion_count", "hour_weight"]
 
 @dataclass
 class Encoded:
-    """Fitted encoding and the encoded sets."""
+    """Dictionary of the one-hot columns and the encoded sets, all written tables."""
 
-    model: PipelineModel
+    dictionary: DataFrame
     train: DataFrame
     score: DataFrame | None
 
@@ -60,16 +60,14 @@ def encode(train: DataFrame, scoring: DataFrame | None = None, keep: Sequence[st
         train = truncated(train, numeric)
         scoring = truncated(scoring, numeric) if scoring is not None else None
         numeric = []
-    fill = dict.fromkeys(numeric, 0.0)
     features = categorical_columns(train, numeric, ("label", "instanceID", *keep))
-    model = one_hot(train, features, unseen, numeric=numeric)
+    words = dictionary(train, features)
 
     def run(df: DataFrame) -> DataFrame:
-        encoded = apply_encoding(model, df.fillna(fill) if fill else df)
-        held = [c for c in ("label", "instanceID", *keep) if c in encoded.columns]
-        return encoded.select(*held, "features")
+        held = [c for c in ("label", "instanceID", *keep) if c in df.columns]
+        return encode_rows(df, words, features, numeric, held, unseen)
 
-    return Encoded(model, run(train), run(scoring) if scoring is not None else None)
+    return Encoded(words, run(train), run(scoring) if scoring is not None else None)
 
 
 def linear_terms(train: DataFrame, crosses: bool = False) -> tuple[PipelineModel, list[str]]:
@@ -90,7 +88,7 @@ def tune(encoded: DataFrame, order: Sequence[str], share: float = TRAIN_SHARE, f
 
     Returns the model, its penalty, the ranking and the held-out log-loss.
     """
-    samples = in_blocks(encoded.select(*order, "label", "features"), order, folds, share=share)
+    samples = in_blocks(encoded.select(*order, "label", "features"), order, folds, share=share, write=False)
     model, best, ranking = grid_search(samples, lambda a: logistic(a, iterations), alphas, folds, parallel=parallel)
     held_out = samples.filter(F.col(BLOCK) > folds)
     return model, best, ranking, mean_log_loss(score(model, held_out)).first().log_loss
@@ -99,7 +97,7 @@ def tune(encoded: DataFrame, order: Sequence[str], share: float = TRAIN_SHARE, f
 def penalty_curve(encoded: DataFrame, order: Sequence[str], alphas: Sequence[float], folds: int,
                   iterations: int = 100) -> DataFrame:
     """Mean and spread of the losses per penalty."""
-    samples = in_blocks(encoded.select(*order, "label", "features"), order, folds)
+    samples = in_blocks(encoded.select(*order, "label", "features"), order, folds, write=False)
     curve = validation_curve(samples, lambda a: logistic(a, iterations), alphas, folds)
     return fold_summary(curve, "param", "train_loss", "valid_loss")
 
@@ -107,7 +105,7 @@ def penalty_curve(encoded: DataFrame, order: Sequence[str], alphas: Sequence[flo
 def iteration_curve(encoded: DataFrame, order: Sequence[str], iterations: Sequence[int], folds: int,
                     alpha: float = 0.0001) -> DataFrame:
     """Mean and spread of the losses per number of optimiser passes."""
-    samples = in_blocks(encoded.select(*order, "label", "features"), order, folds)
+    samples = in_blocks(encoded.select(*order, "label", "features"), order, folds, write=False)
     curve = validation_curve(samples, lambda i: logistic(alpha, int(i)), iterations, folds)
     return fold_summary(curve, "param", "train_loss", "valid_loss")
 
