@@ -427,13 +427,14 @@ def forest_group_means(r: Roles) -> DataFrame:
                strftime(TIMESTAMP '1970-01-01' + to_seconds(p.block * 7200), '%Y-%m-%d %H:%M:%S') AS ts, p.v5 AS x,
                {", ".join(f"f.v{i} AS y{i}" for i in range(6))}
         FROM blocks p JOIN blocks f ON p.intersection_id = f.intersection_id AND p.tollgate_id = f.tollgate_id
-                                   AND f.block = p.block + 1)
+                                   AND f.block = p.block + 1
+        WHERE {" AND ".join(f"p.v{i} IS NOT NULL AND f.v{i} IS NOT NULL" for i in range(6))})
     SELECT intersection_id, tollgate_id, ts,
            {", ".join(f"round(regr_intercept(y{i}, x) OVER () + regr_slope(y{i}, x) OVER () * x, 4) AS pred_tt_{i}"
                       for i in range(6))}
     FROM w""")
 def multi_output(r: Roles) -> DataFrame:
-    """One least-squares model per target slot from the last value before."""
+    """One least-squares model per target slot from the last value before, on complete blocks."""
     wide = twelve_slots(regular(r), plan.KEYS).dropna()
     rows = pin(encode.concatenate(wide, ["prev_tt_5"]), "six-targets")
     models = m.fit_targets(rows, m.linear, plan.TARGETS)
