@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from clickloom.session import pin
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 REPEAT = 5          # words in a repeated window
-KEPT = 300_000      # words whose tokens a worker keeps between batches
+KEPT = 600_000      # words whose tokens a worker keeps between batches
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MEASURES = ["chars_per_token", "chars_per_piece", "fallback_share", "entropy"]
@@ -65,7 +66,10 @@ def base_counts(data: np.ndarray, offsets: np.ndarray, w: Words) -> dict[str, np
     chars = per_row(lead & ~WHITE[data], offsets)
     symbols = per_row(SYMBOLS[data], offsets)
     # lines: cut after each line feed and at row ends
-    cut = np.unique(np.concatenate((offsets, np.flatnonzero(data == NEWLINE) + 1)))
+    edge = np.zeros(len(data) + 1, dtype=bool)
+    edge[offsets] = True
+    edge[1:][data == NEWLINE] = True
+    cut = np.flatnonzero(edge)
     lengths = np.diff(cut)
     ends_in_feed = data[cut[1:] - 1] == NEWLINE if len(lengths) else np.zeros(0, dtype=bool)
     line_row = np.searchsorted(offsets, cut[:-1], side="right") - 1
@@ -103,23 +107,54 @@ class Vocabularies:
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.ranks = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.feed = ranks[b"\n"]
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
         self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.pieces.get_piece_size())], dtype=bool)
-        self.known: dict[bytes, tuple[np.ndarray, int, int]] = {}
-
-    def of(self, distinct: list[bytes]) -> list[tuple[np.ndarray, int, int]]:
-        """Ranks of each word after a space, its number of pieces and of byte pieces."""
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.flat, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
+        self.ends = np.zeros(1, dtype=np.int64)
+        self.n_pieces, self.n_bytes = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def _ranks_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of the words, each after a space, and their numbers; many are encoded at once, line feeds between them."""
+        ids, counts = [], []
+        for lo in range(0, len(texts), 500):
+            some = texts[lo:lo + 500]
+            found = np.array(self.ranks.encode_ordinary(" " + "\n ".join(some)), dtype=np.uint32)
+            ends = np.flatnonzero(found == self.feed)
+            if len(ends) != len(some) - 1:         # a word that ends in some other white space
+                apart = [np.array(self.ranks.encode_ordinary(" " + t), dtype=np.uint32) for t in some]
+                ids += apart
+                counts.append(np.array([len(x) for x in apart]))
+            else:
+                ids.append(np.delete(found, ends))
+                counts.append(np.diff(np.concatenate(([-1], ends, [len(found)]))) - 1)
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def of(self, distinct: list[bytes]) -> np.ndarray:
+        """Place of each word in the tables."""
+        if len(self.known) > KEPT:
+            self.forget()
         missing = [word for word in distinct if word not in self.known]
-        if len(self.known) + len(missing) > KEPT:
-            self.known = {word: self.known[word] for word in distinct if word in self.known}
-        texts = [word.decode() for word in missing]
-        if texts:
-            plain = self.ranks.encode_ordinary
-            ids = [np.array(plain(" " + t), dtype=np.int64) for t in texts]
+        if missing:
+            texts = [word.decode() for word in missing]
+            ids, counts = self._ranks_of(texts)
             pieces = self.pieces.encode(texts, num_threads=1)
-            for word, a, b in zip(missing, ids, pieces):
-                self.known[word] = (a, len(b), int(self.is_byte[b].sum()) if len(b) else 0)
-        return [self.known[word] for word in distinct]
+            many = np.array([len(p) for p in pieces])
+            fallback = self.is_byte[np.fromiter(chain.from_iterable(pieces), dtype=np.int64, count=int(many.sum()))]
+            self.known.update(zip(missing, range(len(self.ends) - 1, len(self.ends) - 1 + len(missing))))
+            self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(counts)))
+            self.n_pieces = np.concatenate((self.n_pieces, many))
+            self.n_bytes = np.concatenate((self.n_bytes, np.bincount(
+                np.repeat(np.arange(len(many)), many), weights=fallback, minlength=len(many)).astype(np.int64)))
+            if self.used + len(ids) > len(self.flat):
+                self.flat = np.concatenate((self.flat[:self.used], np.zeros(self.used + 2 * len(ids), dtype=np.uint32)))
+            self.flat[self.used:self.used + len(ids)] = ids
+            self.used += len(ids)
+        return np.fromiter((self.known[word] for word in distinct), dtype=np.int64, count=len(distinct))
 
 
 @lru_cache(maxsize=2)
@@ -134,21 +169,13 @@ def fertility(w: Words, chars: np.ndarray, vocab: Vocabularies) -> dict[str, np.
     column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(w.lengths), [
         None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(w.data))])
     coded = pc.dictionary_encode(column)
-    which = coded.indices.to_numpy(zero_copy_only=False)
-    found = vocab.of(coded.dictionary.to_pylist())
-    n_ids = np.array([len(f[0]) for f in found], dtype=np.int64)
-    n_pieces = np.array([f[1] for f in found], dtype=np.int64)
-    n_bytes = np.array([f[2] for f in found], dtype=np.int64)
-    flat = np.concatenate([f[0] for f in found]) if found else np.zeros(0, dtype=np.int64)
-    first = np.concatenate(([0], np.cumsum(n_ids)))[:-1]
-    if len(which):
-        tokens = per_row(n_ids[which], w.first)
-        pieces = per_row(n_pieces[which], w.first)
-        fallbacks = per_row(n_bytes[which], w.first)
-        ids = flat[spread(first[which], n_ids[which])]
-    else:
-        tokens = pieces = fallbacks = np.zeros(rows, dtype=np.int64)
-        ids = flat
+    place = vocab.of(coded.dictionary.to_pylist())
+    which = place[coded.indices.to_numpy(zero_copy_only=False)] if len(place) else place
+    n_ids = vocab.ends[which + 1] - vocab.ends[which]
+    tokens = per_row(n_ids, w.first)
+    pieces = per_row(vocab.n_pieces[which], w.first)
+    fallbacks = per_row(vocab.n_bytes[which], w.first)
+    ids = vocab.flat[spread(vocab.ends[which], n_ids)].astype(np.int64)
     key = np.sort((np.repeat(np.arange(rows, dtype=np.int64), tokens) << 32) | ids)
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, dtype=np.int64)
     many = np.diff(np.concatenate((starts, [len(key)]))).astype(float)

@@ -30,8 +30,8 @@ SIMILARITY = 0.8
 RECALL = 0.99999
 SKETCH = 48           # minima kept per text
 SLACK = 0.25          # a pair is compared exactly if its sketches agree in similarity - SLACK of the places
-SMALL = 64            # buckets up to this size are compared at once
-BRANCHES = 3          # further shingles under which a large bucket is split
+SMALL = 256           # buckets up to this size are compared at once
+BRANCHES = 2          # further shingles under which a large bucket is split
 DEPTH = 5
 ALIKE = 0.5           # mean similarity from which splitting a bucket is in vain
 TILE_ROWS = 384
