@@ -326,8 +326,11 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     lists = members.groupBy("node").agg(F.array_sort(F.collect_set("bucket")).alias("leaves"))
     shared = pin(nodes.select("node", "key", "copies", "shingles", "sketch").join(lists, "node"), "join-shared")
     chosen = candidates(tiled(members, shared), shared, similarity)
-    wanted = pin(chosen.select("node").distinct().join(shared.select("node", "key"), "node"), "join-wanted")
-    texts = rows.join(wanted, "key").dropDuplicates(["node"]).select("node", "text")
+    # one row of each text, found by its least id: copies of a text do not meet in one task.  The number of texts wanted
+    # follows the input, so they are never broadcast.
+    wanted = pin(chosen.select("node").distinct().join(nodes.select("node", "key", "least_id"), "node"), "join-wanted")
+    texts = (rows.join(wanted.hint("merge"), (rows["key"] == wanted["key"]) & rows["doc_id"].eqNullSafe(wanted["least_id"]))
+             .dropDuplicates(["node"]).select("node", "text"))
     links = compared(chosen, shared, texts, similarity)
     of_node = components(links.select(F.col("node").alias("a"), F.col("least").alias("b")), "join")
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))
