@@ -26,6 +26,13 @@ LETTER[[*range(65, 91), *range(97, 123)]] = True
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+def default_path(name: str) -> str:
+    """Where the installed public tokenizers keep a file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def cuts(data: np.ndarray, offsets: np.ndarray, marks: np.ndarray | None = None) -> np.ndarray:
     """Starts of the parts: row starts, single spaces, and single line feeds and what follows them, where a
     visible character stands on either side; also ``marks`` (a table of bytes) right after a letter of ASCII or Latin-1.
