@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
+from clickloom.llm.columns import shield
 from clickloom.llm.text import (
     NEWLINE,
     WHITE,
@@ -261,7 +262,7 @@ def verdict(measured: DataFrame, ranges: DataFrame, group: str = "lang") -> Data
 
     A length class without band (all its documents fail the base rules) rejects nothing by itself.
     """
-    own = measured.columns
+    measured, back = shield(measured, [*COUNTS, *MEASURES, group])
     lang, length = _group(group)
     table = ranges.withColumnsRenamed({"_lang": "_of_lang", "_class": "_of_class"})
     joined = measured.withColumns({"_lang": lang, "_class": length}).join(
@@ -271,6 +272,6 @@ def verdict(measured: DataFrame, ranges: DataFrame, group: str = "lang") -> Data
         off = F.col(m) - F.col(f"_{m}.mid")
         off = {"both": F.abs(off), "above": off, "below": -off}[SIDES[m]]
         outside = outside | F.coalesce(off > F.col(f"_{m}.half"), F.lit(False))
-    own = [c for c in own if c not in ("base_failed", "kept")]
     failed = base_failed()
-    return joined.select(*own, failed.alias("base_failed"), (~failed & ~outside).alias("kept"))
+    out = joined.select(*measured.columns, failed.alias("base_failed"), (~failed & ~outside).alias("kept"))
+    return back(out, ["base_failed", "kept"])

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.columns import shield
 from clickloom.llm.groups import components, sorted_groups
 from clickloom.llm.text import buffers, mix64, salted, shingle_sets, shingles, slices, word_hashes, words
 from clickloom.operators.ordered import with_row_index
@@ -361,13 +362,14 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **setting
                 .join(best.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")),
                       F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t")), "left_semi")
                 .select("doc_id", "text_key"), "join-again")
+    docs, back = shield(docs, [key, text])
     tagged = docs.withColumn("_key", F.md5(F.coalesce(F.col(text), F.lit(""))))
     best = best.select(F.col("doc_id").alias("_best"), F.col("text_key").alias("_best_key"))
     kept = tagged.join(best, F.col(key).eqNullSafe(F.col("_best")) & (F.col("_key") == F.col("_best_key")), "left_semi")
     if again.isEmpty():
-        return kept.drop("_key")
+        return back(kept.drop("_key"))
     same = F.col(key).eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_t"))
     again = again.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"))
     once = kept.join(again, same, "left_anti")
     repeated = kept.join(again, same, "left_semi").dropDuplicates([key, "_key"])
-    return once.unionByName(repeated).drop("_key")
+    return back(once.unionByName(repeated).drop("_key"))

@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from clickloom.llm.columns import shield
 from clickloom.operators.ordered import with_row_index
 from clickloom.session import pin
 
 HASH_BITS = 60
+SIZE = "loom_mix_size"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -61,7 +63,7 @@ def thresholds(rows: DataFrame, plan: DataFrame, bits: int = 12) -> DataFrame:
     plan = plan.withColumn("copies", whole.cast("long"))
     left = F.col("target") - F.col("copies") * F.col("source_size")
     state = pin(plan.select("source", "copies", left.alias("_left"), F.lit(0).cast("long").alias("_prefix"),
-                            (F.col("source_size") == 0).alias("_done"), F.lit(-1).cast("long").alias("last")),
+                            (left <= 0).alias("_done"), F.lit(-1).cast("long").alias("last")),
                 "mix-state")
     shift = HASH_BITS
     while shift > 0:
@@ -106,9 +108,11 @@ def mix(df: DataFrame, source: str = "source", key: str = "doc_id", size: Column
     Nothing random: the hash of the key decides, and a smaller target takes a subset.
     Columns of ``df`` with the added names are replaced.
     """
+    added = ["size", "source_size", "target", "copies"]
     size = word_count(F.col("text")) if size is None else size
-    own = [c for c in df.columns if c not in ("size", "source_size", "target", "copies")]
-    sized = df.select(*own, size.alias("size"))
+    sized, back = shield(df.withColumn(SIZE, size), [source, key, SIZE])
+    sized = sized.withColumnRenamed(SIZE, "size")
+    own = [c for c in sized.columns if c != "size"]
     slim = pin(sized.select(F.col(source).alias("source"), "size", hash60(F.col(key)).alias("hash")), "mix-sizes")
     sizes = pin(slim.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-source-sizes")
     plan = pin(targets(sizes, weights, most), "mix-plan")
@@ -117,10 +121,12 @@ def mix(df: DataFrame, source: str = "source", key: str = "doc_id", size: Column
     plan = pin(plan.select(F.col("source").alias("_source"), "source_size", "target", F.col("copies").alias("_whole"),
                            F.col("last").alias("_last")), "mix-cuts")
     once_more = F.when(hash60(F.col(key)) <= F.col("_last"), 1).otherwise(0)
-    return (sized.join(plan, F.col(source).eqNullSafe(F.col("_source")))
-            .select(*own, "size", "source_size", "target", (F.col("_whole") + once_more).cast("long").alias("copies")))
+    out = (sized.join(plan, F.col(source).eqNullSafe(F.col("_source")))
+           .select(*own, "size", "source_size", "target", (F.col("_whole") + once_more).cast("long").alias("copies")))
+    return back(out, added)
 
 
 def take(df: DataFrame, copies: str = "copies") -> DataFrame:
     """The mix itself: each row as many times as it is taken."""
-    return df.filter(F.col(copies) > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(copies)))).drop("_copy")
+    rows, back = shield(df, [copies])
+    return back(rows.filter(F.col(copies) > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(copies)))).drop("_copy"))

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.columns import shield
 from clickloom.operators.ordered import with_row_index
 from clickloom.session import pin
 
@@ -59,12 +60,14 @@ def assign_shards(df: DataFrame, shards: int, group: str, size: str, units: int
         F.col("_item").alias("_bundle"), F.col("_shard").alias("_of_bundle"))
     own = of_item.filter(~F.col("_item").startswith("~")).select(
         F.col("_item").alias("_own"), F.col("_shard").alias("_of_group"))
+    df, back = shield(df, [group, size])
     key = F.col(group)
     place = F.concat(F.lit("~"), F.pmod(F.xxhash64(key), F.lit(slots)).cast("string"))
-    return (df.join(F.broadcast(own), key == F.col("_own"), "left")
-            .join(F.broadcast(bundles), place == F.col("_bundle"), "left")
-            .withColumn(name, F.coalesce("_of_group", "_of_bundle"))
-            .drop("_own", "_of_group", "_bundle", "_of_bundle"))
+    out = (df.join(F.broadcast(own), key == F.col("_own"), "left")
+           .join(F.broadcast(bundles), place == F.col("_bundle"), "left")
+           .withColumn(name, F.coalesce("_of_group", "_of_bundle"))
+           .drop("_own", "_of_group", "_bundle", "_of_bundle"))
+    return back(out, [name])
 
 
 def with_slots(df: DataFrame, shard: str, order: list[str], name: str = "slot") -> DataFrame:
@@ -73,8 +76,10 @@ def with_slots(df: DataFrame, shard: str, order: list[str], name: str = "slot")
     Rows are numbered over all shards in ranges of the whole order, so a shard is
     never one task; the number minus the rows of the shards before is the place.
     """
+    df, back = shield(df, [shard, *order])
     numbered = with_row_index(df, [shard, *order], "_place")
     # one row per shard
     starts = numbered.groupBy(F.col(shard).alias("_of")).agg(F.min("_place").alias("_first"))
-    return (numbered.join(F.broadcast(starts), F.col(shard) == F.col("_of"))
-            .withColumn(name, F.col("_place") - F.col("_first")).select(*df.columns, name))
+    out = (numbered.join(F.broadcast(starts), F.col(shard) == F.col("_of"))
+           .withColumn(name, F.col("_place") - F.col("_first")).select(*df.columns, name))
+    return back(out, [name])
