@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from itertools import combinations, combinations_with_replacement
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Interaction, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Interaction, OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,10 @@ from clickloom.operators.ordered import with_row_index
 from clickloom.session import pin, scratch_path
 
 
+HELD_BYTES = 16 << 20        # values of a feature up to this size are broadcast
+VALUE_OVERHEAD = 40          # bytes a value takes besides its characters
+
+
 def booleans_as_int(df: DataFrame) -> DataFrame:
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, BooleanType)]
     return df.withColumns({c: F.col(c).cast("int") for c in names}) if names else df
@@ -54,13 +58,24 @@ def feature_blocks(dictionary_table: DataFrame) -> DataFrame:
         F.count("*").alias("size"), F.min("index").alias("offset"))
 
 
+def small_features(dictionary_table: DataFrame) -> set[str]:
+    """Features whose values, measured in bytes, every machine can hold (one row per feature is read)."""
+    measured = dictionary_table.groupBy("feature").agg(F.sum(F.octet_length("value") + F.lit(VALUE_OVERHEAD)).alias("bytes"))
+    return {r.feature for r in measured.collect() if r.bytes <= HELD_BYTES}
+
+
 def encode_indices(df: DataFrame, dictionary_table: DataFrame, features: Sequence[str],
                    unseen: str = "keep") -> DataFrame:
-    """Add ``<feature>_index`` columns; unseen values give null, or fail with ``unseen='error'``."""
-    rows = booleans_as_int(df)
+    """Add ``<feature>_index`` columns; unseen values give null, or fail with ``unseen='error'``.
+
+    The join of each feature goes by the measured size of its own values: small ones are broadcast, so one feature
+    with many values does not make the rows move for all others.
+    """
+    rows, small = booleans_as_int(df), small_features(dictionary_table)
     for f in features:
         known = dictionary_table.filter(F.col("feature") == f).select(
             F.col("value").alias("_value"), F.col("index").alias(f"{f}_index"))
+        known = F.broadcast(known) if f in small else known.hint("merge")
         rows = rows.join(known, F.col(f).cast("string") == F.col("_value"), "left").drop("_value")
         if unseen == "error":
             seen = F.col(f).isNull() | F.col(f"{f}_index").isNotNull()
@@ -72,27 +87,23 @@ def encode_rows(df: DataFrame, dictionary_table: DataFrame, features: Sequence[s
                 keep: Sequence[str] = (), unseen: str = "keep", output: str = "features") -> DataFrame:
     """Written table of the ``keep`` columns and the sparse vector of each row.
 
-    The same matrix as ``one_hot``, for large tables: values meet the dictionary in joins
-    planned from its size, and the vectors are put together by generated code as the
-    parts a vector is stored in, then read back as vectors.  Rows are not moved when the
-    dictionary is small, and the values never pass the driver.  Columns follow the
-    dictionary; ``numeric`` columns come after them.
+    Values meet the dictionary in joins planned from measured sizes, and the vectors are put together by generated code
+    as the parts a vector is stored in, then read back as vectors.  The values never pass the
+    driver.  Columns follow the dictionary, in whatever order ``features`` come; after them stand the
+    ``numeric`` columns, then for each of these a column that is 1 where the number is missing (the number itself is 0 there).
     """
-    total = dictionary_table.count()
+    total, known = dictionary_table.count(), len(numeric)
     rows = encode_indices(df, dictionary_table, features, unseen)
-    found = [F.col(f"{f}_index").cast("int") for f in features]
-    complete = F.lit(True)
-    for f in features:
-        complete = complete & F.col(f"{f}_index").isNotNull()
-    indices = F.when(complete, F.array(*found)).otherwise(F.array_compact(F.array(*found)))
-    rows = rows.select(*keep, *numeric, indices.alias("_indices"))
-    ones = F.array_repeat(F.lit(1.0), F.size("_indices"))
-    places, values = F.col("_indices"), ones
+    found = F.array(*[F.col(f"{f}_index").cast("int") for f in features])
+    rows = rows.select(*keep, *numeric, F.array_sort(F.array_compact(found)).alias("_indices"))
+    places, values = F.col("_indices"), F.array_repeat(F.lit(1.0), F.size("_indices"))
     if numeric:
-        places = F.concat(places, F.array(*[F.lit(total + i) for i in range(len(numeric))]))
-        values = F.concat(ones, F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric]))
+        absent = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(total + known + i)) for i, c in enumerate(numeric)]))
+        places = F.concat(places, F.array(*[F.lit(total + i) for i in range(known)]), absent)
+        values = F.concat(values, F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric]),
+                          F.array_repeat(F.lit(1.0), F.size(absent)))
     # the stored form of a sparse vector: type 0, size, positions, values
-    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(total + len(numeric)).alias("size"),
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(total + 2 * known).alias("size"),
                       places.alias("indices"), values.alias("values"))
     stored = rows.select(*keep, vector.alias(output))
     path = scratch_path(df.sparkSession, "encoded")
@@ -103,30 +114,27 @@ def encode_rows(df: DataFrame, dictionary_table: DataFrame, features: Sequence[s
 
 # --- one-hot vectors ---------------------------------------------------------------
 
-def one_hot(train: DataFrame, features: Sequence[str], unseen: str = "keep", output: str = "features",
-            numeric: Sequence[str] = (), max_columns: int = 10_000_000) -> PipelineModel:
-    """Fit one-hot encoding on ``train``; ``numeric`` columns are appended as they are.
+def one_hot(train: DataFrame, features: Sequence[str], unseen: str = "keep", output: str = "features") -> PipelineModel:
+    """One-hot encoding as a fitted Spark ML model, for where one is to be saved.
 
-    Columns of a feature follow the text order of its values.  With
-    ``unseen='keep'`` a value not seen in ``train`` (or null) gives an all-zero
-    block: the indexer puts it in a last category, which the encoder drops.
+    Its columns are those of ``dictionary``, in that order.  With ``unseen='keep'`` a value not seen in ``train`` (or
+    null) gives an all-zero block: the indexer puts it in a last category, which the encoder drops.
 
-    Label lists live on the driver, like the model coefficients that will refer
-    to them; more than ``max_columns`` is refused rather than truncated.
+    Such a model holds all its labels, like the model coefficients that refer to them, so they pass the driver here;
+    ``encode_rows`` gives the same columns and keeps the values distributed.
     """
-    columns = feature_values(train, features).count()
-    if columns > max_columns:
-        raise ValueError(f"{columns} one-hot columns exceed max_columns={max_columns}; "
-                         "use dictionary() and encode_indices(), which keep the values distributed")
     keep = unseen == "keep"
     # distinct scratch names, so that several groups can encode one table
     index = [f"_{output}_{f}_index" for f in features]
     blocks = [f"_{output}_{f}_block" for f in features]
-    indexer = StringIndexer(inputCols=list(features), outputCols=index, stringOrderType="alphabetAsc",
-                            handleInvalid="keep" if keep else "error")
+    labels: dict[str, list[str]] = {f: [] for f in features}
+    for row in dictionary(train, features).orderBy("index").collect():
+        labels[row.feature].append(row.value)
+    indexers = [StringIndexerModel.from_labels(labels[f], inputCol=f, outputCol=i, handleInvalid="keep" if keep else "error")
+                for f, i in zip(features, index, strict=True)]
     encoder = OneHotEncoder(inputCols=index, outputCols=blocks, dropLast=keep)
-    assembler = VectorAssembler(inputCols=blocks + list(numeric), outputCol=output, handleInvalid="keep")
-    return Pipeline(stages=[indexer, encoder, assembler]).fit(booleans_as_int(train))
+    assembler = VectorAssembler(inputCols=blocks, outputCol=output)
+    return Pipeline(stages=[*indexers, encoder, assembler]).fit(booleans_as_int(train))
 
 
 def apply_encoding(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -197,30 +197,34 @@ def click_time_weight(train: DataFrame, action: DataFrame) -> DataFrame:
 def construct_all(ready: Mapping[str, DataFrame], store: FeatureStore, before: int | None = None) -> dict[str, DataFrame]:
     """Materialise every feature table and the two assembled data sets.
 
-    Statistics that both the training and the scoring set read are written once.
+    Statistics that both the training and the scoring set read are written once.  A table is found again only if it was
+    made from the same tables with the same ``before``.
     """
     made: dict[str, DataFrame] = {}
 
-    def keep(name, build):
-        made[name] = store.get(name, build)
+    def keep(name, build, *inputs, **settings):
+        made[name] = store.get(name, build, inputs, **settings)
         return made[name]
 
     def ads():
-        popularity = keep("f_app_popularity", lambda: app_popularity(ready["user_app"]))
-        return keep("fg_ad", lambda: ad_group(ready["ad"], ready["app_cat"], popularity))
+        popularity = keep("f_app_popularity", lambda: app_popularity(ready["user_app"]), ready["user_app"])
+        sources = (ready["ad"], ready["app_cat"], popularity)
+        return keep("fg_ad", lambda: ad_group(*sources), *sources)
 
     def users():
-        activity = keep("f_user_activity", lambda: user_activity(ready["user_app"]))
-        preferred = keep("f_user_pref_cat", lambda: preferred_category(ready["user_app_cat"]))
-        return keep("fg_user", lambda: user_group(ready["user"], activity, preferred))
+        activity = keep("f_user_activity", lambda: user_activity(ready["user_app"]), ready["user_app"])
+        preferred = keep("f_user_pref_cat", lambda: preferred_category(ready["user_app_cat"]), ready["user_app_cat"])
+        sources = (ready["user"], activity, preferred)
+        return keep("fg_user", lambda: user_group(*sources), *sources)
 
     def statistics():
-        return context_statistics(ready["train"], before, lambda name, df: keep(name, lambda: df))
+        return context_statistics(ready["train"], before, lambda name, df: keep(name, lambda: df, ready["train"], before=before))
 
     def assembled(name, clicks, mode, key):
+        sources = (ready[clicks], ready["ad"], ready["installed_pairs"], ready["pos"])
         context = keep(f"fg_context_{name}", lambda: context_group(
-            ready[clicks], found, ready["ad"], ready["installed_pairs"], ready["pos"], mode))
-        return keep(name, lambda: dataset(context, user, ad, key))
+            ready[clicks], found, ready["ad"], ready["installed_pairs"], ready["pos"], mode), *sources, ready["train"], before=before)
+        return keep(name, lambda: dataset(context, user, ad, key), context, user, ad)
 
     ad, user, found = together(store.spark, ads, users, statistics)
     together(store.spark, lambda: assembled("dataset", "train", "train", ()),

@@ -55,17 +55,21 @@ def with_pair_number(pairs: DataFrame) -> DataFrame:
 
 
 def prepare_all(tables: Mapping[str, DataFrame], store: FeatureStore, compat: bool = False) -> dict[str, DataFrame]:
-    """Materialise cleaned sources, installs with category and installed pairs."""
+    """Materialise cleaned sources, installs with category and installed pairs.
+
+    On one store every form (``compat`` or not, other source files) has tables of its own.
+    """
     copied = ("ad", "app_cat", "pos", "test_ol", "action", "user_app")
     builds = {name: (lambda name=name: tables[name]) for name in copied}
     builds["train"] = lambda: clean_clicks(tables["train"])
     builds["user"] = lambda: clean_users(tables["user"], compat)
-    made = together(store.spark, *[lambda name=name, build=build: store.get(name, build)
-                                   for name, build in builds.items()])
+    made = together(store.spark, *[lambda name=name, build=build: store.get(
+        name, build, [tables[name]], compat=compat and name == "user") for name, build in builds.items()])
     ready = dict(zip(builds, made, strict=True))
+    pair_sources = [ready[name] for name in ("train", "test_ol", "ad", "user_app", "action")]
     ready["user_app_cat"], ready["installed_pairs"] = together(
         store.spark,
-        lambda: store.get("user_app_cat", lambda: installs_with_category(ready["user_app"], ready["app_cat"])),
-        lambda: store.get("installed_pairs", lambda: installed_pairs(
-            ready["train"], ready["test_ol"], ready["ad"], ready["user_app"], ready["action"])))
+        lambda: store.get("user_app_cat", lambda: installs_with_category(ready["user_app"], ready["app_cat"]),
+                          [ready["user_app"], ready["app_cat"]]),
+        lambda: store.get("installed_pairs", lambda: installed_pairs(*pair_sources), pair_sources))
     return ready

@@ -61,4 +61,4 @@ def _numbered(train: DataFrame, store: FeatureStore) -> DataFrame:
     Stored: a row number must not change when a task is run again.
     """
     return store.get("train_numbered", lambda: train.withColumns(
-        {"_clickTime": F.col("clickTime"), "_row": F.monotonically_increasing_id()}))
+        {"_clickTime": F.col("clickTime"), "_row": F.monotonically_increasing_id()}), [train])

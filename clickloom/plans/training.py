@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Model, PipelineModel
+from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom import schemas
 from clickloom.operators.aggregates import fold_summary
-from clickloom.operators.encode import add_crosses, dictionary, encode_rows, one_hot, truncated
+from clickloom.operators.encode import add_crosses, dictionary, encode_rows, truncated
 from clickloom.operators.modelling import (
     BLOCK,
     grid_search,
@@ -31,7 +31,6 @@ FOLDS = 5
 TRAIN_SHARE = 0.8
 RATIOS = ["conversion_ratio_connectionType", "conversion_ratio_telecomsOperator",
           "hour_conversion_ratio", "conversion_ratio_click"]
-COUNTS = ["conversion_count", "hour_weight"]
 
 
 @dataclass
@@ -53,8 +52,12 @@ def encode(train: DataFrame, scoring: DataFrame | None = None, keep: Sequence[st
     """One-hot encode all columns but the ratios, fitted on ``train`` only.
 
     Columns whose name starts with ``_`` (such as ordering columns) are no features.
-    ``compat_int`` treats the ratios as truncated whole numbers and encodes them too.
+    ``compat_int`` treats the ratios as truncated whole numbers and encodes them too.  ``keep`` columns must be in
+    the training set; the scoring set passes on those it has.
     """
+    absent = [c for c in keep if c not in train.columns]
+    if absent:
+        raise ValueError(f"columns to keep are not in the training set: {absent}")
     numeric = [c for c in RATIOS if c in train.columns]
     if compat_int:
         train = truncated(train, numeric)
@@ -70,15 +73,16 @@ def encode(train: DataFrame, scoring: DataFrame | None = None, keep: Sequence[st
     return Encoded(words, run(train), run(scoring) if scoring is not None else None)
 
 
-def linear_terms(train: DataFrame, crosses: bool = False) -> tuple[PipelineModel, list[str]]:
-    """Encoding of the ad, context and user groups, optionally with all pairwise crosses."""
+def linear_terms(train: DataFrame, crosses: bool = False, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Dictionary and encoded rows of the ad, context and user groups, optionally with all pairwise crosses."""
     groups = [schemas.AD_FEATURES, schemas.CONTEXT_FEATURES, schemas.USER_FEATURES]
     features = [f for g in groups for f in g]
     if crosses:
         for a, b in ((groups[0], groups[1]), (groups[0], groups[2]), (groups[1], groups[2])):
             train, made = add_crosses(train, a, b)
             features = features + made
-    return one_hot(train, features), features
+    words = dictionary(train, features)
+    return words, encode_rows(train, words, features, keep=keep)
 
 
 def tune(encoded: DataFrame, order: Sequence[str], share: float = TRAIN_SHARE, folds: int = FOLDS,

@@ -173,15 +173,26 @@ def fit_six_targets(matrix: DataFrame, split: str, make: Callable[[], Estimator]
                   mape_of_targets(scored.filter(~before), TARGETS, predicted).first().mape)
 
 
+def _incomplete(rows: DataFrame, features: Sequence[str]) -> DataFrame:
+    missing = F.lit(False)
+    for c in features:
+        missing = missing | F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+    return rows.filter(missing)
+
+
 def forecast_single(model: Model, rows: DataFrame, features: Sequence[str] = tuple(SINGLE_FEATURES),
                     keys: Sequence[str] = KEYS) -> DataFrame:
-    scored = model.transform(_vectors(rows, features))
-    return scored.select(*keys, F.col("ts").alias("time_window_start"), "prediction")
+    """One prediction per row; null where a feature is missing."""
+    columns = [*keys, F.col("ts").alias("time_window_start")]
+    scored = model.transform(_vectors(rows, features)).select(*columns, "prediction")
+    return scored.unionByName(_incomplete(rows, features).select(*columns, F.lit(None).cast("double").alias("prediction")))
 
 
 def forecast_six(models: Sequence[Model], rows: DataFrame, features: Sequence[str] = tuple(MULTI_FEATURES),
                  keys: Sequence[str] = KEYS) -> DataFrame:
-    """Six predictions per observed window, two hours after its start, one row each."""
-    scored = predict_targets(models, _vectors(rows, features))
-    long = unpivot_targets(scored, keys, [f"pred_{t}" for t in TARGETS], 2 * 3600)
+    """Six predictions per observed window, two hours after its start, one row each; null where a feature is missing."""
+    predicted = [f"pred_{t}" for t in TARGETS]
+    scored = predict_targets(models, _vectors(rows, features)).select(*keys, "ts", *predicted)
+    absent = _incomplete(rows, features).select(*keys, "ts", *[F.lit(None).cast("double").alias(c) for c in predicted])
+    long = unpivot_targets(scored.unionByName(absent), keys, predicted, 2 * 3600)
     return long.withColumnRenamed("ts", "time_window_start")

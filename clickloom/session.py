@@ -50,13 +50,16 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder all executors see.
 
     The cluster names it in ``spark.checkpoint.dir``.  Only where neither that nor a
-    checkpoint folder is set (tests on one machine) a temporary folder is made.
+    checkpoint folder is set, a temporary folder is made, and only on one machine: on a cluster
+    each executor would write to its own disk, so there the folder must be named.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("name a folder that all machines share in spark.checkpoint.dir")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="clickloom-"))
     return context.getCheckpointDir()
 

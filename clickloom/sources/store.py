@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+import json
+import os
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +24,16 @@ def _delete(spark: SparkSession, path: str) -> bool:
     return files.delete(target, True)
 
 
+def variant(name: str, inputs: Iterable[DataFrame] = (), **settings) -> str:
+    """``name`` marked with what a table is made from: settings that are not None, and columns and folders of the inputs."""
+    made_from = {k: v for k, v in settings.items() if v is not None and v is not False}
+    if inputs:
+        made_from["inputs"] = [[sorted(df.columns), sorted({os.path.dirname(f) for f in df.inputFiles()})] for df in inputs]
+    if not made_from:
+        return name
+    return f"{name}-{hashlib.md5(json.dumps(made_from, sort_keys=True, default=str).encode()).hexdigest()[:12]}"
+
+
 class FeatureStore:
     """Named parquet tables under one folder of a shared file system.
 
@@ -38,8 +51,12 @@ class FeatureStore:
     def has(self, name: str) -> bool:
         return _exists(self.spark, f"{self.path(name)}/_SUCCESS")
 
-    def get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """Read ``name``; build and write it first when absent."""
+    def get(self, name: str, build: Callable[[], DataFrame], inputs: Iterable[DataFrame] = (), **settings) -> DataFrame:
+        """Read ``name``; build and write it first when absent.
+
+        A table depends on ``settings`` and on the columns and files of ``inputs``: other ones are another table (``variant``).
+        """
+        name = variant(name, list(inputs), **settings)
         if not self.has(name):
             self.put(name, build())
         return self.spark.read.parquet(self.path(name))

@@ -47,7 +47,7 @@ def feature_blocks(r: Roles) -> DataFrame:
 
 
 @query("j01c_one_hot_vectors", f"""
-    SELECT "index"::INTEGER AS "index", n::DOUBLE AS total FROM ({_values_sql("wide", CODES, "value")})""")
+    SELECT "index"::INTEGER AS "index", n::DOUBLE AS total FROM ({_values_sql("wide", CODES)})""")
 def one_hot_vectors(r: Roles) -> DataFrame:
     """Column sums of the encoded matrix."""
     model = encode.one_hot(r.wide, CODES)
@@ -93,9 +93,8 @@ def _shape(df: DataFrame, vector: str) -> DataFrame:
     for g, c in GROUPS.items()))
 def grouped_one_hot(r: Roles) -> DataFrame:
     data = pin(assembled(r, r.train), "dataset")
-    models = encode.one_hot_groups(data, GROUPS)
-    shapes = [_shape(encode.apply_encoding(model, data), name).select(F.lit(name).alias("feature_group"), "*")
-              for name, model in models.items()]
+    shapes = [_shape(encode.encode_rows(data, encode.dictionary(data, columns), columns, output=name), name)
+              .select(F.lit(name).alias("feature_group"), "*") for name, columns in GROUPS.items()]
     return reduce(DataFrame.unionByName, shapes)
 
 
@@ -106,8 +105,8 @@ _LINEAR = [c for g in (schemas.AD_FEATURES, schemas.CONTEXT_FEATURES, schemas.US
     SELECT count(*) AS rows, {_widths(_LINEAR)} AS columns, ({_filled(_LINEAR)})::BIGINT AS non_zero FROM dataset""")
 def linear_terms(r: Roles) -> DataFrame:
     data = pin(assembled(r, r.train), "dataset")
-    model, _ = training.linear_terms(data)
-    return _shape(encode.apply_encoding(model, data), "features")
+    _, rows = training.linear_terms(data)
+    return _shape(rows, "features")
 
 
 def _cross_sql(base: str, pairs: list[tuple[str, str]]) -> str:
@@ -150,8 +149,8 @@ def crosses_three_groups(r: Roles) -> DataFrame:
     FROM wide""")
 def linear_and_crosses(r: Roles) -> DataFrame:
     rows, made = encode.add_crosses(r.wide, ["positionID"], ["connectionType", "telecomsOperator"])
-    model = encode.one_hot(rows, [*CODES, *made])
-    return _shape(encode.apply_encoding(model, rows), "features")
+    columns = [*CODES, *made]
+    return _shape(encode.encode_rows(rows, encode.dictionary(rows, columns), columns), "features")
 
 
 @query("j08_min_max_scale", """
@@ -236,7 +235,7 @@ def fold_sizes(r: Roles) -> DataFrame:
 def _encoded(r: Roles) -> DataFrame:
     """Encoded clicks with the columns that order them."""
     clicks = r.clicks_with_id
-    return encode.apply_encoding(encode.one_hot(clicks, CODES), clicks).select(*ORDER, "label", "features")
+    return encode.encode_rows(clicks, encode.dictionary(clicks, CODES), CODES, keep=[*ORDER, "label"])
 
 
 def _vectors(r: Roles) -> DataFrame:
@@ -491,14 +490,17 @@ def _timed(r: Roles) -> DataFrame:
 _TIMED = ["_clickTime", "_event_id"]
 
 
+_ENCODED = [*_LINEAR, "conversion_count", "click_count_group", "is_installed"]
+
+
 @query("k19_encode", f"""
-    SELECT count(*) AS rows,
-           {_widths([c for c in _LINEAR] + ['conversion_count', 'click_count_group', 'is_installed'])} + 4 AS columns
+    SELECT count(*) AS rows, {_widths(_ENCODED)} + 8 AS columns,
+           ({_filled(_ENCODED)} + {" + ".join(f"count_if({c} IS NULL OR {c} <> 0)" for c in training.RATIOS)})::BIGINT AS non_zero
     FROM dataset""")
 def encode_dataset(r: Roles) -> DataFrame:
-    """Shape of the encoded training set: one column per observed value, and the four ratios."""
+    """Shape of the encoded training set: one column per observed value, the four ratios and their marks for missing ones."""
     encoded = training.encode(pin(assembled(r, r.train), "dataset"))
-    return _shape(encoded.train, "features").drop("non_zero")
+    return _shape(encoded.train, "features")
 
 
 @query("k20_split", """

@@ -26,8 +26,8 @@ def regular(r: Roles) -> DataFrame:
     return plan.regular_series(r.trips, GRID_START, GRID_END)
 
 
-def _shown(df: DataFrame, *columns: str) -> DataFrame:
-    return rounded(with_time_text(df, "ts"), *columns)
+def _shown(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    return rounded(with_time_text(df, "ts"), *columns, digits=digits)
 
 
 def _raw(r: Roles) -> DataFrame:
@@ -141,10 +141,10 @@ def _parts(r: Roles) -> DataFrame:
     return ordered.decompose(regular(r), KEYS, "ts", "value", STEP, PERIOD)
 
 
-# many means end exactly half-way between two sixth decimals: both sides are nudged off that point
-@query("f08_trend", f"SELECT {_TS}, round(trend + 1e-9, 6) AS trend FROM trended")
+# many means end exactly half-way between two sixth decimals, so eight are kept
+@query("f08_trend", f"SELECT {_TS}, round(trend, 8) + 0.0 AS trend FROM trended")
 def trend(r: Roles) -> DataFrame:
-    return _shown(_parts(r).select(*KEYS, "ts", (F.col("trend") + 1e-9).alias("trend")), "trend")
+    return _shown(_parts(r).select(*KEYS, "ts", "trend"), "trend", digits=8)
 
 
 @query("f09_seasonal", f"""

@@ -34,11 +34,6 @@ def test_unseen_values_give_a_zero_block_or_an_error(spark, small):
         encode.apply_encoding(strict, row).collect()
 
 
-def test_too_many_columns_are_refused(small):
-    with pytest.raises(ValueError, match="max_columns"):
-        encode.one_hot(small, ["a", "b", "c"], max_columns=8)
-
-
 def test_dictionary_orders_numbers_as_numbers(spark):
     df = spark.createDataFrame([(10, "x"), (9, "y"), (2, "x"), (None, "x")], "n int, t string")
     got = [(r.feature, r.value, r["index"], r.n) for r in encode.dictionary(df, ["n", "t"]).orderBy("index").collect()]
@@ -57,7 +52,7 @@ def test_dictionary_does_not_depend_on_scored_rows(spark, small):
 def test_booleans_and_ratios(spark):
     df = spark.createDataFrame([(True, 0.25, 1), (False, 1.0, 0)], "flag boolean, hour_conversion_ratio double, label int")
     got = training.encode(df).train
-    assert sorted(arrays(got)) == [[0, 1, 0.25], [1, 0, 1.0]]
+    assert sorted(arrays(got)) == [[0, 1, 0.25, 0], [1, 0, 1.0, 0]]
     whole = training.encode(df, compat_int=True).train
     assert sorted(arrays(whole)) == [[0, 1, 1, 0], [1, 0, 0, 1]]
 
@@ -129,13 +124,27 @@ def test_selection(spark):
 
 
 def test_encoded_rows_equal_the_fitted_encoding(spark):
-    df = spark.createDataFrame([(1, 1, "x", 0.5), (2, 2, "y", 0.0), (3, 1, None, None), (4, 3, "x", 2.0)],
+    df = spark.createDataFrame([(1, 1, "x", 0.5), (2, 10, "y", 0.0), (3, 9, None, None), (4, None, "x", 2.0)],
                                "id int, a int, b string, r double")
     words = encode.dictionary(df, ["a", "b"])
-    rows = encode.encode_rows(df, words, ["a", "b"], ["r"], ["id"])
-    fitted = encode.apply_encoding(encode.one_hot(df, ["a", "b"], numeric=["r"]), df.fillna({"r": 0.0}))
-    assert arrays(rows.orderBy("id")) == arrays(fitted.orderBy("id"))
+    rows = encode.encode_rows(df, words, ["a", "b"], keep=["id"])
+    fitted = encode.apply_encoding(encode.one_hot(df, ["a", "b"]), df)
+    want = [[1, 0, 0, 1, 0], [0, 0, 1, 0, 1], [0, 1, 0, 0, 0], [0, 0, 0, 1, 0]]
+    assert arrays(rows.orderBy("id")) == arrays(fitted.orderBy("id")) == want
+    # features in another order than the dictionary; a missing number is 0 and marked
+    other = encode.encode_rows(df, words, ["b", "a"], ["r"], ["id"])
+    assert arrays(other.orderBy("id")) == [[*w, r, m] for w, r, m in zip(want, [0.5, 0, 0, 2], [0, 0, 1, 0])]
     other = spark.createDataFrame([(9, 7, "y", 1.0)], "id int, a int, b string, r double")
-    assert arrays(encode.encode_rows(other, words, ["a", "b"], ["r"])) == [[0, 0, 0, 0, 1, 1.0]]
+    assert arrays(encode.encode_rows(other, words, ["a", "b"], ["r"])) == [[0, 0, 0, 0, 1, 1.0, 0]]
     with pytest.raises(Exception, match="unseen value of a"):
         encode.encode_rows(other, words, ["a", "b"], unseen="error")
+
+
+def test_one_large_feature_does_not_move_the_rows_for_small_ones(spark, conf, monkeypatch):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    monkeypatch.setattr(encode, "HELD_BYTES", 1000)
+    names = [f"s{i}" for i in range(10)]
+    df = spark.range(2000).select(F.col("id").alias("big"), *[(F.col("id") % (i + 2)).alias(n) for i, n in enumerate(names)])
+    words = encode.dictionary(df, ["big", *names])
+    plan = encode.encode_indices(df, words, ["big", *names])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 10

@@ -46,6 +46,26 @@ def test_full_run(spark, tables, tmp_path):
     assert 0 < held_out < 2 and submission.count() == tables["test_ol"].count()
 
 
+def test_one_store_keeps_forms_apart(spark, tables, tmp_path):
+    store = FeatureStore(spark, str(tmp_path))
+    run.run_quick(tables, store, iterations=2)
+    submission, _, _ = run.run_full(tables, store, iterations=2)
+    assert submission.count() == tables["test_ol"].count()
+    ready = prepare.prepare_all(tables, store)
+    other = prepare.prepare_all(tables, store, compat=True)
+    assert ready["user"].exceptAll(other["user"]).count() > 0
+    late, early = (features.construct_all(ready, store, before) for before in (None, 100000))
+    counts = [made["dataset"].agg(F.sum("conversion_count")).first()[0] for made in (late, early)]
+    assert counts[0] > counts[1]
+    again = features.construct_all(ready, store)
+    assert again["dataset"].inputFiles() == late["dataset"].inputFiles()
+
+
+def test_columns_to_keep_must_exist(tables):
+    with pytest.raises(ValueError, match="_row"):
+        training.encode(tables["train"], keep=["_row"])
+
+
 def test_training_and_scoring_contexts(roles, tables):
     clicks = prepare.clean_clicks(tables["train"])
     statistics = features.context_statistics(clicks)

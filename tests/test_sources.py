@@ -92,7 +92,7 @@ def test_pin_reads_back_the_same_rows_from_the_shared_folder(spark):
 
 
 class _Context:
-    folder = None
+    folder, master = None, "local[4]"
 
     def getCheckpointDir(self):
         return self.folder
@@ -117,3 +117,11 @@ def test_shared_folder_is_made_only_where_none_is_set():
     session = _Session(None)
     first = shared_dir(session)
     assert first == shared_dir(session) == session.sparkContext.folder
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        session = _Session(None)
+        session.sparkContext.master = master
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(session)
