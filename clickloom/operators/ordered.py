@@ -31,17 +31,18 @@ CHUNK_ROWS = 2_000_000
 def pick_chunk(df: DataFrame, keys: Sequence[str], order: str, limit: int = CHUNK_ROWS) -> int:
     """Longest chunk, in seconds, of which no key has more than ``limit`` rows.
 
-    One count per candidate, longest first, over the key and time columns only.  The
-    shortest is one second: times are unique within a key and have microseconds, so
-    it holds a million rows at most.
+    The rows are counted once, by key and minute, and that written table is summed for each candidate, longest first.
+    The shortest is one second: times are unique within a key and have microseconds, so it
+    holds a million rows at most.
     """
-    times = df.select(*keys, epoch(F.col(order)).alias("_second"))
-    for seconds in CHUNKS:
-        held = times.groupBy(*keys, F.floor(F.col("_second") / seconds)).agg(F.count("*").alias("n"))
+    minute = F.floor(epoch(F.col(order)) / 60)
+    counted = pin(df.groupBy(*keys, minute.alias("_minute")).agg(F.count("*").alias("n")), "chunk-minutes")
+    for seconds in CHUNKS[:-1]:
+        held = counted.groupBy(*keys, F.floor(F.col("_minute") * 60 / seconds)).agg(F.sum("n").alias("n"))
         most = held.agg(F.max("n").alias("n")).first().n
         if most is None or most <= limit:
             return seconds
-    return 1
+    return CHUNKS[-1]
 
 
 def _carry(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str],

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.plans import features, prepare, training
-from clickloom.sources.sinks import write_model, write_submission
+from clickloom.sources.sinks import read_model, write_model, write_submission
 from clickloom.sources.store import FeatureStore
 from clickloom.sources.tables import read_source
 
@@ -21,24 +21,43 @@ def source_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def _encoded(made: Mapping[str, DataFrame], store: FeatureStore, keep: Sequence[str] = ()) -> training.Encoded:
-    """Encoded training and scoring sets; the dictionary is stored, as later scoring needs it."""
+    """Encoded training and scoring sets; what later scoring needs of the encoding is stored."""
     encoded = training.encode(made["dataset"], made["testset_ol"], keep=keep)
-    store.put("encoding", encoded.dictionary)
+    store_encoding(encoded, store)
     return encoded
 
 
-def run_quick(tables: Mapping[str, DataFrame], store: FeatureStore, iterations: int = 100) -> tuple[DataFrame, float]:
-    """Prepare, construct, encode, fit with a fixed penalty, score; the submission and the train log-loss."""
+def store_encoding(encoded: training.Encoded, store: FeatureStore) -> None:
+    """Dictionary, feature order and numeric columns."""
+    columns = [(i, c, kind) for kind, names in (("feature", encoded.features), ("numeric", encoded.numeric))
+               for i, c in enumerate(names)]
+    store.put("encoding", encoded.dictionary)
+    store.put("encoding_columns", store.spark.createDataFrame(columns, "place int, name string, kind string"))
+
+
+def score_stored(store: FeatureStore, scoring: DataFrame, installed: bool = True) -> DataFrame:
+    """Submission for rows of the assembled form (features and ``instanceID``) from what a run has stored, in any later session."""
+    columns = store.get("encoding_columns", None).orderBy("place").collect()      # one row per feature
+    features, numeric = ([r.name for r in columns if r.kind == kind] for kind in ("feature", "numeric"))
+    rows = training.encode_scoring(scoring, store.get("encoding", None), features, numeric)
+    return training.predict(read_model(store.path("model")), rows, installed=installed)
+
+
+def run_quick(tables: Mapping[str, DataFrame], store: FeatureStore, iterations: int = 100, installed: bool = False) -> tuple[DataFrame, float]:
+    """Prepare, construct, encode, fit with a fixed penalty, score; the submission and the train log-loss.
+
+    With ``installed`` pairs that are installed already get probability 0.
+    """
     made = features.construct_all(prepare.prepare_all(tables, store), store)
     encoded = _encoded(made, store)
     model, loss = training.quick_fit(encoded.train, iterations=iterations)
     write_model(model, store.path("model"))
-    result = training.predict(model, encoded.score)
+    result = training.predict(model, encoded.score, installed=installed)
     write_submission(result, store.path("submission"))
     return result, loss
 
 
-def run_full(tables: Mapping[str, DataFrame], store: FeatureStore, iterations: int = 100
+def run_full(tables: Mapping[str, DataFrame], store: FeatureStore, iterations: int = 100, installed: bool = False
              ) -> tuple[DataFrame, DataFrame, float]:
     """Prepare, construct, encode, hold out, tune, score; the submission, the ranking and the held-out log-loss.
 
@@ -50,7 +69,7 @@ def run_full(tables: Mapping[str, DataFrame], store: FeatureStore, iterations: i
     encoded = _encoded(made, store, ORDER)
     model, _, ranking, held_out = training.tune(encoded.train, ORDER, iterations=iterations)
     write_model(model, store.path("model"))
-    result = training.predict(model, encoded.score)
+    result = training.predict(model, encoded.score, installed=installed)
     write_submission(result, store.path("submission"))
     return result, ranking, held_out
 

@@ -29,17 +29,20 @@ ALPHAS = [0.0001, 0.001, 0.01, 0.1]
 QUICK_ALPHA = 0.01
 FOLDS = 5
 TRAIN_SHARE = 0.8
+INSTALLED = "is_installed"
 RATIOS = ["conversion_ratio_connectionType", "conversion_ratio_telecomsOperator",
           "hour_conversion_ratio", "conversion_ratio_click"]
 
 
 @dataclass
 class Encoded:
-    """Dictionary of the one-hot columns and the encoded sets, all written tables."""
+    """Dictionary of the one-hot columns and the encoded sets, all written tables, and the columns they come from."""
 
     dictionary: DataFrame
     train: DataFrame
     score: DataFrame | None
+    features: list[str]
+    numeric: list[str]
 
 
 def categorical_columns(df: DataFrame, numeric: Sequence[str] = RATIOS,
@@ -66,11 +69,17 @@ def encode(train: DataFrame, scoring: DataFrame | None = None, keep: Sequence[st
     features = categorical_columns(train, numeric, ("label", "instanceID", *keep))
     words = dictionary(train, features)
 
-    def run(df: DataFrame) -> DataFrame:
-        held = [c for c in ("label", "instanceID", *keep) if c in df.columns]
-        return encode_rows(df, words, features, numeric, held, unseen)
+    held = [c for c in ("label", "instanceID", *keep) if c in train.columns]
+    fitted = encode_rows(train, words, features, numeric, held, unseen)
+    scored = encode_scoring(scoring, words, features, numeric, keep, unseen) if scoring is not None else None
+    return Encoded(words, fitted, scored, features, numeric)
 
-    return Encoded(words, run(train), run(scoring) if scoring is not None else None)
+
+def encode_scoring(scoring: DataFrame, words: DataFrame, features: Sequence[str], numeric: Sequence[str],
+                   keep: Sequence[str] = (), unseen: str = "keep") -> DataFrame:
+    """Rows to score in the columns of a fitted encoding; the flag of installed pairs is passed on, as the submission needs it."""
+    held = dict.fromkeys(c for c in ("label", "instanceID", INSTALLED, *keep) if c in scoring.columns)
+    return encode_rows(scoring, words, features, numeric, list(held), unseen)
 
 
 def linear_terms(train: DataFrame, crosses: bool = False, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -120,9 +129,14 @@ def quick_fit(encoded: DataFrame, alpha: float = QUICK_ALPHA, iterations: int =
     return model, mean_log_loss(score(model, encoded)).first().log_loss
 
 
-def predict(model: Model, scoring: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
-    """Submission table; with ``pairs``, installed (user, app) pairs get probability 0."""
+def predict(model: Model, scoring: DataFrame, pairs: DataFrame | None = None, installed: bool = False) -> DataFrame:
+    """Submission table.
+
+    Installed (user, app) pairs get probability 0: those among ``pairs``, or with ``installed`` those that carry the flag.
+    """
     scored = score(model, scoring)
     if pairs is not None:
         scored = zero_installed(scored, pairs)
+    if installed:
+        scored = scored.withColumn("prob", F.when(F.col(INSTALLED).cast("int") == 1, F.lit(0.0)).otherwise(F.col("prob")))
     return submission(scored)

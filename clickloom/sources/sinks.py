@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Model, PipelineModel
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +24,9 @@ def write_model(model: PipelineModel, path: str) -> None:
     save(model, path, "model")
 
 
-def read_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def read_model(path: str) -> Model:
+    """A fitted model of whatever kind was written."""
+    return DefaultParamsReader.loadParamsInstance(path, SparkSession.active())
 
 
 def submission(scored: DataFrame, key: str = "instanceID", probability: str = "prob") -> DataFrame:

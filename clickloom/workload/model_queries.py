@@ -13,11 +13,14 @@ from clickloom import schemas
 from clickloom.operators import encode
 from clickloom.operators import modelling as m
 from clickloom.operators.aggregates import scale_min_max
+from clickloom.operators.joins import flag_members
 from clickloom.operators.ordered import shift_cycle
 from clickloom.operators.series import twelve_slots
-from clickloom.plans import training
+from clickloom.plans import run, training
 from clickloom.plans import travel_time as plan
-from clickloom.session import pin
+from clickloom.session import pin, scratch_path
+from clickloom.sources.sinks import write_model
+from clickloom.sources.store import FeatureStore
 from clickloom.workload.group_queries import assembled, click_parts, features, user_and_ad_groups
 from clickloom.workload.registry import query, rounded, with_time_text
 from clickloom.workload.roles import Roles
@@ -544,6 +547,22 @@ def score(r: Roles) -> DataFrame:
     return training.predict(model, encoded.score)
 
 
+@query("k23b_stored_score", """
+    SELECT instanceID, CASE WHEN EXISTS (SELECT 1 FROM user_app u WHERE u.userID = t.userID AND u.appID = t.appID)
+                            THEN 0 ELSE round(p, 5) END AS prob
+    FROM (SELECT * FROM test_ol JOIN ad USING (creativeID)) t
+         JOIN (SELECT connectionType, avg(label) AS p FROM train GROUP BY 1) USING (connectionType)""")
+def stored_score(r: Roles) -> DataFrame:
+    """Fit, store, read back, score with the rule for installed pairs."""
+    store = FeatureStore(r.spark, scratch_path(r.spark, "stored"))
+    encoded = training.encode(r.train.select("label", "connectionType"))
+    run.store_encoding(encoded, store)
+    write_model(rate_model().fit(encoded.train), store.path("model"))
+    rows = r.test_ol.join(r.ad.select("creativeID", "appID"), "creativeID")
+    rows = flag_members(rows, r.user_app, ["userID", "appID"], "is_installed")
+    return rounded(run.score_stored(store, rows.select("instanceID", "connectionType", "is_installed")), "prob", digits=5)
+
+
 @query("k27_single_target_forecast")
 def single_target_forecast(r: Roles) -> DataFrame:
     """Boosted trees on the single-target matrix; forecasts for the two hours after each observed window."""

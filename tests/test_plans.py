@@ -54,6 +54,11 @@ def test_one_store_keeps_forms_apart(spark, tables, tmp_path):
     ready = prepare.prepare_all(tables, store)
     other = prepare.prepare_all(tables, store, compat=True)
     assert ready["user"].exceptAll(other["user"]).count() > 0
+    made = features.construct_all(ready, store)
+    rows = run.score_stored(store, made["testset_ol"], installed=False).collect()
+    assert [r.instanceID for r in rows] == sorted(r.instanceID for r in rows) and len(rows) == tables["test_ol"].count()
+    zero = {r.instanceID for r in run.score_stored(store, made["testset_ol"]).filter("prob = 0").collect()}
+    assert zero == {r.instanceID for r in made["testset_ol"].filter("cast(is_installed AS int) = 1").collect()}
     late, early = (features.construct_all(ready, store, before) for before in (None, 100000))
     counts = [made["dataset"].agg(F.sum("conversion_count")).first()[0] for made in (late, early)]
     assert counts[0] > counts[1]
