@@ -28,7 +28,7 @@ AT_ONCE = 2048          # windows in a matrix
 SNIPPET = 240           # characters of a training text
 PER_LABEL = 300         # training texts of each label
 MOST_LABELS = 64        # labels learned: the most frequent ones
-STEPS, BATCH, LENGTH = 360, 128, 64
+STEPS, BATCH, LENGTH = 500, 128, 64
 RATE = 0.02
 
 
@@ -143,8 +143,10 @@ def train(samples: list[tuple[str, bytes]], steps: int = STEPS, hidden: int = HI
         x = np.zeros((LENGTH, BATCH), dtype=np.uint8)
         for b in range(BATCH):
             data = by_label[y[b]][draw.integers(len(by_label[y[b]]))]
-            at = draw.integers(max(1, len(data) - LENGTH + 1))
-            piece = data[at:at + LENGTH]
+            # a third of the pieces are short, as texts can be
+            size = LENGTH if b % 3 else int(draw.integers(8, LENGTH))
+            at = draw.integers(max(1, len(data) - size + 1))
+            piece = data[at:at + size]
             x[:len(piece), b] = piece
         _, grads = gradients(net, x, y)
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
