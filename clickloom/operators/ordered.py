@@ -275,12 +275,18 @@ def tag_blocks(df: DataFrame, order: Sequence[str], starts: Callable[[int], Sequ
 
     Only the sort key is sorted; the key at each block start (a handful of rows)
     then decides the block of every row by comparison, so the wide rows are not
-    moved.  ``order`` must identify a row and hold no nulls.
+    moved.  ``order`` must identify a row and hold no nulls: equal rows on both sides of a start are an error.
     """
     keys = with_row_index(df.select(*order), order, "_row")
     ranks = list(starts(keys.count()))
     types = dict(keys.dtypes)
-    cuts = keys.filter(F.col("_row").isin(ranks)).orderBy("_row").collect() if ranks else []
+    near = {*ranks, *(rank - 1 for rank in ranks)}
+    found = {row["_row"]: row for row in keys.filter(F.col("_row").isin(list(near))).collect()} if ranks else {}
+    cuts = [found[rank] for rank in sorted(set(ranks)) if rank in found]
+    for cut in cuts:
+        before = found.get(cut["_row"] - 1)
+        if before is not None and all(before[c] == cut[c] for c in order):
+            raise ValueError(f"rows are equal in {list(order)} where a block begins")
     key = F.struct(*order)
     block = F.lit(0)
     for cut in cuts:

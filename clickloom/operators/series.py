@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +29,12 @@ def extract_series(df: DataFrame, keys: Sequence[str], ts: str, value: str) -> D
     return df.select(*keys, F.col(ts).alias("ts"), F.col(value).alias("value"))
 
 
+def first_last_day(df: DataFrame, ts: str) -> tuple[date, date]:
+    """First and last day of the rows (one aggregate); 1970-01-01 without rows."""
+    row = df.agg(F.to_date(F.min(ts)).alias("begin"), F.to_date(F.max(ts)).alias("end")).first()
+    return row.begin or date(1970, 1, 1), row.end or date(1970, 1, 1)
+
+
 def bin_means(df: DataFrame, keys: Sequence[str], step: int = STEP) -> DataFrame:
     """Mean value per left-closed bin of ``step`` seconds; empty bins are absent."""
     return (df.groupBy(*keys, cal.bin_start(F.col("ts"), step).alias("ts"))

@@ -1,14 +1,20 @@
-"""The two end-to-end entries: full (split, tune, score) and quick (fit on all rows, score)."""
+"""End-to-end entries: full (split, tune, score) and quick (fit on all rows, score) for clicks, and forecasts of travel times."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.plans import features, prepare, training
-from clickloom.sources.sinks import read_model, write_model, write_submission
+from clickloom.functions.calendar import plus_seconds
+from clickloom.operators.encode import concatenate
+from clickloom.operators.modelling import grid_search, in_blocks, mape_measure
+from clickloom.operators.series import first_last_day
+from clickloom.plans import features, prepare, training, travel_time
+from clickloom.session import pin
+from clickloom.sources.sinks import read_model, write_forecast, write_model, write_submission
 from clickloom.sources.store import FeatureStore
 from clickloom.sources.tables import read_source
 
@@ -74,6 +80,31 @@ def run_full(tables: Mapping[str, DataFrame], store: FeatureStore, iterations: i
     return result, ranking, held_out
 
 
+def run_forecast(tables: Mapping[str, DataFrame], path: str, split: str, make: Callable[[float], Estimator],
+                 params: Sequence[float], columns: Sequence[str] = tuple(travel_time.SINGLE_FEATURES),
+                 period: int = travel_time.WEEK, folds: int = 3) -> tuple[DataFrame, DataFrame, travel_time.Fitted]:
+    """Travel times: build the matrix, search ``params`` on what lies before ``split``, fit, forecast, write to ``path``.
+
+    ``tables``: trajectories and weather of the training time and of the time to forecast (``*_test``).  The seasonal
+    curve is used a week later.  Returns the forecasts, the ranking and the fitted model with its errors.
+    """
+    trips = tables["trajectories"]
+    first, last = first_last_day(trips, "starting_time")
+    series = travel_time.regular_series(trips, f"{first} 00:00:00", f"{last} 23:40:00")
+    matrix = pin(travel_time.single_target_matrix(series, tables["weather"], period), "matrix")
+    known = matrix.filter(F.col("ts") < F.lit(split).cast("timestamp_ntz")).dropna(subset=[*columns, "travel_time"])
+    order = ["ts", *travel_time.KEYS]
+    vectors = concatenate(known.withColumnRenamed("travel_time", "label"), list(columns)).select(*order, "label", "features")
+    _, best, ranking = grid_search(in_blocks(vectors, order, folds), make, params, folds, mape_measure)
+    fitted = travel_time.fit_single_target(matrix, split, lambda: make(best), columns)[0]
+    curve = travel_time.seasonal_curve(series, period)
+    rows = travel_time.scoring_matrix(tables["trajectories_test"], tables["weather_test"], curve.withColumn(
+        "ts", plus_seconds(F.col("ts"), F.lit(7 * 86400))))
+    forecast = pin(travel_time.forecast_single(fitted.models[0], rows, columns), "forecast")
+    write_forecast(forecast, path)
+    return forecast, ranking, fitted
+
+
 def _numbered(train: DataFrame, store: FeatureStore) -> DataFrame:
     """Clicks with the columns that order them, which the feature groups pass on.
 

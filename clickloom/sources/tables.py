@@ -31,6 +31,8 @@ CATALOG = {
     "user_app": Source("user_installedapps.csv", schemas.USER_APP),
     "trajectories": Source("trajectories(table 5)_training.csv", schemas.TRAJECTORY),
     "weather": Source("weather (table 7)_training.csv", schemas.WEATHER),
+    "trajectories_test": Source("trajectories(table 5)_test1.csv", schemas.TRAJECTORY),
+    "weather_test": Source("weather (table 7)_test1.csv", schemas.WEATHER),
 }
 
 

@@ -2,6 +2,7 @@
 
 from clickloom.workload import (  # noqa: F401
     aggregate_queries,
+    closed_form_queries,
     group_queries,
     join_queries,
     model_queries,

@@ -17,7 +17,7 @@ from clickloom.plans.travel_time import KEYS, ready_weather, seasonal_curve
 from clickloom.session import pin
 from clickloom.workload.registry import query, rounded, with_time_text
 from clickloom.workload.roles import Roles
-from clickloom.workload.series_queries import GRID_END, GRID_START, regular
+from clickloom.workload.series_queries import grid_ends, regular
 
 _WEATHER = ", ".join(f"round({c}, 6) AS {c}" for c in schemas.WEATHER_COLUMNS)
 
@@ -108,7 +108,7 @@ def aligned_arithmetic(r: Roles) -> DataFrame:
     FROM grid LEFT JOIN bins USING (intersection_id, tollgate_id, ts)""")
 def exact_reindex(r: Roles) -> DataFrame:
     bins = bin_means(extract_series(r.trips, KEYS, "starting_time", "travel_time"), KEYS)
-    return rounded(with_time_text(on_grid(bins, KEYS, GRID_START, GRID_END), "ts"), "value")
+    return rounded(with_time_text(on_grid(bins, KEYS, *grid_ends(r)), "ts"), "value")
 
 
 @query("c10_index_join", """

@@ -24,7 +24,7 @@ from clickloom.sources.store import FeatureStore
 from clickloom.workload.group_queries import assembled, click_parts, features, user_and_ad_groups
 from clickloom.workload.registry import query, rounded, with_time_text
 from clickloom.workload.roles import Roles
-from clickloom.workload.series_queries import PERIOD, regular
+from clickloom.workload.series_queries import PERIOD, last_week, regular, split_day
 
 CODES = ["positionID", "connectionType", "telecomsOperator"]
 ITERATIONS = 14  # optimiser passes of the tuned model
@@ -568,8 +568,8 @@ def single_target_forecast(r: Roles) -> DataFrame:
     """Boosted trees on the single-target matrix; forecasts for the two hours after each observed window."""
     series = regular(r)
     matrix = plan.single_target_matrix(series, r.weather, PERIOD)
-    fitted = plan.fit_single_target(matrix, "2024-01-25 00:00:00", lambda: m.boosted_trees(trees=10))[0]
-    cycle = shift_cycle(plan.seasonal_curve(series, PERIOD), "ts", "2024-01-24", "2024-01-30", 7)
+    fitted = plan.fit_single_target(matrix, split_day(r), lambda: m.boosted_trees(trees=10))[0]
+    cycle = shift_cycle(plan.seasonal_curve(series, PERIOD), "ts", *last_week(r), 7)
     rows = plan.scoring_matrix(r.trips, r.weather, cycle)
     return with_time_text(plan.forecast_single(fitted.models[0], rows), "time_window_start").withColumns(
         {"train_mape": F.lit(fitted.train_mape), "test_mape": F.lit(fitted.test_mape)})
@@ -579,7 +579,7 @@ def single_target_forecast(r: Roles) -> DataFrame:
 def six_target_forecast(r: Roles) -> DataFrame:
     """One model per slot on the six-target matrix; forecasts for the two hours after each observed window."""
     series = regular(r)
-    fitted = plan.fit_six_targets(plan.six_target_matrix(series, r.weather), "2024-01-25 00:00:00",
+    fitted = plan.fit_six_targets(plan.six_target_matrix(series, r.weather), split_day(r),
                                   lambda: m.boosted_trees(trees=5))
     rows = plan.six_target_scoring_matrix(r.trips, r.weather)
     return with_time_text(plan.forecast_six(fitted.models, rows), "time_window_start").withColumns(

@@ -7,12 +7,14 @@ SQL side.  Every view reads its whole table.
 from __future__ import annotations
 
 import re
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.packed_time import pack, whole
+from clickloom.operators.series import first_last_day
 from clickloom.session import pin
 
 
@@ -138,6 +140,11 @@ class Roles:
             F.col("event_type").alias("intersection_id"), (F.col("user_id") % 2).cast("int").alias("tollgate_id"),
             F.col("ts").alias("starting_time"), F.col("value").alias("travel_time"))
 
+    @cached_property
+    def days(self) -> tuple[date, date]:
+        """First and last day with a trip."""
+        return first_last_day(self.trips, "starting_time")
+
     @cached_property
     def weather(self) -> DataFrame:
         """Reports every third hour, from the values seen in that hour."""

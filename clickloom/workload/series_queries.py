@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,15 +17,29 @@ from clickloom.workload.registry import query, rounded, with_time_text
 from clickloom.workload.roles import Roles
 
 KEYS = plan.KEYS
-# The grid of the given events and a season of one day of slots.
-GRID_START, GRID_END, PERIOD = "2024-01-01 00:00:00", "2024-01-30 23:40:00", 72
+PERIOD = 72  # a season of one day of slots
 _TS = "intersection_id, tollgate_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts"
 _WEATHER = ", ".join(f"round({c}, 6) AS {c}" for c in schemas.WEATHER_COLUMNS)
 _PREVIOUS = ", ".join(f"round(p.v{i}, 6) AS prev_tt_{i}" for i in range(SLOTS))
 
 
+def grid_ends(r: Roles) -> tuple[str, str]:
+    """First slot of the first day with a trip, last slot of the last."""
+    first, last = r.days
+    return f"{first} 00:00:00", f"{last} 23:40:00"
+
+
+def last_week(r: Roles) -> tuple[str, str]:
+    return str(r.days[1] - timedelta(days=6)), str(r.days[1])
+
+
+def split_day(r: Roles) -> str:
+    """Forecast models are fitted before this time; the last six days test them."""
+    return f"{r.days[1] - timedelta(days=5)} 00:00:00"
+
+
 def regular(r: Roles) -> DataFrame:
-    return plan.regular_series(r.trips, GRID_START, GRID_END)
+    return plan.regular_series(r.trips, *grid_ends(r))
 
 
 def _shown(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -35,7 +51,7 @@ def _raw(r: Roles) -> DataFrame:
 
 
 def _laid(r: Roles) -> DataFrame:
-    return series.on_grid(series.resample(_raw(r), KEYS), KEYS, GRID_START, GRID_END, fill="backward")
+    return series.on_grid(series.resample(_raw(r), KEYS), KEYS, *grid_ends(r), fill="backward")
 
 
 @query("f01_impute_operator", """
@@ -75,7 +91,7 @@ def forward_fill(r: Roles) -> DataFrame:
                PARTITION BY intersection_id, tollgate_id ORDER BY g.ts ROWS UNBOUNDED PRECEDING), 6) AS value
     FROM grid g LEFT JOIN bins USING (intersection_id, tollgate_id, ts)""")
 def forward_fill_series(r: Roles) -> DataFrame:
-    laid = series.on_grid(series.bin_means(_raw(r), KEYS), KEYS, GRID_START, GRID_END, fill="forward")
+    laid = series.on_grid(series.bin_means(_raw(r), KEYS), KEYS, *grid_ends(r), fill="forward")
     return _shown(laid, "value")
 
 
@@ -95,7 +111,7 @@ def backward_fill_series(r: Roles) -> DataFrame:
 
 @query("i02b_resample_onto_grid", f"SELECT {_TS}, round(value, 6) AS value FROM laid")
 def resampled_onto_grid(r: Roles) -> DataFrame:
-    return _shown(series.resample_onto(_raw(r), KEYS, GRID_START, GRID_END), "value")
+    return _shown(series.resample_onto(_raw(r), KEYS, *grid_ends(r)), "value")
 
 
 @query("f04_rolling_mean", f"""
@@ -158,10 +174,10 @@ def seasonal(r: Roles) -> DataFrame:
 @query("f10_shifted_cycle", """
     SELECT intersection_id, tollgate_id, strftime(ts + INTERVAL 7 DAY, '%Y-%m-%d %H:%M:%S') AS ts,
            round(seasonal_level, 6) AS value
-    FROM decomposed WHERE ts::DATE BETWEEN DATE '2024-01-24' AND DATE '2024-01-30'""")
+    FROM decomposed WHERE ts::DATE >= (SELECT max(starting_time)::DATE - 6 FROM trips)""")
 def shifted_cycle(r: Roles) -> DataFrame:
     curve = plan.seasonal_curve(regular(r), PERIOD)
-    return _shown(ordered.shift_cycle(curve, "ts", "2024-01-24", "2024-01-30", 7), "value")
+    return _shown(ordered.shift_cycle(curve, "ts", *last_week(r), 7), "value")
 
 
 @query("f11_row_index", """
@@ -200,7 +216,7 @@ def resampled(r: Roles) -> DataFrame:
 
 @query("i03_grid", f"SELECT {_TS} FROM grid")
 def calendar_grid(r: Roles) -> DataFrame:
-    return with_time_text(series.grid(_raw(r), KEYS, GRID_START, GRID_END), "ts")
+    return with_time_text(series.grid(_raw(r), KEYS, *grid_ends(r)), "ts")
 
 
 @query("i04_head", f"""
@@ -216,7 +232,7 @@ def head(r: Roles) -> DataFrame:
     SELECT strftime(g.ts, '%Y-%m-%d %H:%M:%S') AS ts, {_WEATHER}
     FROM (SELECT DISTINCT ts FROM grid) g ASOF LEFT JOIN weather_clean w ON g.ts >= w.ts""")
 def weather_on_grid(r: Roles) -> DataFrame:
-    times = series.grid(_raw(r), KEYS, GRID_START, GRID_END).select("ts").distinct()
+    times = series.grid(_raw(r), KEYS, *grid_ends(r)).select("ts").distinct()
     return _shown(series.add_weather(times, plan.ready_weather(r.weather)), *schemas.WEATHER_COLUMNS)
 
 

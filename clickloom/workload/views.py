@@ -126,9 +126,10 @@ VIEWS = {
               FROM bins GROUP BY intersection_id, tollgate_id)
         LEFT JOIN bins USING (intersection_id, tollgate_id, ts)""",
     "grid": """
-        SELECT intersection_id, tollgate_id, unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00',
-                   TIMESTAMP '2024-01-30 23:40:00', INTERVAL 20 MINUTE)) AS ts
-        FROM (SELECT DISTINCT intersection_id, tollgate_id FROM trips)""",
+        SELECT intersection_id, tollgate_id, unnest(generate_series(
+                   first_day::TIMESTAMP, last_day + INTERVAL '23 hours 40 minutes', INTERVAL 20 MINUTE)) AS ts
+        FROM (SELECT DISTINCT intersection_id, tollgate_id FROM trips),
+             (SELECT min(starting_time)::DATE AS first_day, max(starting_time)::DATE AS last_day FROM trips)""",
     "laid": """
         SELECT intersection_id, tollgate_id, ts, first_value(value IGNORE NULLS) OVER (
                    PARTITION BY intersection_id, tollgate_id ORDER BY ts

@@ -5,8 +5,6 @@ import pytest
 from check import compare, connect
 from clickloom.workload.catalog import ORACLES, QUERIES
 
-SLOW = {"j15_grid_search", "j16_validation_curve", "j17_learning_curve", "k21_tune"}
-
 
 @pytest.fixture(scope="module")
 def duck(sf):
@@ -18,7 +16,7 @@ def test_names_and_twins():
     assert len(ORACLES) > 150
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf, duck, name):
     df = QUERIES[name](spark, sf)
     if name in ORACLES:
