@@ -254,7 +254,7 @@ def bands(measured: DataFrame, group: str = "lang", width: float = 8.0, least: f
     out = out.withColumn("half", F.col("half") / 100)
     wide = out.groupBy("_lang", "_class").agg(*[
         F.max(F.when(F.col("measure") == m, F.struct("mid", "half"))).alias(f"_{m}") for m in MEASURES])
-    return pin(wide.coalesce(1), "fertility-bands")
+    return pin(wide, "fertility-bands")
 
 
 def verdict(measured: DataFrame, ranges: DataFrame, group: str = "lang") -> DataFrame:

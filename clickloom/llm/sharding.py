@@ -55,7 +55,7 @@ def assign_shards(df: DataFrame, shards: int, group: str, size: str, units: int
     placed = schedule([(r._item, r._size) for r in items.collect()], shards)
     table = pd.DataFrame({"_item": list(placed), "_shard": list(placed.values())}).astype({"_shard": "int32"})
     # at most 2 * shards * units rows, hence the broadcast
-    of_item = pin(spark.createDataFrame(table, "_item string, _shard int").coalesce(1), "shard-items")
+    of_item = pin(spark.createDataFrame(table, "_item string, _shard int"), "shard-items")
     bundles = of_item.filter(F.col("_item").startswith("~")).select(
         F.col("_item").alias("_bundle"), F.col("_shard").alias("_of_bundle"))
     own = of_item.filter(~F.col("_item").startswith("~")).select(
