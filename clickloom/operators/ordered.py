@@ -24,6 +24,8 @@ DAY = 86400
 # candidate chunk lengths, longest first, and the rows one key may have in a chunk
 CHUNKS = [30 * DAY, DAY, 3600, 60, 1]
 CHUNK_ROWS = 2_000_000
+# right sides of as-of joins up to this size are cut into intervals, which the left side meets without being moved
+SMALL_RIGHT, PER_BUCKET = 100_000, 64
 
 
 # --- filling -----------------------------------------------------------------
@@ -88,15 +90,54 @@ def carry_backward(df: DataFrame, keys: Sequence[str], order: str, columns: Sequ
     return _carry(df, keys, order, columns, chunk, forward=False)
 
 
+def _intervals(left: DataFrame, right: DataFrame, order: str, columns: Sequence[str], keys: Sequence[str],
+               small: int) -> tuple[DataFrame, int, int] | None:
+    """Written table of the right rows with the time each is valid until, one row per bucket of time it reaches into; with
+    the first time and the width of the buckets (seconds).  None if there are more than ``small`` rows or one bucket is crowded.
+
+    There are about as many buckets as rows of a key, up to the last time of the left side: the table has at most a few times the rows.
+    """
+    at = epoch(F.col(order))
+    ends = right.agg(F.count("*").alias("rows"), F.min(at).alias("begin"), F.max(at).alias("end"),
+                     (F.approx_count_distinct(F.struct(*keys)) if keys else F.lit(1)).alias("of")).first()
+    if ends.begin is None or ends.rows > small:
+        return None
+    end = max(ends.end, left.agg(F.max(at).alias("end")).first().end or ends.end)
+    width = max(1, (end - ends.begin) * max(1, ends.of) // ends.rows)
+    following = F.lead(order).over(Window.partitionBy(*keys).orderBy(order))     # at most ``small`` rows
+    rows = right.filter(F.col(order).isNotNull()).select(
+        *[F.col(k).alias(f"_r_{k}") for k in keys], F.col(order).alias("_r_from"), following.alias("_r_until"), *columns)
+    first = F.floor((epoch(F.col("_r_from")) - ends.begin) / width)
+    last = F.floor((F.coalesce(epoch(F.col("_r_until")), F.lit(end)) - ends.begin) / width)
+    reach = pin(rows.withColumn("_r_bucket", F.explode(F.sequence(first, F.greatest(first, last)))), "intervals")
+    seen = reach.groupBy("_r_bucket", *[f"_r_{k}" for k in keys]).agg(
+        F.count("*").alias("n"), F.max(F.col("_r_from") == F.col("_r_until")).alias("twice")).agg(
+        F.max("n").alias("most"), F.max("twice").alias("twice")).first()
+    if seen.twice:
+        raise ValueError(f"right rows of an as-of join repeat {[*keys, order]}")
+    return (reach, ends.begin, width) if seen.most <= PER_BUCKET else None
+
+
 def as_of(left: DataFrame, right: DataFrame, order: str, columns: Sequence[str],
-          keys: Sequence[str] = (), chunk: int | None = None) -> DataFrame:
+          keys: Sequence[str] = (), chunk: int | None = None, small: int = SMALL_RIGHT) -> DataFrame:
     """Join to each left row the last right row at or before its time; none gives nulls.
 
-    ``right`` is unique in (keys, order).  Only times are sorted: each distinct (keys,
+    ``right`` is unique in (keys, order).  A right side of at most ``small`` rows is counted, written as intervals spread over
+    buckets of time, and joined on the bucket: it is broadcast by its size, and the left side stays where it is.
+
+    Otherwise only times are sorted: each distinct (keys,
     order) of the left side finds the time of its right row, then two equi-joins bring
     the columns.  So many left rows with one key or one time are only ever moved by a
     join, and wide right rows by one.
     """
+    cut = _intervals(left, right, order, columns, keys, small) if small else None
+    if cut:
+        reach, begin, width = cut
+        inside = (F.floor((epoch(F.col(order)) - begin) / width) == F.col("_r_bucket")) & (F.col(order) >= F.col("_r_from")) & (
+            F.col("_r_until").isNull() | (F.col(order) < F.col("_r_until")))
+        for k in keys:
+            inside = inside & (F.col(k) == F.col(f"_r_{k}"))
+        return left.join(reach, inside, "left").drop("_r_bucket", "_r_from", "_r_until", *[f"_r_{k}" for k in keys])
     on = [*keys, order]
     chunk = chunk or pick_chunk(left.select(*on).unionByName(right.select(*on)), keys, order)
     asks = left.select(*on).distinct().withColumns({"_found": F.lit(None).cast("timestamp_ntz"), "_ask": F.lit(True)})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from clickloom.plans import features, prepare, reports
 from clickloom.session import pin, scratch_path, together
 from clickloom.sources.store import FeatureStore
-from clickloom.workload.registry import query, rounded
+from clickloom.workload.registry import contents, contents_sql, query, rounded
 from clickloom.workload.roles import Roles
 
 RATIOS = ["conversion_ratio_connectionType", "conversion_ratio_telecomsOperator", "hour_conversion_ratio",
@@ -57,14 +58,22 @@ def _source_tables(r: Roles) -> dict[str, DataFrame]:
             "action": r.action, "user": r.user, "user_app": r.user_app}
 
 
-@query("k05_prepare_all", """
-    SELECT 'installed_pairs' AS name, count(*) AS n FROM installed UNION ALL SELECT 'train', count(*) FROM clean
-    UNION ALL SELECT 'user', count(*) FROM clean_users UNION ALL SELECT 'user_app_cat', count(*) FROM user_app""")
+PREPARED = {
+    "installed_pairs": ("installed", ["userID", "appID"]),
+    "train": ("clean", ["label", "clickTime", "conversionTime", "creativeID", "userID", "positionID", "connectionType",
+                        "telecomsOperator"]),
+    "user": ("clean_users", ["userID", "age", "gender", "education", "marriageStatus", "haveBaby", "hometown", "residence"]),
+    "user_app_cat": ("(SELECT * FROM user_app LEFT JOIN app_cat USING (appID))", ["userID", "appID", "appCategory"]),
+}
+
+
+@query("k05_prepare_all", "\nUNION ALL\n".join(
+    contents_sql(name, source, columns, "userID") for name, (source, columns) in PREPARED.items()))
 def prepare_all(r: Roles) -> DataFrame:
+    """Contents of the prepared tables, column by column."""
     ready = prepare.prepare_all(_source_tables(r), FeatureStore(r.spark, scratch_path(r.spark, "prepared")))
-    counts = [ready[name].agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
-              for name in ("installed_pairs", "train", "user", "user_app_cat")]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+    return reduce(DataFrame.unionByName, [contents(name, ready[name], columns, "userID")
+                                          for name, (_, columns) in PREPARED.items()])
 
 
 @query("k06_app_popularity", "SELECT appID, app_popularity FROM popularity")
@@ -199,18 +208,28 @@ def dataset_wide(r: Roles) -> DataFrame:
     return rounded(assembled(r, r.wide), *RATIOS)
 
 
-@query("k18_construct_all", """
-    SELECT 'dataset' AS name, count(*) AS n FROM dataset UNION ALL SELECT 'fg_ad', count(*) FROM ad_group
-    UNION ALL SELECT 'fg_user', count(*) FROM user_group UNION ALL SELECT 'f_context_users', count(*) FROM user_clicks
-    UNION ALL SELECT 'testset_ol', count(*) FROM context_test JOIN user_group USING (userID) JOIN ad_group USING (creativeID)""")
+_TEST = "(SELECT * FROM context_test JOIN user_group USING (userID) JOIN ad_group USING (creativeID))"
+_USERS = ["age", "gender", "education", "marriageStatus", "haveBaby", "hometown", "residence", "user_activity", "cat_pref"]
+_ADS = ["advertiserID", "appPlatform", "appCategory", "app_popularity"]
+_CONTEXT = ["connectionType", "telecomsOperator", "hour", "is_installed", *RATIOS, "hour_weight", "sitesetID", "positionType",
+            "conversion_count", "click_count_group"]
+CONSTRUCTED = {
+    "dataset": ("dataset", ["label", *_CONTEXT, *_USERS, *_ADS, "is_pref_cat"], "advertiserID"),
+    "fg_ad": ("ad_group", ["creativeID", *_ADS], "creativeID"),
+    "fg_user": ("user_group", ["userID", *_USERS], "userID"),
+    "f_context_users": ("user_clicks", ["userID", "conversion_count", "click_count_group", "conversion_ratio_click"], "userID"),
+    "testset_ol": (_TEST, ["instanceID", *_CONTEXT, *_USERS, *_ADS], "instanceID"),
+}
+
+
+@query("k18_construct_all", "\nUNION ALL\n".join(
+    contents_sql(name, source, columns, key, ["is_installed", "is_pref_cat"]) for name, (source, columns, key) in CONSTRUCTED.items()))
 def construct_all(r: Roles) -> DataFrame:
+    """Contents of the constructed tables, column by column."""
     store = FeatureStore(r.spark, scratch_path(r.spark, "constructed"))
     made = features.construct_all(prepare.prepare_all(_source_tables(r), store), store)
-    counts = None
-    for name in ("dataset", "fg_ad", "fg_user", "f_context_users", "testset_ol"):
-        part = made[name].agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
-        counts = part if counts is None else counts.unionByName(part)
-    return counts
+    return reduce(DataFrame.unionByName, [contents(name, made[name], columns, key)
+                                          for name, (_, columns, key) in CONSTRUCTED.items()])
 
 
 _DELAY = """floor(d / 10000) * 1440 + floor(d / 100 - 100 * floor(d / 10000)) * 24 + floor(d - 100 * floor(d / 100))"""

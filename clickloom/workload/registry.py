@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,3 +40,23 @@ def time_text(column: str | Column) -> Column:
 
 def with_time_text(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: time_text(c) for c in columns})
+
+
+def contents(name: str, df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+    """Per column of a table of numbers: values, their sum, and their sum weighted by the key of their row."""
+    def parts(c: str) -> Column:
+        value = F.col(c).cast("int" if dict(df.dtypes)[c] == "boolean" else dict(df.dtypes)[c]).cast("double")
+        return F.struct(F.lit(c).alias("column"), F.count(value).alias("n"), F.round(F.sum(value), 3).alias("total"),
+                        F.round(F.sum(value * (F.col(key) % 1009)), 3).alias("weighted"))
+
+    summed = df.agg(F.array(*[parts(c) for c in columns]).alias("parts"))
+    return summed.select(F.lit(name).alias("name"), F.inline("parts"))
+
+
+def contents_sql(name: str, source: str, columns: Sequence[str], key: str, flags: Sequence[str] = ()) -> str:
+    def part(c: str) -> str:
+        value = f"{c}::INTEGER::DOUBLE" if c in flags else f"{c}::DOUBLE"
+        return (f"SELECT '{name}' AS name, '{c}' AS \"column\", count({c}) AS n, round(sum({value}), 3) AS total, "
+                f"round(sum({value} * ({key} % 1009)), 3) AS weighted FROM {source}")
+
+    return "\nUNION ALL\n".join(part(c) for c in columns)

@@ -18,7 +18,7 @@ from clickloom.plans.features import app_popularity
 from clickloom.plans.travel_time import KEYS
 from clickloom.session import scratch_path
 from clickloom.sources import sinks, store, tables
-from clickloom.workload.registry import query, rounded, with_time_text
+from clickloom.workload.registry import contents, contents_sql, query, rounded, with_time_text
 from clickloom.workload.roles import Roles
 
 CODES = ["positionID", "connectionType", "telecomsOperator"]
@@ -45,8 +45,8 @@ def ingest(r: Roles) -> DataFrame:
 
 
 @query("a04_typed_save", """
-    SELECT kind, count(*) AS n, sum(userID)::BIGINT AS users, sum(appID)::BIGINT AS apps
-    FROM user_app, (VALUES ('csv'), ('json'), ('orc'), ('parquet')) k(kind) GROUP BY kind""")
+    SELECT kind, userID, appID, count(*) AS n
+    FROM user_app, (VALUES ('csv'), ('json'), ('orc'), ('parquet')) k(kind) GROUP BY ALL""")
 def typed_save(r: Roles) -> DataFrame:
     parts = []
     for kind in ("parquet", "orc", "json", "csv"):
@@ -54,8 +54,7 @@ def typed_save(r: Roles) -> DataFrame:
         store.save(r.user_app, path, kind)
         reader = r.spark.read.schema(schemas.USER_APP).option("header", kind == "csv")
         saved = reader.format(kind).load(path)
-        parts.append(saved.agg(F.count("*").alias("n"), F.sum("userID").alias("users"), F.sum("appID").alias("apps"))
-                     .select(F.lit(kind).alias("kind"), "n", "users", "apps"))
+        parts.append(saved.groupBy(F.lit(kind).alias("kind"), "userID", "appID").agg(F.count("*").alias("n")))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -127,15 +126,21 @@ def forecast_files(r: Roles) -> DataFrame:
     return rounded(with_time_text(saved, "time_window_start"), "prediction")
 
 
-@query("a11_catalogue", """
-    SELECT * FROM (SELECT 'ad' AS name, count(*) AS n FROM ad UNION ALL SELECT 'app_cat', count(*) FROM app_cat
-                   UNION ALL SELECT 'pos', count(*) FROM pos UNION ALL SELECT 'user', count(*) FROM users)""")
+SOURCES = {
+    "ad": ("ad", ["creativeID", "adID", "camgaignID", "advertiserID", "appID", "appPlatform"], "creativeID"),
+    "app_cat": ("app_cat", ["appID", "appCategory"], "appID"),
+    "pos": ("pos", ["positionID", "sitesetID", "positionType"], "positionID"),
+    "user": ("users", ["userID", "age", "gender", "education", "marriageStatus", "haveBaby", "hometown", "residence"], "userID"),
+}
+
+
+@query("a11_catalogue", "\nUNION ALL\n".join(
+    contents_sql(name, source, columns, key) for name, (source, columns, key) in SOURCES.items()))
 def catalogue(r: Roles) -> DataFrame:
     """Sources found by logical name through the catalogue of files and schemas."""
     folder = scratch_path(r.spark, "sources")
-    parts = []
-    for name, df in {"ad": r.ad, "app_cat": r.app_cat, "pos": r.pos, "user": r.user}.items():
+    given = {"ad": r.ad, "app_cat": r.app_cat, "pos": r.pos, "user": r.user}
+    for name, df in given.items():
         store.save(df, f"{folder}/{tables.CATALOG[name].file_name}", "csv")
-        parts.append(tables.read_source(r.spark, folder, name).agg(F.count("*").alias("n"))
-                     .select(F.lit(name).alias("name"), "n"))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [contents(name, tables.read_source(r.spark, folder, name), columns, key)
+                                          for name, (_, columns, key) in SOURCES.items()])

@@ -58,23 +58,46 @@ def test_chunk_is_picked_by_the_hottest_key(spark):
     assert ordered.pick_chunk(df, ["k"], "ts", limit=1) in (60, 1)
 
 
-@pytest.mark.parametrize("chunk", [3600, None])
-def test_as_of_matches_pandas(spark, chunk):
+@pytest.mark.parametrize("chunk, small", [(3600, 0), (None, 0), (None, ordered.SMALL_RIGHT)])
+def test_as_of_matches_pandas(spark, chunk, small):
     left, lp = events(spark, 4)
     right, rp = events(spark, 5, 150)
     right = right.select("k", "ts", F.col("id").alias("rid"))
     rp = rp.rename(columns={"id": "rid"})[["k", "ts", "rid"]]
     want = pd.merge_asof(lp.sort_values("ts"), rp.sort_values("ts"), on="ts", by="k").set_index("id")["rid"]
-    got = ordered.as_of(left, right, "ts", ["rid"], ["k"], chunk)
+    got = ordered.as_of(left, right, "ts", ["rid"], ["k"], chunk, small)
     assert values(got, "rid") == expected(want)
 
 
-def test_as_of_includes_the_same_time_and_repeats_for_ties(spark):
+@pytest.mark.parametrize("small", [0, ordered.SMALL_RIGHT])
+def test_as_of_includes_the_same_time_and_repeats_for_ties(spark, small):
     t = [START + dt.timedelta(hours=h) for h in range(4)]
     left = spark.createDataFrame([(0, t[0]), (1, t[1]), (2, t[1]), (3, t[3])], "id int, ts timestamp_ntz")
     right = spark.createDataFrame([(t[1], "a"), (t[2], None)], "ts timestamp_ntz, w string")
     # the later report has no value: the last report counts, not the last known value
-    assert values(ordered.as_of(left, right, "ts", ["w"]), "w") == {0: None, 1: "a", 2: "a", 3: None}
+    assert values(ordered.as_of(left, right, "ts", ["w"], small=small), "w") == {0: None, 1: "a", 2: "a", 3: None}
+    assert set(values(ordered.as_of(left, right.limit(0), "ts", ["w"], small=small), "w").values()) == {None}
+
+
+def test_as_of_against_a_small_side_does_not_move_the_left(spark):
+    left, _ = events(spark, 4)
+    right, _ = events(spark, 5, 150)
+    got = ordered.as_of(left, right.select("k", "ts", F.col("id").alias("rid")), "ts", ["rid"], ["k"])
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text and "NestedLoop" not in text
+    twice = right.select("k", "ts", F.col("id").alias("rid"))
+    with pytest.raises(ValueError):
+        ordered.as_of(left, twice.union(twice), "ts", ["rid"], ["k"])
+
+
+def test_as_of_with_a_crowded_bucket_takes_the_general_way(spark):
+    """All right rows but one lie within two minutes of a long time."""
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    right = spark.range(121).select((start + F.make_dt_interval(secs=F.when(F.col("id") == 0, 9_000_000).otherwise(F.col("id"))
+                                     .cast("decimal(18,6)"))).alias("ts"), F.col("id").alias("rid"))
+    left = spark.range(200).select("id", (start + F.make_dt_interval(secs=F.col("id").cast("decimal(18,6)"))).alias("ts"))
+    got = values(ordered.as_of(left, right, "ts", ["rid"]), "rid")
+    assert got == {i: None if i == 0 else min(i, 120) for i in range(200)}
 
 
 def test_row_index_and_positions(spark):
@@ -94,6 +117,13 @@ def test_row_index_spreads_one_leading_value(spark):
     assert got.filter("row_index <> id").count() == 0
 
 
+def test_a_tie_where_a_block_begins_is_an_error(spark):
+    df = spark.range(10).select((F.col("id") >= 3).cast("int").alias("t"))
+    with pytest.raises(ValueError):
+        ordered.tag_blocks(df, ["t"], lambda n: [5], "b")
+    assert ordered.tag_blocks(df, ["t"], lambda n: [3], "b").filter("b = 1").count() == 7
+
+
 def test_blocks(spark):
     df, pdf = events(spark, 7, 103)
     order = {int(i): n for n, i in enumerate(pdf.sort_values(["ts"])["id"])}
