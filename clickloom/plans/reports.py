@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clickloom.functions.codes import province
 from clickloom.functions.packed_time import day_of, hour_of
 from clickloom.operators.aggregates import count_of_counts
+from clickloom.operators.joins import flag_members
 from clickloom.operators.sets import duplicate_keys
 
 
@@ -82,3 +83,15 @@ def action_report(action: DataFrame) -> DataFrame:
     time = F.col("installTime")
     return _counts(action, day=day_of(time), hour=hour_of(time)
                    ).unionByName(_occurrences(action, "installs_per_user", "userID"))
+
+
+def scoring_report(scoring: DataFrame, ad: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Connections, operators and clicks per user of a log to score, and how many of its rows name an installed (user, app) pair.
+
+    Repeated ``pairs`` (userID, appID) count once; a creative without an ad names no app.
+    """
+    apps = scoring.select("userID", "creativeID").join(ad.select("creativeID", "appID"), "creativeID")
+    installed = flag_members(apps, pairs, ["userID", "appID"], "_installed").agg(F.count_if("_installed").alias("n"))
+    return (_counts(scoring, connectionType=F.col("connectionType"), telecomsOperator=F.col("telecomsOperator"))
+            .unionByName(_occurrences(scoring, "clicks_per_user", "userID"))
+            .unionByName(installed.select(F.lit("installed").alias("metric"), F.lit("all").alias("key"), "n")))

@@ -332,3 +332,13 @@ def category_report(r: Roles) -> DataFrame:
     _section("installs_per_user", _occurs("installs_seen", "userID"), "occurs")))
 def action_report(r: Roles) -> DataFrame:
     return reports.action_report(r.action)
+
+
+@query("k26h_scoring_report", _stack(
+    _total("rows", "test_ol"), _section("connectionType", "test_ol", "connectionType"),
+    _section("telecomsOperator", "test_ol", "telecomsOperator"),
+    _section("clicks_per_user", _occurs("test_ol", "userID"), "occurs"),
+    _total("installed", """(SELECT * FROM test_ol JOIN ad USING (creativeID)
+                            WHERE (userID, appID) IN (SELECT (userID, appID) FROM user_app))""")))
+def scoring_report(r: Roles) -> DataFrame:
+    return reports.scoring_report(r.test_ol, r.ad, r.user_app)
