@@ -6,10 +6,12 @@ is the place of its pair (rank for h lines, rank for h lines of the suffix h lin
 pairs.  Suffixes with equal ranks are an interval of the suffix array whose longest common prefix is at least that
 many lines; a suffix alone in its interval has no copy and leaves the rounds.
 
-A run counts as repeated from ``min_words`` words on.  So for each suffix only the interval at the depth of its
-first lines with that many words matters; every line has a word, so there are at most ``min_words`` such lines
-and the rounds end there.  Depths between powers of two are met by two overlapping
-prefixes.  The first suffix of an interval stays, the others' lines go; overlapping deletions join into maximal runs.
+A run counts as repeated from ``min_words`` words on, and goes whole.  It is the union of its windows that hold that many words
+and would not without their last line, or not without their first: a line of the run with ``min_words`` words up to it ends a window
+of the second kind, any other is in the window of the first kind that begins the run.  Every line has a word, so
+a window has at most ``min_words`` lines, the rounds end there, and there are at most two windows for each line.
+Depths between powers of two are met by two overlapping prefixes.  The first window of those alike
+stays, the others' lines go; overlapping deletions join into maximal runs.
 
 Everything is DataFrame operations.
 """
@@ -41,10 +43,11 @@ def numbered(docs: DataFrame, key: str = "doc_id", text: str = "text", keep_text
 
 
 def line_table(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc, pos, line, id, need): lines with a word, numbered by ``pos`` in their document.
+    """(doc, pos, line, id, need, upto): lines with a word, numbered by ``pos`` in their document.
 
-    ``need``: lines from here on that hold ``min_words`` words, null where the document ends before.  A document is one row
-    of the input, so no window is larger than that.
+    ``need``: lines from here on that hold ``min_words`` words, null where the document ends before; ``upto``: the most lines from here
+    on that would not hold them without the first, ``need`` at least.  A document is one row of the input, so no
+    window is larger than that.
     """
     rows = docs.select("doc", F.posexplode("lines").alias("line", "_l")).select(
         "doc", "line", F.col("_l.id").alias("id"), F.col("_l.words").alias("words")).filter(F.col("words") > 0)
@@ -54,7 +57,10 @@ def line_table(docs: DataFrame, min_words: int) -> DataFrame:
     reach = Window.partitionBy("doc").orderBy("_from").rangeBetween(0, min_words - 1)
     rows = rows.withColumn("_lines", F.count("*").over(reach)).withColumn("_to", F.max(F.col("_from") + F.col("words")).over(reach))
     need = F.when(F.col("_to") - F.col("_from") >= min_words, F.col("_lines")).cast("int")
-    return rows.select("doc", "pos", "line", "id", need.alias("need"))
+    rows = rows.withColumn("need", need).withColumn("_left", F.count("*").over(Window.partitionBy("doc")) - F.col("pos"))
+    after = F.coalesce(F.lead("need").over(Window.partitionBy("doc").orderBy("_from")), F.col("_left"))
+    upto = F.when(F.col("need").isNotNull(), F.greatest("need", after)).cast("int")
+    return rows.select("doc", "pos", "line", "id", "need", upto.alias("upto"))
 
 
 def _ranked(pairs: DataFrame, by: list[str]) -> DataFrame:
@@ -64,16 +70,16 @@ def _ranked(pairs: DataFrame, by: list[str]) -> DataFrame:
 
 
 def intervals(lines: DataFrame, min_words: int) -> list[DataFrame]:
-    """Per round the written table (doc, pos, need, rank) of the suffixes that share their first 1, 2, 4, ... lines with another."""
+    """Per round the written table (doc, pos, need, upto, rank) of the suffixes that share their first 1, 2, 4, ... lines with another."""
     first = _ranked(lines.select("id"), ["id"])
-    suffixes = pin(lines.join(first, "id").select("doc", "pos", "need", "rank"), "line-suffixes")
+    suffixes = pin(lines.join(first, "id").select("doc", "pos", "need", "upto", "rank"), "line-suffixes")
     levels, depth = [suffixes], 1
     while 2 * depth <= min_words:
         ahead = Window.partitionBy("doc").orderBy("pos").rangeBetween(depth, depth)
         pairs = suffixes.withColumn("then", F.max("rank").over(ahead)).filter(F.col("then").isNotNull())
         pairs = pin(pairs.withColumnRenamed("rank", "start"), "line-pairs")
         ranks = _ranked(pairs, ["start", "then"])
-        suffixes = pin(pairs.join(ranks, ["start", "then"]).select("doc", "pos", "need", "rank"), "line-suffixes")
+        suffixes = pin(pairs.join(ranks, ["start", "then"]).select("doc", "pos", "need", "upto", "rank"), "line-suffixes")
         if suffixes.isEmpty():
             break
         levels.append(suffixes)
@@ -82,21 +88,22 @@ def intervals(lines: DataFrame, min_words: int) -> list[DataFrame]:
 
 
 def later_copies(levels: list[DataFrame]) -> DataFrame:
-    """(doc, pos, need): suffixes whose first ``need`` lines stand earlier in the corpus too."""
+    """(doc, pos, size): windows of ``size`` lines, ``need`` to ``upto``, that stand earlier in the corpus too."""
     out = None
     for level, suffixes in enumerate(levels):
         depth = 1 << level
-        due = suffixes.filter((F.col("need") >= depth) & (F.col("need") < 2 * depth))
+        due = suffixes.filter((F.col("upto") >= depth) & (F.col("need") < 2 * depth)).withColumn("size", F.explode(F.sequence(
+            F.greatest("need", F.lit(depth)), F.least("upto", F.lit(2 * depth - 1)))))
         if level:
             end = suffixes.select("doc", (F.col("pos") + depth).alias("_end"), F.col("rank").alias("then"))
-            due = due.withColumn("_end", F.col("pos") + F.col("need")).join(end, ["doc", "_end"])
+            due = due.withColumn("_end", F.col("pos") + F.col("size")).join(end, ["doc", "_end"])
         else:
             due = due.withColumn("then", F.col("rank"))
-        due = pin(due.select("doc", "pos", "need", "rank", "then"), "line-due")
-        kept = pin(due.groupBy("need", "rank", "then").agg(
+        due = pin(due.select("doc", "pos", "size", "rank", "then"), "line-due")
+        kept = pin(due.groupBy("size", "rank", "then").agg(
             F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("n")).filter(F.col("n") > 1), "line-first")
-        found = (due.join(kept, ["need", "rank", "then"]).filter(F.struct("doc", "pos") > F.col("first"))
-                 .select("doc", "pos", "need"))
+        found = (due.join(kept, ["size", "rank", "then"]).filter(F.struct("doc", "pos") > F.col("first"))
+                 .select("doc", "pos", "size"))
         out = found if out is None else out.union(found)
     return out
 
@@ -105,7 +112,7 @@ def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Written table (doc, deleted): the line numbers, ascending, that go from each document of ``numbered`` that loses any."""
     lines = pin(line_table(docs, min_words), "line-table")
     runs = later_copies(intervals(lines, min_words))
-    covered = runs.select("doc", F.explode(F.sequence("pos", F.col("pos") + F.col("need") - 1)).alias("pos")).distinct()
+    covered = runs.select("doc", F.explode(F.sequence("pos", F.col("pos") + F.col("size") - 1)).alias("pos")).distinct()
     gone = covered.join(lines.select("doc", "pos", "line"), ["doc", "pos"])
     return pin(gone.groupBy("doc").agg(F.array_sort(F.collect_list("line")).alias("deleted")), "line-deleted")
 

@@ -368,6 +368,39 @@ def test_line_runs_against_brute_force(spark, hard, least):
     assert report.count() == len(rows) and report.agg(F.sum("n_deleted")).first()[0] == sum(len(g) for *_, g in got)
 
 
+def brute_maximal(texts, least):
+    """Line numbers that go from each text: every run of ``least`` words that begins earlier too, whole."""
+    lines = [[(i, x, len(WORD.findall(x))) for i, x in enumerate(t.split("\n")) if WORD.search(x)] for t in texts]
+    starts = [(d, p) for d, of in enumerate(lines) for p in range(len(of))]
+    gone = [set() for _ in texts]
+    for at, (d, p) in enumerate(starts):
+        for e, q in starts[:at]:
+            n = 0
+            while p + n < len(lines[d]) and q + n < len(lines[e]) and lines[d][p + n][1] == lines[e][q + n][1]:
+                n += 1
+            if sum(w for *_, w in lines[d][p:p + n]) >= least:
+                gone[d].update(i for i, *_ in lines[d][p:p + n])
+    return [sorted(x) for x in gone]
+
+
+@pytest.mark.parametrize("least", [4, 12, 50])
+def test_line_runs_go_whole(spark, least):
+    import random
+
+    from tests.llm.conftest import prose
+
+    draw = random.Random(least)
+    pool = [prose(n, 40 + n) for n in (1, 2, 3, 5, 8, 13, 30, 55)] + ["", " "]
+    run = [prose(n, 900 + n) for n in (60, 10, 11)]
+    texts = ["\n".join([*run, prose(70, 1)]), "\n".join([prose(3, 2), *run, prose(70, 3)]), "\n".join(run),
+             "\n".join([*["echo"] * 130, "end"]), "\n".join(["echo"] * 51), prose(55, 95) + "\n\n" + prose(2, 42)]
+    texts += ["\n".join(draw.choice(pool) for _ in range(draw.randint(1, 25))) for _ in range(30)]
+    want = brute_maximal(texts, least)
+    got = line_dedup.delete_repeated_runs(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), min_words=least)
+    assert {r.doc_id: r.deleted for r in got.collect()} == dict(enumerate(want))
+    assert want[1] == [1, 2, 3] and want[2] == [0, 1, 2]
+
+
 def test_lines_empty(empty):
     assert line_dedup.run_report(empty).count() == 0 and line_dedup.delete_repeated_runs(empty).count() == 0
 
