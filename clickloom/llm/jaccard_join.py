@@ -4,7 +4,7 @@ Every distinct text is a set of five-word shingles.  A run puts each set under o
 shingles, the one that comes first under the run's hash; two sets share it with a
 probability equal to their similarity.  Buckets that are still large are split again by several further
 shingles each, chosen by the hash of the path; small buckets, and large ones whose sets are alike
-anyway, are compared by brute force.  The number of runs follows from the recall asked for.
+anyway, are compared by brute force.  The number of runs follows from the recall asked for, all splits and the sketches' filter counted.
 
 A pair that meets in several buckets is counted in the one with the least number: each
 row carries the numbers of all its buckets, so no list of pairs is ever made.
@@ -30,7 +30,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 RECALL = 0.99999
 SKETCH = 48           # minima kept per text
-SLACK = 0.25          # a pair is compared exactly if its sketches agree in similarity - SLACK of the places
+SLACK = 0.3           # a pair is compared exactly if its sketches agree in similarity - SLACK of the places
 SMALL = 256           # buckets up to this size are compared at once
 BRANCHES = 2          # further shingles under which a large bucket is split
 DEPTH = 5
@@ -40,10 +40,31 @@ TILE_SHINGLES = 1 << 20
 LONG = np.uint64(0x7FFFFFFFFFFFFFFF)
 
 
+def missed(runs: int, similarity: float) -> float:
+    """Probability that a pair of that similarity is not compared exactly after so many runs, with ``DEPTH`` splits on its way.
+
+    Each of the ``SKETCH`` places agrees with that probability.  Too few fail the filter of ``pairs``; else a
+    run keeps the pair together if its own place agrees and, split by split, the place of some branch.
+    """
+    need = (similarity - SLACK) * SKETCH
+    out = 0.0
+    for agree in range(SKETCH + 1):
+        of = math.comb(SKETCH, agree) * similarity ** agree * (1 - similarity) ** (SKETCH - agree)
+        together = 1.0
+        for _ in range(DEPTH):
+            together = 1 - (1 - agree / SKETCH * together) ** BRANCHES
+        lost = sum(math.comb(agree, r) * math.comb(SKETCH - agree, runs - r) * (1 - together) ** r
+                   for r in range(runs + 1)) / math.comb(SKETCH, runs)
+        out += of * (lost if agree >= need else 1)
+    return out
+
+
 def runs_for(recall: float, similarity: float) -> int:
-    """Runs after which a pair of that similarity has met with probability ``recall``, with two splits on its way."""
-    split = 1 - (1 - similarity) ** BRANCHES
-    return math.ceil(math.log(1 - recall) / math.log(1 - similarity * split * split))
+    """Runs after which a pair of that similarity has been compared exactly with probability ``recall``."""
+    for runs in range(1, SKETCH + 1):
+        if missed(runs, similarity) <= 1 - recall:
+            return runs
+    raise ValueError(f"a recall of {recall} at similarity {similarity} is not reached with {SKETCH} places and a slack of {SLACK}")
 
 
 def sketch(value: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:

@@ -117,6 +117,22 @@ def test_near_duplicates_splits_large_buckets(spark, monkeypatch):
     assert got == brute_classes(df.collect())
 
 
+def test_filter_and_splits_keep_the_recall():
+    from math import ceil, comb
+
+    near, most = jaccard_join.SIMILARITY, 1 - jaccard_join.RECALL
+    runs = jaccard_join.runs_for(jaccard_join.RECALL, near)
+    need = ceil((near - jaccard_join.SLACK) * jaccard_join.SKETCH - 1e-9)
+    few = sum(comb(jaccard_join.SKETCH, k) * near ** k * (1 - near) ** (jaccard_join.SKETCH - k) for k in range(need))
+    apart = (1 - near * (1 - (1 - near) ** jaccard_join.BRANCHES) ** jaccard_join.DEPTH) ** runs
+    assert few + apart <= most and jaccard_join.missed(runs, near) <= most
+    found = np.zeros((2, jaccard_join.SKETCH), dtype=np.uint32)
+    found[1, need:] = 1
+    assert len(jaccard_join.pairs(5, [[5], [5]], found, np.zeros(2), False, near)[0]) == 1
+    with pytest.raises(ValueError):
+        jaccard_join.runs_for(1 - 1e-9, near)
+
+
 def test_keep_one(hard, empty):
     kept = jaccard_join.keep_one(hard)
     assert kept.columns == hard.columns
