@@ -150,8 +150,8 @@ class Items:
             for i in items.tolist():
                 for p in inside[total[inside] == self.value[i][0]].tolist():
                     r = int(w.doc[p])
-                    long = w.first[r + 1] - w.first[r] >= SHINGLE
-                    if long and (r, i) not in seen:     # shorter texts were compared above
+                    more = w.first[r + 1] - w.first[r] > size
+                    if more and (r, i) not in seen:     # texts of as many words were compared above
                         seen.add((r, i))
                         yield r, i, 1.0, int(p - w.first[r]), size
 

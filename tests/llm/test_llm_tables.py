@@ -175,6 +175,16 @@ def test_leaks_against_brute_force(spark, hard):
     assert clean.filter("doc_id is null").count() == 1
 
 
+def test_short_items_leak_in_short_texts(spark):
+    texts = ["alpha eta theta", "eta theta", "one eta theta one", "theta eta", "one", "eta theta eta theta", "one two eta theta x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "eta theta"), (2, "one"), (3, "alpha eta theta")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.similarity, r.first_word, r.n_words) for r in decontam.find_leaks(docs, bench).collect())
+    assert got == [(0, 1, 1.0, 1, 2), (0, 3, 1.0, 0, 3), (1, 1, 1.0, 0, 2), (2, 1, 1.0, 1, 2), (2, 2, 1.0, 0, 1), (4, 2, 1.0, 0, 1),
+                   (5, 1, 1.0, 0, 2), (6, 1, 1.0, 2, 2), (6, 2, 1.0, 0, 1)]
+    assert [r.doc_id for r in decontam.without_leaks(docs, bench).collect()] == [3]
+
+
 def test_multi_index_finds_all_within_radius():
     draw = np.random.default_rng(1)
     prints = draw.integers(0, 256, (200, 8), dtype=np.uint8)
