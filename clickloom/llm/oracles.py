@@ -120,5 +120,36 @@ SELECT conv_id, participant, count(*) AS n_turns, count_if(train)::BIGINT AS n_o
 FROM s GROUP BY conv_id, participant
 """
 
+OP13_FIRST = """
+WITH kept AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x::DOUBLE))) = 64),
+x AS (SELECT r, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM kept),
+s AS (
+    SELECT v, row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c FROM kept
+    QUALIFY c < 16),
+c0 AS (SELECT c, unnest(v) AS y, generate_subscripts(v, 1) AS i FROM s),"""
+
+OP13_ASSIGN = """
+d{n} AS (SELECT r, c, sum((x - y) * (x - y))::BIGINT AS distance FROM x JOIN c{n} USING (i) GROUP BY r, c),
+a{n} AS (SELECT r, c, distance FROM d{n} QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, c) = 1),"""
+
+OP13_MOVE = """
+m{n} AS (SELECT c, i, sum(x)::HUGEINT AS total, count(*)::HUGEINT AS n FROM a{n} JOIN x USING (r) GROUP BY c, i),
+c{next} AS (
+    SELECT c, i, coalesce((total - ((total % n) + n) % n) // n, y)::BIGINT AS y FROM c{n} LEFT JOIN m{n} USING (c, i)),"""
+
+OP13_LAST = """
+z AS (SELECT c, sha256(string_agg(y::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c3 GROUP BY c)
+SELECT vec_id, c::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a3 JOIN kept USING (r) JOIN z USING (c)
+"""
+
+OP13 = (OP13_FIRST + "".join(OP13_ASSIGN.format(n=n) + OP13_MOVE.format(n=n, next=n + 1) for n in range(3))
+        + OP13_ASSIGN.format(n=3) + OP13_LAST)
+
 ORACLES: dict[str, str] = {
-    "op1_mixing": OP1, "op3_jaccard_join": OP3, "op4_warc": OP4, "op6_line_dedup": OP6, "op7_chat_perspectives": OP7}
+    "op1_mixing": OP1, "op3_jaccard_join": OP3, "op4_warc": OP4, "op6_line_dedup": OP6, "op7_chat_perspectives": OP7,
+    "op13_bisector": OP13}

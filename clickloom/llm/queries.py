@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
+    bisector,
     chat,
     decontam,
     fertility,
+    importance,
     jaccard_join,
     language_id,
     line_dedup,
     mixing,
     packing,
     sharding,
+    simhash,
     vocabularies,
     warc,
 )
@@ -91,6 +94,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return report.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_bisector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisector.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -99,6 +115,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mixing, op2_decontamination, op3_jaccard_join, op4_warc, op5_language_id, op6_line_dedup,
-                            op7_chat_perspectives, op8_packed_ids, op9_fertility, op10_sharding, pipeline)}
+                            op7_chat_perspectives, op8_packed_ids, op9_fertility, op10_sharding, op11_importance, op12_simhash,
+                            op13_bisector, pipeline)}
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -94,9 +94,15 @@ class Words(NamedTuple):
     first: np.ndarray     # first word of each row, and the number of words
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
+def lower_ascii(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z in lower case; nothing else changes."""
+    return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+
+
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = WHITE) -> Words:
+    """Runs of the bytes that ``between`` does not mark; a run ends with its row."""
     n, rows = len(data), len(offsets) - 1
-    solid = ~WHITE[data]
+    solid = ~between[data]
     edge = np.zeros(n + 1, dtype=bool)
     edge[offsets] = True
     edge[0] = edge[n] = True
