@@ -78,26 +78,28 @@ FROM p LEFT JOIN m ON p.html = m.html AND payload_bytes >= 1000
 
 OP6 = rf"""
 WITH a AS (
-    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+    SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, md5(coalesce(text, ''))) AS doc, doc_id,
+           string_split(coalesce(text, ''), chr(10)) AS ls
+    FROM documents),
 b AS (
-    SELECT doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) AS line FROM a),
+    SELECT doc, doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) AS line FROM a),
 c AS (
     SELECT *, len(regexp_extract_all(l, '{WORD}')) AS words FROM b),
 d AS (
-    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS pos,
-           sum(words) OVER (PARTITION BY doc_id ORDER BY line) - words AS start FROM c WHERE words > 0),
+    SELECT *, row_number() OVER (PARTITION BY doc ORDER BY line) AS pos FROM c WHERE words > 0),
 e AS (
-    SELECT doc_id, line, pos, list(l) OVER w AS run, max(start + words) OVER w - start AS have
-    FROM d WINDOW w AS (PARTITION BY doc_id ORDER BY start RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+    SELECT x.doc, x.pos, x.words, y.doc AS earlier, x.pos - y.pos AS apart
+    FROM d x JOIN d y ON x.l = y.l AND (x.doc > y.doc OR (x.doc = y.doc AND x.pos > y.pos))),
 f AS (
-    SELECT doc_id, pos, len(run) AS need, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS nth FROM e WHERE have >= 50),
+    SELECT *, pos - row_number() OVER (PARTITION BY doc, earlier, apart ORDER BY pos) AS run FROM e),
+r AS (
+    SELECT doc, min(pos) AS first, max(pos) AS last FROM f GROUP BY doc, earlier, apart, run HAVING sum(words) >= 50),
 g AS (
-    SELECT DISTINCT d.doc_id, d.line, d.words
-    FROM f JOIN d ON d.doc_id = f.doc_id AND d.pos BETWEEN f.pos AND f.pos + f.need - 1 WHERE nth > 1),
+    SELECT DISTINCT d.doc, d.line, d.words FROM r JOIN d ON d.doc = r.doc AND d.pos BETWEEN r.first AND r.last),
 h AS (
-    SELECT c.doc_id, count(*) AS n_lines, count(g.line) AS n_deleted, coalesce(sum(g.words), 0) AS deleted_words,
+    SELECT c.doc, c.doc_id, count(*) AS n_lines, count(g.line) AS n_deleted, coalesce(sum(g.words), 0) AS deleted_words,
            md5(coalesce(string_agg(CASE WHEN g.line IS NULL THEN md5(c.l) END, '' ORDER BY c.line), '')) AS kept_digest
-    FROM c LEFT JOIN g ON c.doc_id = g.doc_id AND c.line = g.line GROUP BY c.doc_id)
+    FROM c LEFT JOIN g ON c.doc = g.doc AND c.line = g.line GROUP BY c.doc, c.doc_id)
 SELECT doc_id, n_lines, n_deleted, deleted_words::BIGINT AS deleted_words, kept_digest FROM h
 """
 

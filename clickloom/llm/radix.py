@@ -10,8 +10,8 @@ from pyspark.sql.window import Window
 
 from clickloom.session import pin
 
-#: Rows of one counting block, and most bits of a digit: there is at most one count for 16 rows.
-BLOCK, DIGIT_BITS = 1 << 17, 13
+#: Rows of one counting block, and most bits of a digit: there is at most one count for 8 rows.
+BLOCK, DIGIT_BITS = 1 << 14, 11
 _AT, _DIGIT, _BLOCK, _N = "loom_radix_at", "loom_radix_digit", "loom_radix_block", "loom_radix_n"
 _START, _BEFORE, _NTH = "loom_radix_start", "loom_radix_before", "loom_radix_nth"
 
@@ -56,7 +56,7 @@ def counting_pass(rows: DataFrame, digit: Column) -> DataFrame:
     """One stable counting-sort pass: ``rows`` with their new places.
 
     Rows are counted by digit and block of places.  The start of a digit is the sum of all smaller ones (at most
-    2 ** 13 totals), that of a block within its digit the sum of the blocks before; a row's destination is both plus
+    2 ** 11 totals), that of a block within its digit the sum of the blocks before; a row's destination is both plus
     its place among the equal digits of its block.  A block has a bounded number of rows, so a digit that most rows
     share is spread over as many groups as there are blocks.
     """

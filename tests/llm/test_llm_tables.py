@@ -232,6 +232,21 @@ def test_ids_of_whole_texts(hard, empty):
     assert packing.read_ids(packing.write_ids(empty, path)).count() == 0
 
 
+def test_ids_do_not_depend_on_the_partitions(spark):
+    """Repeated and null ids: the same files whatever the order and number of input partitions."""
+    from tests.llm.conftest import prose
+
+    rows = [(draw % 5 or None, prose(1 + draw % 7, draw % 41)) for draw in range(200)] + [(3, None), (3, "")]
+    found = []
+    for n in (3, 5):
+        df = spark.createDataFrame(rows if n == 3 else rows[::-1], "doc_id long, text string").repartition(n)
+        files = packing.write_ids(df, vocabularies.default_path("byte_bpe_50k.json"), per_block=64, unit_ids=100)
+        read = [tuple(r) for r in packing.read_ids(files).orderBy("start").collect()]
+        assert len(read) == len(rows)
+        found.append(read)
+    assert found[0] == found[1]
+
+
 def test_random_access(hard):
     files = packing.write_ids(hard.filter("doc_id = 10"), vocabularies.default_path(IDS), per_block=100)
     reader = packing.Reader(files.filter("docs > 0").first().path)
@@ -355,45 +370,6 @@ def test_small_groups_are_bundled(spark):
 
 # --- lines -----------------------------------------------------------------------------------------------
 
-def brute_lines(rows, least):
-    seen, gone = {}, defaultdict(set)
-    for d, (_, text) in enumerate(rows):
-        lines = [(i, x, len(WORD.findall(x))) for i, x in enumerate((text or "").split("\n")) if WORD.search(x)]
-        for p in range(len(lines)):
-            have, q = 0, p
-            while q < len(lines) and have < least:
-                have += lines[q][2]
-                q += 1
-            if have >= least:
-                run = tuple(x for _, x, _ in lines[p:q])
-                if run in seen:
-                    gone[d].update(i for i, _, _ in lines[p:q])
-                else:
-                    seen[run] = True
-    return [(doc, "\n".join(x for i, x in enumerate((text or "").split("\n")) if i not in gone[d]), sorted(gone[d]))
-            for d, (doc, text) in enumerate(rows)]
-
-
-@pytest.mark.parametrize("least", [4, 12, 50])
-def test_line_runs_against_brute_force(spark, hard, least):
-    import random
-
-    from tests.llm.conftest import prose
-
-    draw = random.Random(least)
-    pool = [prose(n, 40 + n) for n in (1, 2, 3, 5, 8, 13, 30, 55)] + ["", " "]
-    texts = ["\n".join(draw.choice(pool) for _ in range(draw.randint(1, 25))) for _ in range(30)]
-    rows = [(r.doc_id, r.text) for r in hard.collect()] + [(200 + i, t) for i, t in enumerate(texts)] + [(201, texts[1])]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    import hashlib
-
-    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5((r[1] or "").encode()).hexdigest()))
-    got = sorted((r.doc_id is not None, r.doc_id, r.text, r.deleted) for r in line_dedup.delete_repeated_runs(df, min_words=least).collect())
-    assert got == sorted((d is not None, d, t, g) for d, t, g in brute_lines(rows, least))
-    report = line_dedup.run_report(df, min_words=least)
-    assert report.count() == len(rows) and report.agg(F.sum("n_deleted")).first()[0] == sum(len(g) for *_, g in got)
-
-
 def brute_maximal(texts, least):
     """Line numbers that go from each text: every run of ``least`` words that begins earlier too, whole."""
     lines = [[(i, x, len(WORD.findall(x))) for i, x in enumerate(t.split("\n")) if WORD.search(x)] for t in texts]
@@ -427,6 +403,25 @@ def test_line_runs_go_whole(spark, least):
     assert want[1] == [1, 2, 3] and want[2] == [0, 1, 2]
 
 
+@pytest.mark.parametrize("least", [4, 50])
+def test_line_runs_of_hard_rows(spark, hard, least):
+    """Null ids first, repeated ids and rows by the md5 of their text: the first copy keeps its lines."""
+    import hashlib
+
+    from tests.llm.conftest import prose
+
+    rows = [(r.doc_id, r.text) for r in hard.collect()]
+    rows += [(11, "\n".join([prose(30, 7), prose(30, 8), "end"])), (None, "\n".join([prose(30, 7), prose(30, 8)]))] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5((r[1] or "").encode()).hexdigest()))
+    want = brute_maximal([t or "" for _, t in rows], least)
+    kept = ["\n".join(x for i, x in enumerate((t or "").split("\n")) if i not in gone) for (_, t), gone in zip(rows, want)]
+    got = line_dedup.delete_repeated_runs(df, min_words=least).collect()
+    assert sorted(map(str, [(r.doc_id, r.text, r.deleted) for r in got])) == sorted(map(str, zip([d for d, _ in rows], kept, want)))
+    report = line_dedup.run_report(df, min_words=least)
+    assert report.count() == len(rows) and report.agg(F.sum("n_deleted")).first()[0] == sum(map(len, want))
+
+
 def test_lines_empty(empty):
     assert line_dedup.run_report(empty).count() == 0 and line_dedup.delete_repeated_runs(empty).count() == 0
 
