@@ -17,8 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from clickloom.llm.mixing import hash60
 from clickloom.llm.text import buffers, slices
 from clickloom.session import pin
 
@@ -26,9 +26,10 @@ HIDDEN = 8
 WINDOW, CONTEXT = 208, 16
 AT_ONCE = 2048          # windows in a matrix
 SNIPPET = 240           # characters of a training text
-PER_LABEL = 300         # training texts of each label
-MOST_LABELS = 64        # labels learned: the most frequent ones
+PER_LABEL = 300         # most training texts of a label
+TEXTS = 19_200          # most training texts in all: the labels share them
 STEPS, BATCH, LENGTH = 500, 128, 64
+SHORT_EVERY = 3         # one training piece in so many is short, as texts can be
 RATE = 0.02
 
 
@@ -128,9 +129,14 @@ def gradients(net: Network, x: np.ndarray, y: np.ndarray) -> tuple[float, list[n
     return loss, [in_f, in_b, rec_f, rec_b, d_out, p.sum(axis=(0, 1))]
 
 
-def train(samples: list[tuple[str, bytes]], steps: int = STEPS, hidden: int = HIDDEN, seed: int = 5) -> Network:
-    """Fit on (label, bytes); labels weigh the same.  The same samples give the same network."""
+def train(samples: list[tuple[str, bytes]], steps: int | None = None, hidden: int | None = None, seed: int = 5) -> Network:
+    """Fit on (label, bytes); labels weigh the same and take turns in the batches.  The same samples give the same network.
+
+    From 32 labels on the layers grow, and beyond a batch of labels the steps.
+    """
     labels = sorted({label for label, data in samples if data})
+    hidden = hidden or HIDDEN * max(1, (len(labels).bit_length() - 2) // 2)
+    steps = steps or STEPS * max(1, -(-len(labels) // BATCH))
     net = Network.fresh(labels, hidden, seed)
     if len(labels) < 2:
         return net
@@ -139,12 +145,11 @@ def train(samples: list[tuple[str, bytes]], steps: int = STEPS, hidden: int = HI
     moment = [np.zeros_like(p) for p in net.parts()]
     square = [np.zeros_like(p) for p in net.parts()]
     for step in range(1, steps + 1):
-        y = np.arange(BATCH) % len(labels)
+        y = (np.arange(BATCH) + (step - 1) * BATCH) % len(labels)
         x = np.zeros((LENGTH, BATCH), dtype=np.uint8)
         for b in range(BATCH):
             data = by_label[y[b]][draw.integers(len(by_label[y[b]]))]
-            # a third of the pieces are short, as texts can be
-            size = LENGTH if b % 3 else int(draw.integers(8, LENGTH))
+            size = LENGTH if b % SHORT_EVERY else int(draw.integers(8, LENGTH))
             at = draw.integers(max(1, len(data) - size + 1))
             piece = data[at:at + size]
             x[:len(piece), b] = piece
@@ -256,24 +261,27 @@ def document_probabilities(net: Network, data: np.ndarray, offsets: np.ndarray)
 # --- over tables ------------------------------------------------------------------------------
 
 def labelled_sample(docs: DataFrame, key: str, text: str, label: str, per_label: int = PER_LABEL,
-                    most_labels: int = MOST_LABELS) -> list[tuple[str, bytes]]:
-    """About ``per_label`` snippets of each of the ``most_labels`` most frequent labels, chosen by the hash of the key.
+                    texts: int = TEXTS) -> list[tuple[str, bytes]]:
+    """At most ``per_label`` snippets of each label, and ``texts`` in all: every label gets its share, one at least.
 
-    The bound on what reaches the driver is the product of the two and ``SNIPPET``, whatever the number of rows.
-    Snippets begin at a place given by the hash; equal snippets count once.
+    Chosen are the least hashes of key and text, each once, so rows that repeat a key or have none are sampled like others and
+    copies of one row count as one.  Beyond ``texts`` labels the most frequent are learned.  What reaches the driver is
+    bounded by ``texts`` times ``SNIPPET`` characters, whatever the number of rows; snippets begin at a place given by the hash.
     """
-    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"), F.col(label).cast("string").alias("_label"))
-    rows = rows.filter(F.col("_label").isNotNull() & F.col("_text").isNotNull())
-    slim = rows.select("_label", hash60(F.concat_ws(":", F.lit("sample"), F.col("_id").cast("string"))).alias("_hash"))
-    counts = pin(slim.groupBy("_label").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "_label").limit(most_labels)
-                 .withColumnRenamed("_label", "_of"), "language-labels")
-    upto = F.lit(float(1 << 60)) * per_label / F.col("_n")
-    at = F.hash("_id").bitwiseAND(0x7FFFFFFF) % F.greatest(F.length("_text") - SNIPPET + 1, F.lit(1)) + 1
-    chosen = rows.join(counts, F.col("_label") == F.col("_of")).filter(
-        hash60(F.concat_ws(":", F.lit("sample"), F.col("_id").cast("string"))) < upto)
-    found = chosen.select("_label", F.substr("_text", at, F.lit(SNIPPET)).alias("_part"))
-    # rows that repeat one key share a hash; distinct keeps them from filling the sample
-    return sorted({(r._label, r._part.encode()) for r in found.distinct().collect() if r._part})
+    rows = docs.select(F.col(label).cast("string").alias("_label"), F.col(text).alias("_text"),
+                       F.xxhash64(F.lit("sample"), F.col(key).cast("string"), F.col(text)).alias("_hash"))
+    rows = rows.filter(F.col("_label").isNotNull() & (F.col("_text") != ""))
+    once = pin(rows.groupBy("_label", "_hash").agg(F.count("*").alias("_n")), "language-rows")
+    labels = pin(once.groupBy("_label").agg(F.sum("_n").alias("_n")).orderBy(F.desc("_n"), "_label").limit(texts)
+                 .select(F.col("_label").alias("_of")), "language-labels")
+    share = max(1, min(per_label, texts // max(1, labels.count())))
+    nth = F.row_number().over(Window.partitionBy("_label").orderBy("_hash"))
+    first = once.withColumn("_nth", nth).filter(F.col("_nth") <= share).join(labels, F.col("_label") == F.col("_of"))
+    chosen = pin(first.select(F.col("_label").alias("_of"), F.col("_hash").alias("_at")), "language-chosen")   # at most ``texts`` rows
+    at = F.pmod("_hash", F.greatest(F.length("_text") - SNIPPET + 1, F.lit(1))).cast("int") + 1
+    found = (rows.join(F.broadcast(chosen), (F.col("_label") == F.col("_of")) & (F.col("_hash") == F.col("_at")))
+             .groupBy("_label", "_hash").agg(F.min(F.substr("_text", at, F.lit(SNIPPET))).alias("_part")))
+    return sorted({(r._label, r._part.encode()) for r in found.collect() if r._part})
 
 
 def predict(docs: DataFrame, net: Network, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -514,6 +515,37 @@ def test_languages_learned_and_edge_cases(spark, sf, hard, empty):
     assert {r.lang_pred for r in language_id.identify(unlabelled).collect()} == {"und"}
 
 
+def test_all_of_many_labels_are_learned():
+    """150 labels, more than a batch: each is predicted at least once on texts that were held out."""
+    import random
+
+    draw = random.Random(1)
+    parts = {f"l{i:03d}": ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=2)) for _ in range(6)] for i in range(150)}
+
+    def text(label):
+        return " ".join("".join(draw.choices(parts[label], k=draw.randint(1, 3))) for _ in range(40))
+
+    net = language_id.train([(label, text(label).encode()) for label in parts for _ in range(20)])
+    held = [(label, text(label)) for label in parts for _ in range(2)]
+    data, offsets = language_id.buffers(pa.array([t for _, t in held]))
+    best = [net.labels[i] for i in language_id.document_probabilities(net, data, offsets).argmax(axis=1)]
+    assert set(best) == set(parts) and sum(b == label for b, (label, _) in zip(best, held)) >= 0.9 * len(held)
+
+
+def test_sample_is_bounded_and_spread(spark):
+    """One id for all rows and null ids: texts are sampled like any others; copies count once; labels share the total."""
+    from tests.llm.conftest import prose
+
+    for key in (7, 5, None):
+        df = spark.createDataFrame([(key, prose(30, i), f"l{i % 3}") for i in range(900)] + [(key, prose(30, 1), "l1")] * 500
+                                   + [(key, "", "l0"), (key, None, "l1"), (key, "x", None)], "doc_id long, text string, lang string")
+        got = Counter(label for label, _ in language_id.labelled_sample(df, "doc_id", "text", "lang", per_label=200))
+        assert got == {"l0": 200, "l1": 200, "l2": 200}
+        got = Counter(label for label, _ in language_id.labelled_sample(df, "doc_id", "text", "lang", texts=60))
+        assert got == {"l0": 20, "l1": 20, "l2": 20}
+        assert len(language_id.labelled_sample(df, "doc_id", "text", "lang", texts=2)) == 2
+
+
 def test_long_text_is_read_whole():
     net = language_id.Network.fresh(["a", "b", "c"])
     data = np.random.default_rng(0).integers(0, 256, 1500).astype(np.uint8)
