@@ -1,9 +1,10 @@
 """Quality rules: repetition counts and the fertility of public vocabularies.
 
-Per document two public vocabularies measure characters per token, the share of byte
+Per document two public vocabularies measure characters per token, tokens per word, the share of byte
 fallbacks (pieces that stand for single bytes) and token entropy.  Documents are
 compared with those of their language and length: a band around the
-median of all documents there decides.
+median of all documents there decides.  Where these are few, with those of the language; where there is no language or
+its documents are few, with those of the script.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from clickloom.llm.columns import shield
@@ -35,7 +36,7 @@ from clickloom.llm.text import (
     word_hashes,
     words,
 )
-from clickloom.llm.vocabularies import spread
+from clickloom.llm.vocabularies import LETTER, spread
 from clickloom.session import pin
 
 SYMBOLS = np.zeros(256, dtype=bool)
@@ -44,9 +45,24 @@ REPEAT = 5          # words in a repeated window
 KEPT = 600_000      # words whose tokens a worker keeps between batches
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-MEASURES = ["chars_per_token", "chars_per_piece", "fallback_share", "entropy"]
+MEASURES = ["chars_per_token", "chars_per_piece", "tokens_per_word", "pieces_per_token", "fallback_share", "entropy"]
 #: which side of its band rejects a document
-SIDES = {"chars_per_token": "both", "chars_per_piece": "both", "fallback_share": "above", "entropy": "below"}
+SIDES = {m: "both" for m in MEASURES} | {"fallback_share": "above", "entropy": "below"}
+
+WIDTH = 4.0         # half width of a band in standard deviations
+WIDER = {"pieces_per_token": 1.5}
+SHORT_WORDS, SHORT_WIDER = 64, 1.5      # texts under so many words vary more
+LEAST = 0.05        # least half width, as a share of the median
+ENOUGH = 100        # documents that a band of a language needs
+ENOUGH_SCRIPT = 20  # documents that a band of a script needs
+GRAIN = 1000        # bins of a unit
+
+#: Scripts told apart by the first byte of a character outside ASCII; 0 has no say.
+SCRIPTS = ["none", "latin", "greek", "cyrillic", "hebrew", "arabic", "indic", "other", "han", "hangul"]
+SCRIPT_OF = np.zeros(256, dtype=np.int64)
+for _code, _bytes in ((1, range(0xC3, 0xCB)), (2, range(0xCD, 0xD0)), (3, range(0xD0, 0xD5)), (4, range(0xD6, 0xD8)),
+                      (5, range(0xD8, 0xDC)), (6, [0xE0]), (7, [0xE1]), (8, range(0xE3, 0xEA)), (9, range(0xEA, 0xEE))):
+    SCRIPT_OF[list(_bytes)] = _code
 
 
 def twice(value: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -97,6 +113,16 @@ def base_counts(data: np.ndarray, offsets: np.ndarray, w: Words) -> dict[str, np
             "n_repeat_words": per_row(covered, w.first)}
 
 
+def scripts(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The script of most letters of each row; the first of equals, ``none`` without a letter."""
+    rows = len(offsets) - 1
+    some = np.flatnonzero(SCRIPT_OF[data])
+    row = np.searchsorted(offsets, some, side="right") - 1
+    found = np.bincount(row * len(SCRIPTS) + SCRIPT_OF[data[some]], minlength=rows * len(SCRIPTS)).reshape(rows, len(SCRIPTS))
+    found[:, 1] += per_row(LETTER[data], offsets)
+    return pa.array([SCRIPTS[i] for i in found.argmax(axis=1)], type=pa.string())
+
+
 class Vocabularies:
     """Tokens of words under a byte-level vocabulary (ranks) and a piece vocabulary with byte fallback."""
 
@@ -185,19 +211,19 @@ def fertility(w: Words, chars: np.ndarray, vocab: Vocabularies) -> dict[str, np.
     with np.errstate(divide="ignore", invalid="ignore"):
         entropy = np.log2(tokens) - weighted / tokens
         return {"chars_per_token": chars / tokens, "chars_per_piece": chars / pieces,
-                "fallback_share": fallbacks / pieces, "entropy": entropy}
+                "tokens_per_word": tokens / np.diff(w.first), "pieces_per_token": pieces / tokens, "fallback_share": fallbacks / pieces, "entropy": entropy}
 
 
 def measure(df: DataFrame, ranks_path: str, pieces_path: str, text: str = "text") -> DataFrame:
-    """Append the counts and measures of every whole text to the rows of ``df`` (columns of those names are replaced).
+    """Append the counts, the script and the measures of every whole text to the rows of ``df`` (columns of those names are replaced).
 
     A null or empty text has counts 0 and null measures.
     """
-    own = [c for c in df.columns if c not in COUNTS + MEASURES]
+    own = [c for c in df.columns if c not in [*COUNTS, "script", *MEASURES]]
     df = df.select(*own)
     at = own.index(text)
     schema = StructType([*df.schema.fields, *[StructField(c, LongType()) for c in COUNTS],
-                         *[StructField(c, DoubleType()) for c in MEASURES]])
+                         StructField("script", StringType()), *[StructField(c, DoubleType()) for c in MEASURES]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabularies(ranks_path, pieces_path)
@@ -211,7 +237,7 @@ def measure(df: DataFrame, ranks_path: str, pieces_path: str, text: str = "text"
                 empty = counts["n_words"] == 0
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, *[pa.array(counts[c], type=pa.int64()) for c in COUNTS],
-                     *[pa.array(measures[c], type=pa.float64(), mask=empty) for c in MEASURES]],
+                     scripts(data, offsets), *[pa.array(measures[c], type=pa.float64(), mask=empty) for c in MEASURES]],
                     names=schema.names)
 
     return df.mapInArrow(run, schema)
@@ -221,57 +247,73 @@ def base_failed(least_words: int = 10, most_repeated: int = 20) -> Column:
     return (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
 
 
-def _group(group: str) -> list[Column]:
-    """Language, and length class: documents are compared with others of about their length (factor 4)."""
-    return [F.coalesce(F.col(group).cast("string"), F.lit("")).alias("_lang"), F.floor(F.log2(F.col("n_words")) / 2).alias("_class")]
+def _levels(group: str) -> list[tuple[Column, int]]:
+    """The groups a document is compared with, the closest first, and the documents each needs.
+
+    A key is null where there is no such group: a null language (an empty one is a language of its own) is compared by script only.
+    """
+    lang = F.col(group).cast("string")
+    length = F.floor(F.log2(F.col("n_words")) / 2).cast("string")        # a factor of four in length
+    return [(F.concat(F.lit("length "), length, F.lit(" of "), lang), ENOUGH), (F.concat(F.lit("all of "), lang), ENOUGH),
+            (F.concat(F.lit("script "), F.col("script")), ENOUGH_SCRIPT)]
 
 
-def bands(measured: DataFrame, group: str = "lang", width: float = 8.0, least: float = 0.3) -> DataFrame:
-    """Median and half width of each measure per language and length class, over all documents that pass the base rules.
+def bands(measured: DataFrame, group: str = "lang", enough: int | None = None) -> DataFrame:
+    """Written table (_key, _<measure>: (mid, mad)): the median of each measure, and the median distance from it, in each group
+    of ``_levels`` that has enough documents (``enough`` for all levels where given).  Counted are documents that pass the base rules,
+    those equal in all measures once, so that copies do not narrow a band.
 
-    The measures are counted in bins of a hundredth, so that what is shuffled and windowed are bins, not documents.
-    Half width: ``width`` median absolute deviations (scaled to a standard deviation), ``least`` times the median at least.
+    The measures are counted in bins of a thousandth, so that what is shuffled and windowed are bins, not documents.
     """
-    good = measured.filter(~base_failed())
-    cells = F.array(*[F.struct(F.lit(m).alias("measure"), F.round(F.col(m) * 100).cast("long").alias("bin")) for m in MEASURES])
-    bins = pin(good.select(*_group(group), F.inline(cells)).groupBy("_lang", "_class", "measure", "bin")
-               .agg(F.count("*").alias("n")), "fertility-bins")
-    keys = ["_lang", "_class", "measure"]
+    levels = _levels(group)
+    keys = F.array(*[F.struct(key.alias("_key"), F.lit(n if enough is None else enough).alias("_enough")) for key, n in levels])
+    cells = [F.round(F.col(m) * GRAIN).cast("long").alias(m) for m in MEASURES]
+    good = measured.filter(~base_failed()).select(F.filter(keys, lambda k: k["_key"].isNotNull()).alias("_keys"), "n_words", *cells)
+    each = good.distinct().select("_keys", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("measure"), F.col(m).alias("bin")) for m in MEASURES])))
+    small = each.groupBy("_keys", "measure", "bin").agg(F.count("*").alias("_n"))
+    bins = pin(small.select(F.inline("_keys"), "measure", "bin", "_n").groupBy("_key", "_enough", "measure", "bin")
+               .agg(F.sum("_n").alias("n")), "fertility-bins")
+    by = ["_key", "_enough", "measure"]
 
     def median(table: DataFrame, value: str, name: str) -> DataFrame:
         """The lowest value with at least half of the rows at or below it."""
-        whole = Window.partitionBy(*keys)
+        whole = Window.partitionBy(*by)
         upto = whole.orderBy(value)
         return (table.withColumn("_upto", F.sum("n").over(upto)).withColumn("_all", F.sum("n").over(whole))
-                .filter(2 * F.col("_upto") >= F.col("_all")).groupBy(*keys).agg(F.min(value).alias(name)))
+                .filter((2 * F.col("_upto") >= F.col("_all")) & (F.col("_all") >= F.col("_enough")))
+                .groupBy(*by).agg(F.min(value).alias(name)))
 
     middle = median(bins, "bin", "mid")
-    away = bins.join(middle, keys).withColumn("_away", F.abs(F.col("bin") - F.col("mid")))
-    spread_of = median(away, "_away", "mad")
-    out = middle.join(spread_of, keys).select(
-        "_lang", "_class", "measure", (F.col("mid") / 100).alias("mid"),
-        F.greatest(F.col("mad") * F.lit(width * 1.4826), F.col("mid") * F.lit(least), F.lit(5.0)).alias("half"))
-    out = out.withColumn("half", F.col("half") / 100)
-    wide = out.groupBy("_lang", "_class").agg(*[
-        F.max(F.when(F.col("measure") == m, F.struct("mid", "half"))).alias(f"_{m}") for m in MEASURES])
+    away = bins.join(middle, by).withColumn("_away", F.abs(F.col("bin") - F.col("mid")))
+    out = middle.join(median(away, "_away", "mad"), by).withColumns({"mid": F.col("mid") / GRAIN, "mad": F.col("mad") / GRAIN})
+    wide = out.groupBy("_key").agg(*[F.max(F.when(F.col("measure") == m, F.struct("mid", "mad"))).alias(f"_{m}") for m in MEASURES])
     return pin(wide, "fertility-bands")
 
 
-def verdict(measured: DataFrame, ranges: DataFrame, group: str = "lang") -> DataFrame:
-    """Add ``base_failed`` and ``kept``: a document is kept if it passes the base rules and no measure leaves its band.
+def half_width(measure: str) -> Column:
+    """``WIDTH`` standard deviations (1.4826 times the median distance is one), wider for short texts, ``LEAST`` of the median at least."""
+    width = F.when(F.col("n_words") < SHORT_WORDS, SHORT_WIDER).otherwise(1.0) * (WIDTH * WIDER.get(measure, 1.0) * 1.4826)
+    least = F.lit(0.05) if measure == "fallback_share" else F.col("_band")[f"_{measure}"]["mid"] * LEAST
+    return F.greatest(F.col("_band")[f"_{measure}"]["mad"] * width, least)
 
-    A length class without band (all its documents fail the base rules) rejects nothing by itself.
+
+def verdict(measured: DataFrame, ranges: DataFrame, group: str = "lang") -> DataFrame:
+    """Add ``base_failed`` and ``kept``: a document is kept if it passes the base rules and no measure leaves the band of the closest
+    group of ``_levels`` that has one.  A document without such a group is judged by the base rules alone.
     """
-    measured, back = shield(measured, [*COUNTS, *MEASURES, group])
-    lang, length = _group(group)
-    table = ranges.withColumnsRenamed({"_lang": "_of_lang", "_class": "_of_class"})
-    joined = measured.withColumns({"_lang": lang, "_class": length}).join(
-        table, (F.col("_lang") == F.col("_of_lang")) & (F.col("_class") == F.col("_of_class")), "left")
+    measured, back = shield(measured, [*COUNTS, "script", *MEASURES, group])
+    joined, found = measured, []
+    for i, (key, _) in enumerate(_levels(group)):
+        table = ranges.select(F.col("_key").alias(f"_of{i}"), F.struct(*[f"_{m}" for m in MEASURES]).alias(f"_band{i}"))
+        joined = joined.withColumn(f"_is{i}", key).join(table, F.col(f"_is{i}") == F.col(f"_of{i}"), "left")
+        found.append(f"_band{i}")
+    joined = joined.withColumn("_band", F.coalesce(*found))
     outside = F.lit(False)
     for m in MEASURES:
-        off = F.col(m) - F.col(f"_{m}.mid")
+        off = F.col(m) - F.col("_band")[f"_{m}"]["mid"]
         off = {"both": F.abs(off), "above": off, "below": -off}[SIDES[m]]
-        outside = outside | F.coalesce(off > F.col(f"_{m}.half"), F.lit(False))
+        outside = outside | F.coalesce(off > half_width(m), F.lit(False))
     failed = base_failed()
     out = joined.select(*measured.columns, failed.alias("base_failed"), (~failed & ~outside).alias("kept"))
     return back(out, ["base_failed", "kept"])

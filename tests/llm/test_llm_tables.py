@@ -1,5 +1,6 @@
 """The operators on hard tables: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -23,6 +24,8 @@ from clickloom.llm import (
     warc,
 )
 
+from clickloom.session import pin
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 IDS = "byte_bpe_50k.json"
 
@@ -324,7 +327,7 @@ def test_verdict_rejects_what_leaves_its_band(spark, empty, hard):
 
     rows = [(i, prose(100, i), "en") for i in range(40)] + [(90, " ".join(f"𝒳{chr(0x1F600 + i)}ꙮ" for i in range(100)), "en"), (91, "few words", "en")]
     found = measured(spark.createDataFrame(rows, "doc_id long, text string, lang string")).cache()
-    kept = {r.doc_id: (r.base_failed, r.kept) for r in fertility.verdict(found, fertility.bands(found)).collect()}
+    kept = {r.doc_id: (r.base_failed, r.kept) for r in fertility.verdict(found, fertility.bands(found, enough=20)).collect()}
     assert all(kept[i] == (False, True) for i in range(40)) and kept[90] == (False, False) and kept[91] == (True, False)
     none = measured(empty)
     assert fertility.verdict(none, fertility.bands(none)).count() == 0
@@ -333,6 +336,92 @@ def test_verdict_rejects_what_leaves_its_band(spark, empty, hard):
     assert out.count() == hard.count() and out.columns.count("kept") == 1
 
 
+def test_sparse_groups_are_judged_by_wider_ones(spark):
+    """A lone document of a language or length meets the language's or the script's band; null and empty languages differ."""
+    from tests.llm.conftest import prose
+
+    junk = " ".join("xqz" + "".join(chr(97 + (7 * i + j * j) % 26) for j in range(9)) for i in range(300))
+    rows = [(i, prose(100 + i % 50, i), "en") for i in range(120)]
+    rows += [(200, prose(900, 7), "en"), (201, junk, "en"), (202, junk, "xx"), (203, prose(100, 8), "xx"), (204, junk, None),
+             (205, prose(100, 9), None), (206, junk, ""), (207, prose(100, 10), ""), (208, "слово за слово идёт одно слово раз два три четыре", None)]
+    found = measured(spark.createDataFrame(rows, "doc_id long, text string, lang string")).cache()
+    assert found.filter("doc_id = 208").first().script == "cyrillic" and found.filter("doc_id = 204").first().script == "latin"
+    table = fertility.bands(found)
+    assert {r._key for r in table.collect()} == {"length 3 of en", "all of en", "script latin"}
+    gone = {r.doc_id for r in fertility.verdict(found, table).filter("not kept").collect()}
+    assert gone == {201, 202, 204, 206}
+
+
+def brute_verdict(rows):
+    """{doc_id: (base_failed, kept)} from measured rows, group by group."""
+    def failed(r):
+        return r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words
+
+    def keys(r):
+        out = [] if r.lang is None else [(r.lang, math.floor(math.log2(r.n_words) / 2)), (r.lang,)]
+        return [*((k, 100) for k in out), (("script", r.script), 20)]
+
+    def median(values):
+        return sorted(values)[(len(values) - 1) // 2]
+
+    groups = defaultdict(set)
+    for r in rows:
+        if not failed(r):
+            for key, _ in keys(r):
+                groups[key].add((r.n_words, *[math.floor(r[m] * 1000 + 0.5) for m in fertility.MEASURES]))
+    out = {}
+    for r in rows:
+        good = not failed(r)
+        for key, enough in keys(r) if good else []:
+            if len(groups[key]) >= enough:
+                for i, m in enumerate(fertility.MEASURES):
+                    mid = median([g[i + 1] for g in groups[key]])
+                    mad = median([abs(g[i + 1] - mid) for g in groups[key]])
+                    width = 4 * 1.4826 * (1.5 if r.n_words < 64 else 1) * (1.5 if m == "pieces_per_token" else 1)
+                    half = max(mad * width / 1000, 0.05 if m == "fallback_share" else 0.05 * mid / 1000)
+                    off = r[m] - mid / 1000
+                    off = off if m == "fallback_share" else -off if m == "entropy" else abs(off)
+                    good = good and off <= half + 1e-12
+                break
+        out[r.doc_id] = (failed(r), good)
+    return out
+
+
+def test_quality_query_against_brute_force(spark, sf):
+    from clickloom.llm.queries import op9_fertility
+
+    docs = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet")
+    want = brute_verdict(measured(docs.select("doc_id", "text", "lang")).collect())
+    got = op9_fertility(spark, sf.replace("0.001", "0.01"))
+    assert {r.doc_id: (r.base_failed, r.kept) for r in got.collect()} == want
+
+
+def test_bands_catch_garbled_and_wrongly_labelled_text(spark, sf):
+    """Mixed into the clean corpus, of 60 words or more: mojibake, shuffled letters, other languages labelled en; clean ones stay."""
+    import random
+
+    folder = sf.replace("0.001", "0.1")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
+    good = spark.read.parquet(f"{folder}/labels.parquet").filter("quality = 1").select("doc_id")
+    found = pin(measured(docs), "t").join(good.withColumn("good", F.lit(True)), "doc_id", "left")
+    some = [r for r in found.filter("good and n_words between 60 and 400 and doc_id % 5 = 0").collect()]
+
+    def shuffled(text):
+        draw = random.Random(5)
+        return " ".join("".join(draw.sample(w, len(w))) for w in text.split(" "))
+
+    made = [("mojibake", r.text.encode().decode("latin-1"), r.lang) for r in some if r.lang != "en"]
+    made += [("shuffled", shuffled(r.text), r.lang) for r in some]
+    made += [(f"{r.lang} as en", r.text, "en") for r in some if r.lang != "en"]
+    other = measured(spark.createDataFrame(made, "kind string, text string, lang string"))
+    table = fertility.bands(found)
+    caught = {r.kind: r.rate for r in fertility.verdict(other, table).groupBy("kind").agg(
+        F.avg(F.when(F.col("kept"), 0).otherwise(1)).alias("rate")).collect()}
+    kept = fertility.verdict(found, table).filter("good and not base_failed and n_words >= 60").agg(F.avg(F.col("kept").cast("int"))).first()[0]
+    print(caught, kept)
+    assert min(caught.values()) >= 0.9 and kept >= 0.98
+
+
 # --- sharding --------------------------------------------------------------------------------------------
 
 def sharded(df, shards, units=1024):
