@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.errors import ape, log_loss_term
+from clickloom.operators.boosting import BoostedModel
 from clickloom.operators.joins import flag_members
 from clickloom.operators.ordered import tag_blocks, with_row_index
 from clickloom.session import pin, together
@@ -148,6 +149,11 @@ def mape_measure() -> Column:
     return ape(F.col("label"), F.col("prediction"))
 
 
+def squared_measure() -> Column:
+    """Per-row squared error of a fitted regressor's output."""
+    return F.pow(F.col("label") - F.col("prediction"), 2)
+
+
 # --- searches --------------------------------------------------------------------------------
 
 CURVE = "param double, fold int, train_loss double, valid_loss double"
@@ -188,6 +194,48 @@ def validation_curve(samples: DataFrame, make: Callable[[float], Estimator], par
     return _curve(samples, [(float(p), fold) for p in params for fold in range(1, folds + 1)], run, parallel)
 
 
+def _stages(model: Model, df: DataFrame, counts: Sequence[int]) -> tuple[DataFrame, dict[int, str]]:
+    """Predictions of the first trees of a boosted ensemble, in one pass: a column for each number of trees."""
+    names = {n: f"_stage_{n}" for n in counts}
+    if isinstance(model, BoostedModel):
+        return model.staged(df, {names[n]: n for n in counts}), names
+    total, out = F.lit(0.0), {}
+    for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights), 1):
+        df = tree.copy().setPredictionCol(f"_tree_{i}").transform(df)
+        total = total + F.col(f"_tree_{i}") * F.lit(float(weight))
+        if i in names:
+            out[names[i]] = total
+    return df.withColumns(out).drop(*[f"_tree_{i + 1}" for i in range(len(model.trees))]), names
+
+
+def staged_curve(samples: DataFrame, make: Callable[[int], Estimator], counts: Sequence[int], folds: int,
+                 measure: Callable[[], Column] = mape_measure, parallel: int = 4, scheme: str = "expanding") -> DataFrame:
+    """``validation_curve`` over numbers of boosted trees with one fit per fold.
+
+    The first k trees of a boosted ensemble are those of a fit with k trees and the same seed, so the largest ensemble
+    is fitted and its beginnings are evaluated, all in one pass.  (This does not hold for forests, whose trees are
+    drawn together.)
+    """
+    block, counts = F.col(BLOCK), sorted({int(n) for n in counts})
+
+    def run(fold: int) -> list[tuple]:
+        train = block < fold if scheme == "expanding" else (block != fold) & (block <= folds)
+        valid = block == fold
+        model = make(counts[-1]).fit(samples.filter(train))
+        staged, names = _stages(model, samples.filter(train | valid), counts)
+        losses = staged.select(train.alias("_train"), "label", *names.values())
+        for name in names.values():
+            losses = losses.withColumn("prediction", F.col(name)).withColumn(name, measure())
+        row = losses.agg(*[F.avg(F.when(F.col("_train") == side, F.col(name))).alias(f"{name}_{side}")
+                           for name in names.values() for side in (True, False)]).first()
+        return [(float(n), fold, row[f"{names[n]}_True"], row[f"{names[n]}_False"]) for n in counts]
+
+    spark = samples.sparkSession
+    with ThreadPool(min(parallel, folds)) as pool:
+        found = pool.map(inheritable_thread_target(spark)(run), range(1, folds + 1))
+    return spark.createDataFrame([row for rows in found for row in rows], CURVE)
+
+
 def rank_params(curve: DataFrame) -> DataFrame:
     """Mean losses per parameter and their rank, best first (one row per parameter)."""
     means = curve.groupBy("param").agg(F.avg("train_loss").alias("mean_train_loss"),

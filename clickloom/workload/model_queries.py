@@ -13,6 +13,7 @@ from clickloom import schemas
 from clickloom.operators import encode
 from clickloom.operators import modelling as m
 from clickloom.operators.aggregates import scale_min_max
+from clickloom.operators.boosting import GradientBoosting
 from clickloom.operators.joins import flag_members
 from clickloom.operators.ordered import shift_cycle
 from clickloom.operators.series import twelve_slots
@@ -390,6 +391,84 @@ def boosted_trees(r: Roles) -> DataFrame:
     return m.mape(model.transform(data), "label", "prediction")
 
 
+BOOSTED = ["l_quantity", "l_discount", "l_tax"]
+L1 = 0.815          # penalty on leaf values of the tuned ensemble
+
+
+def _stumps_sql(trees: int, train: str, rate: float = 0.1, l1: float = L1) -> str:
+    """CTEs p0, s1, p1, ...: trees of one cut on the rows ``p0`` (fold, x, y, pred and what ``train`` reads), fitted by fold."""
+    def strength(g: str, h: str) -> str:
+        return f"pow(greatest(abs({g}) - {l1}, 0), 2) / ({h} + 1.0)"
+
+    def leaf(g: str, h: str) -> str:
+        return f"-sign({g}) * greatest(abs({g}) - {l1}, 0) / ({h} + 1.0) * {rate}"
+
+    parts = []
+    for t in range(1, trees + 1):
+        parts.append(f"""
+    h{t} AS (SELECT fold, feature, v, sum(pred - y) AS dg, count(*) AS dh
+             FROM (SELECT *, unnest([0, 1, 2]) AS feature, unnest(x) AS v FROM p{t - 1} WHERE {train}) GROUP BY ALL),
+    c{t} AS (SELECT fold, feature, v, sum(dg) OVER w - dg AS gl, sum(dh) OVER w - dh AS hl,
+                    sum(dg) OVER (PARTITION BY fold, feature) AS g, sum(dh) OVER (PARTITION BY fold, feature) AS h
+             FROM h{t} WINDOW w AS (PARTITION BY fold, feature ORDER BY v)),
+    s{t} AS (SELECT {t} AS tree, *, {strength("gl", "hl")} + {strength("(g - gl)", "(h - hl)")} - {strength("g", "h")} AS gain,
+                    {leaf("gl", "hl")} AS below, {leaf("(g - gl)", "(h - hl)")} AS above
+             FROM c{t} WHERE hl > 0 QUALIFY row_number() OVER (PARTITION BY fold ORDER BY gain DESC, feature, v) = 1),
+    p{t} AS (SELECT p.* REPLACE (pred + CASE WHEN x[feature + 1] < v THEN below ELSE above END AS pred)
+             FROM p{t - 1} p JOIN s{t} USING (fold))""")
+    return ",".join(parts)
+
+
+@query("j22c_boosted_stumps_l1", f"""
+    WITH p0 AS (SELECT 1 AS fold, [{", ".join(BOOSTED)}] AS x, l_extendedprice AS y, 0.5::DOUBLE AS pred FROM lineitem),
+    {_stumps_sql(3, "true")}
+    SELECT tree::INTEGER AS tree, feature::INTEGER AS feature, round(v, 6) AS threshold, round(gain / 1000000, 2) AS gain, round(below, 4) AS below, round(above, 4) AS above
+    FROM (SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3)""")
+def boosted_stumps_l1(r: Roles) -> DataFrame:
+    """Three trees of one cut each, with an L1 penalty on the leaf values."""
+    lines = r.table("lineitem").withColumn("label", F.col("l_extendedprice"))
+    nodes = GradientBoosting(trees=3, depth=1, rate=0.1, l1=L1, features=BOOSTED).fit(lines).describe(lines)
+    leaf = {n: F.max(F.when(F.col("node") == n, F.col("value"))) for n in (2, 3)}
+    cuts = nodes.groupBy("tree").agg(F.max("feature").alias("feature"), F.max("threshold").alias("threshold"),
+                                     (F.max("gain") / 1_000_000).alias("gain"), leaf[2].alias("below"), leaf[3].alias("above"))
+    return rounded(rounded(rounded(cuts, "threshold"), "gain", digits=2), "below", "above", digits=4)
+
+
+@query("j22d_boosted_six_targets")
+def boosted_six_targets(r: Roles) -> DataFrame:
+    """Errors of six boosted ensembles with the tuned settings: depth 2, 20 trees, 60% of the rows, L1 on the leaves."""
+    rows = twelve_slots(regular(r), plan.KEYS).dropna()
+    data = encode.concatenate(rows, plan.PREVIOUS)
+
+    def make() -> GradientBoosting:
+        return GradientBoosting(trees=20, depth=2, rate=0.1, subsample=0.6, l1=L1)
+
+    scored = m.predict_targets(m.fit_targets(data, make, plan.TARGETS), data)
+    return m.mape_of_targets(scored, plan.TARGETS, [f"pred_{t}" for t in plan.TARGETS])
+
+
+STAGES = [1, 2, 4]
+LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+
+
+@query("j16d_staged_curve", f"""
+    WITH b AS (
+        SELECT [{", ".join(BOOSTED)}] AS x, l_extendedprice AS y,
+               CASE WHEN p < n - 3 * (n // 4) THEN 0 ELSE (p - (n - 3 * (n // 4))) // (n // 4) + 1 END AS block
+        FROM (SELECT *, row_number() OVER (ORDER BY {", ".join(LINE_KEY)}) - 1 AS p, count(*) OVER () AS n FROM lineitem)),
+    p0 AS (SELECT fold, block, x, y, 0.5::DOUBLE AS pred FROM b, range(1, 4) f(fold) WHERE block <= fold),
+    {_stumps_sql(4, "block < fold", 0.5)}
+    SELECT trees::DOUBLE AS param, fold::INTEGER AS fold, round(avg(abs((y - pred) / nullif(y, 0))) FILTER (block < fold), 5) AS train_loss,
+           round(avg(abs((y - pred) / nullif(y, 0))) FILTER (block = fold), 5) AS valid_loss
+    FROM ({" UNION ALL ".join(f"SELECT {n} AS trees, * FROM p{n}" for n in STAGES)}) GROUP BY ALL""")
+def staged_curve(r: Roles) -> DataFrame:
+    """Losses for growing numbers of trees over expanding folds, from one fit a fold."""
+    lines = encode.concatenate(r.table("lineitem").withColumn("label", F.col("l_extendedprice")), BOOSTED)
+    samples = m.in_blocks(lines.select(*LINE_KEY, "label", "features"), LINE_KEY, 3)
+    curve = m.staged_curve(samples, lambda n: GradientBoosting(trees=n, depth=1, rate=0.5, l1=L1), STAGES, 3)
+    return rounded(curve, "train_loss", "valid_loss", digits=5)
+
+
 def _flag_vectors(r: Roles) -> DataFrame:
     lines = r.table("lineitem").select("l_returnflag", F.col("l_extendedprice").alias("label"),
                                        (F.col("l_returnflag") == "R").cast("double").alias("returned"))
