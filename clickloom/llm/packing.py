@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 
 from clickloom.llm.files import attempt_name, folder, opened
 from clickloom.llm.text import buffers, slices
-from clickloom.llm.vocabularies import byte_tokenizer
+from clickloom.llm.vocabularies import byte_tokenizer, id_bits
 from clickloom.session import pin
 
 MAGIC = b"LOOMBITS"
@@ -132,7 +132,7 @@ def encoded(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "tex
         tok = byte_tokenizer(tokenizer)
         kind = id_type(tok.bits)
         for batch in batches:
-            for lo, hi in slices(batch.column(2), 8 << 20):
+            for lo, hi in slices(batch.column(2)):
                 data, offsets = buffers(batch.column(2).slice(lo, hi - lo))
                 ids, counts = tok.encode(data, offsets)
                 if end_id is not None:
@@ -163,10 +163,9 @@ def write_ids(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "t
 
     Texts are encoded where they are read; what is moved into the order are ids, not texts.
     """
-    root = folder(df.sparkSession, name)
+    root, bits = folder(df.sparkSession, name), id_bits(tokenizer)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = byte_tokenizer(tokenizer).bits
         kind = id_type(bits)
         part = TaskContext.get().partitionId()
         path = f"{root}/{attempt_name(part, '.ids')}"
@@ -177,12 +176,12 @@ def write_ids(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "t
             if writer is None:
                 filesystem, inside = opened(path)
                 writer = Writer(filesystem.open_output_stream(inside, compression=None), bits, per_block)
-            for lo, hi in slices(batch.column(1), 8 << 20):
+            for lo, hi in slices(batch.column(1)):
                 data, offsets = buffers(batch.column(1).slice(lo, hi - lo))
                 keys = batch.column(0).slice(lo, hi - lo)
                 nulls = keys.is_null().to_numpy(zero_copy_only=False)
                 writer.add(keys.fill_null(0).to_numpy(), nulls, np.diff(offsets) // kind.itemsize,
-                           np.frombuffer(data.tobytes(), dtype=kind))
+                           np.ascontiguousarray(data).view(kind))
                 doc += hi - lo
                 if writer.ids - unit[1] >= unit_ids:
                     units.append((part, path, len(units), unit[0], doc - unit[0], unit[1], writer.ids - unit[1]))

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 
 from clickloom.llm.text import WHITE
 
-KEPT = 1_000_000        # parts whose ids a worker keeps between batches
+KEPT = 500_000          # parts whose ids a worker keeps between batches
 
 LETTER = np.zeros(256, dtype=bool)
 LETTER[[*range(65, 91), *range(97, 123)]] = True
@@ -72,6 +72,17 @@ def _latin_word(text: str) -> bool:
     return word.isalpha() and (word.isascii() or max(word) < "\u0250")
 
 
+def bits_of(size: int) -> int:
+    return max(1, int(size - 1).bit_length())
+
+
+def id_bits(path: str) -> int:
+    """Bits that hold every id of a vocabulary."""
+    from tokenizers import Tokenizer
+
+    return bits_of(Tokenizer.from_file(path).get_vocab_size())
+
+
 class ByteTokenizer:
     """Ids of whole texts by the tokenizers library."""
 
@@ -80,7 +91,7 @@ class ByteTokenizer:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.bits = max(1, int(self.tokenizer.get_vocab_size() - 1).bit_length())
+        self.bits = bits_of(self.tokenizer.get_vocab_size())
         feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.feed = feed[0] if len(feed) == 1 else None
         spec = json.loads(self.tokenizer.to_str())
