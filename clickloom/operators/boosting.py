@@ -2,7 +2,7 @@
 
 Values are binned once at quantiles.  A level of a tree is one aggregate: sums of gradients and rows by (node, feature,
 bin), which collapse in the map task; running sums over the bins give the gain of every cut, and one row a node
-reaches the driver.  Trees are column expressions, so prediction is part of whatever plan reads it.
+reaches the driver.  A fitted ensemble is a column expression, so prediction is part of whatever plan reads it.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.session import pin
@@ -42,11 +42,6 @@ def soft(value, l1: float):
     return max(abs(value) - l1, 0.0) * (1 if value > 0 else -1)
 
 
-def _strength(gradient: Column, rows: Column, l1: float, l2: float) -> Column:
-    kept = F.greatest(F.abs(gradient) - F.lit(l1), F.lit(0.0))
-    return kept * kept / (rows + F.lit(l2))
-
-
 def _numbers(df: DataFrame, features: str | Sequence[str]) -> list[Column]:
     """The feature columns as doubles; a vector column gives one for each of its places.  NaN counts as missing."""
     if isinstance(features, str):
@@ -91,21 +86,29 @@ class GradientBoosting:
 
     def fit(self, df: DataFrame) -> BoostedModel:
         """Rows without a label are left out; a table without rows gives the base value."""
-        df = df.filter(F.col(self.label).isNotNull())
+        return self.fit_many(df, [self.label])[0]
+
+    def fit_many(self, df: DataFrame, labels: Sequence[str], predictions: Sequence[str] | None = None) -> list[BoostedModel]:
+        """One ensemble for each label, grown side by side: a level of all their trees is one scan."""
+        there = F.lit(False)
+        for label in labels:
+            there = there | F.col(label).isNotNull()
+        df = df.filter(there)
         numbers = _numbers(df, self.features)
         edges = self._edges(df, numbers)
-        names = [f"b{i}" for i in range(len(edges))]
-        rows = pin(self._binned(df, numbers, edges), "boosting")
-        made: list[Tree] = []
+        rows = pin(self._binned(df, numbers, edges, labels), "boosting")
+        made: list[list[Tree]] = [[] for _ in labels]
         for number in range(self.trees):
-            tree = self._grow(rows, number, names, edges)
-            made.append(tree)
+            trees = self._grow(rows, number, len(labels), edges)
+            for t, tree in enumerate(trees):
+                made[t].append(tree)
             if number + 1 < self.trees:
-                step = tree_value(tree, self._leaf, lambda f: F.col(names[f]), by_bin=True)
-                rows = rows.withColumn("pred", F.col("pred") + step)
+                rows = rows.withColumns({f"pred{t}": F.expr(f"pred{t} + {value_sql(tree, self._leaf)}") for t, tree in enumerate(trees)})
                 if number % REWRITE == REWRITE - 1:
                     rows = pin(rows, "boosting")
-        return BoostedModel(replace(self), made)
+        names = predictions or [self.prediction] * len(labels)
+        return [BoostedModel(replace(self, label=label, prediction=name), trees)
+                for label, name, trees in zip(labels, names, made, strict=True)]
 
     def _leaf(self, node: Node) -> float:
         return -soft(node.gradient, self.l1) / (node.rows + self.l2) * self.rate if node.rows + self.l2 else 0.0
@@ -118,46 +121,51 @@ class GradientBoosting:
         found = df.agg(*[F.percentile_approx(c, shares, 100 * self.bins).alias(str(i)) for i, c in enumerate(numbers)]).first()
         return [sorted(set(values or []))[1:] for values in found]
 
-    def _binned(self, df: DataFrame, numbers: list[Column], edges: list[list[float]]) -> DataFrame:
-        """(b0, b1, ..., y, row, pred): for each feature the number of cuts at or below the value, or ``MISSING``."""
-        values = {f"x{i}": c for i, c in enumerate(numbers)}
-        rows = df.select(*[c.alias(n) for n, c in values.items()], F.col(self.label).cast("double").alias("y"))
-        rows = rows.withColumns({"row": F.xxhash64(*rows.columns), "pred": F.lit(float(self.base))})
+    def _binned(self, df: DataFrame, numbers: list[Column], edges: list[list[float]], labels: Sequence[str]) -> DataFrame:
+        """(b0, b1, ..., y0, ..., pred0, ..., row): for each feature the number of cuts at or below the value, or ``MISSING``."""
+        rows = df.select(*[c.alias(f"x{i}") for i, c in enumerate(numbers)],
+                         *[F.col(label).cast("double").alias(f"y{t}") for t, label in enumerate(labels)])
+        rows = rows.withColumns({"row": F.xxhash64(*rows.columns), **{f"pred{t}": F.lit(float(self.base)) for t in range(len(labels))}})
         cut = [i for i, e in enumerate(edges) if e]
         if cut:
             rows = Bucketizer(inputCols=[f"x{i}" for i in cut], outputCols=[f"b{i}" for i in cut], handleInvalid="keep",
                               splitsArray=[[float("-inf"), *edges[i], float("inf")] for i in cut]).transform(rows)
         bins = [F.when(F.col(f"x{i}").isNull(), MISSING).otherwise(F.col(f"b{i}") if e else F.lit(0)).cast("int").alias(f"b{i}")
                 for i, e in enumerate(edges)]
-        return rows.select(*bins, "y", "row", "pred")
+        return rows.select(*bins, *[c for c in rows.columns if c.startswith(("y", "pred", "row"))])
 
-    def _grow(self, rows: DataFrame, number: int, names: list[str], edges: list[list[float]]) -> Tree:
+    def _grow(self, rows: DataFrame, number: int, many: int, edges: list[list[float]]) -> list[Tree]:
+        """The next tree of each ensemble, level by level."""
         if self.subsample < 1:
             drawn = F.pmod(F.xxhash64("row", F.lit(self.seed), F.lit(number)), F.lit(1_000_003)) / 1_000_003.0
             rows = rows.filter(drawn < self.subsample)
-        used = self._chosen(number, len(names))
-        tree: Tree = {}
+        used = self._chosen(number, len(edges))
+        trees: list[Tree] = [{} for _ in range(many)]
         for level in range(max(self.depth, 1)):
-            for row in self._best_cuts(rows, tree, level, names, used):
+            for row in self._best_cuts(rows, trees, level, used):
+                tree, b = trees[row.target], row.best
                 node = tree.setdefault(row.node, Node(row.g, row.h))
-                if row.best is None or self.depth == 0:
+                if b is None or self.depth == 0:
                     continue
-                b = row.best
                 tree[row.node] = replace(node, feature=b.feature, bin=b.bin, threshold=edges[b.feature][b.bin],
                                          missing_left=b.missing_left, gain=b.gain)
                 tree[2 * row.node] = Node(b.gl, b.hl)
                 tree[2 * row.node + 1] = Node(row.g - b.gl, row.h - b.hl)
-            if not any(n >= 1 << (level + 1) for n in tree):
+            if not any(n >= 1 << (level + 1) for tree in trees for n in tree):
                 break
-        if not tree:
-            tree[1] = Node(0.0, 0.0)
-        for n in sorted(tree, reverse=True):           # cut back from the leaves
+        for tree in trees:
+            self._cut_back(tree)
+        return trees
+
+    def _cut_back(self, tree: Tree) -> None:
+        """Undo, from the leaves up, cuts that gain too little; a tree of no rows is one leaf."""
+        tree.setdefault(1, Node(0.0, 0.0))
+        for n in sorted(tree, reverse=True):
             node = tree.get(n)
             if node and node.feature is not None and node.gain < self.min_gain and not any(
                     tree[c].feature is not None for c in (2 * n, 2 * n + 1)):
                 tree[n] = Node(node.gradient, node.rows)
                 del tree[2 * n], tree[2 * n + 1]
-        return tree
 
     def _chosen(self, number: int, n: int) -> list[int]:
         if self.feature_share >= 1:
@@ -166,68 +174,61 @@ class GradientBoosting:
 
         return sorted(random.Random(f"{self.seed}-{number}").sample(range(n), max(1, int(n * self.feature_share))))
 
-    def _best_cuts(self, rows: DataFrame, tree: Tree, level: int, names: list[str], used: list[int]) -> list:
-        """(node, g, h, best) for each node of the level: the sums of its rows and its best cut, null where none gains."""
-        node = tree_node(tree, level, lambda f: F.col(names[f]))
-        cells = F.array(*[F.struct(F.lit(i).alias("feature"), F.col(names[i]).alias("bin")) for i in used])
-        if not used:
-            cells = F.array(F.struct(F.lit(-1).alias("feature"), F.lit(0).alias("bin")))
-        at = rows.select(node.alias("node"), (F.col("pred") - F.col("y")).alias("grad"), F.inline(cells))
-        sums = (at.filter(F.col("node").isNotNull()).groupBy("node", "feature", "bin")
-                .agg(F.sum("grad").alias("g"), F.count("*").cast("double").alias("h")))
-        whole = Window.partitionBy("node", "feature")
-        upto = whole.orderBy("bin")         # the missing bin comes first
-        absent = F.col("bin") == MISSING
-        table = sums.select(
-            "node", "feature", "bin", F.sum("g").over(whole).alias("all_g"), F.sum("h").over(whole).alias("all_h"),
-            F.coalesce(F.sum(F.when(absent, F.col("g"))).over(whole), F.lit(0.0)).alias("no_g"),
-            F.coalesce(F.sum(F.when(absent, F.col("h"))).over(whole), F.lit(0.0)).alias("no_h"),
-            F.coalesce(F.sum(F.when(~absent, F.col("g"))).over(upto), F.lit(0.0)).alias("low_g"),
-            F.coalesce(F.sum(F.when(~absent, F.col("h"))).over(upto), F.lit(0.0)).alias("low_h"))
-        sides = F.array(*[F.struct(F.lit(left).alias("missing_left"),
-                                   (F.col("low_g") + (F.col("no_g") if left else F.lit(0.0))).alias("gl"),
-                                   (F.col("low_h") + (F.col("no_h") if left else F.lit(0.0))).alias("hl")) for left in (False, True)])
-        cuts = table.withColumn("side", F.explode(sides)).select("*", "side.*")
-        hr, gr = F.col("all_h") - F.col("hl"), F.col("all_g") - F.col("gl")
-        gain = (_strength(F.col("gl"), F.col("hl"), self.l1, self.l2) + _strength(gr, hr, self.l1, self.l2)
-                - _strength(F.col("all_g"), F.col("all_h"), self.l1, self.l2))
-        least = max(self.min_rows, 1e-9)
-        good = ~absent & (F.col("feature") >= 0) & (F.col("hl") >= least) & (hr >= least) & (gain > 1e-9)
-        good = good & (F.col("missing_left") | (F.col("low_h") < F.col("all_h") - F.col("no_h")) | (F.col("no_h") > 0))
+    def _best_cuts(self, rows: DataFrame, trees: list[Tree], level: int, used: list[int]) -> list:
+        """(target, node, g, h, best) for each node of the level: the sums of its rows and its best cut, null where none gains."""
+        ensembles = ", ".join(f"named_struct('target', {t}, 'node', CASE WHEN y{t} IS NOT NULL THEN {node_sql(tree, level)} END, "
+                              f"'grad', pred{t} - y{t})" for t, tree in enumerate(trees))
+        cells = ", ".join(f"named_struct('feature', {i}, 'bin', b{i})" for i in used) or "named_struct('feature', -1, 'bin', 0)"
+        at = rows.selectExpr(f"array({cells}) AS cells", f"inline(array({ensembles}))").where("node IS NOT NULL")
+        sums = (at.selectExpr("target", "node", "grad", "inline(cells)").groupBy("target", "node", "feature", "bin")
+                .agg(F.expr("sum(grad) AS g"), F.expr("double(count(*)) AS h")))
+        whole = "OVER (PARTITION BY target, node, feature)"
+        upto = "OVER (PARTITION BY target, node, feature ORDER BY bin)"         # the missing bin comes first
+        table = sums.selectExpr(
+            "target", "node", "feature", "bin", f"sum(g) {whole} AS all_g", f"sum(h) {whole} AS all_h",
+            f"coalesce(sum(CASE WHEN bin = {MISSING} THEN g END) {whole}, 0D) AS no_g",
+            f"coalesce(sum(CASE WHEN bin = {MISSING} THEN h END) {whole}, 0D) AS no_h",
+            f"coalesce(sum(CASE WHEN bin <> {MISSING} THEN g END) {upto}, 0D) AS low_g",
+            f"coalesce(sum(CASE WHEN bin <> {MISSING} THEN h END) {upto}, 0D) AS low_h")
+        sides = ("array(named_struct('missing_left', false, 'gl', low_g, 'hl', low_h), "
+                 "named_struct('missing_left', true, 'gl', low_g + no_g, 'hl', low_h + no_h))")
+
+        def strength(g: str, h: str) -> str:
+            return f"coalesce(try_divide(pow(greatest(abs({g}) - {float(self.l1)}D, 0D), 2), {h} + {float(self.l2)}D), 0D)"
+
+        cuts = table.selectExpr("*", f"inline({sides})").selectExpr(
+            "*", f"{strength('gl', 'hl')} + {strength('(all_g - gl)', '(all_h - hl)')} - {strength('all_g', 'all_h')} AS gain")
+        least = max(float(self.min_rows), 1e-9)
+        good = f"bin <> {MISSING} AND feature >= 0 AND hl >= {least}D AND all_h - hl >= {least}D AND gain > 1e-9D"
         # equal gains: the first feature, the lowest cut, missing values to the right
-        best = F.max(F.when(good, F.struct(
-            gain.alias("gain"), (-F.col("feature")).alias("_f"), (-F.col("bin")).alias("_b"),
-            (~F.col("missing_left")).alias("_m"), "feature", "bin", "missing_left", "gl", "hl"))).alias("best")
-        return cuts.groupBy("node").agg(F.max_by("all_g", -F.col("feature")).alias("g"), F.max("all_h").alias("h"), best).collect()
+        best = (f"max(CASE WHEN {good} THEN struct(gain, -feature AS f, -bin AS b, NOT missing_left AS m, feature, bin, missing_left, gl, hl) END)")
+        return cuts.groupBy("target", "node").agg(
+            F.expr("max_by(all_g, -feature) AS g"), F.expr("max(all_h) AS h"), F.expr(f"{best} AS best")).collect()
 
 
-def _side(node: Node, x: Column, by_bin: bool, left, right):
+def _side(node: Node, left: str, right: str) -> str:
     """``left`` or ``right`` by the cut of the node."""
-    below = x <= node.bin if by_bin else x < node.threshold
-    absent = x == MISSING if by_bin else x.isNull()
-    return F.when(absent, left if node.missing_left else right).when(below, left).otherwise(right)
+    below = f"b{node.feature} <= {node.bin}"
+    below = f"({below})" if node.missing_left else f"(b{node.feature} <> {MISSING} AND {below})"      # the missing bin is below all
+    return f"CASE WHEN {below} THEN {left} ELSE {right} END"
 
 
-def tree_node(tree: Tree, level: int, value) -> Column:
+def node_sql(tree: Tree, level: int) -> str:
     """Number of the node of a level that a binned row is in, null if it is in a leaf above."""
-    def at(n: int) -> Column:
+    def at(n: int) -> str:
         if n >= 1 << level:
-            return F.lit(n)
+            return str(n)
         node = tree.get(n)
-        if node is None or node.feature is None:
-            return F.lit(None).cast("int")
-        return _side(node, value(node.feature), True, at(2 * n), at(2 * n + 1))
+        return "NULL" if node is None or node.feature is None else _side(node, at(2 * n), at(2 * n + 1))
 
-    return at(1)
+    return f"int({at(1)})"
 
 
-def tree_value(tree: Tree, leaf, value, by_bin: bool = False) -> Column:
-    """Value of the leaf a row is in."""
-    def at(n: int) -> Column:
+def value_sql(tree: Tree, leaf) -> str:
+    """Value of the leaf a binned row is in."""
+    def at(n: int) -> str:
         node = tree[n]
-        if node.feature is None:
-            return F.lit(float(leaf(node)))
-        return _side(node, value(node.feature), by_bin, at(2 * n), at(2 * n + 1))
+        return f"double('{float(leaf(node))!r}')" if node.feature is None else _side(node, at(2 * n), at(2 * n + 1))
 
     return at(1)
 
@@ -237,23 +238,49 @@ class BoostedModel:
     settings: GradientBoosting
     trees: list[Tree] = field(default_factory=list)
 
-    def _values(self, df: DataFrame) -> list[Column]:
-        numbers = _numbers(df, self.settings.features)
-        return [tree_value(t, self.settings._leaf, lambda f: numbers[f]) for t in self.trees]
+    def _table(self, tree: Tree) -> Column:
+        """The tree as a full one of ``depth`` levels: features, thresholds and missing sides by node, values by leaf."""
+        depth = max(self.settings.depth, 1)
+        inner = 1 << depth
+        features, cuts, sides, values = [0] * inner, [float("inf")] * inner, [True] * inner, [0.0] * inner
+        for n, node in tree.items():
+            if node.feature is None:
+                first, last = n, n              # the leaves below, where the tree ends above the last level
+                while first < inner:
+                    first, last = 2 * first, 2 * last + 1
+                values[first - inner:last - inner + 1] = [float(self.settings._leaf(node))] * (last - first + 1)
+            else:
+                features[n], cuts[n], sides[n] = node.feature, float(node.threshold), node.missing_left
+        return F.struct(*[F.array(*map(F.lit, part)).alias(name) for name, part in (
+            ("feature", features), ("cut", cuts), ("left", sides), ("value", values))])
 
     def transform(self, df: DataFrame) -> DataFrame:
         return self.staged(df, {self.settings.prediction: len(self.trees)})
 
     def staged(self, df: DataFrame, counts: dict[str, int]) -> DataFrame:
-        """Add a column with the prediction of the first so many trees, for each name in ``counts``."""
-        total, done, out = F.lit(float(self.settings.base)), 0, {}
-        values = self._values(df)
+        """Add a column with the prediction of the first so many trees, for each name in ``counts``.
+
+        Trees are rows of a constant that one expression walks, so the plan does not grow with their number.
+        """
+        depth = max(self.settings.depth, 1)
+        df = df.withColumn("_numbers", F.array(*_numbers(df, self.settings.features)))
+        x = F.col("_numbers")
+
+        def step(tree: Column, at: Column) -> Column:
+            value = F.get(x, F.element_at(tree["feature"], at + 1))
+            left = F.when(value.isNull(), F.element_at(tree["left"], at + 1)).otherwise(value < F.element_at(tree["cut"], at + 1))
+            return 2 * at + F.when(left, 0).otherwise(1)
+
+        def leaf(total: Column, tree: Column) -> Column:
+            at = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(1), lambda n, _: step(tree, n))
+            return total + F.element_at(tree["value"], at - (1 << depth) + 1)
+
+        total, done, out = F.when(x.isNotNull(), float(self.settings.base)), 0, {}
         for name, n in sorted(counts.items(), key=lambda c: c[1]):
-            for v in values[done:n]:
-                total = total + v
-            done = max(done, n)
+            if n > done:
+                total, done = F.aggregate(F.array(*[self._table(t) for t in self.trees[done:n]]), total, leaf), n
             out[name] = total
-        return df.withColumns(out)
+        return df.withColumns(out).drop("_numbers")
 
     def describe(self, df: DataFrame) -> DataFrame:
         """One row a node: tree, node, feature, threshold, gain, and the value of a leaf."""

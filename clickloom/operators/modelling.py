@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.errors import ape, log_loss_term
-from clickloom.operators.boosting import BoostedModel
+from clickloom.operators.boosting import BoostedModel, GradientBoosting
 from clickloom.operators.joins import flag_members
 from clickloom.operators.ordered import tag_blocks, with_row_index
 from clickloom.session import pin, together
@@ -304,6 +304,10 @@ def mape_of_targets_measure(targets: Sequence[str]) -> Column:
 
 def fit_targets(df: DataFrame, make: Callable[[], Estimator], targets: Sequence[str]) -> list[Model]:
     """One independent model per target column, fitted side by side."""
+    names = [f"pred_{t}" for t in targets]
+    if isinstance(make(), GradientBoosting):
+        return make().fit_many(df, targets, names)
+
     def fit(target: str) -> Model:
         return make().setLabelCol(target).setPredictionCol(f"pred_{target}").fit(df.dropna(subset=[target]))
 

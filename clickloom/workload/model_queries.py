@@ -438,7 +438,7 @@ def boosted_stumps_l1(r: Roles) -> DataFrame:
 def boosted_six_targets(r: Roles) -> DataFrame:
     """Errors of six boosted ensembles with the tuned settings: depth 2, 20 trees, 60% of the rows, L1 on the leaves."""
     rows = twelve_slots(regular(r), plan.KEYS).dropna()
-    data = encode.concatenate(rows, plan.PREVIOUS)
+    data = pin(encode.concatenate(rows, plan.PREVIOUS).select(*plan.TARGETS, "features"), "six-targets")
 
     def make() -> GradientBoosting:
         return GradientBoosting(trees=20, depth=2, rate=0.1, subsample=0.6, l1=L1)

@@ -138,3 +138,16 @@ def test_a_level_is_one_aggregate(spark, monkeypatch):
     monkeypatch.setattr(GradientBoosting, "_best_cuts", lambda self, *a: calls.append(1) or inner(self, *a))
     make.fit(df)
     assert len(calls) == make.trees * make.depth
+
+
+def test_targets_side_by_side_equal_separate_fits(spark):
+    rows = table(120, 11)
+    df = spark.createDataFrame([(*r.values(), r["c"] * 2 if i % 4 else None) for i, r in enumerate(rows)],
+                               "id int, a int, b double, c double, first double, second double")
+    make = GradientBoosting(trees=3, features=["a", "b", "c"], min_rows=3)
+    models = modelling.fit_targets(df, lambda: make, ["first", "second"])
+    both = modelling.predict_targets(models, df).collect()
+    for name in ("first", "second"):
+        alone = {r.id: r.prediction for r in make.setLabelCol(name).fit(df).transform(df).collect()}
+        seen = [r for r in both if r[name] is not None]      # cuts fall between the same rows, at other rows' values maybe
+        assert [r[f"pred_{name}"] for r in seen] == pytest.approx([alone[r.id] for r in seen], abs=1e-9)
