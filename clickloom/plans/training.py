@@ -14,14 +14,15 @@ from clickloom.operators.aggregates import fold_summary
 from clickloom.operators.encode import add_crosses, dictionary, encode_rows, truncated
 from clickloom.operators.modelling import (
     BLOCK,
-    grid_search,
     in_blocks,
     logistic,
     mean_log_loss,
+    positioned,
+    rank_params,
     score,
-    validation_curve,
     zero_installed,
 )
+from clickloom.operators.passes import pass_curve, shared_curve
 from clickloom.sources.sinks import submission
 
 # Searched penalties, penalty of the quick fit, folds, training share.
@@ -95,14 +96,15 @@ def linear_terms(train: DataFrame, crosses: bool = False, keep: Sequence[str] =
 
 
 def tune(encoded: DataFrame, order: Sequence[str], share: float = TRAIN_SHARE, folds: int = FOLDS,
-         alphas: Sequence[float] = tuple(ALPHAS), iterations: int = 100, parallel: int = 4
-         ) -> tuple[Model, float, DataFrame, float]:
+         alphas: Sequence[float] = tuple(ALPHAS), iterations: int = 100) -> tuple[Model, float, DataFrame, float]:
     """Hold out the end of the order, search the penalty on the rest, refit the best.
 
-    Returns the model, its penalty, the ranking and the held-out log-loss.
+    All penalties and folds are fitted in the same scans.  Returns the model, its penalty, the ranking and the held-out log-loss.
     """
     samples = in_blocks(encoded.select(*order, "label", "features"), order, folds, share=share, write=False)
-    model, best, ranking = grid_search(samples, lambda a: logistic(a, iterations), alphas, folds, parallel=parallel)
+    ranking = rank_params(shared_curve(samples, alphas, folds, iterations))
+    best = ranking.orderBy("rank_val_loss", "param").first().param
+    model = logistic(best, iterations).fit(samples.filter(F.col(BLOCK) <= folds))
     held_out = samples.filter(F.col(BLOCK) > folds)
     return model, best, ranking, mean_log_loss(score(model, held_out)).first().log_loss
 
@@ -111,16 +113,14 @@ def penalty_curve(encoded: DataFrame, order: Sequence[str], alphas: Sequence[flo
                   iterations: int = 100) -> DataFrame:
     """Mean and spread of the losses per penalty."""
     samples = in_blocks(encoded.select(*order, "label", "features"), order, folds, write=False)
-    curve = validation_curve(samples, lambda a: logistic(a, iterations), alphas, folds)
-    return fold_summary(curve, "param", "train_loss", "valid_loss")
+    return fold_summary(shared_curve(samples, alphas, folds, iterations), "param", "train_loss", "valid_loss")
 
 
 def iteration_curve(encoded: DataFrame, order: Sequence[str], iterations: Sequence[int], folds: int,
                     alpha: float = 0.0001) -> DataFrame:
-    """Mean and spread of the losses per number of optimiser passes."""
-    samples = in_blocks(encoded.select(*order, "label", "features"), order, folds, write=False)
-    curve = validation_curve(samples, lambda i: logistic(alpha, int(i)), iterations, folds)
-    return fold_summary(curve, "param", "train_loss", "valid_loss")
+    """Mean and spread of the losses per number of passes of stochastic gradient descent."""
+    samples = in_blocks(positioned(encoded.select(*order, "label", "features"), order), order, folds)
+    return fold_summary(pass_curve(samples, alpha, iterations, folds), "param", "train_loss", "valid_loss")
 
 
 def quick_fit(encoded: DataFrame, alpha: float = QUICK_ALPHA, iterations: int = 100) -> tuple[Model, float]:

@@ -6,10 +6,11 @@ feature is least squares, or a covariance over a variance plus the penalty.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.operators import encode
+from clickloom.operators import encode, moments, passes
 from clickloom.operators import modelling as m
 from clickloom.plans import run, training
 from clickloom.plans import travel_time as plan
@@ -104,6 +105,88 @@ def quick_fit_unpenalised(r: Roles) -> DataFrame:
     return r.spark.range(1).select(F.round(F.lit(loss), 5).alias("log_loss"))
 
 
+RIDGE = [float(p) for p in np.logspace(4, 9, 100)]
+_PAIR = ["l_quantity", "l_tax"]
+
+
+@query("j24b_hundred_penalties", f"""
+    WITH b AS (
+        SELECT l_quantity AS u, l_tax AS v, l_extendedprice / 1000 AS y,
+               CASE WHEN p < n - 3 * (n // 4) THEN 0 ELSE (p - (n - 3 * (n // 4))) // (n // 4) + 1 END AS block
+        FROM (SELECT *, row_number() OVER (ORDER BY {", ".join(LINE_ORDER)}) - 1 AS p, count(*) OVER () AS n FROM lineitem)),
+    s AS (SELECT fold, avg(u) AS mu, avg(v) AS mv, avg(y) AS my, regr_sxx(u, u) AS uu, regr_sxx(v, v) AS vv,
+                 regr_sxy(u, v) AS uv, regr_sxy(y, u) AS uy, regr_sxy(y, v) AS vy
+          FROM b, range(1, 4) f(fold) WHERE block < fold GROUP BY fold),
+    fits AS (SELECT *, my - wu * mu - wv * mv AS a
+             FROM (SELECT *, (uy * (vv + param) - vy * uv) / ((uu + param) * (vv + param) - uv * uv) AS wu,
+                             (vy * (uu + param) - uy * uv) / ((uu + param) * (vv + param) - uv * uv) AS wv
+                   FROM s, (SELECT unnest({RIDGE}::DOUBLE[]) AS param))),
+    losses AS (SELECT param, fold, avg(pow(y - a - wu * u - wv * v, 2)) FILTER (block < fold) AS train,
+                      avg(pow(y - a - wu * u - wv * v, 2)) FILTER (block = fold) AS valid
+               FROM b JOIN fits ON block <= fold GROUP BY ALL)
+    SELECT param, round(avg(train), 5) AS mean_train_loss, round(avg(valid), 5) AS mean_val_loss,
+           rank() OVER (ORDER BY round(avg(valid), 5))::INTEGER AS rank_val_loss
+    FROM losses GROUP BY param""")
+def hundred_penalties(r: Roles) -> DataFrame:
+    """Ranking of 100 ridge penalties by squared error over expanding folds, from one scan."""
+    lines = encode.concatenate(r.table("lineitem").withColumn("label", F.col("l_extendedprice") / 1000), _PAIR)
+    samples = m.in_blocks(lines.select(*LINE_ORDER, "label", "features"), LINE_ORDER, 3)
+    curve = moments.penalty_curve(samples, RIDGE, 3)
+    means = curve.groupBy("param").agg(F.round(F.avg("train_loss"), 5).alias("mean_train_loss"),
+                                       F.round(F.avg("valid_loss"), 5).alias("mean_val_loss"))
+    return means.withColumn("rank_val_loss", F.rank().over(Window.orderBy("mean_val_loss")))       # one row a penalty
+
+
+@query("j24c_lasso_of_one_feature", f"""
+    WITH s AS (SELECT avg(l_quantity) AS mx, avg(l_extendedprice / 1000) AS my, var_pop(l_quantity) AS xx,
+                      covar_pop(l_extendedprice / 1000, l_quantity) AS xy FROM lineitem)
+    SELECT param, l1_share, round(slope, 6) AS slope, round(my - slope * mx, 5) AS intercept
+    FROM (SELECT *, sign(xy) * greatest(abs(xy) - param * l1_share, 0) / (xx + param * (1 - l1_share)) AS slope
+          FROM s, (SELECT unnest([0.5, 20.0, 400.0, 1e6]::DOUBLE[]) AS param), (SELECT unnest([1.0, 0.3]::DOUBLE[]) AS l1_share))""")
+def lasso_of_one_feature(r: Roles) -> DataFrame:
+    """Lasso and elastic net in closed form: the covariance moved towards 0, over the variance and the rest of the penalty."""
+    lines = encode.concatenate(r.table("lineitem").withColumn("label", F.col("l_extendedprice") / 1000), ["l_quantity"])
+    sums = moments.moments(lines, F.lit(0))[0]
+    rows = []
+    for param in (0.5, 20.0, 400.0, 1e6):
+        for share in (1.0, 0.3):
+            line = moments.solve(sums, param, share)
+            rows.append((param, share, float(line.weights[0]), line.intercept))
+    shown = r.spark.createDataFrame(rows, "param double, l1_share double, slope double, intercept double")
+    return rounded(rounded(shown, "slope"), "intercept", digits=5)
+
+
+@query("j17d_size_curve", f"""
+    WITH cut AS (
+        SELECT l_quantity AS x, l_extendedprice / 1000 AS y, p, size, fold, size - (4 - fold) * (size // 4) AS lo, size // 4 AS step
+        FROM (SELECT *, row_number() OVER (ORDER BY {", ".join(LINE_ORDER)}) - 1 AS p, count(*) OVER () AS n FROM lineitem),
+             LATERAL (SELECT unnest([n // 4, n // 2, n]) AS size), range(1, 4) f(fold)),
+    fits AS (SELECT size, fold, regr_slope(y, x) AS w, regr_intercept(y, x) AS a FROM cut WHERE p < lo GROUP BY ALL)
+    SELECT size::DOUBLE AS param, fold::INTEGER AS fold, round(avg(pow(y - a - w * x, 2)) FILTER (p < lo), 5) AS train_loss,
+           round(avg(pow(y - a - w * x, 2)) FILTER (p >= lo), 5) AS valid_loss
+    FROM cut JOIN fits USING (size, fold) WHERE p < lo + step GROUP BY ALL""")
+def size_curve(r: Roles) -> DataFrame:
+    """Losses of least squares for growing samples over expanding folds, all from one scan."""
+    lines = encode.concatenate(r.table("lineitem").withColumn("label", F.col("l_extendedprice") / 1000), ["l_quantity"])
+    samples = m.positioned(lines.select(*LINE_ORDER, "label", "features"), LINE_ORDER)
+    n = samples.count()
+    return rounded(moments.size_curve(samples, [n // 4, n // 2, n], 3), "train_loss", "valid_loss", digits=5)
+
+
+@query("j15c_shared_search_unpenalised", f"""
+    WITH b AS (SELECT label, {FEATURE}, CASE WHEN pos < n - 3 * (n // 4) THEN 0 ELSE (pos - (n - 3 * (n // 4))) // (n // 4) + 1 END AS block
+               FROM {_NUMBERED}),
+    rates AS (SELECT fold, {FEATURE}, avg(label) AS p FROM b, range(1, 4) f(fold) WHERE block < fold GROUP BY ALL)
+    SELECT fold::INTEGER AS fold, round(avg({_LOSS}) FILTER (block < fold), 5) AS train_loss,
+           round(avg({_LOSS}) FILTER (block = fold), 5) AS valid_loss
+    FROM b JOIN rates USING ({FEATURE}) WHERE block <= fold GROUP BY fold""")
+def shared_search_unpenalised(r: Roles) -> DataFrame:
+    """The fits of all folds in the same scans; without a penalty they are the conversion rates."""
+    samples = m.in_blocks(_rated(r), ORDER, 3)
+    curve = passes.shared_curve(samples, [0.0], 3, iterations=200, tolerance=1e-12)
+    return rounded(curve.drop("param"), "train_loss", "valid_loss", digits=5)
+
+
 # --- forecasts: least squares on the last slot before -----------------------------------------------
 
 LAST = ["prev_tt_5"]

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom import schemas
-from clickloom.operators import encode
+from clickloom.operators import encode, passes
 from clickloom.operators import modelling as m
 from clickloom.operators.aggregates import scale_min_max
 from clickloom.operators.boosting import GradientBoosting
@@ -255,6 +256,26 @@ def logistic(r: Roles) -> DataFrame:
     return m.score(model, data).select("vec_id", "label", "prob")
 
 
+@query("j14c_passes")
+def passes_of_descent(r: Roles) -> DataFrame:
+    """Log-loss after each of the passes of stochastic gradient descent over the clicks in order."""
+    samples = m.positioned(_encoded(r), ORDER).withColumn(m.BLOCK, F.lit(0))
+    weights = passes.passes(samples, 1e-4, ITERATIONS)
+    loss = passes.losses(samples, weights, [np.ones((ITERATIONS, 1), dtype=bool)])[0]
+    return r.spark.createDataFrame([(i, float(x)) for i, x in enumerate(loss, 1)], "passes int, log_loss double")
+
+
+@query("j15d_shared_search")
+def shared_search(r: Roles) -> DataFrame:
+    """Ranking of the penalties with all fits in the same scans."""
+    return m.rank_params(passes.shared_curve(m.in_blocks(_encoded(r), ORDER, 5), training.ALPHAS, 5))
+
+
+@query("j16e_pass_curve")
+def pass_curve(r: Roles) -> DataFrame:
+    return training.iteration_curve(_encoded(r), ORDER, [2, 4, 6, 8, 10], 5)
+
+
 @query("j15_grid_search")
 def grid_search(r: Roles) -> DataFrame:
     _, _, ranking = m.grid_search(m.in_blocks(_encoded(r), ORDER, 5), lambda a: m.logistic(a, ITERATIONS), training.ALPHAS, 5)
