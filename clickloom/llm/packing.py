@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 
 from clickloom.llm.files import attempt_name, folder, opened
 from clickloom.llm.text import buffers, slices
-from clickloom.llm.vocabularies import byte_tokenizer, id_bits
+from clickloom.llm.vocabularies import byte_tokenizer
 from clickloom.session import pin
 
 MAGIC = b"LOOMBITS"
@@ -123,50 +123,18 @@ class Reader:
 MANIFEST = "part int, path string, unit int, first_doc long, docs long, first_id long, ids long"
 
 
-def encoded(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int | None = 2) -> DataFrame:
-    """(_key, _tie, _ids): the ids of each whole text as little-endian integers of two or four bytes, whichever hold
-    the vocabulary; ``_tie`` is the md5 of the text."""
-    rows = df.select(F.col(key).cast("long").alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = byte_tokenizer(tokenizer)
-        kind = id_type(tok.bits)
-        for batch in batches:
-            for lo, hi in slices(batch.column(2)):
-                data, offsets = buffers(batch.column(2).slice(lo, hi - lo))
-                ids, counts = tok.encode(data, offsets)
-                if end_id is not None:
-                    ids = np.insert(ids, np.cumsum(counts), np.uint32(end_id))
-                    counts = counts + 1
-                ends = np.concatenate(([0], np.cumsum(counts))) * kind.itemsize
-                flat = pa.LargeBinaryArray.from_buffers(pa.large_binary(), hi - lo, [
-                    None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids.astype(kind).tobytes())])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), flat.cast(pa.binary())],
-                    names=["_key", "_tie", "_ids"])
-
-    return (rows.select("_key", F.unhex(F.md5("_text")).alias("_tie"), "_text")
-            .mapInArrow(run, "_key long, _tie binary, _ids binary"))
-
-
-def id_type(bits: int) -> np.dtype:
-    return np.dtype("<u2" if bits <= 16 else "<u4")
-
-
 def write_ids(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int | None = 2,
               name: str = "packed", per_block: int = PER_BLOCK, unit_ids: int = UNIT_IDS) -> DataFrame:
     """Encode whole texts and write them in ascending order of ``key`` (an integer), one file per task.
 
     Returns the written list of the files in units of about ``unit_ids`` ids, to be read on their own.  Null texts count as empty; a null key
-    comes first; rows of equal keys are in the order of the md5 of their texts, and are spread over files by it (rows equal in both are the same); other
-    columns are ignored.  A file counts only when its task has ended and stands in the list, so lost attempts do no harm.
-
-    Texts are encoded where they are read; what is moved into the order are ids, not texts.
+    comes first; rows of equal keys are in the order of the md5 of their texts and are spread over files by it (rows equal in both are the
+    same); other columns are ignored.  A file counts only when its task has ended and stands in the list, so lost attempts do no harm.
     """
-    root, bits = folder(df.sparkSession, name), id_bits(tokenizer)
+    root = folder(df.sparkSession, name)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = id_type(bits)
+        tok = byte_tokenizer(tokenizer)
         part = TaskContext.get().partitionId()
         path = f"{root}/{attempt_name(part, '.ids')}"
         writer, units, doc, unit = None, [], 0, [0, 0]
@@ -175,13 +143,16 @@ def write_ids(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "t
                 continue
             if writer is None:
                 filesystem, inside = opened(path)
-                writer = Writer(filesystem.open_output_stream(inside, compression=None), bits, per_block)
-            for lo, hi in slices(batch.column(1)):
+                writer = Writer(filesystem.open_output_stream(inside, compression=None), tok.bits, per_block)
+            for lo, hi in slices(batch.column(1), 8 << 20):
                 data, offsets = buffers(batch.column(1).slice(lo, hi - lo))
+                ids, counts = tok.encode(data, offsets)
+                if end_id is not None:
+                    ids = np.insert(ids, np.cumsum(counts), np.uint32(end_id))
+                    counts = counts + 1
                 keys = batch.column(0).slice(lo, hi - lo)
                 nulls = keys.is_null().to_numpy(zero_copy_only=False)
-                writer.add(keys.fill_null(0).to_numpy(), nulls, np.diff(offsets) // kind.itemsize,
-                           np.ascontiguousarray(data).view(kind))
+                writer.add(keys.fill_null(0).to_numpy(), nulls, counts, ids)
                 doc += hi - lo
                 if writer.ids - unit[1] >= unit_ids:
                     units.append((part, path, len(units), unit[0], doc - unit[0], unit[1], writer.ids - unit[1]))
@@ -195,8 +166,9 @@ def write_ids(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "t
         yield pa.RecordBatch.from_arrays(
             [pa.array([u[i] for u in units], type=t) for i, t in enumerate(types)], names=names)
 
-    ids = pin(encoded(df, tokenizer, key, text, end_id), f"{name}-encoded")
-    ordered = ids.repartitionByRange("_key", "_tie").sortWithinPartitions("_key", "_tie").select("_key", "_ids")
+    tie = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
+    ordered = (df.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"), tie.alias("_tie"))
+               .repartitionByRange("_key", "_tie").sortWithinPartitions("_key", "_tie").select("_key", "_text"))
     return pin(ordered.mapInArrow(write, MANIFEST), f"{name}-files")
 
 
