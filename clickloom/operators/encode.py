@@ -8,7 +8,7 @@ from itertools import combinations, combinations_with_replacement
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Interaction, OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
@@ -17,7 +17,9 @@ from clickloom.session import pin, scratch_path
 
 
 HELD_BYTES = 16 << 20        # values of a feature up to this size are broadcast
+HELD_TOGETHER = 64 << 20     # and those of all such features of one plan up to this size
 VALUE_OVERHEAD = 40          # bytes a value takes besides its characters
+MOST_LABELS = 1_000_000      # values a saved one-hot model may hold
 
 
 def booleans_as_int(df: DataFrame) -> DataFrame:
@@ -59,9 +61,15 @@ def feature_blocks(dictionary_table: DataFrame) -> DataFrame:
 
 
 def small_features(dictionary_table: DataFrame) -> set[str]:
-    """Features whose values, measured in bytes, every machine can hold (one row per feature is read)."""
+    """Features whose values, measured in bytes, every machine can hold at once: the smallest, up to ``HELD_TOGETHER`` in all
+    (one row per feature is read)."""
     measured = dictionary_table.groupBy("feature").agg(F.sum(F.octet_length("value") + F.lit(VALUE_OVERHEAD)).alias("bytes"))
-    return {r.feature for r in measured.collect() if r.bytes <= HELD_BYTES}
+    held, small = 0, set()
+    for row in sorted(measured.collect(), key=lambda r: (r.bytes, r.feature)):
+        held += row.bytes
+        if row.bytes <= HELD_BYTES and held <= HELD_TOGETHER:
+            small.add(row.feature)
+    return small
 
 
 def encode_indices(df: DataFrame, dictionary_table: DataFrame, features: Sequence[str],
@@ -87,29 +95,50 @@ def encode_rows(df: DataFrame, dictionary_table: DataFrame, features: Sequence[s
                 keep: Sequence[str] = (), unseen: str = "keep", output: str = "features") -> DataFrame:
     """Written table of the ``keep`` columns and the sparse vector of each row.
 
-    Values meet the dictionary in joins planned from measured sizes, and the vectors are put together by generated code
-    as the parts a vector is stored in, then read back as vectors.  The values never pass the
-    driver.  Columns follow the dictionary, in whatever order ``features`` come; after them stand the
-    ``numeric`` columns, then for each of these a column that is 1 where the number is missing (the number itself is 0 there).
+    The rows are written once with a number, unpivoted to (row, feature, value), and meet the whole dictionary in one join,
+    planned from its size; one aggregate by row number puts them together again.  So the rows are shuffled twice at most, and the plan is the
+    same for any number of features.  The values never pass the driver.  Columns follow the dictionary, in whatever order
+    ``features`` come; after them stand the ``numeric`` columns, then for each of these a column that is 1 where the number is
+    missing (the number itself is 0 there).
     """
+    stored = vector_parts(df, dictionary_table, features, numeric, keep, unseen, output)
+    path = scratch_path(df.sparkSession, "encoded")
+    stored.write.parquet(path)
+    schema = StructType([*stored.select(*keep).schema.fields, StructField(output, VectorUDT())])
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def vector_parts(df: DataFrame, dictionary_table: DataFrame, features: Sequence[str], numeric: Sequence[str], keep: Sequence[str],
+                 unseen: str, output: str) -> DataFrame:
+    """The rows of ``encode_rows`` with the parts a sparse vector is stored in."""
     total, known = dictionary_table.count(), len(numeric)
-    rows = encode_indices(df, dictionary_table, features, unseen)
-    found = F.array(*[F.col(f"{f}_index").cast("int") for f in features])
-    rows = rows.select(*keep, *numeric, F.array_sort(F.array_compact(found)).alias("_indices"))
-    places, values = F.col("_indices"), F.array_repeat(F.lit(1.0), F.size("_indices"))
+    df = booleans_as_int(df)
+    held = F.struct(F.lit(True).alias("_there"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)])
+    base = pin(df.select(
+        F.monotonically_increasing_id().alias("row"), held.alias("held"),
+        F.array(*[F.col(c).cast("double") for c in numeric]).cast("array<double>").alias("numbers"),
+        F.array(*[F.col(f).cast("string") for f in features]).cast("array<string>").alias("values")), "encode")
+    names = F.array(*[F.lit(f) for f in features]).cast("array<string>")
+    words = dictionary_table.select(F.array_position(names, F.col("feature")).cast("int").alias("of"),
+                                    F.col("value").alias("known"), F.col("index").cast("int").alias("index")).filter(F.col("of") > 0)
+    each = base.select("row", F.posexplode("values").alias("no", "value")).filter(F.col("value").isNotNull())
+    found = each.join(words, (F.col("no") + 1 == F.col("of")) & (F.col("value") == F.col("known")), "left")
+    if unseen == "error":
+        told = F.concat(F.lit("unseen value of "), F.get(names, F.col("no")))
+        found = found.filter(F.assert_true(F.col("index").isNotNull(), told).isNull())
+    parts = found.select("row", "index").unionByName(base.select("row", "held", "numbers"), allowMissingColumns=True)
+    rows = parts.groupBy("row").agg(F.array_sort(F.collect_list("index")).alias("indices"), F.first("held", True).alias("held"),
+                                    F.first("numbers", True).alias("numbers"))
+    places, values = F.col("indices"), F.array_repeat(F.lit(1.0), F.size("indices"))
     if numeric:
-        absent = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(total + known + i)) for i, c in enumerate(numeric)]))
-        places = F.concat(places, F.array(*[F.lit(total + i) for i in range(known)]), absent)
-        values = F.concat(values, F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric]),
-                          F.array_repeat(F.lit(1.0), F.size(absent)))
+        numbers = F.col("numbers")
+        absent = F.filter(F.transform(numbers, lambda v, i: F.when(v.isNull(), F.lit(total + known) + i)), lambda i: i.isNotNull())
+        places = F.concat(places, F.transform(numbers, lambda _, i: F.lit(total) + i), absent)
+        values = F.concat(values, F.transform(numbers, lambda v: F.coalesce(v, F.lit(0.0))), F.array_repeat(F.lit(1.0), F.size(absent)))
     # the stored form of a sparse vector: type 0, size, positions, values
     vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(total + 2 * known).alias("size"),
                       places.alias("indices"), values.alias("values"))
-    stored = rows.select(*keep, vector.alias(output))
-    path = scratch_path(df.sparkSession, "encoded")
-    stored.write.parquet(path)
-    schema = StructType([*stored.select(*keep).schema.fields, StructField(output, VectorUDT())])
-    return df.sparkSession.read.schema(schema).parquet(path)
+    return rows.select(*[F.col("held")[f"c{i}"].alias(c) for i, c in enumerate(keep)], vector.alias(output))
 
 
 # --- one-hot vectors ---------------------------------------------------------------
@@ -120,15 +149,18 @@ def one_hot(train: DataFrame, features: Sequence[str], unseen: str = "keep", out
     Its columns are those of ``dictionary``, in that order.  With ``unseen='keep'`` a value not seen in ``train`` (or
     null) gives an all-zero block: the indexer puts it in a last category, which the encoder drops.
 
-    Such a model holds all its labels, like the model coefficients that refer to them, so they pass the driver here;
-    ``encode_rows`` gives the same columns and keeps the values distributed.
+    Such a model holds all its labels, like the model coefficients that refer to them, so they pass the driver here, and there
+    may be at most ``MOST_LABELS``; ``encode_rows`` gives the same columns for any number and keeps the values distributed.
     """
     keep = unseen == "keep"
     # distinct scratch names, so that several groups can encode one table
     index = [f"_{output}_{f}_index" for f in features]
     blocks = [f"_{output}_{f}_block" for f in features]
     labels: dict[str, list[str]] = {f: [] for f in features}
-    for row in dictionary(train, features).orderBy("index").collect():
+    words = dictionary(train, features)
+    if words.count() > MOST_LABELS:
+        raise ValueError(f"over {MOST_LABELS} values: a saved model cannot hold them, use encode_rows")
+    for row in words.orderBy("index").collect():
         labels[row.feature].append(row.value)
     indexers = [StringIndexerModel.from_labels(labels[f], inputCol=f, outputCol=i, handleInvalid="keep" if keep else "error")
                 for f, i in zip(features, index, strict=True)]
@@ -199,10 +231,14 @@ def cross_counts_pairwise(df: DataFrame, *groups: Sequence[str], min_rows: int =
 
 
 def add_crosses(df: DataFrame, left: Sequence[str], right: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """One categorical column per feature pair, ready for ``one_hot``."""
+    """One categorical column per feature pair, ready to be encoded: both values with ``×`` between, which is escaped in the left one,
+    so that different pairs of values stay different."""
     rows = booleans_as_int(df)
-    made = {cross_name(a, b): F.concat(F.col(a).cast("string"), F.lit("×"), F.col(b).cast("string"))
-            for a in left for b in right}
+
+    def whole(c: str) -> Column:
+        return F.replace(F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("×"), F.lit("\\×"))
+
+    made = {cross_name(a, b): F.concat(whole(a), F.lit("×"), F.col(b).cast("string")) for a in left for b in right}
     return rows.withColumns(made), list(made)
 
 

@@ -25,6 +25,31 @@ def lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFr
     return left.join(right, on, "left").select(*left.columns, *added)
 
 
+def lookup_placed(left: DataFrame, right: DataFrame, on: Sequence[str], hot_share: float = 1 / 256) -> DataFrame:
+    """``lookup`` in a table that is stored in buckets by ``on`` (``read_placed``): its rows stay where they are.
+
+    Only the left side is shuffled.  Adaptive execution cannot split a key then, so keys with at least ``hot_share`` of
+    the left rows are counted first (there are at most ``1 / hot_share``), and their rows meet the few right rows in a broadcast
+    where they are; rows with a null key pass through.
+    """
+    on, added = list(on), [c for c in right.columns if c not in left.columns]
+    columns = [*left.columns, *added]
+    missing = F.lit(False)
+    for c in on:
+        missing = missing | F.col(c).isNull()
+    counts = pin(left.filter(~missing).groupBy(*on).agg(F.count("*").alias("_n")), "key-counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    hot = counts.filter(F.col("_n") >= max(total * hot_share, 2)).select(*on)
+    absent = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in added]
+    out = left.filter(missing).select(*left.columns, *absent)
+    if not hot.isEmpty():
+        few = pin(hot.join(right, on, "left").withColumn("_hot", F.lit(True)), "hot-keys")        # at most 1 / hot_share rows
+        marked = left.filter(~missing).join(F.broadcast(few), on, "left")
+        out = out.unionByName(marked.filter(F.col("_hot")).select(*columns))
+        left = marked.filter(F.col("_hot").isNull()).select(*left.columns)
+    return out.unionByName(left.filter(~missing).join(right, on, "left").select(*columns))
+
+
 def matching(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Inner equi-join."""
     return left.join(right, on, "inner")

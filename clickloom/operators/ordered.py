@@ -105,7 +105,7 @@ def _intervals(left: DataFrame, right: DataFrame, order: str, columns: Sequence[
     end = max(ends.end, left.agg(F.max(at).alias("end")).first().end or ends.end)
     width = max(1, (end - ends.begin) * max(1, ends.of) // ends.rows)
     following = F.lead(order).over(Window.partitionBy(*keys).orderBy(order))     # at most ``small`` rows
-    rows = right.filter(F.col(order).isNotNull()).select(
+    rows = right.dropna(subset=[*keys, order]).select(
         *[F.col(k).alias(f"_r_{k}") for k in keys], F.col(order).alias("_r_from"), following.alias("_r_until"), *columns)
     first = F.floor((epoch(F.col("_r_from")) - ends.begin) / width)
     last = F.floor((F.coalesce(epoch(F.col("_r_until")), F.lit(end)) - ends.begin) / width)
@@ -114,15 +114,20 @@ def _intervals(left: DataFrame, right: DataFrame, order: str, columns: Sequence[
         F.count("*").alias("n"), F.max(F.col("_r_from") == F.col("_r_until")).alias("twice")).agg(
         F.max("n").alias("most"), F.max("twice").alias("twice")).first()
     if seen.twice:
-        raise ValueError(f"right rows of an as-of join repeat {[*keys, order]}")
+        raise ValueError(_repeated(keys, order))
     return (reach, ends.begin, width) if seen.most <= PER_BUCKET else None
 
 
+def _repeated(keys: Sequence[str], order: str) -> str:
+    return f"right rows of an as-of join repeat {[*keys, order]}"
+
+
 def as_of(left: DataFrame, right: DataFrame, order: str, columns: Sequence[str],
           keys: Sequence[str] = (), chunk: int | None = None, small: int = SMALL_RIGHT) -> DataFrame:
     """Join to each left row the last right row at or before its time; none gives nulls.
 
-    ``right`` is unique in (keys, order).  A right side of at most ``small`` rows is counted, written as intervals spread over
+    ``right`` is unique in (keys, order), null keys and times aside, which no left row finds; if it is not, that is a ValueError
+    whatever its size.  A right side of at most ``small`` rows is counted, written as intervals spread over
     buckets of time, and joined on the bucket: it is broadcast by its size, and the left side stays where it is.
 
     Otherwise only times are sorted: each distinct (keys,
@@ -139,6 +144,9 @@ def as_of(left: DataFrame, right: DataFrame, order: str, columns: Sequence[str],
             inside = inside & (F.col(k) == F.col(f"_r_{k}"))
         return left.join(reach, inside, "left").drop("_r_bucket", "_r_from", "_r_until", *[f"_r_{k}" for k in keys])
     on = [*keys, order]
+    known = right.dropna(subset=on)
+    if not known.groupBy(*on).count().filter(F.col("count") > 1).isEmpty():      # counts collapse before they are moved
+        raise ValueError(_repeated(keys, order))
     chunk = chunk or pick_chunk(left.select(*on).unionByName(right.select(*on)), keys, order)
     asks = left.select(*on).distinct().withColumns({"_found": F.lit(None).cast("timestamp_ntz"), "_ask": F.lit(True)})
     offers = right.select(*on, F.col(order).alias("_found"), F.lit(False).alias("_ask"))

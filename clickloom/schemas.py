@@ -36,7 +36,7 @@ TRAJECTORY = _schema(intersection_id=_TEXT, tollgate_id=_CODE, starting_time=Tim
 WEATHER = _schema(date=DateType, hour=_CODE, pressure=_NUM, sea_pressure=_NUM, wind_direction=_NUM,
                   wind_speed=_NUM, temperature=_NUM, rel_humidity=_NUM, precipitation=_NUM)
 
-# Bin edges, category codes and sentinels of the data model.
+# Bin edges, category codes and sentinels of the data model, the weather columns, and the features of each group.
 APP_POPULARITY_EDGES = [10 ** power for power in range(8)]
 USER_ACTIVITY_EDGES = [1, 4, 16, 64, 252, 1000]
 AGE_EDGES = [0, 1, 4, 14, 29, 44, 59, 74, 84]

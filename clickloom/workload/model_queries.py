@@ -6,7 +6,6 @@ from functools import reduce
 
 import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +23,7 @@ from clickloom.session import pin, scratch_path
 from clickloom.sources.sinks import write_model
 from clickloom.sources.store import FeatureStore
 from clickloom.workload.group_queries import assembled, click_parts, features, user_and_ad_groups
-from clickloom.workload.registry import query, rounded, with_time_text
+from clickloom.workload.registry import encoded_rows, encoded_sql, query, rounded, with_time_text
 from clickloom.workload.roles import Roles
 from clickloom.workload.series_queries import PERIOD, last_week, regular, split_day
 
@@ -55,10 +54,9 @@ def feature_blocks(r: Roles) -> DataFrame:
     SELECT "index"::INTEGER AS "index", n::DOUBLE AS total FROM ({_values_sql("wide", CODES)})""")
 def one_hot_vectors(r: Roles) -> DataFrame:
     """Column sums of the encoded matrix."""
-    model = encode.one_hot(r.wide, CODES)
-    # summed as sparse vectors; only the one row of sums is laid out
-    sums = encode.apply_encoding(model, r.wide).select(Summarizer.sum(F.col("features")).alias("sums"))
-    return sums.select(F.posexplode(vector_to_array("sums")).alias("index", "total"))
+    rows = encode.encode_rows(r.wide, encode.dictionary(r.wide, CODES), CODES)
+    each = rows.select(F.explode(F.arrays_zip(*[F.unwrap_udt(F.col("features"))[c] for c in ("indices", "values")])).alias("e"))
+    return each.groupBy(F.col("e.indices").alias("index")).agg(F.sum("e.values").alias("total"))
 
 
 @query("j02_unseen_values", f"""
@@ -73,45 +71,27 @@ def unseen_values(r: Roles) -> DataFrame:
     return encode.encode_indices(clicks, first, ["userID", "creativeID"]).drop("clickTime")
 
 
+FLAGS = ["is_installed", "is_pref_cat"]
 GROUPS = {"context": schemas.CONTEXT_FEATURES, "user": schemas.USER_FEATURES, "ad": schemas.AD_FEATURES}
 
 
-def _widths(columns: list[str]) -> str:
-    return " + ".join(f"count(DISTINCT {c})" for c in columns)
-
-
-def _filled(columns: list[str]) -> str:
-    return " + ".join(f"count({c})" for c in columns)
-
-
-def _shape(df: DataFrame, vector: str) -> DataFrame:
-    """Rows, columns and non-zero elements of a vector column."""
-    summary = df.select(Summarizer.metrics("count", "numNonZeros").summary(F.col(vector)).alias("s"))
-    filled = vector_to_array("s.numNonZeros")
-    total = F.aggregate(filled, F.lit(0.0), lambda a, x: a + x).cast("long")
-    return summary.select(F.col("s.count").alias("rows"), F.size(filled).cast("long").alias("columns"),
-                          total.alias("non_zero"))
-
-
 @query("j03_grouped_one_hot", "\nUNION ALL\n".join(
-    f"SELECT '{g}' AS feature_group, count(*) AS rows, {_widths(c)} AS columns, ({_filled(c)})::BIGINT AS non_zero FROM dataset"
-    for g, c in GROUPS.items()))
+    f"SELECT '{g}' AS feature_group, * FROM ({encoded_sql('dataset', c, ['label'], FLAGS)})" for g, c in GROUPS.items()))
 def grouped_one_hot(r: Roles) -> DataFrame:
+    """The rows of each group's matrix."""
     data = pin(assembled(r, r.train), "dataset")
-    shapes = [_shape(encode.encode_rows(data, encode.dictionary(data, columns), columns, output=name), name)
-              .select(F.lit(name).alias("feature_group"), "*") for name, columns in GROUPS.items()]
-    return reduce(DataFrame.unionByName, shapes)
+    return reduce(DataFrame.unionByName, [
+        encoded_rows(encode.encode_rows(data, encode.dictionary(data, columns), columns, keep=["label"], output=name), name, "label")
+        .withColumn("feature_group", F.lit(name)) for name, columns in GROUPS.items()])
 
 
 _LINEAR = [c for g in (schemas.AD_FEATURES, schemas.CONTEXT_FEATURES, schemas.USER_FEATURES) for c in g]
 
 
-@query("j04_linear_terms", f"""
-    SELECT count(*) AS rows, {_widths(_LINEAR)} AS columns, ({_filled(_LINEAR)})::BIGINT AS non_zero FROM dataset""")
+@query("j04_linear_terms", encoded_sql("dataset", _LINEAR, ["label"], FLAGS))
 def linear_terms(r: Roles) -> DataFrame:
     data = pin(assembled(r, r.train), "dataset")
-    _, rows = training.linear_terms(data)
-    return _shape(rows, "features")
+    return encoded_rows(training.linear_terms(data, keep=["label"])[1], "features", "label")
 
 
 def _cross_sql(base: str, pairs: list[tuple[str, str]]) -> str:
@@ -143,19 +123,26 @@ def crosses_three_groups(r: Roles) -> DataFrame:
     return encode.cross_counts_pairwise(sales, ["l_returnflag"], ["o_orderpriority"], ["p_type"])
 
 
-@query("j07_linear_and_crosses", """
-    SELECT count(*) AS rows, (SELECT count(*) FROM (
-               SELECT DISTINCT 1, positionID, NULL, NULL FROM wide
-               UNION ALL SELECT DISTINCT 2, connectionType, NULL, NULL FROM wide
-               UNION ALL SELECT DISTINCT 3, telecomsOperator, NULL, NULL FROM wide
-               UNION ALL SELECT DISTINCT 4, positionID, connectionType, NULL FROM wide
-               UNION ALL SELECT DISTINCT 5, positionID, telecomsOperator, NULL FROM wide)) AS columns,
-           (5 * count(*))::BIGINT AS non_zero
-    FROM wide""")
+_CROSSED = [f"positionID || '×' || {c}" for c in ("connectionType", "telecomsOperator")]
+
+
+@query("j07_linear_and_crosses", encoded_sql("wide", [*CODES, *_CROSSED], ["label"]))
 def linear_and_crosses(r: Roles) -> DataFrame:
     rows, made = encode.add_crosses(r.wide, ["positionID"], ["connectionType", "telecomsOperator"])
     columns = [*CODES, *made]
-    return _shape(encode.encode_rows(rows, encode.dictionary(rows, columns), columns), "features")
+    return encoded_rows(encode.encode_rows(rows, encode.dictionary(rows, columns), columns, keep=["label"]), "features", "label")
+
+
+@query("j07b_all_crosses", f"""
+    SELECT label, sum(n)::BIGINT AS rows, sum(n * len(string_split(entries, ' ')))::BIGINT AS non_zero
+    FROM ({encoded_sql("dataset", [*schemas.AD_FEATURES, *schemas.CONTEXT_FEATURES, *schemas.USER_FEATURES, *[
+        f"({a})::INTEGER || '×' || ({b})::INTEGER" for x, y in (("ad", "context"), ("ad", "user"), ("context", "user"))
+        for a in GROUPS[x] for b in GROUPS[y]]], ["label"], FLAGS)}) GROUP BY label""")
+def all_crosses(r: Roles) -> DataFrame:
+    """Linear terms and the crosses of all three groups: as many joins and shuffles as for one feature."""
+    data = pin(assembled(r, r.train), "dataset")
+    rows = training.linear_terms(data, crosses=True, keep=["label"])[1]
+    return rows.groupBy("label").agg(F.count("*").alias("rows"), F.sum(F.size(F.unwrap_udt(F.col("features"))["indices"])).alias("non_zero"))
 
 
 @query("j08_min_max_scale", """
@@ -337,27 +324,32 @@ def rate_model() -> m.LogisticRegression:
 def validation_curve_unpenalised(r: Roles) -> DataFrame:
     """Losses of expanding folds, known in closed form for the unpenalised model of one feature."""
     clicks = r.clicks_with_id
-    encoded = encode.apply_encoding(encode.one_hot(clicks, ["connectionType"]), clicks)
+    encoded = encode.encode_rows(clicks, encode.dictionary(clicks, ["connectionType"]), ["connectionType"], keep=[*ORDER, "label"])
     samples = m.in_blocks(encoded.select(*ORDER, "label", "features"), ORDER, 3)
     curve = m.validation_curve(samples, lambda _: rate_model(), [0.0], 3).drop("param")
     return rounded(curve, "train_loss", "valid_loss", digits=5)
 
 
+def _encoded_pair(r: Roles, features: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Training and scoring rows, encoded with the values of the training rows."""
+    words = encode.dictionary(r.train, features)
+    return (encode.encode_rows(r.train, words, features, keep=["label"]),
+            encode.encode_rows(r.test_ol, words, features, keep=["instanceID"]))
+
+
 @query("j18_probabilities", """
     SELECT instanceID, round(p, 5) AS prob
     FROM test_ol JOIN (SELECT connectionType, avg(label) AS p FROM train GROUP BY 1) USING (connectionType)""")
 def probabilities(r: Roles) -> DataFrame:
-    encoding = encode.one_hot(r.train, ["connectionType"])
-    model = rate_model().fit(encode.apply_encoding(encoding, r.train))
-    scored = m.score(model, encode.apply_encoding(encoding, r.test_ol)).select("instanceID", "prob")
+    train, given = _encoded_pair(r, ["connectionType"])
+    scored = m.score(rate_model().fit(train), given).select("instanceID", "prob")
     return rounded(scored, "prob", digits=5)
 
 
 @query("j18b_probabilities_penalised")
 def probabilities_penalised(r: Roles) -> DataFrame:
-    encoding = encode.one_hot(r.train, CODES)
-    model = m.logistic(0.01, ITERATIONS).fit(encode.apply_encoding(encoding, r.train))
-    return m.score(model, encode.apply_encoding(encoding, r.test_ol)).select("instanceID", "prob")
+    train, given = _encoded_pair(r, CODES)
+    return m.score(m.logistic(0.01, ITERATIONS).fit(train), given).select("instanceID", "prob")
 
 
 @query("j19_zero_installed", """
@@ -593,17 +585,16 @@ def _timed(r: Roles) -> DataFrame:
 _TIMED = ["_clickTime", "_event_id"]
 
 
-_ENCODED = [*_LINEAR, "conversion_count", "click_count_group", "is_installed"]
+# in the order of the data set's columns
+_ENCODED = ["connectionType", "telecomsOperator", "hour", "is_installed", "hour_weight", "sitesetID", "positionType", "conversion_count",
+            "click_count_group", *schemas.USER_FEATURES, *schemas.AD_FEATURES, "is_pref_cat"]
 
 
-@query("k19_encode", f"""
-    SELECT count(*) AS rows, {_widths(_ENCODED)} + 8 AS columns,
-           ({_filled(_ENCODED)} + {" + ".join(f"count_if({c} IS NULL OR {c} <> 0)" for c in training.RATIOS)})::BIGINT AS non_zero
-    FROM dataset""")
+@query("k19_encode", encoded_sql("dataset", _ENCODED, ["label"], FLAGS, training.RATIOS))
 def encode_dataset(r: Roles) -> DataFrame:
-    """Shape of the encoded training set: one column per observed value, the four ratios and their marks for missing ones."""
+    """Rows of the encoded training set: a column per observed value, the four ratios, and a mark for each missing one."""
     encoded = training.encode(pin(assembled(r, r.train), "dataset"))
-    return _shape(encoded.train, "features")
+    return encoded_rows(encoded.train, "features", "label")
 
 
 @query("k20_split", """

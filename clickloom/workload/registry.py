@@ -60,3 +60,28 @@ def contents_sql(name: str, source: str, columns: Sequence[str], key: str, flags
                 f"round(sum({value} * ({key} % 1009)), 3) AS weighted FROM {source}")
 
     return "\nUNION ALL\n".join(part(c) for c in columns)
+
+
+def encoded_rows(df: DataFrame, vector: str, *keys: str) -> DataFrame:
+    """Whole contents of encoded rows: their places and values (in millionths), with the number of equal rows."""
+    stored = F.unwrap_udt(F.col(vector))
+    pairs = F.transform(F.arrays_zip(stored["indices"], stored["values"]), lambda e: F.concat_ws(
+        ":", e["indices"].cast("string"), F.round(e["values"] * 1_000_000).cast("long").cast("string")))
+    return df.groupBy(*keys, F.array_join(pairs, " ").alias("entries")).agg(F.count("*").alias("n"))
+
+
+def encoded_sql(source: str, features: Sequence[str], keys: Sequence[str] = (), flags: Sequence[str] = (),
+                numeric: Sequence[str] = ()) -> str:
+    """The twin of ``encoded_rows``: numbers the values of each feature in order and lists those of each row."""
+    texts = ", ".join(f"({c})::INTEGER::VARCHAR" if c in flags else f"({c})::VARCHAR" for c in features)
+    numbers = "".join(f", ((SELECT count(*) FROM d) + {i}) || ':' || round(coalesce({c}, 0) * 1000000)::BIGINT" for i, c in enumerate(numeric))
+    marks = "".join(f", CASE WHEN {c} IS NULL THEN ((SELECT count(*) FROM d) + {len(numeric) + i}) || ':1000000' END"
+                    for i, c in enumerate(numeric))
+    named = "".join(f"{k}, " for k in keys)
+    return f"""
+    WITH r AS (SELECT row_number() OVER () AS rn, * FROM {source}),
+    l AS (SELECT rn, unnest({list(range(len(features)))}) AS no, unnest([{texts}]) AS value FROM r),
+    d AS (SELECT no, value, row_number() OVER (ORDER BY no, try_cast(value AS DOUBLE) NULLS FIRST, value) - 1 AS i
+          FROM (SELECT DISTINCT no, value FROM l WHERE value IS NOT NULL)),
+    e AS (SELECT rn, string_agg(i || ':1000000', ' ' ORDER BY i) AS hot FROM l JOIN d USING (no, value) GROUP BY rn)
+    SELECT {named}concat_ws(' ', hot{numbers}{marks}) AS entries, count(*) AS n FROM r LEFT JOIN e USING (rn) GROUP BY ALL"""

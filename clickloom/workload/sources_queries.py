@@ -5,23 +5,23 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom import schemas
-from clickloom.operators.encode import apply_encoding, one_hot
+from clickloom.operators.encode import apply_encoding, dictionary, encode_rows, one_hot
+from clickloom.operators.joins import lookup_placed
 from clickloom.operators.modelling import logistic, score
 from clickloom.operators.series import bin_means, extract_series
 from clickloom.plans.features import app_popularity
 from clickloom.plans.travel_time import KEYS
 from clickloom.session import scratch_path
 from clickloom.sources import sinks, store, tables
-from clickloom.workload.registry import contents, contents_sql, query, rounded, with_time_text
+from clickloom.workload.registry import contents, contents_sql, encoded_rows, encoded_sql, query, rounded, with_time_text
 from clickloom.workload.roles import Roles
 
 CODES = ["positionID", "connectionType", "telecomsOperator"]
+BUCKETS = 16
 
 
 @query("a01_csv_scan", "SELECT * FROM train")
@@ -69,26 +69,68 @@ def feature_store(r: Roles) -> DataFrame:
     return kept.get("f_app_popularity", again)
 
 
+@query("a05b_store_of_changed_inputs", """
+    SELECT 'whole' AS input, creativeID, count(*) AS n FROM train GROUP BY ALL
+    UNION ALL SELECT 'filtered', creativeID, count(*) FROM train WHERE label = 1 GROUP BY ALL
+    UNION ALL SELECT 'overwritten', creativeID, count(*) FROM train WHERE connectionType = 1 GROUP BY ALL""")
+def store_of_changed_inputs(r: Roles) -> DataFrame:
+    """One store, one table name: a filtered input and an input whose files were written anew are built again, the same one is not."""
+    kept, path = store.FeatureStore(r.spark, scratch_path(r.spark, "store")), scratch_path(r.spark, "clicks")
+    built = []
+
+    def counts(clicks: DataFrame) -> DataFrame:
+        def build() -> DataFrame:
+            built.append(1)
+            return clicks.groupBy("creativeID").agg(F.count("*").alias("n"))
+
+        return kept.get("clicks_by_creative", build, [clicks])
+
+    r.train.write.parquet(path)
+    found = {"whole": counts(r.spark.read.parquet(path))}
+    found["filtered"] = counts(r.spark.read.parquet(path).filter(F.col("label") == 1))
+    counts(r.spark.read.parquet(path))
+    if len(built) != 2:
+        raise AssertionError(f"built {len(built)} times, not twice")
+    r.train.filter(F.col("connectionType") == 1).write.mode("overwrite").parquet(path)
+    r.spark.catalog.refreshByPath(path)
+    found["overwritten"] = counts(r.spark.read.parquet(path))
+    return reduce(DataFrame.unionByName, [df.withColumn("input", F.lit(name)) for name, df in found.items()])
+
+
+@query("c03b_placed_lookup", """
+    SELECT label, clickTime, c.creativeID, c.userID, u.age, u.education, p.n AS pair_clicks
+    FROM train c LEFT JOIN users u USING (userID)
+    LEFT JOIN (SELECT userID, creativeID, count(*) AS n FROM wide GROUP BY ALL) p ON p.userID = c.userID AND p.creativeID = c.creativeID""")
+def placed_lookup(r: Roles) -> DataFrame:
+    """Clicks with user and pair tables that are kept in buckets: these are never shuffled."""
+    kept = store.FeatureStore(r.spark, scratch_path(r.spark, "store"))
+    users = kept.get_placed("users", lambda: r.user, ["userID"], BUCKETS)
+    pairs = kept.get_placed("pairs", lambda: r.wide.groupBy("userID", "creativeID").agg(F.count("*").alias("pair_clicks")),
+                            ["userID", "creativeID"], BUCKETS)
+    clicks = r.train.select("label", "clickTime", "creativeID", "userID")
+    found = lookup_placed(clicks, users.select("userID", "age", "education"), ["userID"])
+    return lookup_placed(found, pairs, ["userID", "creativeID"])
+
+
+KEY = ["userID", "creativeID", "clickTime"]
+
+
 def _design(r: Roles) -> DataFrame:
     path = scratch_path(r.spark, "design")
-    model = one_hot(r.train, CODES)
-    sinks.write_design(apply_encoding(model, r.train), path)
+    sinks.write_design(encode_rows(r.train, dictionary(r.train, CODES), CODES, keep=[*KEY, "label"]), path, "features", "label", *KEY)
     return sinks.read_design(r.spark, path)
 
 
-@query("a06_design_matrix", """
-    SELECT label, count(*) AS n, (3 * count(*))::BIGINT AS non_zero FROM train GROUP BY label""")
+@query("a06_design_matrix", encoded_sql("train", CODES, ["label"]))
 def design_matrix(r: Roles) -> DataFrame:
-    summary = Summarizer.metrics("count", "numNonZeros").summary(F.col("features"))
-    sums = _design(r).groupBy("label").agg(summary.alias("s"))
-    total = F.aggregate(vector_to_array("s.numNonZeros"), F.lit(0.0), lambda a, x: a + x)
-    return sums.select("label", F.col("s.count").alias("n"), total.cast("long").alias("non_zero"))
+    """Rows of the matrix as they are read back."""
+    return encoded_rows(_design(r), "features", "label")
 
 
-@query("a07_label_column", "SELECT label::DOUBLE AS label, count(*) AS n FROM train GROUP BY label")
+@query("a07_label_column", "SELECT userID, creativeID, clickTime, label::DOUBLE AS label, count(*) AS n FROM train GROUP BY ALL")
 def label_column(r: Roles) -> DataFrame:
-    return _design(r).select(F.col("label").cast("double").alias("label")).groupBy("label").agg(
-        F.count("*").alias("n"))
+    """Labels as they are read back, with the keys of their rows."""
+    return _design(r).select(*KEY, F.col("label").cast("double").alias("label")).groupBy(*KEY, "label").agg(F.count("*").alias("n"))
 
 
 @query("a08_model_file", """

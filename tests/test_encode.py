@@ -15,21 +15,21 @@ def arrays(df, column="features"):
 
 @pytest.fixture(scope="module")
 def small(spark):
-    return spark.createDataFrame([(0, 0, 3), (1, 1, 0), (0, 2, 1), (1, 0, 2)], "a int, b int, c int")
+    return spark.createDataFrame([(5, 20, 1), (8, 10, 4), (5, 30, 2), (8, 20, 7)], "a int, b int, c int")
 
 
 def test_worked_one_hot_example(spark, small):
     model = encode.one_hot(small, ["a", "b", "c"])
-    row = spark.createDataFrame([(0, 1, 1)], "a int, b int, c int")
-    assert arrays(encode.apply_encoding(model, row)) == [[1, 0, 0, 1, 0, 0, 1, 0, 0]]
+    row = spark.createDataFrame([(8, 30, 2)], "a int, b int, c int")
+    assert arrays(encode.apply_encoding(model, row)) == [[0, 1, 0, 0, 1, 0, 1, 0, 0]]
 
 
 def test_unseen_values_give_a_zero_block_or_an_error(spark, small):
-    row = spark.createDataFrame([(7, 1, None)], "a int, b int, c int")
+    row = spark.createDataFrame([(6, 20, None)], "a int, b int, c int")
     kept = encode.one_hot(small, ["a", "b", "c"], "keep")
     assert arrays(encode.apply_encoding(kept, row)) == [[0, 0, 0, 1, 0, 0, 0, 0, 0]]
     strict = encode.one_hot(small, ["a", "b", "c"], "error")
-    assert arrays(encode.apply_encoding(strict, small))[0] == [1, 0, 1, 0, 0, 0, 0, 0, 1]
+    assert arrays(encode.apply_encoding(strict, small))[0] == [1, 0, 0, 1, 0, 1, 0, 0, 0]
     with pytest.raises(Exception, match="Unseen label|NULL value"):
         encode.apply_encoding(strict, row).collect()
 
@@ -42,9 +42,9 @@ def test_dictionary_orders_numbers_as_numbers(spark):
 
 def test_dictionary_does_not_depend_on_scored_rows(spark, small):
     words = encode.dictionary(small, ["a", "b"])
-    other = spark.createDataFrame([(0, 9), (5, 2)], "a int, b int")
+    other = spark.createDataFrame([(5, 9), (6, 30)], "a int, b int")
     got = {(r.a, r.b): (r.a_index, r.b_index) for r in encode.encode_indices(other, words, ["a", "b"]).collect()}
-    assert got == {(0, 9): (0, None), (5, 2): (None, 4)}
+    assert got == {(5, 9): (0, None), (6, 30): (None, 4)}
     with pytest.raises(Exception, match="unseen value of a"):
         encode.encode_indices(other, words, ["a"], unseen="error").collect()
 
@@ -148,3 +148,57 @@ def test_one_large_feature_does_not_move_the_rows_for_small_ones(spark, conf, mo
     words = encode.dictionary(df, ["big", *names])
     plan = encode.encode_indices(df, words, ["big", *names])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 10
+
+
+def shuffles_of_rows(df, words, features):
+    plan = encode.vector_parts(df, words, features, [], [], "keep", "features")._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning"), plan.count("Join")
+
+
+@pytest.mark.parametrize("threshold,joins", [("-1", "SortMergeJoin"), ("100m", "BroadcastHashJoin")])
+def test_the_plan_does_not_grow_with_the_features(spark, conf, threshold, joins):
+    """One join with the whole dictionary and one aggregate by row: the rows are shuffled twice at most."""
+    conf(spark__sql__autoBroadcastJoinThreshold=threshold, spark__sql__adaptive__enabled="false")
+    found = []
+    for n in (20, 147):
+        names = [f"f{i}" for i in range(n)]
+        df = spark.range(50).select(*[(F.col("id") % (i + 2)).alias(name) for i, name in enumerate(names)])
+        words = encode.dictionary(df, names)
+        found.append(shuffles_of_rows(df, words, names))
+        # the join's two sides (rows and dictionary) and the aggregate, or the aggregate alone
+        assert found[-1] == ((3, 1) if threshold == "-1" else (1, 1))
+    rows = encode.encode_rows(df, words, names)
+    sums = np.array(arrays(rows)).sum(axis=0)
+    counts = {r["index"]: r.n for r in words.collect()}
+    assert sums.tolist() == [counts[i] for i in range(len(counts))]
+
+
+def test_matrix_equals_a_long_form_twin(spark):
+    draw = np.random.default_rng(4)
+    rows = [(i, *[None if draw.random() < 0.2 else int(draw.integers(0, 5)) for _ in range(6)]) for i in range(80)]
+    names = [f"f{i}" for i in range(6)]
+    df = spark.createDataFrame(rows, "id int, " + ", ".join(f"{n} int" for n in names)).repartition(5)
+    words = encode.dictionary(df, names)
+    at = {(r.feature, r.value): r["index"] for r in words.collect()}
+    got = {r.id: r.features for r in encode.encode_rows(df, words, names, keep=["id"]).collect()}
+    for r in rows:
+        want = sorted(at[(n, str(v))] for n, v in zip(names, r[1:]) if v is not None)
+        assert got[r[0]].indices.tolist() == want and got[r[0]].values.tolist() == [1.0] * len(want)
+
+
+def test_crosses_of_different_values_stay_apart(spark):
+    df = spark.createDataFrame([("a×b", "c"), ("a", "b×c"), ("a\\", "×c"), ("a\\×", "c")], "x string, y string")
+    rows, (name,) = encode.add_crosses(df, ["x"], ["y"])
+    assert rows.select(name).distinct().count() == 4
+
+
+def test_a_saved_model_holds_a_bounded_number_of_values(spark, small, monkeypatch):
+    monkeypatch.setattr(encode, "MOST_LABELS", 5)
+    with pytest.raises(ValueError, match="use encode_rows"):
+        encode.one_hot(small, ["a", "b", "c"])
+
+
+def test_small_features_are_held_up_to_a_sum(spark, monkeypatch):
+    monkeypatch.setattr(encode, "HELD_TOGETHER", 400)
+    df = spark.range(8).select(F.col("id").alias("a"), (F.col("id") % 2).alias("b"), (F.col("id") % 3).alias("c"))
+    assert encode.small_features(encode.dictionary(df, ["a", "b", "c"])) == {"b", "c"}

@@ -85,9 +85,19 @@ def test_as_of_against_a_small_side_does_not_move_the_left(spark):
     got = ordered.as_of(left, right.select("k", "ts", F.col("id").alias("rid")), "ts", ["rid"], ["k"])
     text = got._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "hashpartitioning" not in text and "NestedLoop" not in text
-    twice = right.select("k", "ts", F.col("id").alias("rid"))
-    with pytest.raises(ValueError):
-        ordered.as_of(left, twice.union(twice), "ts", ["rid"], ["k"])
+
+
+@pytest.mark.parametrize("small", [0, ordered.SMALL_RIGHT])
+def test_as_of_refuses_repeated_right_rows_at_every_size(spark, small):
+    left, _ = events(spark, 4)
+    right, _ = events(spark, 5, 150)
+    once = right.select("k", "ts", F.col("id").alias("rid"))
+    with pytest.raises(ValueError, match="repeat"):
+        ordered.as_of(left, once.union(once), "ts", ["rid"], ["k"], small=small)
+    # null keys and times are found by no row, so they may repeat
+    none = spark.createDataFrame([(None, START, 1), (None, START, 2), (1, None, 3), (1, None, 4)], once.schema)
+    got = ordered.as_of(left, once.union(none), "ts", ["rid"], ["k"], small=small)
+    assert values(got, "rid") == values(ordered.as_of(left, once, "ts", ["rid"], ["k"], small=small), "rid")
 
 
 def test_as_of_with_a_crowded_bucket_takes_the_general_way(spark):

@@ -125,3 +125,53 @@ def test_a_cluster_must_name_its_shared_folder():
         session.sparkContext.master = master
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             shared_dir(session)
+
+
+def test_store_notices_filtered_and_overwritten_inputs(spark, tmp_path):
+    kept, path, built = store.FeatureStore(spark, str(tmp_path / "store")), str(tmp_path / "in"), []
+    spark.range(100).withColumn("v", F.col("id") % 7).write.parquet(path)
+
+    def get(df):
+        return kept.get("t", lambda: built.append(1) or df.select("id"), [df]).count()
+
+    read = lambda: spark.read.parquet(path)
+    assert get(read()) == 100 and get(read().filter("id < 10")) == 10 and get(read().filter("id < 11")) == 11
+    assert get(read()) == 100 and get(read().filter("id < 10")) == 10 and len(built) == 3
+    assert get(read().select("id", (F.col("v") + 1).alias("v"))) == 100 and len(built) == 4
+    spark.range(5).withColumn("v", F.col("id")).write.mode("overwrite").parquet(path)
+    assert get(read()) == 5 and len(built) == 5
+    listed = kept.inputs("t", [read()])["inputs"][0]["files"]
+    assert all(len(f) == 3 and f[1] > 0 for f in listed) and kept.inputs("absent", [read()]) is None
+
+
+def test_marks_do_not_depend_on_the_session(spark, tmp_path):
+    """Only tables read from files are found again by another session; rows of the driver carry a mark of their own."""
+    path = str(tmp_path / "in")
+    spark.range(10).write.parquet(path)
+    df = spark.read.parquet(path).filter("id > 3").groupBy("id").count()
+    assert "#" not in store.plan_text(df).replace("none#", "").replace("#0", "") or store.plan_text(df) == store.plan_text(
+        spark.newSession().read.parquet(path).filter("id > 3").groupBy("id").count())
+    one, two = (spark.createDataFrame([(i,)], "a int") for i in (1, 2))
+    assert store.variant("t", [one]) != store.variant("t", [two])
+
+
+def test_placed_tables_are_not_shuffled(spark, conf, tmp_path):
+    """Clicks meet stored user and pair tables in their buckets: no exchange on their side, also after another session registered them."""
+    from clickloom.operators.joins import lookup_placed
+
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="8")
+    kept = store.FeatureStore(spark, str(tmp_path / "store"))
+    users = spark.range(500).select(F.col("id").alias("user"), (F.col("id") * 2).alias("age"))
+    first = kept.get_placed("users", lambda: users, ["user"], 8)
+    spark.sql(f"DROP TABLE {store._table_of(kept.path(store.variant('users', placed=[['user'], 8])))}")
+    again = kept.get_placed("users", lambda: None, ["user"], 8)          # stored: not built again, registered again
+    assert again.count() == 500 and first.columns == again.columns
+    clicks = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 600).when(F.col("id") % 2 > 0, 77).alias("user"), "id")
+    got = lookup_placed(clicks, again, ["user"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in plan and "Bucketed: true" in plan
+    want = {r.id: r.user * 2 if r.user is not None and r.user < 500 else None for r in clicks.collect()}
+    assert {r.id: r.age for r in got.collect()} == want and got.count() == 3000
+    other = kept.get_placed("pairs", lambda: users.withColumn("n", F.lit(1)).drop("age"), ["user"], 8)
+    both = again.join(other, "user")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in both
