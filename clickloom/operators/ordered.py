@@ -33,18 +33,16 @@ SMALL_RIGHT, PER_BUCKET = 100_000, 64
 def pick_chunk(df: DataFrame, keys: Sequence[str], order: str, limit: int = CHUNK_ROWS) -> int:
     """Longest chunk, in seconds, of which no key has more than ``limit`` rows.
 
-    The rows are counted once, by key and minute, and that written table is summed for each candidate, longest first.
-    The shortest is one second: times are unique within a key and have microseconds, so it
+    The rows are counted once, by key and minute, and these counts are summed for all candidates together, in one job that
+    writes nothing.  The shortest is one second: times are unique within a key and have microseconds, so it
     holds a million rows at most.
     """
     minute = F.floor(epoch(F.col(order)) / 60)
-    counted = pin(df.groupBy(*keys, minute.alias("_minute")).agg(F.count("*").alias("n")), "chunk-minutes")
-    for seconds in CHUNKS[:-1]:
-        held = counted.groupBy(*keys, F.floor(F.col("_minute") * 60 / seconds)).agg(F.sum("n").alias("n"))
-        most = held.agg(F.max("n").alias("n")).first().n
-        if most is None or most <= limit:
-            return seconds
-    return CHUNKS[-1]
+    counted = df.groupBy(*keys, minute.alias("_minute")).agg(F.count("*").alias("n"))
+    each = counted.withColumn("_length", F.explode(F.array(*[F.lit(c) for c in CHUNKS[:-1]])))
+    held = each.groupBy(*keys, "_length", F.floor(F.col("_minute") * 60 / F.col("_length"))).agg(F.sum("n").alias("n"))
+    most = {r["_length"]: r.n for r in held.groupBy("_length").agg(F.max("n").alias("n")).collect()}
+    return next((c for c in CHUNKS[:-1] if most.get(c, 0) <= limit), CHUNKS[-1])
 
 
 def _carry(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str],

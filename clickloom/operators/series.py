@@ -124,31 +124,44 @@ def slot_blocks(series: DataFrame, keys: Sequence[str], name: str = "tt") -> Dat
         *[F.max(F.when(F.col("_slot") == i, F.col("value"))).alias(f"{name}_{i}") for i in range(SLOTS)])
 
 
+def _slots_of_block(ahead: int, keys: Sequence[str], name: str) -> dict[str, Column]:
+    """The six values of the block ``ahead`` of a row's own, for rows with ``_block`` and ``_slot``: windows over a regular grid."""
+    there = Window.partitionBy(*keys).orderBy("_block").rangeBetween(ahead, ahead)
+    return {f"{name}_{i}": F.max(F.when(F.col("_slot") == i, F.col("value"))).over(there) for i in range(SLOTS)}
+
+
 def with_previous_block(series: DataFrame, keys: Sequence[str], seasonal: DataFrame | None = None,
                         period: int | None = None) -> DataFrame:
     """Add ``prev_tt_0..5``: the six values of the block before the row's own block.
 
     Rows of the first block have none; with ``seasonal`` (columns keys, ts, value)
-    they get the seasonal values one period after that missing block.
+    they get the seasonal values one period after that missing block.  ``series`` is a regular grid; a series that is clustered by
+    its keys already is not moved.
     """
-    previous = slot_blocks(series, keys, "prev_tt").withColumn("block", F.col("block") + 1)
-    if seasonal is not None:
-        first = (series.groupBy(*keys).agg(F.min("ts").alias("_first"))
-                 .select(*keys, F.floor(cal.epoch(F.col("_first")) / BLOCK).alias("_block")))
-        ahead = period // SLOTS
-        curve = slot_blocks(seasonal, keys, "prev_tt").withColumn("block", F.col("block") + 1 - ahead)
-        seeds = curve.join(first, list(keys)).filter(F.col("block") == F.col("_block")).drop("_block")
-        previous = previous.unionByName(seeds)
-    rows = series.withColumn("block", F.floor(cal.epoch(F.col("ts")) / BLOCK))
-    return rows.join(previous, [*keys, "block"], "left").drop("block")
+    seconds = cal.epoch(F.col("ts"))
+    rows = series.withColumns({"_block": F.floor(seconds / BLOCK), "_slot": (F.pmod(seconds, F.lit(BLOCK)) / STEP).cast("int")})
+    rows = rows.withColumns(_slots_of_block(-1, keys, "prev_tt"))
+    if seasonal is None:
+        return rows.drop("_block", "_slot")
+    rows = rows.withColumn("_first", F.min("_block").over(Window.partitionBy(*keys)))
+    first = (series.groupBy(*keys).agg(F.min("ts").alias("_start"))
+             .select(*keys, F.floor(cal.epoch(F.col("_start")) / BLOCK).alias("_seeded")))
+    curve = slot_blocks(seasonal, keys, "_seed").withColumn("block", F.col("block") + 1 - period // SLOTS)
+    seeds = curve.join(first, list(keys)).filter(F.col("block") == F.col("_seeded")).drop("block", "_seeded")      # one row a key
+    filled = {f"prev_tt_{i}": F.when(F.col("_block") == F.col("_first"), F.col(f"_seed_{i}")).otherwise(F.col(f"prev_tt_{i}"))
+              for i in range(SLOTS)}
+    return (rows.join(seeds, list(keys), "left").withColumns(filled)
+            .drop("_block", "_slot", "_first", *[f"_seed_{i}" for i in range(SLOTS)]))
 
 
 def twelve_slots(series: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Two-hour stride, four-hour width: ``prev_tt_0..5`` and the six targets ``tt_0..5``."""
     past = slot_blocks(series, keys, "prev_tt")
-    future = slot_blocks(series, keys, "tt").withColumn("block", F.col("block") - 1)
-    return (past.join(future, [*keys, "block"])
-            .withColumn("ts", cal.from_epoch(F.col("block") * BLOCK)).drop("block"))
+    following = Window.partitionBy(*keys).orderBy("block").rangeBetween(1, 1)
+    rows = past.withColumns({**{f"tt_{i}": F.max(f"prev_tt_{i}").over(following) for i in range(SLOTS)},
+                             "_more": F.count("*").over(following)})
+    return (rows.filter(F.col("_more") > 0).withColumn("ts", cal.from_epoch(F.col("block") * BLOCK))
+            .select(*keys, *[f"prev_tt_{i}" for i in range(SLOTS)], *[f"tt_{i}" for i in range(SLOTS)], "ts"))
 
 
 def clean_weather(weather: DataFrame) -> DataFrame:

@@ -26,9 +26,10 @@ class Roles:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def store(self, name: str) -> None:
-        """Write a view that several steps read; the sources it stands for are tables, not joins."""
-        self.__dict__[name] = pin(getattr(self, name), name)
+    def store(self, name: str, *columns: str) -> None:
+        """Write a view (or its ``columns``) that several steps read; the sources it stands for are tables, not joins."""
+        view = getattr(self, name)
+        self.__dict__[name] = pin(view.select(*columns) if columns else view, name)
 
     @cached_property
     def clicks_with_id(self) -> DataFrame:
