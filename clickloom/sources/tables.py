@@ -6,9 +6,11 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from clickloom import schemas
+from clickloom.session import pin
 
 
 @dataclass(frozen=True)
@@ -41,6 +43,34 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).option("enforceSchema", False).csv(path, header=True)
 
 
+REJECTED = "rejected_line"
+
+
+def read_checked(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of a CSV, from one scan: rejects hold each line that does not fit the schema, whole, with its file.
+
+    A line fits if it has as many fields as the schema and every field that is not empty is of its type.  A header that differs from the
+    schema is an error.  Both are parts of one written table, so they always add up to the lines of the files.
+    """
+    if REJECTED in schema.names:
+        raise ValueError(f"{REJECTED} is the name of the column of rejects")
+    wide = StructType([*schema.fields, StructField(REJECTED, StringType())])
+    read = (spark.read.schema(wide).option("enforceSchema", False).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", REJECTED).csv(path, header=header))
+    table = pin(read.withColumn("rejected_in", F.when(F.col(REJECTED).isNotNull(), F.col("_metadata.file_name"))), "checked")
+    good = table.filter(F.col(REJECTED).isNull()).select(*schema.names)
+    return good, table.filter(F.col(REJECTED).isNotNull()).select(REJECTED, "rejected_in")
+
+
+def ingest_checked(spark: SparkSession, csv_path: str, schema: StructType, table_path: str,
+                   header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``ingest_csv`` of the rows that fit; the others go to ``<table_path>-rejects``."""
+    good, bad = read_checked(spark, csv_path, schema, header)
+    good.write.mode("overwrite").parquet(table_path)
+    bad.write.mode("overwrite").parquet(f"{table_path}-rejects")
+    return spark.read.schema(schema).parquet(table_path), spark.read.schema(bad.schema).parquet(f"{table_path}-rejects")
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Columnar table; column pruning and filters reach the scan."""
     return spark.read.parquet(path)

@@ -31,6 +31,27 @@ def csv_scan(r: Roles) -> DataFrame:
     return tables.read_csv(r.spark, path, schemas.TRAIN)
 
 
+_DAMAGE = "CASE WHEN event_id % 97 = 0 THEN 1 WHEN event_id % 89 = 0 THEN 2 WHEN event_id % 83 = 0 THEN 3 ELSE 0 END"
+
+
+@query("a01b_csv_rejects", f"""
+    SELECT damage = 0 AS good, count(*) AS lines, sum(creativeID)::BIGINT AS total
+    FROM (SELECT *, {_DAMAGE} AS damage FROM clicks_with_id) GROUP BY ALL""")
+def csv_rejects(r: Roles) -> DataFrame:
+    """A click log in which some lines have a word for a number, a field too many or one too few: what is kept and what is set aside."""
+    path, names = scratch_path(r.spark, "damaged-csv"), schemas.TRAIN.names
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]
+    damage = F.expr(_DAMAGE)
+    fields[1] = F.when(damage == 1, F.lit("noon")).otherwise(fields[1])
+    whole = F.concat_ws(",", *fields)
+    line = F.when(damage == 2, F.concat(whole, F.lit(",7"))).when(damage == 3, F.concat_ws(",", *fields[:-1])).otherwise(whole)
+    r.clicks_with_id.select(line.alias("value")).write.text(path)
+    rows, rejects = tables.ingest_checked(r.spark, path, schemas.TRAIN, scratch_path(r.spark, "checked"), header=False)
+    kept = rows.select(F.lit(True).alias("good"), "creativeID")
+    aside = rejects.select(F.lit(False).alias("good"), F.split(tables.REJECTED, ",")[3].cast("long").alias("creativeID"))
+    return kept.unionByName(aside).groupBy("good").agg(F.count("*").alias("lines"), F.sum("creativeID").alias("total"))
+
+
 @query("a02_table_scan", "SELECT event_id, user_id, value FROM events WHERE value > 100")
 def table_scan(r: Roles) -> DataFrame:
     return tables.read_table(r.spark, f"{r.sf_dir}/events.parquet").filter(

@@ -175,3 +175,19 @@ def test_placed_tables_are_not_shuffled(spark, conf, tmp_path):
     other = kept.get_placed("pairs", lambda: users.withColumn("n", F.lit(1)).drop("age"), ["user"], 8)
     both = again.join(other, "user")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in both
+
+
+def test_lines_that_do_not_fit_are_set_aside(spark, tmp_path):
+    schema = schemas.AD
+    header = ",".join(schema.names)
+    lines = ["1,2,3,4,5,1", "x,2,3,4,5,1", "1,2,3", "1,2,3,4,5,1,9", "2,,,,,", '3,"4",5,6,7,2']
+    (tmp_path / "ad.csv").write_text("\n".join([header, *lines]) + "\n")
+    good, bad = tables.read_checked(spark, str(tmp_path / "ad.csv"), schema)
+    assert sorted(r.creativeID for r in good.collect()) == [1, 2, 3] and good.schema == schema
+    assert sorted(r.rejected_line for r in bad.collect()) == sorted(lines[1:4]) and {r.rejected_in for r in bad.collect()} == {"ad.csv"}
+    (tmp_path / "other.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_checked(spark, str(tmp_path / "other.csv"), schema)
+    (tmp_path / "empty.csv").write_text(header + "\n")
+    good, bad = tables.read_checked(spark, str(tmp_path / "empty.csv"), schema)
+    assert good.count() == bad.count() == 0
