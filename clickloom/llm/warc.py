@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -24,25 +26,39 @@ GZIP = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1"
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CHUNK = 1 << 18
+PAGE = re.compile(r"<urn:page:(-?\d+)(?::[^>]*)?>")
 LEAST_REVISIT = 1000
 
 
 # --- one record ------------------------------------------------------------------------
 
+def _record(kind: str, record_id: str, date: str, content: str, block: bytes, more: list[str]) -> bytes:
+    lines = [VERSION.decode(), f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id}", f"WARC-Date: {date}", *more,
+             f"Content-Type: {content}", f"Content-Length: {len(block)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def page_id_text(page_id: int | None, own: str = "") -> str:
+    """The id of a page's record; ``own`` tells records of one page apart."""
+    return f"<urn:page:{'null' if page_id is None else page_id}{':' + own if own else ''}>"
+
+
 def record(page_id: int | None, url: str | None, payload: bytes, size: int, sha1: str, refers_to: int | None,
-           date: str) -> bytes:
+           date: str, own: str = "") -> bytes:
     """A response with the payload, or a revisit that keeps the HTTP head (and with it the length) only."""
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
-    block = head if refers_to is not None else head + payload
-    digest = base64.b32encode(bytes.fromhex(sha1)).decode()
     target = (url or "").replace("\r", "%0D").replace("\n", "%0A")
-    lines = [VERSION.decode(), f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-             f"WARC-Record-ID: <urn:page:{'null' if page_id is None else page_id}>", f"WARC-Date: {date}",
-             f"WARC-Target-URI: {target}", f"WARC-Payload-Digest: sha1:{digest}",
-             "Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
+    more = [f"WARC-Target-URI: {target}", f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(sha1)).decode()}"]
     if refers_to is not None:
-        lines += [f"WARC-Refers-To: <urn:page:{refers_to}>", f"WARC-Profile: {IDENTICAL}"]
-    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+        more += [f"WARC-Refers-To: {page_id_text(refers_to)}", f"WARC-Profile: {IDENTICAL}"]
+    return _record("response" if refers_to is None else "revisit", page_id_text(page_id, own), date,
+                   "application/http;msgtype=response", head if refers_to is not None else head + payload, more)
+
+
+def info(name: str, date: str) -> bytes:
+    """The record that begins an archive."""
+    return _record("warcinfo", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>", date, "application/warc-fields",
+                   b"format: WARC File Format 1.1\r\n", [f"WARC-Filename: {name}"])
 
 
 def member(data: bytes, level: int = 6) -> bytes:
@@ -60,36 +76,68 @@ def _headers(data: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def _page(value: str | None) -> int | None:
-    if not value or not value.startswith("<urn:page:"):
+    """The page of a record id of this writer; None for ids of other kinds."""
+    found = PAGE.fullmatch(value or "")
+    return int(found.group(1)) if found else None
+
+
+def _number(value: str | None) -> int | None:
+    return int(value) if value and value.isascii() and value.isdigit() else None
+
+
+def _sha1(value: str | None) -> str | None:
+    """A SHA-1 given in base 32 or hexadecimal, as lower-case hexadecimal; None for none and for other digests."""
+    name, _, digest = (value or "").partition(":")
+    if name.lower() != "sha1":
+        return None
+    try:
+        return digest.lower() if len(digest) == 40 else base64.b32decode(digest.upper()).hex()
+    except ValueError:
         return None
-    inner = value[len("<urn:page:"):-1]
-    return None if inner == "null" else int(inner)
 
 
 def parse(data: bytes) -> dict:
-    """Fields of one record; the digest of a response is computed from its payload and must agree with the header."""
+    """Fields of one record of any type.
+
+    The payload is what follows the HTTP head where the block is an HTTP message (``application/http``), else the block; a revisit
+    has none, and its length is the one its HTTP head tells, if any.  The digest is that of the record, or
+    computed where it gives none; ids stay text, page numbers are there where the ids are of this writer.  A block that is shorter than
+    its length, and a payload of a response that does not have its digest, are damage and an error; not so a payload
+    that was cut or encoded in transfer, whose digest may be of the original.
+    """
     fields, rest = _headers(data)
-    block = rest[:int(fields["content-length"])]
-    http, payload = _headers(block)
-    size = int(http["content-length"])
-    sha1 = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
-    kind = fields["warc-type"]
-    if kind == "response" and (len(payload) != size or hashlib.sha1(payload).hexdigest() != sha1):
-        raise ValueError(f"damaged record {fields.get('warc-record-id')}")
-    return {"page_id": _page(fields.get("warc-record-id")), "url": fields.get("warc-target-uri"), "record_type": kind,
-            "payload_bytes": size, "payload_digest": sha1, "refers_to": _page(fields.get("warc-refers-to")),
-            "payload": payload if kind == "response" else None}
+    name, kind = fields.get("warc-record-id"), fields.get("warc-type", "")
+    size = _number(fields.get("content-length"))
+    block = rest if size is None else rest[:size]
+    if size is not None and len(block) < size:
+        raise ValueError(f"damaged record {name}")
+    http, payload = {}, block
+    if fields.get("content-type", "").lower().startswith("application/http"):
+        http, payload = _headers(block)
+    told = _sha1(fields.get("warc-payload-digest"))
+    if kind == "revisit":
+        payload, length, digest = None, _number(http.get("content-length")), told
+    else:
+        found = hashlib.sha1(payload).hexdigest()
+        whole = "warc-truncated" not in fields and "transfer-encoding" not in http
+        length, digest = len(payload), told or found
+        if kind == "response" and whole and (found != digest or (_number(http.get("content-length")) or length) != length):
+            raise ValueError(f"damaged record {name}")
+    return {"page_id": _page(name), "url": fields.get("warc-target-uri"), "record_type": kind, "payload_bytes": length,
+            "payload_digest": digest, "refers_to": _page(fields.get("warc-refers-to")), "payload": payload,
+            "record_id": name, "refers_to_id": fields.get("warc-refers-to"), "content_type": fields.get("content-type")}
 
 
 # --- writing ------------------------------------------------------------------------------
 
 def with_revisits(pages: DataFrame, key: str = "page_id", url: str = "url", body: str = "html",
                   least: int = LEAST_REVISIT) -> DataFrame:
-    """(page_id, url, payload, payload_bytes, payload_digest, refers_to) of every page.
+    """(page_id, url, payload, payload_bytes, payload_digest, refers_to, repeated) of every page.
 
     Of pages with equal payloads of at least ``least`` bytes, that with the largest key is written in full and the others refer to it.
     Rows that repeat the largest key are all written in full; so are rows with a null key.  Only payloads that occur under several keys are
-    joined, by a written table, so that a payload which a third of the pages share is split.
+    joined, by a written table, so that a payload which a third of the pages share is split.  Rows that share their key with
+    others, or have none, are marked ``repeated``: their records get ids of their own.  Other columns are ignored.
     """
     payload = F.coalesce(F.col(body).cast("binary"), F.lit(b""))
     slim = pages.select(F.col(key).alias("page_id"), F.sha1(payload).alias("payload_digest"), F.length(payload).alias("_n"))
@@ -100,13 +148,19 @@ def with_revisits(pages: DataFrame, key: str = "page_id", url: str = "url", body
     rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumns({"payload_bytes": F.length("payload").cast("long"), "payload_digest": F.sha1("payload")})
     refers = F.when((F.col("page_id") != F.col("_leader")) & (F.col("payload_bytes") >= least), F.col("_leader")).cast("long")
-    return (rows.join(leaders, F.col("payload_digest") == F.col("_digest"), "left")
-            .select("page_id", "url", F.when(refers.isNull(), F.col("payload")).alias("payload"), "payload_bytes",
-                    "payload_digest", refers.alias("refers_to")))
+    twice = pin(pages.groupBy(F.col(key).cast("long").alias("_twice")).count().filter(
+        (F.col("count") > 1) & F.col("_twice").isNotNull()).select("_twice"), "warc-repeated")
+    out = (rows.join(leaders, F.col("payload_digest") == F.col("_digest"), "left")
+           .select("page_id", "url", F.when(refers.isNull(), F.col("payload")).alias("payload"), "payload_bytes",
+                   "payload_digest", refers.alias("refers_to")))
+    if twice.isEmpty():
+        return out.withColumn("repeated", F.col("page_id").isNull())
+    marked = out.join(twice, F.col("page_id") == F.col("_twice"), "left")
+    return marked.withColumn("repeated", F.col("page_id").isNull() | F.col("_twice").isNotNull()).drop("_twice")
 
 
 def write_warc(records: DataFrame, name: str = "warc", date: str = "2024-01-01T00:00:00Z", level: int = 6) -> DataFrame:
-    """Write the rows of ``with_revisits``, one archive per task; returns the written list (path, bytes).
+    """Write the rows of ``with_revisits``, one archive per task, each after a ``warcinfo`` record; returns the written list (path, bytes).
 
     A file that is not in the list was left by a lost attempt and is never read.
     """
@@ -116,15 +170,15 @@ def write_warc(records: DataFrame, name: str = "warc", date: str = "2024-01-01T0
         path = f"{root}/{attempt_name(TaskContext.get().partitionId(), '.warc.gz')}"
         out, size = None, 0
         for batch in batches:
-            columns = [batch.column(c) for c in ("page_id", "url", "payload", "payload_bytes", "payload_digest", "refers_to")]
+            columns = [batch.column(c) for c in ("page_id", "url", "payload", "payload_bytes", "payload_digest", "refers_to", "repeated")]
             for i in range(batch.num_rows):
-                page, url, payload, n, sha1, refers = (c[i].as_py() for c in columns)
-                data = member(record(page, url, payload or b"", n, sha1, refers, date), level)
+                page, url, payload, n, sha1, refers, repeated = (c[i].as_py() for c in columns)
                 if out is None:
                     filesystem, inside = opened(path)
                     out = filesystem.open_output_stream(inside, compression=None)
-                out.write(data)
-                size += len(data)
+                    size = out.write(member(info(path.rsplit("/", 1)[-1], date), level))
+                own = uuid.uuid5(uuid.NAMESPACE_URL, f"{path}#{size}").hex if repeated else ""
+                size += out.write(member(record(page, url, payload or b"", n, sha1, refers, date, own), level))
         if out is not None:
             out.close()
             yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([size], type=pa.int64())], names=["path", "bytes"])
@@ -191,25 +245,33 @@ def records_in(source: _Bytes, lo: int, hi: int) -> Iterator[tuple[int, bytes]]:
             at = whole[1]
 
 
-def read_warc(files: DataFrame, split_bytes: int = 4 << 20, payloads: bool = False) -> DataFrame:
-    """Records of the listed archives (path, bytes), read in ranges of ``split_bytes``.
+PAGES = ("response", "revisit")
+
+
+def read_warc(files: DataFrame, split_bytes: int = 4 << 20, payloads: bool = False, kinds: Sequence[str] | None = PAGES) -> DataFrame:
+    """Records of the listed archives (path, bytes), read in ranges of ``split_bytes``; archives of any writer, a gzip member for each record.
 
-    Archives of other writers may hold any record types; records without HTTP response or
-    page number are for other readers and fail here.  A damaged member fails the job, it is not skipped.
+    ``kinds``: the record types wanted, None for all.  See ``parse`` for the columns; those that a record does not have are null.  A damaged
+    member fails the job, it is not skipped.
     """
-    fields = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to"]
-    schema = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long"
-    types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+    fields = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "record_id", "refers_to_id", "content_type"]
+    schema = ("page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, "
+              "record_id string, refers_to_id string, content_type string")
+    types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
     if payloads:
         fields, schema, types = [*fields, "payload"], schema + ", payload binary", [*types, pa.binary()]
+    wanted = None if kinds is None else set(kinds)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in batch.to_pylist():
                 rows, held = [], 0
                 for _, data in records_in(_Bytes(part["path"]), part["lo"], part["hi"]):
-                    rows.append(parse(data))
-                    held += len(data) if payloads else 200
+                    found = parse(data)
+                    if wanted is not None and found["record_type"] not in wanted:
+                        continue
+                    rows.append(found if payloads else {**found, "payload": None})
+                    held += len(data) if payloads else 400
                     if held >= 8 << 20:
                         yield _batch(rows)
                         rows, held = [], 0

@@ -538,6 +538,60 @@ def test_archives_round_trip(spark):
     assert warc.read_warc(warc.write_warc(warc.with_revisits(pages.limit(0)))).count() == 0
 
 
+def foreign_archive():
+    """Records as other crawlers write them: uuids, request and metadata records, no lengths or digests, WARC/1.0."""
+    def one(kind, content, block, *more, version="1.0"):
+        head = [f"WARC/{version}", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{kind}-{len(block)}>", "WARC-Date: 2020-01-01T00:00:00Z",
+                f"Content-Type: {content}", f"Content-Length: {len(block)}", *more]
+        return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    body = "<p>été</p>".encode() * 40
+    http = "application/http; msgtype=response"
+    return [one("warcinfo", "application/warc-fields", b"software: other\r\n"),
+            one("request", "application/http; msgtype=request", b"GET / HTTP/1.1\r\nHost: a.b\r\n\r\n", "WARC-Target-URI: http://a.b/"),
+            one("response", http, b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + body, "WARC-Target-URI: http://a.b/"),
+            one("response", http, b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n3\r\nabc\r\n0\r\n\r\n",
+                "WARC-Payload-Digest: sha1:" + "A" * 32),
+            one("metadata", "application/warc-fields", b"fetchTimeMs: 5\r\n", "WARC-Concurrent-To: <urn:uuid:x>"),
+            one("revisit", http, b"HTTP/1.1 304 Not Modified\r\n\r\n", "WARC-Refers-To: <urn:uuid:y>", version="1.1"),
+            one("resource", "text/plain", b"", "WARC-Payload-Digest: md5:zz")], body
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    import hashlib
+
+    records, body = foreign_archive()
+    path = tmp_path / "other.warc.gz"
+    path.write_bytes(b"".join(warc.member(r) for r in records))
+    files = spark.createDataFrame([(str(path), path.stat().st_size)], "path string, bytes long")
+    for split in (100, 4 << 20):
+        got = warc.read_warc(files, split, payloads=True, kinds=None).collect()
+        assert Counter(r.record_type for r in got) == Counter(["warcinfo", "request", "response", "response", "metadata", "revisit", "resource"])
+        by = {(r.record_type, r.payload_bytes): r for r in got}
+        page = by["response", len(body)]
+        assert page.payload == body and page.payload_digest == hashlib.sha1(body).hexdigest() and page.url == "http://a.b/"
+        assert page.page_id is None and page.record_id.startswith("<urn:uuid:response")
+        assert by["response", 13].payload_digest == "00" * 20 and by["request", 0].content_type.endswith("request")
+        revisit = by["revisit", None]
+        assert revisit.refers_to_id == "<urn:uuid:y>" and revisit.refers_to is None and revisit.payload is None
+        assert by["resource", 0].payload_digest == hashlib.sha1(b"").hexdigest() and by["metadata", 16].payload == b"fetchTimeMs: 5\r\n"
+        assert warc.read_warc(files, split).count() == 3
+
+
+def test_archive_begins_with_info_and_ids_are_unique(spark):
+    """Repeated and null page numbers get record ids of their own; extra and clashing columns are ignored."""
+    rows = [(1, "a", "x" * 2000, "p"), (1, "b", "y", "q"), (None, "c", "z", "r"), (None, "d", "z", "s"), (2, "e", "x" * 2000, "t")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, payload string").repartition(2)
+    files = warc.write_warc(warc.with_revisits(pages))
+    got = warc.read_warc(files, kinds=None).collect()
+    assert len({r.record_id for r in got}) == len(got) == len(rows) + files.count()
+    assert sum(r.record_type == "warcinfo" for r in got) == files.count()
+    assert Counter(r.page_id for r in got if r.record_type != "warcinfo") == Counter(r[0] for r in rows)
+    leader = next(r for r in got if r.page_id == 2)
+    assert [r.refers_to_id for r in got if r.record_type == "revisit"] == [leader.record_id]
+    assert warc.read_warc(warc.write_warc(warc.with_revisits(pages.limit(0)))).count() == 0
+
+
 def test_damaged_archive_fails(spark, tmp_path):
     good = warc.member(warc.record(1, "u", b"abc", 3, "a9993e364706816aba3e25717850c26c9cd0d89d", None, "2024-01-01T00:00:00Z"))
     path = tmp_path / "x.warc.gz"
