@@ -3,8 +3,8 @@
 A window that shares no shingle with an item has similarity 0 to it, so fingerprints are taken only of
 windows that reach a word where a shingle of some item begins: this leaves out nothing.  Every
 such window of the size of an item is fingerprinted, and a multi-index over blocks of the
-fingerprint names the items within the Hamming radius: of ``BLOCKS`` blocks at least one differs in at most
-``RADIUS // BLOCKS`` bits.  The similarity of each candidate is then computed exactly on the shingles with their numbers of occurrences.
+fingerprint names the items within the Hamming radius: at least one of the blocks differs in no more bits than its
+limit.  The similarity of each candidate is then computed exactly on the shingles with their numbers of occurrences.
 """
 
 from __future__ import annotations
@@ -16,47 +16,73 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.text import buffers, mix64, shingles, slices, word_hashes, words
+from clickloom.llm.text import U64, buffers, mix64, shingles, slices, word_hashes, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BITS, BLOCKS, RADIUS = 64, 8, 22
+BITS, RADIUS = 128, 36
+#: Bits in which a fingerprint may differ from an item's in each block of 32, for one block to count: with more in all of them
+#: the distance is 10 + 9 + 9 + 9 at least, beyond the radius.
+LIMITS = (9, 8, 8, 8)
 ITEMS_AT_ONCE = 20_000
+PAIRS_AT_ONCE = 1 << 22
+STEP = 1 << 14          # shingles whose bits are laid out at once
 
 
 def bits_of(value: np.ndarray) -> np.ndarray:
-    """+1 or -1 for each bit of each value."""
-    raw = value.astype("<u8").view(np.uint8).reshape(-1, 8)
-    return np.unpackbits(raw, axis=1).astype(np.int32) * 2 - 1
+    """+1 or -1 for each of the 128 bits of each shingle."""
+    both = np.stack((value, mix64(value ^ U64(0x9E3779B97F4A7C15))), axis=1)
+    raw = both.astype("<u8").view(np.uint8).reshape(-1, BITS // 8)
+    return np.unpackbits(raw, axis=1).astype(np.int8) * 2 - 1
 
 
 def fingerprints(value: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of the ``size`` shingles from each start: each occurrence votes with its bits."""
-    lo, hi = int(starts.min()), int(starts.max()) + size
-    total = np.zeros((hi - lo + 1, BITS), dtype=np.int32)
-    np.cumsum(bits_of(value[lo:hi]), axis=0, out=total[1:])
-    votes = total[starts - lo + size] - total[starts - lo]
-    return np.packbits(votes > 0, axis=1)
+    """SimHash of the ``size`` shingles from each start, as four blocks of 32 bits: each occurrence votes with its bits.
+
+    Votes are summed between the places where some window begins or ends, a bounded number of shingles at a time and only where a
+    window lies, so windows far apart in a long text cost what they hold.
+    """
+    marks = np.unique(np.concatenate((starts, starts + size)))
+    first, last = np.searchsorted(marks, starts), np.searchsorted(marks, starts + size)
+    inside = np.cumsum(np.bincount(first, minlength=len(marks)) - np.bincount(last, minlength=len(marks))) > 0
+    sums = np.zeros((len(marks) + 1, BITS), dtype=np.int64)
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False]))))
+    for begin, end in zip(edge[::2], edge[1::2]):         # marks of a stretch without a gap
+        for lo in range(int(marks[begin]), int(marks[end]), STEP):
+            hi = min(lo + STEP, int(marks[end]))
+            at = np.arange(np.searchsorted(marks, lo, "right") - 1, np.searchsorted(marks, hi, "left"))
+            sums[at + 1] += np.add.reduceat(bits_of(value[lo:hi]), np.maximum(marks[at] - lo, 0), axis=0, dtype=np.int64)
+    np.cumsum(sums, axis=0, out=sums)
+    votes = sums[last] - sums[first]
+    return np.packbits(votes > 0, axis=1).view("<u4")
 
 
 class MultiIndex:
-    """Fingerprints (bytes) by block: for each block and value, the fingerprints within ``RADIUS // BLOCKS`` bits there."""
+    """Fingerprints by block; a pair is a candidate if one block differs in no more bits than its limit, which every pair within
+    the radius does (of random fingerprints one in fifty)."""
 
     def __init__(self, prints: np.ndarray):
         self.prints = prints
-        values = np.arange(256, dtype=np.uint8)
-        near = np.bitwise_count(values[:, None] ^ values[None, :]) <= RADIUS // BLOCKS
-        self.tables = np.stack([near[:, prints[:, b]] for b in range(BLOCKS)])
+
+    def candidates(self, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, fingerprint) lists, a bounded number of queries at a time."""
+        step = max(1, PAIRS_AT_ONCE // max(1, len(self.prints)))
+        for lo in range(0, len(prints), step):
+            some = prints[lo:lo + step]
+            found = np.zeros((len(some), len(self.prints)), dtype=bool)
+            for b, limit in enumerate(LIMITS):
+                found |= np.bitwise_count(some[:, b, None] ^ self.prints[None, :, b]) <= limit
+            query, at = np.nonzero(found)
+            yield query + lo, at
 
     def within(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, fingerprint, distance) of all pairs within the radius."""
-        found = np.zeros((len(prints), len(self.prints)), dtype=bool)
-        for b in range(BLOCKS):
-            found |= self.tables[b][prints[:, b]]
-        query, at = np.nonzero(found)
-        distance = np.bitwise_count(prints[query] ^ self.prints[at]).sum(axis=1)
-        ok = distance <= RADIUS
-        return query[ok], at[ok], distance[ok]
+        out = []
+        for query, at in self.candidates(prints):
+            distance = np.bitwise_count(prints[query] ^ self.prints[at]).sum(axis=1)
+            ok = distance <= RADIUS
+            out.append((query[ok], at[ok], distance[ok]))
+        return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, dtype=int),) * 3
 
 
 class Items:

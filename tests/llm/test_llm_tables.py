@@ -189,14 +189,62 @@ def test_short_items_leak_in_short_texts(spark):
     assert [r.doc_id for r in decontam.without_leaks(docs, bench).collect()] == [3]
 
 
-def test_multi_index_finds_all_within_radius():
+def test_multi_index_finds_all_within_radius(monkeypatch):
     draw = np.random.default_rng(1)
-    prints = draw.integers(0, 256, (200, 8), dtype=np.uint8)
-    near = prints[:50] ^ np.packbits(draw.random((50, 64)) < 0.2, axis=1)
-    query, at, distance = decontam.MultiIndex(prints).within(near)
+    prints = draw.integers(0, 1 << 32, (400, 4), dtype=np.uint32)
+    flips = [np.packbits(draw.random((100, 128)) < share, axis=1).view("<u4") for share in (0.15, 0.28, 0.35)]
+    near = np.concatenate([prints[:100] ^ f for f in flips])
     every = np.bitwise_count(near[:, None, :] ^ prints[None]).sum(axis=2)
-    assert set(zip(query.tolist(), at.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(every <= decontam.RADIUS))))
-    assert (every[query, at] == distance).all()
+    for at_once in (1 << 22, 1000):
+        monkeypatch.setattr(decontam, "PAIRS_AT_ONCE", at_once)
+        query, at, distance = decontam.MultiIndex(prints).within(near)
+        assert set(zip(query.tolist(), at.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(every <= decontam.RADIUS))))
+        assert (every[query, at] == distance).all()
+    # few pairs of random fingerprints pass
+    other = draw.integers(0, 1 << 32, (1000, 4), dtype=np.uint32)
+    passed = sum(len(q) for q, _ in decontam.MultiIndex(prints).candidates(other))
+    assert passed < 0.1 * 400 * 1000
+
+
+def test_recall_of_the_radius():
+    """Pairs of shingle sets just above the similarity: their fingerprints lie within the radius."""
+    draw = np.random.default_rng(2)
+    lost = 0
+    for _ in range(1500):
+        n = int(draw.integers(30, 200))
+        common = draw.integers(0, 1 << 63, n).astype(np.uint64)
+        more = int(n * 0.25 / 2)                      # common / (common + 2 more) is at least 0.8
+        one, two = (np.concatenate((common, draw.integers(0, 1 << 63, more).astype(np.uint64))) for _ in range(2))
+        a, b = (decontam.fingerprints(v, np.zeros(1, dtype=int), len(v)) for v in (one, two))
+        lost += np.bitwise_count(a ^ b).sum() > decontam.RADIUS
+    assert lost <= 1
+
+
+def test_fingerprints_of_far_windows():
+    """Windows at both ends of a long text, across steps and next to each other, equal those taken one by one."""
+    draw = np.random.default_rng(3)
+    value = draw.integers(0, 1 << 63, 300_000).astype(np.uint64)
+    for size in (1, 7, 900, 40_000):
+        starts = np.unique(np.concatenate((np.arange(5), draw.integers(0, 3000, 40), [16_380, 16_384, 299_999 - size, 300_000 - size])))
+        got = decontam.fingerprints(value, starts, size)
+        for s, g in zip(starts.tolist(), got):
+            votes = decontam.bits_of(value[s:s + size]).sum(axis=0, dtype=np.int64)
+            assert (np.packbits(votes > 0).view("<u4") == g).all()
+
+
+def test_a_very_long_text_takes_little_memory():
+    import tracemalloc
+
+    from tests.llm.conftest import prose
+
+    item = prose(60, 501)
+    text = item + " " + " ".join(["filler word of no item"] * 800_000) + " " + item       # 19 MB, the item at both ends
+    items = decontam.Items([1], [item])
+    tracemalloc.start()
+    found = list(items.leaks(pa.array([text]), 0.8))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(0, 0, 1.0, 0, 60)] and most < 600 << 20
 
 
 def test_leaks_empty(empty, spark):
