@@ -43,7 +43,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Written table (node, label) for the nodes of a written table of edges (a, b): label is the least node reached.
 
     Every round a node takes the least label of itself and its neighbours, then the label of its
-    label; labels are written after each round.  Sums of labels tell when nothing changes, so no link is
+    label; labels are written after each round, with those before it, so one scan tells when nothing has changed and no link is
     collected.  Hub nodes cost no more than their edges: minima combine in the map task.
     """
     both = pin(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
