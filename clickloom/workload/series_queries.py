@@ -13,6 +13,8 @@ from clickloom.operators import ordered, series
 from clickloom.operators.rows import replace_where
 from clickloom.operators.series import SLOTS, STEP, extract_series
 from clickloom.plans import travel_time as plan
+from clickloom.session import pin, scratch_path
+from clickloom.streaming.windows import WindowedStream
 from clickloom.workload.registry import query, rounded, with_time_text
 from clickloom.workload.roles import Roles
 
@@ -109,6 +111,41 @@ def backward_fill_series(r: Roles) -> DataFrame:
     return _shown(_laid(r), "value")
 
 
+def _streamed(r: Roles, raw: DataFrame, rows, keys: list[str], measures: list, length: str, parts: int = 4) -> DataFrame:
+    """The windows of a stream of the rows of ``raw`` (with ``time``) that come part by part in the order of time, a run for each."""
+    path, spread = scratch_path(r.spark, "stream-in"), pin(raw, "stream-rows")
+    ends = spread.agg(F.percentile_approx("time", [i / parts for i in range(1, parts)], 1000)).first()[0] or []
+    stream = WindowedStream(r.spark, path, raw.schema, scratch_path(r.spark, "stream-out"), scratch_path(r.spark, "stream-state"),
+                            keys, measures, rows, length)
+    for lo, hi in zip([None, *ends], [*ends, None]):
+        part = spread if lo is None else spread.filter(F.col("time") > F.lit(lo))
+        (part if hi is None else part.filter(F.col("time") <= F.lit(hi))).write.mode("append").parquet(path)
+        stream.run()
+    return stream.close(spread.limit(1).withColumn("time", F.lit("2999-01-01").cast("timestamp")))
+
+
+@query("i02c_streamed_means", """
+    SELECT intersection_id, tollgate_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, round(value, 6) AS value, n
+    FROM (SELECT intersection_id, tollgate_id, time_bucket(INTERVAL 20 MINUTE, starting_time) AS ts, avg(travel_time) AS value,
+                 count(*) AS n FROM trips GROUP BY ALL)""")
+def streamed_means(r: Roles) -> DataFrame:
+    """Means of 20 minutes over a stream of files, once it is closed."""
+    raw = r.trips.withColumn("time", F.col("starting_time").cast("timestamp")).drop("starting_time")
+    means = _streamed(r, raw, lambda df: df, KEYS, [F.avg("travel_time").alias("value"), F.count("*").alias("n")], "20 minutes")
+    return rounded(with_time_text(means, "ts"), "value")
+
+
+@query("e08c_streamed_ratio", """
+    SELECT event_type AS kind, strftime(ts::DATE, '%Y-%m-%d %H:%M:%S') AS ts, count(*) AS n,
+           round(count_if(value > 50) / count(*), 6) AS ratio FROM events GROUP BY 1, 2""")
+def streamed_ratio(r: Roles) -> DataFrame:
+    """Share of events above a value by kind and day, over a stream of files, once it is closed."""
+    raw = r.table("events").select(F.col("event_type").alias("kind"), "value", F.col("ts").cast("timestamp").alias("time"))
+    share = F.count_if(F.col("value") > 50) / F.count("*")
+    found = _streamed(r, raw, lambda df: df, ["kind"], [F.count("*").alias("n"), share.alias("ratio")], "1 day")
+    return rounded(with_time_text(found, "ts"), "ratio")
+
+
 @query("i02b_resample_onto_grid", f"SELECT {_TS}, round(value, 6) AS value FROM laid")
 def resampled_onto_grid(r: Roles) -> DataFrame:
     return _shown(series.resample_onto(_raw(r), KEYS, *grid_ends(r)), "value")
