@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 from typing import TypeVar
 
@@ -70,7 +71,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     All paths of one application share a folder, which can go when it has ended.
     """
     application = spark.sparkContext.applicationId
-    return f"{shared_dir(spark).rstrip('/')}/clickloom/{application}/{name}-{uuid.uuid4().hex}"
+    scope = "".join(f"{s}/" for s in _SCOPES[-1:])
+    return f"{shared_dir(spark).rstrip('/')}/clickloom/{application}/{scope}{name}-{uuid.uuid4().hex}"
+
+
+_SCOPES: list[str] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Release what is written to the shared folder inside the block when it ends.
+
+    Results must have been written to a place of their own, or collected, by then: a DataFrame that still reads such a table fails
+    afterwards.  Blocks may be nested; each frees its own tables.  Threads started inside count as inside.
+    """
+    scope = "/".join([*_SCOPES[-1:], f"scope-{uuid.uuid4().hex}"])
+    _SCOPES.append(scope)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(scope)
+        jvm, context = spark.sparkContext._jvm, spark.sparkContext
+        target = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/clickloom/{context.applicationId}/{scope}")
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def pin(df: DataFrame, name: str = "pin") -> DataFrame:

@@ -126,3 +126,20 @@ def test_folds_move_only_the_sort_key(spark, sf):
 def test_library_avoids(word):
     for path in glob.glob(f"{ROOT}/clickloom/**/*.py", recursive=True):
         assert not re.search(word, open(path).read()), path
+
+
+def test_temporary_tables_are_released(spark):
+    import glob
+
+    from clickloom.session import pin, shared_dir, temporary, together
+
+    def files():
+        return {f for f in glob.glob(f"{shared_dir(spark).removeprefix('file:')}/clickloom/**/*.parquet", recursive=True)}
+
+    kept = pin(spark.range(5))
+    with temporary(spark):
+        one = pin(spark.range(7))
+        with temporary(spark):
+            counts = together(spark, *[lambda n=n: pin(spark.range(n)).count() for n in (3, 4)])
+        assert counts == [3, 4] and one.count() == 7
+    assert kept.count() == 5 and not any("scope-" in f for f in files())
