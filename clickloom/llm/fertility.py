@@ -51,7 +51,8 @@ SIDES = {m: "both" for m in MEASURES} | {"fallback_share": "above", "entropy": "
 
 WIDTH = 4.0         # half width of a band in standard deviations
 WIDER = {"pieces_per_token": 1.5}
-SHORT_WORDS, SHORT_WIDER = 64, 1.5      # texts under so many words vary more
+SHORT_WORDS, SHORT_WIDER = 64, 1.5      # texts under so many words vary more among those of their length
+USUAL_WORDS = 256   # and texts shorter than this vary more than the language or script as a whole, by the root of the ratio
 LEAST = 0.05        # least half width, as a share of the median
 ENOUGH = 100        # documents that a band of a language needs
 ENOUGH_SCRIPT = 20  # documents that a band of a script needs
@@ -293,7 +294,9 @@ def bands(measured: DataFrame, group: str = "lang", enough: int | None = None) -
 
 def half_width(measure: str) -> Column:
     """``WIDTH`` standard deviations (1.4826 times the median distance is one), wider for short texts, ``LEAST`` of the median at least."""
-    width = F.when(F.col("n_words") < SHORT_WORDS, SHORT_WIDER).otherwise(1.0) * (WIDTH * WIDER.get(measure, 1.0) * 1.4826)
+    short = F.when(F.col("n_words") < SHORT_WORDS, SHORT_WIDER).otherwise(1.0)
+    rare = F.greatest(F.lit(1.0), F.sqrt(F.lit(float(USUAL_WORDS)) / F.col("n_words")))
+    width = F.when(F.col("_level") == 0, short).otherwise(rare) * (WIDTH * WIDER.get(measure, 1.0) * 1.4826)
     least = F.lit(0.05) if measure == "fallback_share" else F.col("_band")[f"_{measure}"]["mid"] * LEAST
     return F.greatest(F.col("_band")[f"_{measure}"]["mad"] * width, least)
 
@@ -308,7 +311,8 @@ def verdict(measured: DataFrame, ranges: DataFrame, group: str = "lang") -> Data
         table = ranges.select(F.col("_key").alias(f"_of{i}"), F.struct(*[f"_{m}" for m in MEASURES]).alias(f"_band{i}"))
         joined = joined.withColumn(f"_is{i}", key).join(table, F.col(f"_is{i}") == F.col(f"_of{i}"), "left")
         found.append(f"_band{i}")
-    joined = joined.withColumn("_band", F.coalesce(*found))
+    level = F.coalesce(*[F.when(F.col(c).isNotNull(), i) for i, c in enumerate(found)])
+    joined = joined.withColumns({"_band": F.coalesce(*found), "_level": level})
     outside = F.lit(False)
     for m in MEASURES:
         off = F.col(m) - F.col("_band")[f"_{m}"]["mid"]

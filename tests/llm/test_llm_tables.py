@@ -425,7 +425,8 @@ def brute_verdict(rows):
                 for i, m in enumerate(fertility.MEASURES):
                     mid = median([g[i + 1] for g in groups[key]])
                     mad = median([abs(g[i + 1] - mid) for g in groups[key]])
-                    width = 4 * 1.4826 * (1.5 if r.n_words < 64 else 1) * (1.5 if m == "pieces_per_token" else 1)
+                    short = (1.5 if r.n_words < 64 else 1) if len(key) == 2 and key[0] != "script" else max(1, (256 / r.n_words) ** 0.5)
+                    width = 4 * 1.4826 * short * (1.5 if m == "pieces_per_token" else 1)
                     half = max(mad * width / 1000, 0.05 if m == "fallback_share" else 0.05 * mid / 1000)
                     off = r[m] - mid / 1000
                     off = off if m == "fallback_share" else -off if m == "entropy" else abs(off)
