@@ -141,7 +141,8 @@ def run_report(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wor
     """One row per document: doc_id, n_lines, n_deleted, deleted_words, kept_digest.
 
     ``kept_digest``: md5 of the md5s of the lines that stay.  The texts themselves
-    are not moved: lines stand for themselves by their md5.
+    are not moved: lines stand for themselves by their md5.  Null and empty texts have one line, without a word, that stays; of repeated
+    rows the first keeps its lines; null ids come first; an empty table stays empty.
     """
     rows = numbered(docs, key, text)
     gone = deleted_lines(rows, min_words)

@@ -127,6 +127,7 @@ def mix(df: DataFrame, source: str = "source", key: str = "doc_id", size: Column
 
 
 def take(df: DataFrame, copies: str = "copies") -> DataFrame:
-    """The mix itself: each row as many times as it is taken."""
+    """The mix itself: each row as many times as it is taken; rows with a null or zero number go, equal rows are taken each, and an
+    empty table stays empty."""
     rows, back = shield(df, [copies])
     return back(rows.filter(F.col(copies) > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(copies)))).drop("_copy"))

@@ -74,7 +74,8 @@ def with_slots(df: DataFrame, shard: str, order: list[str], name: str = "slot")
     """Add the gapless 0-based place of each row in its shard, in the given order.
 
     Rows are numbered over all shards in ranges of the whole order, so a shard is
-    never one task; the number minus the rows of the shards before is the place.
+    never one task; the number minus the rows of the shards before is the place.  Rows equal in the whole order take their
+    places in any order, so name columns that tell rows apart where that matters.
     """
     df, back = shield(df, [shard, *order])
     numbered = with_row_index(df, [shard, *order], "_place")
