@@ -8,17 +8,24 @@ anyway, are compared by brute force.  The number of runs follows from the recall
 
 A pair that meets in several buckets is counted in the one with the least number: each
 row carries the numbers of all its buckets, so no list of pairs is ever made.
+
+Large buckets of sets that are alike are not compared pair by pair where they need not be.  The shingles that most of their members
+have are their middle.  One minus the similarity is a metric, so two members whose distances to the middle add up to no more than the
+distance of a link are linked: these links are counted from the numbers of members at each distance.  Only pairs
+for which the middle does not tell meet in tiles.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clickloom.llm.columns import shield
 from clickloom.llm.groups import components, sorted_groups
@@ -38,6 +45,7 @@ ALIKE = 0.5           # mean similarity from which splitting a bucket is in vain
 TILE_ROWS = 384
 TILE_SHINGLES = 1 << 20
 LONG = np.uint64(0x7FFFFFFFFFFFFFFF)
+GRAIN = 1000          # steps of a distance to the middle, rounded up
 
 
 def missed(runs: int, similarity: float) -> float:
@@ -125,11 +133,12 @@ def _shared(buckets: DataFrame) -> DataFrame:
     return buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
-def leaves(nodes: DataFrame) -> DataFrame:
-    """Written table (bucket, node): the buckets to be compared, from (node, sketch, roots)."""
+def leaves(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Written table (bucket, node): the buckets to be compared, from (node, sketch, roots); and those of large buckets that stay alike,
+    None without any."""
     members = pin(nodes.select("node", F.explode("roots").alias("bucket")).distinct(), "join-roots")
     sizes = pin(_shared(members), "join-sizes")
-    done = []
+    done, crowded = [], []
     for depth in range(DEPTH + 1):
         of = members.join(sizes, "bucket")
         last = depth == DEPTH
@@ -144,27 +153,107 @@ def leaves(nodes: DataFrame) -> DataFrame:
         alike = pin(counted.groupBy("bucket").agg(
             (F.sum(F.col("n") * F.col("n")) * BRANCHES / (F.sum("n") * F.sum("n"))).alias("_alike"))
             .filter(F.col("_alike") >= ALIKE).select("bucket"), "join-alike")
-        done.append(large.join(alike, "bucket", "left_semi"))
+        crowded.append(large.join(alike, "bucket", "left_semi"))
+        done.append(crowded[-1])
         members = pin(children.join(alike, "bucket", "left_anti").select(F.col("child").alias("bucket"), "node"), "join-members")
         sizes = pin(_shared(members), "join-sizes")
-    out = done[0]
-    for more in done[1:]:
-        out = out.union(more)
-    return pin(out.select("bucket", "node"), "join-leaves")
+    def written(parts: list[DataFrame], name: str) -> DataFrame:
+        return pin(reduce(DataFrame.union, parts).select("bucket", "node"), name)
+
+    alike_ones = written(crowded, "join-crowded") if crowded else None
+    return written(done, "join-leaves"), None if alike_ones is None or alike_ones.isEmpty() else alike_ones
+
+
+# --- members about a middle ------------------------------------------------------------------
+
+def _shingles_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Row ranges with the distinct shingles of their texts (the last column)."""
+    texts = batch.column(batch.num_columns - 1)
+    for lo, hi in slices(texts, 2 << 20):
+        w = words(*buffers(texts.slice(lo, hi - lo)))
+        yield lo, hi, *shingle_sets(w, word_hashes(w), SHINGLE)
+
+
+def about_middles(crowded: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Written table (node, ring, off) of members near the middle of their ring, from (bucket, node) and (node, text).
+
+    A node belongs to the ring of its least bucket.  The middle of a ring are the shingles that over half of its members have (no more
+    than twice as many as a member has on average); ``off`` is the distance to it in steps, rounded up, at most that of a link.
+    """
+    ring = pin(crowded.groupBy("node").agg(F.min("bucket").alias("ring")), "join-rings")
+    rows = pin(ring.join(texts, "node").select("ring", "node", "text"), "join-ring-texts")
+    sizes = ring.groupBy("ring").agg(F.count("*").alias("n"))
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, value, ends in _shingles_of(batch):
+                of = np.repeat(batch.column(0).slice(lo, hi - lo).to_numpy(), np.diff(ends))
+                yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(value.view(np.int64))], names=["ring", "shingle"])
+
+    often = rows.mapInArrow(listed, "ring long, shingle long").groupBy("ring", "shingle").agg(F.count("*").alias("_n"))
+    middles = pin(often.join(sizes, "ring").filter(2 * F.col("_n") > F.col("n")).groupBy("ring")
+                  .agg(F.collect_list("shingle").alias("middle")), "join-middles")
+    most = round((1 - similarity) * GRAIN)
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[int, np.ndarray] | None = None
+        for batch in batches:
+            for lo, hi, value, ends in _shingles_of(batch):
+                rings, offs = batch.column(0).slice(lo, hi - lo).to_numpy(), np.zeros(hi - lo, dtype=np.int64)
+                for i in range(hi - lo):
+                    if held is None or held[0] != rings[i]:
+                        held = int(rings[i]), np.sort(batch.column(2)[lo + i].values.to_numpy().view(np.uint64))
+                    mine, middle = value[ends[i]:ends[i + 1]], held[1]
+                    at = np.minimum(np.searchsorted(middle, mine), len(middle) - 1)
+                    common = int(np.count_nonzero(middle[at] == mine))
+                    union = len(mine) + len(middle) - common
+                    offs[i] = -(-(union - common) * GRAIN // union)
+                near = offs <= most
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo).filter(pa.array(near)), pa.array(rings[near]),
+                                                  pa.array(offs[near].astype(np.int32))], names=["node", "ring", "off"])
+
+    placed = rows.join(middles, "ring").select("ring", "node", "middle", "text")
+    return pin(placed.mapInArrow(measured, "node long, ring long, off int"), "join-near")
+
+
+def told_links(near: DataFrame, copies: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Links that the middles tell: (node, links) and star edges (a, b), from ``about_middles`` and (node, copies).
+
+    A member at ``off`` is linked to all whose distance is at most that of a link less its own.  Members are counted by ring and
+    distance, at most a few hundred numbers a ring.
+    """
+    most = round((1 - similarity) * GRAIN)
+    of = near.join(copies, "node")
+    at = of.groupBy("ring", "off").agg(F.sum("copies").alias("_here"), F.min("node").alias("_first"))
+    upto = Window.partitionBy("ring").orderBy("off")
+    at = pin(at.withColumns({"_upto": F.sum("_here").over(upto)}), "join-counted")
+    whole = at.groupBy("ring").agg(F.map_from_entries(F.collect_list(F.struct("off", "_upto"))).alias("_counts"),
+                                   F.min(F.struct("off", "_first")).alias("_best"))
+    joined = of.join(pin(whole, "join-whole"), "ring")
+    reach = F.lit(most) - F.col("off")
+    steps = F.filter(F.map_keys("_counts"), lambda k: k <= reach)
+    found = F.when(F.size(steps) > 0, F.element_at("_counts", F.array_max(steps))).otherwise(0)
+    own = F.when(2 * F.col("off") <= most, F.col("copies")).otherwise(0)
+    links = joined.select("node", (found - own).alias("links")).filter(F.col("links") > 0)
+    star = joined.filter((F.col("off") + F.col("_best.off") <= most) & (F.col("node") != F.col("_best._first")))
+    return pin(links, "join-told"), pin(star.select(F.col("node").alias("a"), F.col("_best._first").alias("b")), "join-stars")
 
 
 # --- comparing the members of a tile --------------------------------------------------------
 
 def pairs(bucket: int, lists: list[list[int]], found: np.ndarray, side: np.ndarray, across: bool,
-          similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Members (first, second) that meet here for the first time and whose sketches agree enough.
+          similarity: float, ring: np.ndarray | None = None, off: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Members (first, second) that meet here for the first time, whose sketches agree enough and whose ring does not tell them linked.
 
-    In a tile ``across`` two chunks only pairs with one member in each are looked at.
+    In a tile ``across`` two chunks only pairs with one member in each are looked at.  ``ring`` is -1 for members of none.
     """
     n = len(lists)
     need = (similarity - SLACK) * SKETCH
+    told = round((1 - similarity) * GRAIN)
+    if ring is None:
+        ring, off = np.full(n, -1), np.zeros(n, dtype=int)
     if n == 2:
-        if across and side[0] == side[1]:
+        if across and side[0] == side[1] or ring[0] >= 0 and ring[0] == ring[1] and off[0] + off[1] <= told:
             return np.zeros(0, dtype=int), np.zeros(0, dtype=int)
         early = any(x < bucket for x in set(lists[0]).intersection(lists[1]))
         ok = not early and np.count_nonzero(found[0] == found[1]) >= need
@@ -175,6 +264,8 @@ def pairs(bucket: int, lists: list[list[int]], found: np.ndarray, side: np.ndarr
     ok = np.triu(agree >= need, 1)
     if across:
         ok &= side[:, None] != side[None, :]
+    if (ring >= 0).any():
+        ok &= ~((ring[:, None] == ring[None, :]) & (ring[:, None] >= 0) & (off[:, None] + off[None, :] <= told))
     if ok.any():
         ids = np.concatenate([np.asarray(x, dtype=np.int64) for x in lists])
         who = np.repeat(np.arange(n), [len(x) for x in lists])
@@ -235,24 +326,46 @@ def least_reached(n: int, first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 def _columns(table: pa.Table) -> tuple:
     found = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint32).reshape(-1, SKETCH)
-    return table.column("leaves").to_pylist(), found, table.column("chunk").to_numpy()
+    return (table.column("leaves").to_pylist(), found, table.column("chunk").to_numpy(), table.column("ring").to_numpy(),
+            table.column("off").to_numpy())
 
 
 TILE = ["bucket", "tile_a", "tile_b"]
 
 
-def tiled(members: DataFrame, nodes: DataFrame) -> DataFrame:
+def tiled(members: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """Rows of (bucket, node) placed in the tiles of their bucket, with what comparing needs.
 
-    A bucket is cut into chunks of a bounded number of rows and shingles; each two chunks make a tile.
+    A bucket is cut into chunks of a bounded number of rows and shingles; each two chunks make a tile.  The core of a bucket are the members
+    of one ring, that with the most, within half the distance of a link of its middle: all their pairs are told, so chunks of the
+    core meet the other chunks only, and a bucket that is all core has no tiles.
     """
-    sizes = pin(members.join(nodes.select("node", "shingles"), "node").groupBy("bucket").agg(
-        F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(TILE_ROWS)), F.ceil(F.sum("shingles") / F.lit(TILE_SHINGLES)))
-        .cast("int").alias("chunks"), F.count("*").alias("n")).filter(F.col("n") > 1), "join-chunks")
-    of = members.join(sizes.select("bucket", "chunks"), "bucket")
-    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    of = of.withColumn("chunk", chunk).withColumn("_other", other)
+    half = round((1 - similarity) * GRAIN) // 2
+    of = members.join(nodes.select("node", "shingles", "ring", "off"), "node")
+    inner = F.when((F.col("ring") >= 0) & (F.col("off") <= half), F.col("ring"))
+    cores = (of.select("bucket", inner.alias("_core")).filter(F.col("_core").isNotNull()).groupBy("bucket", "_core")
+             .agg(F.count("*").alias("_n")).groupBy("bucket").agg(F.max_by("_core", F.struct("_n", "_core")).alias("_core")))
+    cores = pin(cores, "join-cores")
+    if not cores.isEmpty():
+        of = of.join(cores, "bucket", "left")
+    else:
+        of = of.withColumn("_core", F.lit(None).cast("long"))
+    of = of.withColumn("_inside", F.coalesce((F.col("ring") == F.col("_core")) & (F.col("off") <= half), F.lit(False)))
+    of = of.select("bucket", "node", "shingles", "_inside")
+
+    def chunks(inside: bool) -> Column:
+        mine = F.col("_inside") == inside
+        return F.greatest(F.when(F.count_if(mine) > 0, 1).otherwise(0), F.ceil(F.count_if(mine) / F.lit(TILE_ROWS)),
+                          F.ceil(F.coalesce(F.sum(F.when(mine, F.col("shingles"))), F.lit(0)) / F.lit(TILE_SHINGLES))).cast("int")
+
+    sizes = pin(of.groupBy("bucket").agg(chunks(False).alias("_others"), chunks(True).alias("_cored"), F.count("*").alias("n"))
+                .filter((F.col("n") > 1) & (F.col("_others") > 0)), "join-chunks")
+    of = of.join(sizes.select("bucket", "_others", "_cored"), "bucket")
+    place = F.xxhash64("node")
+    chunk = F.when(F.col("_inside"), F.col("_others") + F.pmod(place, F.greatest(F.col("_cored"), F.lit(1)))).otherwise(
+        F.pmod(place, F.greatest(F.col("_others"), F.lit(1))))
+    last = F.when(F.col("_inside"), F.col("_others")).otherwise(F.col("_others") + F.col("_cored")) - 1
+    of = of.withColumn("chunk", chunk.cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), last)))
     return of.select("bucket", "node", "chunk", F.least("chunk", "_other").alias("tile_a"),
                      F.greatest("chunk", "_other").alias("tile_b"))
 
@@ -265,9 +378,9 @@ def candidates(placed: DataFrame, nodes: DataFrame, similarity: float) -> DataFr
         for table in sorted_groups(batches, TILE):
             if table.num_rows < 2:
                 continue
-            lists, found, chunk = _columns(table)
+            lists, found, chunk, ring, off = _columns(table)
             bucket, a, b = (table.column(c)[0].as_py() for c in TILE)
-            first, second = pairs(bucket, lists, found, chunk, a != b, similarity)
+            first, second = pairs(bucket, lists, found, chunk, a != b, similarity, ring, off)
             if len(first):
                 node = table.column("node").to_numpy()
                 out += [(bucket, a, b, int(chunk[i]), int(node[i])) for i in np.union1d(first, second)]
@@ -282,7 +395,8 @@ def candidates(placed: DataFrame, nodes: DataFrame, similarity: float) -> DataFr
         return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*out), types)],
                                           names=[*TILE, "chunk", "node"])
 
-    rows = placed.join(nodes.select("node", "sketch", "leaves"), "node").select(*TILE, "chunk", "node", "sketch", "leaves")
+    rows = placed.join(nodes.select("node", "sketch", "leaves", "ring", "off"), "node").select(
+        *TILE, "chunk", "node", "sketch", "leaves", "ring", "off")
     rows = rows.repartition(*TILE).sortWithinPartitions(*TILE, "node")
     return pin(rows.mapInArrow(run, "bucket long, tile_a int, tile_b int, chunk int, node long"), "join-candidates")
 
@@ -295,9 +409,9 @@ def compared(chosen: DataFrame, nodes: DataFrame, texts: DataFrame, similarity:
             if table.num_rows < 2:
                 continue
             table = table.combine_chunks()
-            lists, found, chunk = _columns(table)
+            lists, found, chunk, ring, off = _columns(table)
             bucket, a, b = (table.column(c)[0].as_py() for c in TILE)
-            first, second = pairs(bucket, lists, found, chunk, a != b, similarity)
+            first, second = pairs(bucket, lists, found, chunk, a != b, similarity, ring, off)
             if not len(first):
                 continue
             data, offsets = buffers(table.column("text").combine_chunks()
@@ -319,8 +433,8 @@ def compared(chosen: DataFrame, nodes: DataFrame, texts: DataFrame, similarity:
             yield pa.RecordBatch.from_arrays([pa.array(node[has]), pa.array(links[has]), pa.array(least[has])],
                                              names=["node", "links", "least"])
 
-    rows = (chosen.join(nodes.select("node", "sketch", "leaves", "copies"), "node").join(texts, "node")
-            .select(*TILE, "chunk", "node", "sketch", "leaves", "copies", "text"))
+    rows = (chosen.join(nodes.select("node", "sketch", "leaves", "copies", "ring", "off"), "node").join(texts, "node")
+            .select(*TILE, "chunk", "node", "sketch", "leaves", "copies", "ring", "off", "text"))
     rows = rows.repartition(*TILE).sortWithinPartitions(*TILE, "node")
     return pin(rows.mapInArrow(run, "node long, links long, least long"), "join-links")
 
@@ -344,17 +458,31 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", si
                                    F.first("shingles").alias("shingles"), F.first("sketch").alias("sketch"),
                                    F.first("roots").alias("roots"))
     nodes = pin(with_row_index(one, ["key"], "node"), "join-nodes")
-    members = leaves(nodes)
+    members, crowded = leaves(nodes)
+
+    def texts_of(some: DataFrame) -> DataFrame:
+        """One row of each text, found by its least id: copies of a text do not meet in one task.  The number of texts wanted follows the
+        input, so they are never broadcast."""
+        wanted = pin(some.select("node").distinct().join(nodes.select("node", "key", "least_id"), "node"), "join-wanted")
+        return (rows.join(wanted.hint("merge"), (rows["key"] == wanted["key"]) & rows["doc_id"].eqNullSafe(wanted["least_id"]))
+                .dropDuplicates(["node"]).select("node", "text"))
+
+    near = None if crowded is None else about_middles(crowded, texts_of(crowded), similarity)
     lists = members.groupBy("node").agg(F.array_sort(F.collect_set("bucket")).alias("leaves"))
-    shared = pin(nodes.select("node", "key", "copies", "shingles", "sketch").join(lists, "node"), "join-shared")
-    chosen = candidates(tiled(members, shared), shared, similarity)
-    # one row of each text, found by its least id: copies of a text do not meet in one task.  The number of texts wanted
-    # follows the input, so they are never broadcast.
-    wanted = pin(chosen.select("node").distinct().join(nodes.select("node", "key", "least_id"), "node"), "join-wanted")
-    texts = (rows.join(wanted.hint("merge"), (rows["key"] == wanted["key"]) & rows["doc_id"].eqNullSafe(wanted["least_id"]))
-             .dropDuplicates(["node"]).select("node", "text"))
-    links = compared(chosen, shared, texts, similarity)
-    of_node = components(links.select(F.col("node").alias("a"), F.col("least").alias("b")), "join")
+    shared = nodes.select("node", "key", "copies", "shingles", "sketch").join(lists, "node")
+    if near is None:
+        shared = shared.withColumns({"ring": F.lit(-1).cast("long"), "off": F.lit(0)})
+    else:
+        shared = shared.join(near, "node", "left").fillna({"ring": -1, "off": 0})
+    shared = pin(shared, "join-shared")
+    chosen = candidates(tiled(members, shared, similarity), shared, similarity)
+    links = compared(chosen, shared, texts_of(chosen), similarity)
+    edges = links.select(F.col("node").alias("a"), F.col("least").alias("b"))
+    links = links.select("node", "links")
+    if near is not None:
+        told, stars = told_links(near, nodes.select("node", "copies"), similarity)
+        links, edges = links.union(told), edges.union(stars)
+    of_node = components(edges, "join")
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))
     classes = nodes.select("node", "least_id").join(of_node, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = classes.groupBy("label").agg(F.min("least_id").alias("class_id"))

@@ -121,6 +121,50 @@ def test_near_duplicates_splits_large_buckets(spark, monkeypatch):
     assert got == brute_classes(df.collect())
 
 
+def variants(n, base, draw, most):
+    """Texts of one base with up to ``most`` words replaced, added or left out; all differ."""
+    out = set()
+    while len(out) < n:
+        w = list(base)
+        for _ in range(draw.randint(0, most)):
+            at = draw.randrange(len(w))
+            w[at:at + draw.randint(0, 1)] = [f"new{draw.randint(0, 10 ** 6)}"] * draw.randint(0, 1)
+        out.add(" ".join(w))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("most", [1, 4])
+def test_links_about_a_middle_are_exact(spark, monkeypatch, most):
+    """Crowds of near copies, some near their middle and some at the edge of a link, with exact copies and null ids: links and classes as by
+    brute force, and some links are told without a comparison."""
+    import random
+
+    from tests.llm.conftest import prose
+
+    monkeypatch.setattr(jaccard_join, "SMALL", 12)
+    monkeypatch.setattr(jaccard_join, "TILE_ROWS", 16)
+    told, inner = [], jaccard_join.told_links
+    monkeypatch.setattr(jaccard_join, "told_links", lambda *a: told.append(inner(*a)) or told[-1])
+    draw = random.Random(most)
+    texts = variants(70, prose(110, 7).split(), draw, most) + variants(30, prose(70, 8).split(), draw, most) + [prose(90, i) for i in range(20)]
+    rows = [(i if i % 9 else None, t) for i, t in enumerate([*texts, *texts[:15], "", None])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert Counter(tuple(r) for r in jaccard_join.near_duplicates(df).collect()) == brute_classes(df.collect())
+    assert told and told[0][0].count() > 20
+
+
+def test_tiles_of_near_copies_grow_in_proportion(spark, monkeypatch):
+    from tests.llm.conftest import prose
+
+    found, inner = [], jaccard_join.candidates
+    monkeypatch.setattr(jaccard_join, "candidates", lambda placed, *a: found.append(placed.count()) or inner(placed, *a))
+    for n in (700, 1400):
+        df = spark.createDataFrame([(i, prose(100, 500) + f" tail{i}") for i in range(n)], "doc_id long, text string")
+        got = jaccard_join.near_duplicates(df).groupBy("class_id", "links").count().collect()
+        assert [(r.class_id, r.links, r["count"]) for r in got] == [(0, n - 1, n)]
+    assert found[1] <= 2.2 * max(found[0], 100)
+
+
 def test_filter_and_splits_keep_the_recall():
     from math import ceil, comb
 
