@@ -25,7 +25,7 @@ BITS, RADIUS = 128, 36
 #: the distance is 10 + 9 + 9 + 9 at least, beyond the radius.
 LIMITS = (9, 8, 8, 8)
 ITEMS_AT_ONCE = 20_000
-PAIRS_AT_ONCE = 1 << 22
+PAIRS_AT_ONCE = 1 << 20
 STEP = 1 << 14          # shingles whose bits are laid out at once
 
 

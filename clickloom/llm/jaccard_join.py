@@ -9,7 +9,7 @@ anyway, are compared by brute force.  The number of runs follows from the recall
 A pair that meets in several buckets is counted in the one with the least number: each
 row carries the numbers of all its buckets, so no list of pairs is ever made.
 
-Large buckets of sets that are alike are not compared pair by pair where they need not be.  The shingles that most of their members
+Very large buckets of sets that are alike are not compared pair by pair where they need not be.  The shingles that most of their members
 have are their middle.  One minus the similarity is a metric, so two members whose distances to the middle add up to no more than the
 distance of a link are linked: these links are counted from the numbers of members at each distance.  Only pairs
 for which the middle does not tell meet in tiles.
@@ -45,6 +45,8 @@ ALIKE = 0.5           # mean similarity from which splitting a bucket is in vain
 TILE_ROWS = 384
 TILE_SHINGLES = 1 << 20
 LONG = np.uint64(0x7FFFFFFFFFFFFFFF)
+CROWD = 4096          # members from which a bucket that stays alike is compared about a middle
+DRAWN = 512           # members, about, whose shingles make a middle; links are exact about any middle
 GRAIN = 1000          # steps of a distance to the middle, rounded up
 
 
@@ -153,8 +155,8 @@ def leaves(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         alike = pin(counted.groupBy("bucket").agg(
             (F.sum(F.col("n") * F.col("n")) * BRANCHES / (F.sum("n") * F.sum("n"))).alias("_alike"))
             .filter(F.col("_alike") >= ALIKE).select("bucket"), "join-alike")
-        crowded.append(large.join(alike, "bucket", "left_semi"))
-        done.append(crowded[-1])
+        done.append(large.join(alike, "bucket", "left_semi"))
+        crowded.append(done[-1].filter(F.col("n") >= CROWD))
         members = pin(children.join(alike, "bucket", "left_anti").select(F.col("child").alias("bucket"), "node"), "join-members")
         sizes = pin(_shared(members), "join-sizes")
     def written(parts: list[DataFrame], name: str) -> DataFrame:
@@ -177,12 +179,15 @@ def _shingles_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray,
 def about_middles(crowded: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Written table (node, ring, off) of members near the middle of their ring, from (bucket, node) and (node, text).
 
-    A node belongs to the ring of its least bucket.  The middle of a ring are the shingles that over half of its members have (no more
-    than twice as many as a member has on average); ``off`` is the distance to it in steps, rounded up, at most that of a link.
+    A node belongs to the ring of its least bucket.  The middle of a ring are the shingles that over half of ``DRAWN`` of its members
+    have, drawn by hash (any set would do as a middle, so nothing depends on the draw but the number of pairs it tells); ``off`` is the
+    distance to it in steps, rounded up, at most that of a link.
     """
     ring = pin(crowded.groupBy("node").agg(F.min("bucket").alias("ring")), "join-rings")
     rows = pin(ring.join(texts, "node").select("ring", "node", "text"), "join-ring-texts")
     sizes = ring.groupBy("ring").agg(F.count("*").alias("n"))
+    drawn = rows.join(pin(sizes, "join-ring-sizes"), "ring").filter(F.pmod(F.xxhash64("node"), F.col("n")) < DRAWN).select("ring", "node", "text")
+    of_drawn = pin(drawn.select("ring", "node"), "join-drawn").groupBy("ring").agg(F.count("*").alias("n"))
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,8 +195,8 @@ def about_middles(crowded: DataFrame, texts: DataFrame, similarity: float) -> Da
                 of = np.repeat(batch.column(0).slice(lo, hi - lo).to_numpy(), np.diff(ends))
                 yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(value.view(np.int64))], names=["ring", "shingle"])
 
-    often = rows.mapInArrow(listed, "ring long, shingle long").groupBy("ring", "shingle").agg(F.count("*").alias("_n"))
-    middles = pin(often.join(sizes, "ring").filter(2 * F.col("_n") > F.col("n")).groupBy("ring")
+    often = drawn.mapInArrow(listed, "ring long, shingle long").groupBy("ring", "shingle").agg(F.count("*").alias("_n"))
+    middles = pin(often.join(of_drawn, "ring").filter(2 * F.col("_n") > F.col("n")).groupBy("ring")
                   .agg(F.collect_list("shingle").alias("middle")), "join-middles")
     most = round((1 - similarity) * GRAIN)
 

@@ -142,6 +142,8 @@ def test_links_about_a_middle_are_exact(spark, monkeypatch, most):
     from tests.llm.conftest import prose
 
     monkeypatch.setattr(jaccard_join, "SMALL", 12)
+    monkeypatch.setattr(jaccard_join, "CROWD", 13)
+    monkeypatch.setattr(jaccard_join, "DRAWN", 40)
     monkeypatch.setattr(jaccard_join, "TILE_ROWS", 16)
     told, inner = [], jaccard_join.told_links
     monkeypatch.setattr(jaccard_join, "told_links", lambda *a: told.append(inner(*a)) or told[-1])
@@ -156,6 +158,7 @@ def test_links_about_a_middle_are_exact(spark, monkeypatch, most):
 def test_tiles_of_near_copies_grow_in_proportion(spark, monkeypatch):
     from tests.llm.conftest import prose
 
+    monkeypatch.setattr(jaccard_join, "CROWD", 512)
     found, inner = [], jaccard_join.candidates
     monkeypatch.setattr(jaccard_join, "candidates", lambda placed, *a: found.append(placed.count()) or inner(placed, *a))
     for n in (700, 1400):
