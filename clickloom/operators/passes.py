@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.modelling import BLOCK, CURVE, POSITION
-from clickloom.session import pin, together
+from clickloom.session import pin, ship_package, together
 
 MEMORY = 5              # steps a quasi-Newton fit remembers
 SHARD_ROWS = 20_000     # rows of a shard that one task goes through in order
@@ -61,6 +61,7 @@ def width(samples: DataFrame, features: str = "features") -> int:
 
 
 def _input(samples: DataFrame) -> DataFrame:
+    ship_package(samples.sparkSession)
     return samples.select(F.col("label").cast("double").alias("label"), F.col(BLOCK).cast("int").alias("block"), *entries("features"))
 
 
@@ -118,7 +119,7 @@ class _Descent:
         self.at, self.value, self.slope = np.zeros(size), None, None
         self.asked, self.step, self.way = self.at, 1.0, None
         self.moves: list[tuple[np.ndarray, np.ndarray]] = []
-        self.done = False
+        self.done, self.still = False, 0
 
     def answer(self, loss: float, count: float, gradient: np.ndarray) -> None:
         """Take the sums at ``asked`` and choose the next point."""
@@ -136,8 +137,8 @@ class _Descent:
             moved, turned = self.asked - self.at, slope - self.slope
             if moved @ turned > 1e-14:
                 self.moves = [*self.moves, (moved, turned)][-MEMORY:]
-            near = self.value - value <= self.tolerance * max(abs(value), 1e-12)
-            self.done = near or np.abs(slope).max() < self.tolerance
+            self.still = self.still + 1 if self.value - value <= self.tolerance * max(abs(value), 1e-12) else 0
+            self.done = self.still == 3 or np.abs(slope).max() < self.tolerance     # one short step is no sign yet
         self.at, self.value, self.slope = self.asked, value, slope
         q, kept = slope.copy(), []
         for moved, turned in reversed(self.moves):
@@ -155,7 +156,7 @@ class _Descent:
 
 
 def fit_many(samples: DataFrame, penalties: Sequence[float], train: np.ndarray, iterations: int = 100,
-             tolerance: float = 1e-7) -> np.ndarray:
+             tolerance: float = 1e-10) -> np.ndarray:
     """Coefficients (model, feature + intercept) of L2 logistic models; a pass over the rows serves all that still descend.
 
     ``train`` tells the blocks of each model.  The scans are as many as the slowest model needs, whatever their number.
@@ -207,7 +208,7 @@ def _folds(n_params: int, folds: int, scheme: str) -> tuple[np.ndarray, np.ndarr
 
 
 def shared_curve(samples: DataFrame, penalties: Sequence[float], folds: int, iterations: int = 100, scheme: str = "expanding",
-                 tolerance: float = 1e-7) -> DataFrame:
+                 tolerance: float = 1e-10) -> DataFrame:
     """``validation_curve`` of the penalties of a logistic model with all fits in the same scans of ``in_blocks`` samples."""
     train, valid = _folds(len(penalties), folds, scheme)
     weights = fit_many(samples, np.repeat(np.asarray(penalties, dtype=float), folds), train, iterations, tolerance)
@@ -245,6 +246,7 @@ def descend(weights: np.ndarray, label: np.ndarray, starts: np.ndarray, index: n
 
 def in_shards(samples: DataFrame, rows: int = SHARD_ROWS) -> DataFrame:
     """Written table of ``positioned`` samples with one row for each ``rows`` consecutive ones, so that passes move no rows."""
+    ship_package(samples.sparkSession)
     places, values = entries("features")
     each = samples.select(F.floor(F.col(POSITION) / rows).cast("long").alias("shard"), F.struct(
         F.col(POSITION), F.col("label").cast("double").alias("label"), places, values).alias("one"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
@@ -108,6 +110,25 @@ def pin(df: DataFrame, name: str = "pin") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SENT: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Once per application, hand Spark this package's sources, so that the few functions that run in Python workers find it there."""
+    application = spark.sparkContext.applicationId
+    if application in _SENT:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="clickloom-code-"), "clickloom.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(path)
+    _SENT.add(application)
+
+
 def together(spark: SparkSession, *builds: Callable[[], T]) -> list[T]:
     """Run independent builds side by side, so that one small job does not leave the cluster idle."""
     with ThreadPool(len(builds)) as pool:
