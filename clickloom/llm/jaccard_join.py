@@ -201,24 +201,33 @@ def about_middles(crowded: DataFrame, texts: DataFrame, similarity: float) -> Da
     most = round((1 - similarity) * GRAIN)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[int, np.ndarray] | None = None
+        of, middle = None, np.zeros(0, dtype=np.uint64)
         for batch in batches:
             for lo, hi, value, ends in _shingles_of(batch):
-                rings, offs = batch.column(0).slice(lo, hi - lo).to_numpy(), np.zeros(hi - lo, dtype=np.int64)
+                rings, heads = (batch.column(c).slice(lo, hi - lo).to_numpy(zero_copy_only=False) for c in (0, 1))
+                offs = np.full(hi - lo, most + 1, dtype=np.int64)
                 for i in range(hi - lo):
-                    if held is None or held[0] != rings[i]:
-                        held = int(rings[i]), np.sort(batch.column(2)[lo + i].values.to_numpy().view(np.uint64))
-                    mine, middle = value[ends[i]:ends[i + 1]], held[1]
-                    at = np.minimum(np.searchsorted(middle, mine), len(middle) - 1)
-                    common = int(np.count_nonzero(middle[at] == mine))
-                    union = len(mine) + len(middle) - common
-                    offs[i] = -(-(union - common) * GRAIN // union)
+                    if heads[i]:
+                        of, middle = rings[i], np.sort(batch.column(3)[lo + i].values.to_numpy().view(np.uint64))
+                    elif of == rings[i]:
+                        mine = value[ends[i]:ends[i + 1]]
+                        at = np.minimum(np.searchsorted(middle, mine), len(middle) - 1)
+                        common = int(np.count_nonzero(middle[at] == mine))
+                        union = len(mine) + len(middle) - common
+                        offs[i] = -(-(union - common) * GRAIN // union)
                 near = offs <= most
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo).filter(pa.array(near)), pa.array(rings[near]),
+                yield pa.RecordBatch.from_arrays([batch.column(2).slice(lo, hi - lo).filter(pa.array(near)), pa.array(rings[near]),
                                                   pa.array(offs[near].astype(np.int32))], names=["node", "ring", "off"])
 
-    placed = rows.join(middles, "ring").select("ring", "node", "middle", "text")
-    return pin(placed.mapInArrow(measured, "node long, ring long, off int"), "join-near")
+    # a middle goes ahead of each thousand of its members, not with every one of them
+    parts = pin(sizes.select("ring", F.ceil(F.col("n") / 1024).cast("int").alias("parts")), "join-ring-parts")
+    members = rows.join(parts, "ring").select("ring", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("head"),
+                                              "node", "text")
+    heads = middles.join(parts, "ring").select("ring", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("head"),
+                                               "middle")
+    both = (heads.unionByName(members, allowMissingColumns=True).repartition("ring", "part")
+            .sortWithinPartitions("ring", "part", F.desc("head")).select("ring", "head", "node", "middle", "text"))
+    return pin(both.mapInArrow(measured, "node long, ring long, off int"), "join-near")
 
 
 def told_links(near: DataFrame, copies: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
