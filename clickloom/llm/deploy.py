@@ -2,30 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-
 from pyspark.sql import SparkSession
 
-import clickloom
-from clickloom.session import tune
-
-_SENT: set[str] = set()
+from clickloom.session import ship_package, tune
 
 
 def ready(spark: SparkSession) -> SparkSession:
     """Tune the session and, once per application, hand Spark the package's sources to send to its workers."""
-    application = spark.sparkContext.applicationId
-    if application not in _SENT:
-        root = os.path.dirname(os.path.abspath(clickloom.__file__))
-        path = os.path.join(tempfile.mkdtemp(prefix="clickloom-code-"), "clickloom.zip")
-        with zipfile.ZipFile(path, "w") as out:
-            for folder, _, names in os.walk(root):
-                for name in names:
-                    if name.endswith(".py"):
-                        full = os.path.join(folder, name)
-                        out.write(full, os.path.relpath(full, os.path.dirname(root)))
-        spark.sparkContext.addPyFile(path)
-        _SENT.add(application)
+    ship_package(spark)
     return tune(spark)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import os
 import tempfile
 import uuid
@@ -9,6 +11,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
+from threading import Lock
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -110,23 +113,34 @@ def pin(df: DataFrame, name: str = "pin") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-_SENT: set[str] = set()
+def _package() -> bytes:
+    """This package's sources as an archive: the same bytes for the same sources, whenever and wherever it is made."""
+    root, out = os.path.dirname(os.path.abspath(__file__)), io.BytesIO()
+    sources = sorted(os.path.join(folder, name) for folder, _, names in os.walk(root) for name in names if name.endswith(".py"))
+    with zipfile.ZipFile(out, "w") as archive:
+        for full in sources:
+            with open(full, "rb") as f:
+                archive.writestr(zipfile.ZipInfo(os.path.relpath(full, os.path.dirname(root)).replace(os.sep, "/")), f.read())
+    return out.getvalue()
+
+
+_SHIPPING = Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Once per application, hand Spark this package's sources, so that the few functions that run in Python workers find it there."""
-    application = spark.sparkContext.applicationId
-    if application in _SENT:
-        return
-    root = os.path.dirname(os.path.abspath(__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="clickloom-code-"), "clickloom.zip")
-    with zipfile.ZipFile(path, "w") as out:
-        for folder, _, names in os.walk(root):
-            for name in sorted(n for n in names if n.endswith(".py")):
-                full = os.path.join(folder, name)
-                out.write(full, os.path.relpath(full, os.path.dirname(root)))
-    spark.sparkContext.addPyFile(path)
-    _SENT.add(application)
+    """Once per application, hand Spark this package's sources, so that the few functions that run in Python workers find it there.
+
+    The archive is named by its contents, and Spark is asked whether it has it: a second file of one name would stop all later tasks.
+    """
+    code = _package()
+    name = f"clickloom-{hashlib.sha256(code).hexdigest()[:16]}.zip"
+    with _SHIPPING:
+        if any(os.path.basename(path) == name for path in spark.sparkContext.listFiles):
+            return
+        path = os.path.join(tempfile.mkdtemp(prefix="clickloom-code-"), name)
+        with open(path, "wb") as f:
+            f.write(code)
+        spark.sparkContext.addPyFile(path)
 
 
 def together(spark: SparkSession, *builds: Callable[[], T]) -> list[T]:

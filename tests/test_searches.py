@@ -89,6 +89,25 @@ def test_sizes_from_one_scan(lines, scheme):
     assert got == {(r.param, r.fold): pytest.approx(r[2:], rel=1e-6) for r in want.collect()}
 
 
+# --- the package in the tasks ----------------------------------------------------------------------------
+
+def test_package_is_sent_once_whoever_asks(spark):
+    """Two archives of one name would fail the second call and every task after it."""
+    import importlib
+
+    from clickloom import session
+    from clickloom.llm.deploy import ready
+
+    ready(spark)
+    session.ship_package(spark)
+    session.together(spark, *[lambda: session.ship_package(spark)] * 4)
+    again = importlib.util.module_from_spec(session.__spec__)        # the module loaded anew in the same application
+    session.__spec__.loader.exec_module(again)
+    again.ship_package(spark)
+    assert sum("clickloom" in path.rsplit("/", 1)[-1] for path in spark.sparkContext.listFiles) == 1
+    assert spark.range(3).count() == 3
+
+
 # --- logistic --------------------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
