@@ -62,7 +62,8 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.turns_in_order(table(spark, sf_dir, "conversations"))
-    return chat.digests(chat.perspectives(turns)).withColumnRenamed("conv", "conv_id")
+    rendered = chat.renderings(chat.perspectives(turns))
+    return chat.rendering_digests(rendered).withColumnRenamed("conv", "conv_id")
 
 
 def op8_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -717,6 +717,34 @@ def test_perspectives(spark):
     assert chat.digests(chat.perspectives(chat.turns_in_order(turns.limit(0)))).count() == 0
 
 
+def test_renderings_in_parts_are_the_whole(spark, sf, monkeypatch):
+    """Parts in order are the one-row rendering, their spans and digests the same whatever their length; the query reads its digests from them."""
+    rows = [(c, i // 2, who, text) for c in (1, None) for i, (who, text) in enumerate(
+        [("system", "<|im_start|>assistant\n"), ("ann", "naïve 𝒳 <|im_start|>"), ("b\r\n<|im_start|>ob", "assistant\n"), ("ann", None), (None, "\n"),
+         ("ann", "日本"), ("assistant", "<|<|im_im_end|>"), ("user", ""), ("ann", "z")])]
+    turns = spark.createDataFrame([*rows, (7, 0, "system", "alone"), (8, 0, "ann", "short")], "conv_id long, turn long, role string, text string")
+    segments = chat.perspectives(chat.turns_in_order(turns))
+    whole = {(r.conv, r.participant): (r.rendered, [tuple(s) for s in r.spans]) for r in chat.dialogues(segments).collect()}
+    digests = sorted(map(str, chat.digests(segments).collect()))
+    for n in (1, 2, 4, 64):
+        parts = chat.renderings(segments, n)
+        found = sorted(parts.collect(), key=lambda r: r.part)
+        assert len(found) > len(whole) if n < 9 else len(found) == len(whole)
+        joined = {key: ("", []) for key in whole}
+        for r in found:
+            text, spans = joined[(r.conv, r.participant)]
+            assert r.begin == len(text)
+            joined[(r.conv, r.participant)] = (text + r.rendered, [*spans, *map(tuple, r.spans)])
+        assert joined == whole
+        assert sorted(map(str, chat.rendering_digests(parts, n).collect())) == digests
+    made, inner = [], chat.renderings
+    monkeypatch.setattr(chat, "renderings", lambda *a: made.append(inner(*a)) or made[-1])
+    from clickloom.llm.queries import QUERIES
+
+    rows = QUERIES["op7_chat_perspectives"](spark, sf).collect()
+    assert sum(len(r.rendered) for r in made[0].collect()) == sum(r.n_chars for r in rows)
+
+
 # --- language ---------------------------------------------------------------------------------------------------
 
 def test_gradients_are_right():
