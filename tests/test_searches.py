@@ -176,6 +176,27 @@ def test_losses_after_each_of_fourteen_passes(clicks, shard):
         assert found == pytest.approx(-np.mean(y * np.log(p) + (1 - y) * np.log(1 - p)))
 
 
+def test_shards_side_by_side_equal_one_after_the_other(clicks, monkeypatch):
+    """Shards of any lengths, rows without entries, a scale that starts anew; a batch takes as many steps as its longest shard has rows."""
+    draw = np.random.default_rng(4)
+    many = np.array([3, 0, 40, 1, 40, 17])
+    lengths = draw.integers(0, 5, many.sum())
+    starts = np.concatenate(([0], np.cumsum(lengths)))
+    index = np.concatenate([draw.choice(6, n, replace=False) for n in lengths]).astype(int)
+    value, label, weights = draw.normal(size=len(index)), draw.integers(0, 2, many.sum()).astype(float), draw.normal(size=7)
+    ends = np.cumsum(many)
+    for penalty in (1e-4, 0.01, 30.0):
+        for number in (0, 3):
+            got = passes.descend_together(weights, many, label, starts, index, value, penalty, number)
+            want = [passes.descend(weights, label[e - n:e], starts[e - n:e + 1] if n else starts[:1], index, value, penalty, number * n)
+                    for n, e in zip(many, ends)]
+            assert got == pytest.approx(np.stack(want), abs=1e-9)
+    calls = []
+    monkeypatch.setattr(passes.np, "exp", lambda x, inner=np.exp: calls.append(1) or inner(x))
+    passes.descend_together(weights, many, label, starts, index, value, 0.01, 0)
+    assert len(calls) <= many.max() + 2
+
+
 def test_pass_curve_over_folds(clicks):
     samples = modelling.positioned(modelling.in_blocks(clicks, ["id"], 2), ["id"])
     curve = {(r.param, r.fold): r[2:] for r in passes.pass_curve(samples, 0.01, [2, 5], 2, shard_rows=50).collect()}
