@@ -27,6 +27,7 @@ from clickloom.session import pin, together
 
 POSITION = "position"
 BLOCK = "block"
+FIT_ROWS = 250_000      # rows that one task of a tree fit holds
 
 
 # --- splits and folds -------------------------------------------------------------
@@ -95,14 +96,31 @@ def linear(alpha: float = 0.0, l1_share: float = 0.0) -> LinearRegression:
     return LinearRegression(regParam=alpha, elasticNetParam=l1_share, standardization=False)
 
 
+def dealt(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns, over tasks of at most about ``FIT_ROWS`` rows each: tree fits keep every row as an object, and narrow rows lie in few files."""
+    rows = df.select(*columns)
+    n = rows.count()
+    return rows.repartition(-(-n // FIT_ROWS)) if n > FIT_ROWS else rows
+
+
+class DealtGBTRegressor(GBTRegressor):
+    def _fit(self, dataset: DataFrame) -> Model:
+        return super()._fit(dealt(dataset, self.getLabelCol(), self.getFeaturesCol()))
+
+
+class DealtRandomForestRegressor(RandomForestRegressor):
+    def _fit(self, dataset: DataFrame) -> Model:
+        return super()._fit(dealt(dataset, self.getLabelCol(), self.getFeaturesCol()))
+
+
 def boosted_trees(depth: int = 2, trees: int = 20, rate: float = 0.1, subsample: float = 0.6,
                   min_rows: int = 1, min_gain: float = 0.0, seed: int = 7) -> GBTRegressor:
-    return GBTRegressor(maxDepth=int(depth), maxIter=int(trees), stepSize=rate, subsamplingRate=subsample,
-                        minInstancesPerNode=int(min_rows), minInfoGain=min_gain, seed=seed)
+    return DealtGBTRegressor(maxDepth=int(depth), maxIter=int(trees), stepSize=rate, subsamplingRate=subsample,
+                             minInstancesPerNode=int(min_rows), minInfoGain=min_gain, seed=seed)
 
 
 def random_forest(trees: int = 20, depth: int = 5, seed: int = 7) -> RandomForestRegressor:
-    return RandomForestRegressor(numTrees=int(trees), maxDepth=int(depth), seed=seed)
+    return DealtRandomForestRegressor(numTrees=int(trees), maxDepth=int(depth), seed=seed)
 
 
 # --- scoring and evaluation ---------------------------------------------------------------

@@ -143,3 +143,17 @@ def test_hold_out_is_not_trained_on(spark):
 def test_six_target_measure(spark):
     df = spark.createDataFrame([(2.0, 1.0, 0.0, 5.0)], "a double, pred_a double, b double, pred_b double")
     assert df.select(m.mape_of_targets_measure(["a", "b"])).first()[0] == 0.5
+
+
+@pytest.mark.parametrize("make", [lambda: m.boosted_trees(trees=2), lambda: m.random_forest(trees=2, depth=2)])
+def test_tree_fits_hold_bounded_rows_a_task(spark, monkeypatch, make):
+    """A table in one file is fitted in tasks of bounded rows; a small one is left as it is."""
+    monkeypatch.setattr(m, "FIT_ROWS", 100)
+    seen, inner = [], type(make()).__mro__[1]._fit
+    monkeypatch.setattr(type(make()).__mro__[1], "_fit", lambda self, df: seen.append(df) or inner(self, df))
+    for n in (1000, 100):
+        rows = spark.range(0, n, 1, 1).select("id", F.col("id").cast("double").alias("label"), (F.col("id") % 9).cast("double").alias("x"))
+        model = make().fit(concatenate(rows, ["x"]))
+        assert model.transform(concatenate(rows, ["x"])).count() == n
+    sizes = [seen[0].groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0], seen[1].rdd.getNumPartitions()]
+    assert sizes[0] <= 110 and sizes[1] == 1
