@@ -20,6 +20,8 @@ HELD_BYTES = 16 << 20        # values of a feature up to this size are broadcast
 HELD_TOGETHER = 64 << 20     # and those of all such features of one plan up to this size
 VALUE_OVERHEAD = 40          # bytes a value takes besides its characters
 MOST_LABELS = 1_000_000      # values a saved one-hot model may hold
+TASK_VALUES = 500_000        # values a task unpivots
+WIDE = 16                    # values of a row from which on it is worth moving rows, so that tasks are even
 
 
 def booleans_as_int(df: DataFrame) -> DataFrame:
@@ -27,6 +29,11 @@ def booleans_as_int(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("int") for c in names}) if names else df
 
 
+def tasks_of(rows: int, width: int) -> int:
+    """Tasks that ``rows`` rows of ``width`` values are dealt to: narrow rows lie in few files, however much there is to do for each."""
+    return max(1, -(-rows * width // TASK_VALUES))
+
+
 # --- one-hot dictionary in long form ------------------------------------------
 
 def feature_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -35,11 +42,11 @@ def feature_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
     The rows are unpivoted in the map task and collapse there: only distinct
     pairs are shuffled.
     """
-    pairs = F.array(*[F.struct(F.lit(i).alias("feature_no"), F.lit(f).alias("feature"),
-                               F.col(f).cast("string").alias("value"))
-                      for i, f in enumerate(features)])
-    return (booleans_as_int(df).select(F.inline(pairs)).dropna(subset=["value"])
-            .groupBy("feature_no", "feature", "value").agg(F.count("*").alias("n")))
+    values = F.array(*[F.col(f).cast("string") for f in features]).cast("array<string>")
+    names = F.array(*[F.lit(f) for f in features]).cast("array<string>")
+    found = (booleans_as_int(df).select(F.posexplode(values).alias("feature_no", "value")).dropna(subset=["value"])
+             .groupBy("feature_no", "value").agg(F.count("*").alias("n")))
+    return found.select("feature_no", F.get(names, F.col("feature_no")).alias("feature"), "value", "n")
 
 
 def dictionary(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -95,9 +102,9 @@ def encode_rows(df: DataFrame, dictionary_table: DataFrame, features: Sequence[s
                 keep: Sequence[str] = (), unseen: str = "keep", output: str = "features") -> DataFrame:
     """Written table of the ``keep`` columns and the sparse vector of each row.
 
-    The rows are written once with a number, unpivoted to (row, feature, value), and meet the whole dictionary in one join,
-    planned from its size; one aggregate by row number puts them together again.  So the rows are shuffled twice at most, and the plan is the
-    same for any number of features.  The values never pass the driver.  Columns follow the dictionary, in whatever order
+    The rows are written once with a number, dealt evenly to tasks if they are wide, unpivoted to (row, feature, value), and meet the
+    whole dictionary in one join, planned from its size; one aggregate by row number puts them together again.  So the values are shuffled
+    twice at most, and the plan is the same for any number of features.  The values never pass the driver.  Columns follow the dictionary, in whatever order
     ``features`` come; after them stand the ``numeric`` columns, then for each of these a column that is 1 where the number is
     missing (the number itself is 0 there).
     """
@@ -121,12 +128,16 @@ def vector_parts(df: DataFrame, dictionary_table: DataFrame, features: Sequence[
     names = F.array(*[F.lit(f) for f in features]).cast("array<string>")
     words = dictionary_table.select(F.array_position(names, F.col("feature")).cast("int").alias("of"),
                                     F.col("value").alias("known"), F.col("index").cast("int").alias("index")).filter(F.col("of") > 0)
-    each = base.select("row", F.posexplode("values").alias("no", "value")).filter(F.col("value").isNotNull())
-    found = each.join(words, (F.col("no") + 1 == F.col("of")) & (F.col("value") == F.col("known")), "left")
+    dealt = base
+    if len(features) >= WIDE and (tasks := tasks_of(base.count(), len(features))) > 1:
+        dealt = base.repartition(tasks)
+    first = F.coalesce(F.col("no"), F.lit(0)) == 0                # this one of a row's values carries what is kept
+    each = (dealt.select("*", F.posexplode_outer("values").alias("no", "value")).filter(first | F.col("value").isNotNull())
+            .select("row", "no", "value", F.when(first, F.col("held")).alias("held"), F.when(first, F.col("numbers")).alias("numbers")))
+    parts = each.join(words, (F.col("no") + 1 == F.col("of")) & (F.col("value") == F.col("known")), "left")
     if unseen == "error":
         told = F.concat(F.lit("unseen value of "), F.get(names, F.col("no")))
-        found = found.filter(F.assert_true(F.col("index").isNotNull(), told).isNull())
-    parts = found.select("row", "index").unionByName(base.select("row", "held", "numbers"), allowMissingColumns=True)
+        parts = parts.filter(F.assert_true(F.col("value").isNull() | F.col("index").isNotNull(), told).isNull())
     rows = parts.groupBy("row").agg(F.array_sort(F.collect_list("index")).alias("indices"), F.first("held", True).alias("held"),
                                     F.first("numbers", True).alias("numbers"))
     places, values = F.col("indices"), F.array_repeat(F.lit(1.0), F.size("indices"))

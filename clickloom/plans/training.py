@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clickloom import schemas
 from clickloom.operators.aggregates import fold_summary
-from clickloom.operators.encode import add_crosses, dictionary, encode_rows, truncated
+from clickloom.operators.encode import add_crosses, dictionary, encode_rows, tasks_of, truncated
 from clickloom.operators.modelling import (
     BLOCK,
     in_blocks,
@@ -84,11 +84,13 @@ def encode_scoring(scoring: DataFrame, words: DataFrame, features: Sequence[str]
 
 
 def linear_terms(train: DataFrame, crosses: bool = False, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Dictionary and encoded rows of the ad, context and user groups, optionally with all pairwise crosses."""
+    """Dictionary and encoded rows of the ad, context and user groups of a written table, optionally with all pairwise crosses."""
     groups = [schemas.AD_FEATURES, schemas.CONTEXT_FEATURES, schemas.USER_FEATURES]
     features = [f for g in groups for f in g]
     if crosses:
-        for a, b in ((groups[0], groups[1]), (groups[0], groups[2]), (groups[1], groups[2])):
+        pairs = ((groups[0], groups[1]), (groups[0], groups[2]), (groups[1], groups[2]))
+        train = train.repartition(tasks_of(train.count(), len(features) + sum(len(a) * len(b) for a, b in pairs)))
+        for a, b in pairs:
             train, made = add_crosses(train, a, b)
             features = features + made
     words = dictionary(train, features)

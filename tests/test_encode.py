@@ -202,3 +202,34 @@ def test_small_features_are_held_up_to_a_sum(spark, monkeypatch):
     monkeypatch.setattr(encode, "HELD_TOGETHER", 400)
     df = spark.range(8).select(F.col("id").alias("a"), (F.col("id") % 2).alias("b"), (F.col("id") % 3).alias("c"))
     assert encode.small_features(encode.dictionary(df, ["a", "b", "c"])) == {"b", "c"}
+
+
+def test_rows_of_one_file_are_unpivoted_in_many_tasks(spark, monkeypatch):
+    """Wide rows are dealt to tasks of bounded values; what is kept comes with the first value, also where it is null or there is none."""
+    monkeypatch.setattr(encode, "TASK_VALUES", 300)
+    monkeypatch.setattr(encode, "WIDE", 2)
+    seen, inner = [], type(spark.range(1)).repartition
+    monkeypatch.setattr(type(spark.range(1)), "repartition", lambda self, n, *a: seen.append(n) or inner(self, n, *a))
+    rows = spark.range(0, 400, 1, 1).select(F.when(F.col("id") % 7 > 0, F.col("id") % 7).alias("a"), (F.col("id") % 5).alias("b"), F.col("id").alias("key"))
+    words = encode.dictionary(rows, ["a", "b"])
+    parts = encode.vector_parts(rows, words, ["a", "b"], ["key"], ["key"], "keep", "features")
+    assert seen == [3] and parts.count() == 400
+    first = {r.key: list(r.features.indices) for r in encode.encode_rows(rows, words, ["a", "b"], keep=["key"]).collect()}
+    assert first == {i: ([] if i % 7 == 0 else [i % 7 - 1]) + [6 + i % 5] for i in range(400)}
+    none = encode.encode_rows(rows, words.limit(0), [], ["b"], ["key"]).collect()
+    assert sorted(r.key for r in none) == list(range(400))
+
+
+def test_crossed_rows_are_dealt_to_tasks(spark, monkeypatch):
+    """All crosses of a narrow table in one file are made in many tasks."""
+    from clickloom import schemas
+
+    monkeypatch.setattr(encode, "TASK_VALUES", 1000)
+    features = [*schemas.AD_FEATURES, *schemas.CONTEXT_FEATURES, *schemas.USER_FEATURES]
+    rows = spark.range(0, 50, 1, 1).select(*[(F.col("id") % (i + 2)).alias(f) for i, f in enumerate(features)], F.col("id").alias("label"))
+    seen, inner = [], training.dictionary
+    monkeypatch.setattr(training, "dictionary", lambda df, columns: seen.append((df, columns)) or inner(df, columns))
+    encoded = training.linear_terms(rows, crosses=True, keep=["label"])[1]
+    (df, columns), = seen
+    assert df.rdd.getNumPartitions() == -(-50 * len(columns) // 1000) > 1
+    assert {len(r.features.indices) for r in encoded.collect()} == {len(columns)}
