@@ -65,9 +65,12 @@ def contents_sql(name: str, source: str, columns: Sequence[str], key: str, flags
 def encoded_rows(df: DataFrame, vector: str, *keys: str) -> DataFrame:
     """Whole contents of encoded rows: their places and values (in millionths), with the number of equal rows."""
     stored = F.unwrap_udt(F.col(vector))
-    pairs = F.transform(F.arrays_zip(stored["indices"], stored["values"]), lambda e: F.concat_ws(
+    places, values = stored["indices"], stored["values"]
+    ones = F.concat(F.array_join(places.cast("array<string>"), ":1000000 "), F.lit(":1000000"))       # most rows; the general way is dear
+    pairs = F.transform(F.arrays_zip(places, values), lambda e: F.concat_ws(
         ":", e["indices"].cast("string"), F.round(e["values"] * 1_000_000).cast("long").cast("string")))
-    return df.groupBy(*keys, F.array_join(pairs, " ").alias("entries")).agg(F.count("*").alias("n"))
+    entries = F.when((F.array_min(values) == 1.0) & (F.array_max(values) == 1.0), ones).otherwise(F.array_join(pairs, " "))
+    return df.groupBy(*keys, entries.alias("entries")).agg(F.count("*").alias("n"))
 
 
 def encoded_sql(source: str, features: Sequence[str], keys: Sequence[str] = (), flags: Sequence[str] = (),

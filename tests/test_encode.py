@@ -233,3 +233,17 @@ def test_crossed_rows_are_dealt_to_tasks(spark, monkeypatch):
     (df, columns), = seen
     assert df.rdd.getNumPartitions() == -(-50 * len(columns) // 1000) > 1
     assert {len(r.features.indices) for r in encoded.collect()} == {len(columns)}
+
+
+def test_entries_of_ones_are_those_of_the_general_way(spark):
+    """Rows of ones only are written without a function for each entry; every other row as before."""
+    from pyspark.ml.linalg import SparseVector
+
+    from clickloom.workload.registry import encoded_rows
+
+    vectors = [SparseVector(9, at, values) for at, values in (
+        ([1, 4], [1.0, 1.0]), ([1, 4], [1.0, 0.25]), ([], []), ([3], [1.0]), ([0, 2, 8], [0.0, 1.0, -2.0]))]
+    found = encoded_rows(spark.createDataFrame([(v,) for v in vectors * 2], ["v"]), "v")
+    assert {(r.entries, r.n) for r in found.collect()} == {(e, 2) for e in (
+        "1:1000000 4:1000000", "1:1000000 4:250000", "", "3:1000000", "0:0 2:1000000 8:-2000000")}
+    assert "array_min" in found._jdf.queryExecution().optimizedPlan().toString()
