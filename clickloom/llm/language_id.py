@@ -169,52 +169,63 @@ def train(samples: list[tuple[str, bytes]], steps: int | None = None, hidden: in
 def _states(net: Network, side: int, x: np.ndarray, h: np.ndarray, each) -> None:
     """Run one direction over (T, B) bytes; ``each(t, h)`` gets every state."""
     hidden = h.shape[1]
-    table, weights = net.inputs[side], net.recurrent[side]
-    a = np.empty((len(h), 3 * hidden), dtype=np.float32)
-    g = np.empty_like(a)
+    # by gate (3, 256, H) and (3, H, H), so that numpy works on whole pieces of memory; the halves are those of the sigmoid
+    table, weights = (np.stack(np.split(p, 3, axis=1)) for p in (net.inputs[side], net.recurrent[side]))
+    table[:2] *= 0.5
+    weights[:2] *= 0.5
+    a, g = (np.empty((3, *h.shape), dtype=np.float32) for _ in range(2))
+    gates, n, last = g[:2], g[2], a[2]
     steps = range(len(x)) if side == 0 else range(len(x) - 1, -1, -1)
     for t in steps:
         np.matmul(h, weights, out=a)
-        np.take(table, x[t], axis=0, out=g, mode="clip")
-        gates, n = g[:, :2 * hidden], g[:, 2 * hidden:]
-        gates += a[:, :2 * hidden]
-        gates = sigmoid(gates)
-        last = a[:, 2 * hidden:]
-        last *= gates[:, hidden:]
+        np.take(table, x[t], axis=1, out=g, mode="clip")
+        gates += a[:2]
+        np.tanh(gates, out=gates)
+        gates += 1
+        gates *= 0.5
+        last *= gates[1]
         last += n
         np.tanh(last, out=last)
         h -= last
-        h *= gates[:, :hidden]
+        h *= gates[0]
         h += last
         each(t, h)
 
 
 def window_sums(net: Network, x: np.ndarray, counted: np.ndarray) -> np.ndarray:
     """Summed label probabilities (B, labels) over the counted bytes of each window; ``x``, ``counted``: (T, B)."""
-    steps, many = x.shape
+    many = x.shape[1]
     hidden, classes = net.recurrent[0].shape[0], len(net.labels)
-    logits = np.empty((steps, many, classes), dtype=np.float32)
+    # read forwards, no counted byte sees what follows the last one; read backwards, none sees what precedes the first
+    some = np.flatnonzero(counted.any(axis=1))
+    lo, hi = (int(some[0]), int(some[-1]) + 1) if len(some) else (0, 0)
+    logits = np.empty((hi - lo, classes, many), dtype=np.float32)
+    out = [np.ascontiguousarray(net.out[s * hidden:(s + 1) * hidden].T) for s in range(2)]
+    bias = net.bias[:, None]
 
     def fore(t: int, h: np.ndarray) -> None:
-        np.matmul(h, net.out[:hidden], out=logits[t])
+        if t < lo:
+            return
+        np.matmul(out[0], h.T, out=logits[t - lo])
 
-    total = np.zeros((many, classes), dtype=np.float64)
-    part = np.empty((many, classes), dtype=np.float32)
+    total = np.zeros((classes, many), dtype=np.float64)
+    part = np.empty((classes, many), dtype=np.float32)
 
     def back(t: int, h: np.ndarray) -> None:
-        np.matmul(h, net.out[hidden:], out=part)
+        if t >= hi - lo:
+            return
+        np.matmul(out[1], h.T, out=part)
         p = logits[t]
         p += part
-        p += net.bias
+        p += bias
         np.clip(p, -30, 30, out=p)
         np.exp(p, out=p)
-        weight = counted[t] / p.sum(axis=1)
-        p *= weight[:, None]
+        p *= counted[lo + t] / p.sum(axis=0)
         np.add(total, p, out=total)
 
-    for side, each in ((0, fore), (1, back)):
-        _states(net, side, x, np.zeros((many, hidden), dtype=np.float32), each)
-    return total
+    for side, each, read in ((0, fore, x[:hi]), (1, back, x[lo:])):
+        _states(net, side, read, np.zeros((many, hidden), dtype=np.float32), each)
+    return total.T
 
 
 def byte_labels(net: Network, text: bytes) -> list[str]:

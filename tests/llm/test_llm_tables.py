@@ -824,6 +824,54 @@ def test_long_text_is_read_whole():
     assert len(labels) == 150 and Counter(labels).most_common(1)[0][0] == net.labels[one.argmax()]
 
 
+def test_reading_costs_what_the_counted_bytes_need(monkeypatch):
+    """No state is computed beyond the last counted byte of a direction, and none on scattered pieces of memory."""
+    net, many = language_id.Network.fresh(["a", "b", "c"]), 5
+    data = np.random.default_rng(1).integers(0, 256, many * language_id.WINDOW).astype(np.uint8)
+    made, tanh = [], np.tanh
+
+    def counting(x, out=None):
+        made.append((x.size, x.flags.c_contiguous))
+        return tanh(x, out=out)
+
+    monkeypatch.setattr(np, "tanh", counting)
+    language_id.document_probabilities(net, data, np.array([0, len(data)]))
+    steps = language_id.WINDOW + language_id.CONTEXT
+    assert sum(size for size, _ in made) == 2 * steps * many * 3 * language_id.HIDDEN and all(whole for _, whole in made)
+
+
+@pytest.mark.parametrize("classes", [1, 4, 40])
+def test_reading_matches_a_plain_loop(classes):
+    """Each window on its own, byte by byte, with 16 bytes on either side; zeros before and beyond the text, as in a matrix of windows."""
+    net = language_id.Network.fresh([f"l{i:02d}" for i in range(classes)])
+    lengths = [0, 1, 15, 207, 208, 209, 0, 500]
+    data = np.random.default_rng(2).integers(0, 256, sum(lengths)).astype(np.uint8)
+    offsets = np.concatenate(([0], np.cumsum(lengths)))
+    window, context = language_id.WINDOW, language_id.CONTEXT
+
+    def plain(text):
+        total = np.zeros(classes)
+        for at in range(0, len(text), window):
+            x = [text[i] if 0 <= i < len(text) else 0 for i in range(at - context, at + window + context)]
+            states = []
+            for side in range(2):
+                h, found = np.zeros(language_id.HIDDEN), {}
+                for t in range(len(x)) if side == 0 else range(len(x) - 1, -1, -1):
+                    (z, r, n), (az, ar, an) = np.split(net.inputs[side][x[t]].astype(float), 3), np.split(h @ net.recurrent[side], 3)
+                    z, r = 1 / (1 + np.exp(-z - az)), 1 / (1 + np.exp(-r - ar))
+                    n = np.tanh(n + r * an)
+                    h = n + z * (h - n)
+                    found[t] = h
+                states.append(found)
+            for t in range(context, context + min(window, len(text) - at)):
+                p = np.exp(np.concatenate((states[0][t], states[1][t])) @ net.out + net.bias)
+                total += p / p.sum()
+        return total / max(1, len(text))
+
+    want = [plain(data[lo:hi]) for lo, hi in zip(offsets, offsets[1:])]
+    assert language_id.document_probabilities(net, data, offsets) == pytest.approx(np.array(want), abs=1e-5)
+
+
 # --- pipeline ------------------------------------------------------------------------------------------------------
 
 def test_stages_on_hard_rows(spark, hard, empty, sf):
