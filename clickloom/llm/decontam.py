@@ -27,6 +27,7 @@ LIMITS = (9, 8, 8, 8)
 ITEMS_AT_ONCE = 20_000
 PAIRS_AT_ONCE = 1 << 20
 STEP = 1 << 14          # shingles whose bits are laid out at once
+AT_ONCE = 1 << 20       # bytes of texts searched at once
 
 
 def bits_of(value: np.ndarray) -> np.ndarray:
@@ -223,7 +224,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for lo, hi in slices(batch.column(1)):
+                for lo, hi in slices(batch.column(1), AT_ONCE):
                     found = list(held.value.leaks(batch.column(1).slice(lo, hi - lo), similarity))
                     if found:
                         row, item, near, first, n = zip(*found)
@@ -246,7 +247,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", sim
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for lo, hi in slices(batch.column(at)):
+                for lo, hi in slices(batch.column(at), AT_ONCE):
                     part = batch.slice(lo, hi - lo)
                     bad = {r for r, *_ in held.value.leaks(part.column(at), similarity)}
                     yield part.filter(pa.array([r not in bad for r in range(part.num_rows)], type=pa.bool_()))

@@ -43,6 +43,8 @@ SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 REPEAT = 5          # words in a repeated window
 KEPT = 300_000      # words whose tokens a worker keeps between batches
+KEPT_BYTES = 16 << 20   # and their bytes, where words are long
+AT_ONCE = 1 << 20   # bytes of texts measured at once: numpy holds some fifty times as many meanwhile
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MEASURES = ["chars_per_token", "chars_per_piece", "tokens_per_word", "pieces_per_token", "fallback_share", "entropy"]
@@ -142,6 +144,7 @@ class Vocabularies:
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.held = 0
         self.flat, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
         self.ends = np.zeros(1, dtype=np.int64)
         self.n_pieces, self.n_bytes = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
@@ -164,7 +167,7 @@ class Vocabularies:
 
     def of(self, distinct: list[bytes]) -> np.ndarray:
         """Place of each word in the tables."""
-        if len(self.known) > KEPT:
+        if len(self.known) > KEPT or self.held > KEPT_BYTES:
             self.forget()
         missing = [word for word in distinct if word not in self.known]
         if missing:
@@ -174,6 +177,7 @@ class Vocabularies:
             many = np.array([len(p) for p in pieces])
             fallback = self.is_byte[np.fromiter(chain.from_iterable(pieces), dtype=np.int64, count=int(many.sum()))]
             self.known.update(zip(missing, range(len(self.ends) - 1, len(self.ends) - 1 + len(missing))))
+            self.held += sum(map(len, missing))
             self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(counts)))
             self.n_pieces = np.concatenate((self.n_pieces, many))
             self.n_bytes = np.concatenate((self.n_bytes, np.bincount(
@@ -215,6 +219,22 @@ def fertility(w: Words, chars: np.ndarray, vocab: Vocabularies) -> dict[str, np.
                 "tokens_per_word": tokens / np.diff(w.first), "pieces_per_token": pieces / tokens, "fallback_share": fallbacks / pieces, "entropy": entropy}
 
 
+def measured(batches: Iterator[pa.RecordBatch], at: int, vocab: Vocabularies) -> Iterator[pa.RecordBatch]:
+    """The rows with the counts, script and measures of the texts in column ``at``, at most ``AT_ONCE`` bytes of texts or one row at a time."""
+    for batch in batches:
+        for lo, hi in slices(batch.column(at), AT_ONCE):
+            part = batch.slice(lo, hi - lo)
+            data, offsets = buffers(part.column(at))
+            w = words(data, offsets)
+            counts = base_counts(data, offsets, w)
+            measures = fertility(w, counts["word_chars"], vocab)
+            empty = counts["n_words"] == 0
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, *[pa.array(counts[c], type=pa.int64()) for c in COUNTS],
+                 scripts(data, offsets), *[pa.array(measures[c], type=pa.float64(), mask=empty) for c in MEASURES]],
+                names=[*batch.schema.names, *COUNTS, "script", *MEASURES])
+
+
 def measure(df: DataFrame, ranks_path: str, pieces_path: str, text: str = "text") -> DataFrame:
     """Append the counts, the script and the measures of every whole text to the rows of ``df`` (columns of those names are replaced).
 
@@ -227,19 +247,7 @@ def measure(df: DataFrame, ranks_path: str, pieces_path: str, text: str = "text"
                          StructField("script", StringType()), *[StructField(c, DoubleType()) for c in MEASURES]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabularies(ranks_path, pieces_path)
-        for batch in batches:
-            for lo, hi in slices(batch.column(at)):
-                part = batch.slice(lo, hi - lo)
-                data, offsets = buffers(part.column(at))
-                w = words(data, offsets)
-                counts = base_counts(data, offsets, w)
-                measures = fertility(w, counts["word_chars"], vocab)
-                empty = counts["n_words"] == 0
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, *[pa.array(counts[c], type=pa.int64()) for c in COUNTS],
-                     scripts(data, offsets), *[pa.array(measures[c], type=pa.float64(), mask=empty) for c in MEASURES]],
-                    names=schema.names)
+        return measured(batches, at, vocabularies(ranks_path, pieces_path))
 
     return df.mapInArrow(run, schema)
 

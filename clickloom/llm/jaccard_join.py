@@ -31,7 +31,7 @@ from clickloom.llm.columns import shield
 from clickloom.llm.groups import components, sorted_groups
 from clickloom.llm.text import buffers, mix64, salted, shingle_sets, shingles, slices, word_hashes, words
 from clickloom.operators.ordered import with_row_index
-from clickloom.session import pin
+from clickloom.session import pin, small_batches
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -467,7 +467,8 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     runs = runs_for(recall, similarity)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.md5(body).alias("key"), body.alias("text"))
-    found = pin(sketches(rows, runs), "join-sketches")
+    with small_batches(docs.sparkSession):
+        found = pin(sketches(rows, runs), "join-sketches")
     one = found.groupBy("key").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least_id"),
                                    F.first("shingles").alias("shingles"), F.first("sketch").alias("sketch"),
                                    F.first("roots").alias("roots"))
@@ -481,7 +482,8 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         return (rows.join(wanted.hint("merge"), (rows["key"] == wanted["key"]) & rows["doc_id"].eqNullSafe(wanted["least_id"]))
                 .dropDuplicates(["node"]).select("node", "text"))
 
-    near = None if crowded is None else about_middles(crowded, texts_of(crowded), similarity)
+    with small_batches(docs.sparkSession):
+        near = None if crowded is None else about_middles(crowded, texts_of(crowded), similarity)
     lists = members.groupBy("node").agg(F.array_sort(F.collect_set("bucket")).alias("leaves"))
     shared = nodes.select("node", "key", "copies", "shingles", "sketch").join(lists, "node")
     if near is None:
@@ -490,7 +492,8 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         shared = shared.join(near, "node", "left").fillna({"ring": -1, "off": 0})
     shared = pin(shared, "join-shared")
     chosen = candidates(tiled(members, shared, similarity), shared, similarity)
-    links = compared(chosen, shared, texts_of(chosen), similarity)
+    with small_batches(docs.sparkSession):
+        links = compared(chosen, shared, texts_of(chosen), similarity)
     edges = links.select(F.col("node").alias("a"), F.col("least").alias("b"))
     links = links.select("node", "links")
     if near is not None:

@@ -81,6 +81,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _SCOPES: list[str] = []
+_BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, most: str = "4m") -> Iterator[None]:
+    """Rows with whole texts go to and from the Python workers at most ``most`` at once in the block, not Spark's 10,000 rows or 64 MB; a
+    larger row goes alone.
+
+    For tables that are written inside the block: what is only planned there runs under the session's own setting.
+    """
+    usual = spark.conf.get(_BATCHES, None)
+    spark.conf.set(_BATCHES, most)
+    try:
+        yield
+    finally:
+        if usual is None:
+            spark.conf.unset(_BATCHES)
+        else:
+            spark.conf.set(_BATCHES, usual)
 
 
 @contextmanager
