@@ -10,6 +10,7 @@ its documents are few, with those of the script.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -44,6 +45,8 @@ SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 REPEAT = 5          # words in a repeated window
 KEPT = 300_000      # words whose tokens a worker keeps between batches
 KEPT_BYTES = 16 << 20   # and their bytes, where words are long
+RUN = 100_000       # white space in a row that the tokenizer's search for pieces is given; it has no stack for a million
+WIDE_RUN = re.compile(r"[ \u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % RUN)
 AT_ONCE = 1 << 20   # bytes of texts measured at once: numpy holds some fifty times as many meanwhile
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -149,20 +152,31 @@ class Vocabularies:
         self.ends = np.zeros(1, dtype=np.int64)
         self.n_pieces, self.n_bytes = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
+    def _encoded(self, text: str) -> np.ndarray:
+        """Ranks of one text.  A long run of white space is cut out: it is one piece, but for its last character where a visible one follows."""
+        ids, at = [], 0
+        for run in WIDE_RUN.finditer(text) if len(text) >= RUN else ():
+            end = run.end() - (run.end() < len(text))
+            ids += [self.ranks.encode_ordinary(text[at:run.start()]), self.ranks._encode_single_piece(text[run.start():end])]
+            at = end
+        return np.fromiter(chain(*ids, self.ranks.encode_ordinary(text[at:])), dtype=np.uint32)
+
     def _ranks_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ranks of the words, each after a space, and their numbers; many are encoded at once, line feeds between them."""
         ids, counts = [], []
         for lo in range(0, len(texts), 500):
             some = texts[lo:lo + 500]
-            found = np.array(self.ranks.encode_ordinary(" " + "\n ".join(some)), dtype=np.uint32)
-            ends = np.flatnonzero(found == self.feed)
-            if len(ends) != len(some) - 1:         # a word that ends in some other white space
-                apart = [np.array(self.ranks.encode_ordinary(" " + t), dtype=np.uint32) for t in some]
-                ids += apart
-                counts.append(np.array([len(x) for x in apart]))
-            else:
-                ids.append(np.delete(found, ends))
-                counts.append(np.diff(np.concatenate(([-1], ends, [len(found)]))) - 1)
+            if sum(map(len, some)) < RUN:
+                found = np.array(self.ranks.encode_ordinary(" " + "\n ".join(some)), dtype=np.uint32)
+                ends = np.flatnonzero(found == self.feed)
+                if len(ends) == len(some) - 1:
+                    ids.append(np.delete(found, ends))
+                    counts.append(np.diff(np.concatenate(([-1], ends, [len(found)]))) - 1)
+                    continue
+            # long words, or one that ends in some other white space
+            apart = [self._encoded(" " + t) for t in some]
+            ids += apart
+            counts.append(np.array([len(x) for x in apart]))
         return np.concatenate(ids), np.concatenate(counts)
 
     def of(self, distinct: list[bytes]) -> np.ndarray:
@@ -171,7 +185,7 @@ class Vocabularies:
             self.forget()
         missing = [word for word in distinct if word not in self.known]
         if missing:
-            texts = [word.decode() for word in missing]
+            texts = [word.decode(errors="replace") for word in missing]
             ids, counts = self._ranks_of(texts)
             pieces = self.pieces.encode(texts, num_threads=1)
             many = np.array([len(p) for p in pieces])
@@ -238,7 +252,7 @@ def measured(batches: Iterator[pa.RecordBatch], at: int, vocab: Vocabularies) ->
 def measure(df: DataFrame, ranks_path: str, pieces_path: str, text: str = "text") -> DataFrame:
     """Append the counts, the script and the measures of every whole text to the rows of ``df`` (columns of those names are replaced).
 
-    A null or empty text has counts 0 and null measures.
+    A null or empty text has counts 0 and null measures.  Bytes that are not UTF-8 are measured as replacement characters.
     """
     own = [c for c in df.columns if c not in [*COUNTS, "script", *MEASURES]]
     df = df.select(*own)

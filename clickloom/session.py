@@ -82,24 +82,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 _SCOPES: list[str] = []
 _BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_READ = "spark.sql.parquet.columnarReaderBatchSize"
 
 
 @contextmanager
-def small_batches(spark: SparkSession, most: str = "4m") -> Iterator[None]:
+def small_batches(spark: SparkSession, most: str = "4m", rows: int = 16) -> Iterator[None]:
     """Rows with whole texts go to and from the Python workers at most ``most`` at once in the block, not Spark's 10,000 rows or 64 MB; a
-    larger row goes alone.
+    larger row goes alone.  From Parquet they are read ``rows`` at once, not 4,096: the reader holds all their texts on the heap, twice while
+    it makes room.
 
     For tables that are written inside the block: what is only planned there runs under the session's own setting.
     """
-    usual = spark.conf.get(_BATCHES, None)
-    spark.conf.set(_BATCHES, most)
+    wanted = {_BATCHES: most, _READ: str(rows)}
+    usual = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if usual is None:
-            spark.conf.unset(_BATCHES)
-        else:
-            spark.conf.set(_BATCHES, usual)
+        for name, value in usual.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 @contextmanager
