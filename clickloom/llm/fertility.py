@@ -317,7 +317,8 @@ def bands(measured: DataFrame, group: str = "lang", enough: int | None = None) -
 def half_width(measure: str) -> Column:
     """``WIDTH`` standard deviations (1.4826 times the median distance is one), wider for short texts, ``LEAST`` of the median at least."""
     short = F.when(F.col("n_words") < SHORT_WORDS, SHORT_WIDER).otherwise(1.0)
-    rare = F.greatest(F.lit(1.0), F.sqrt(F.lit(float(USUAL_WORDS)) / F.col("n_words")))
+    # Spark may compute this for rows without words too, though nothing asks for it there
+    rare = F.greatest(F.lit(1.0), F.sqrt(F.lit(float(USUAL_WORDS)) / F.greatest(F.col("n_words"), F.lit(1))))
     width = F.when(F.col("_level") == 0, short).otherwise(rare) * (WIDTH * WIDER.get(measure, 1.0) * 1.4826)
     least = F.lit(0.05) if measure == "fallback_share" else F.col("_band")[f"_{measure}"]["mid"] * LEAST
     return F.greatest(F.col("_band")[f"_{measure}"]["mad"] * width, least)
